@@ -39,7 +39,7 @@ BANDS, ROWS = 32, 4
 SIZE = BANDS * ROWS
 _BITS = 52
 _LOW = np.uint64((1 << _BITS) - 1)
-_SEED = np.uint64(0xA24BAED4963EE407)
+_SEEDS = np.arange(2 * SIZE + 1, dtype=np.uint64) * np.uint64(0xA24BAED4963EE407)
 
 
 def shingle_sets(words: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -74,14 +74,14 @@ def sketches(values: np.ndarray, offsets: np.ndarray, size: int = SIZE) -> np.nd
     live = np.arange(len(full))
     owner, elements = np.repeat(np.arange(len(full)), counts[full]), values
     for i in range(2 * size):
-        hashed = mix(elements + _SEED * np.uint64(i + 1))
+        hashed = mix(elements + _SEEDS[i + 1])
         best = np.full(len(full) * size, empty)
         place = (hashed & np.uint64(size - 1)).astype(np.int64) if i < size else np.full(len(hashed), i - size)
         np.minimum.at(best, owner * size + place, hashed >> np.uint64(8))
         best = best.reshape(len(full), size)
         new = (best != empty) & ~filled[live]
         rows, cols = np.nonzero(new)
-        out[live[rows], cols] = mix(best[rows, cols] + np.uint64(i) * _SEED)
+        out[live[rows], cols] = mix(best[rows, cols] + _SEEDS[i])
         filled[live] |= new
         open_ = ~filled[live].all(axis=1)
         if not open_.any():
