@@ -8,6 +8,7 @@ from importlib import import_module
 MODULES = {
     "op1_decontaminate": "decontaminate",
     "op3_warc": "warc",
+    "op5_topk": "topk",
     "op8_near_dedup": "near_dedup",
 }
 
