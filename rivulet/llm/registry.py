@@ -11,6 +11,7 @@ MODULES = {
     "op5_topk": "topk",
     "op8_near_dedup": "near_dedup",
     "op9_language": "language",
+    "op10_quality": "quality",
 }
 
 
