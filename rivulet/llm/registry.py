@@ -9,6 +9,7 @@ MODULES = {
     "op1_decontaminate": "decontaminate",
     "op3_warc": "warc",
     "op5_topk": "topk",
+    "op6_toxicity": "toxicity",
     "op8_near_dedup": "near_dedup",
     "op9_language": "language",
     "op10_quality": "quality",
