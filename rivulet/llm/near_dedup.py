@@ -9,10 +9,12 @@ averages over the whole set, the estimate is concentrated as that of independent
 MinHashes, at the cost of about one hash a shingle for texts of ordinary size.
 
 Bands of rows meet in a shuffle. Texts with the same shingle set are one class,
-so copies meet once. Within a bucket only links to one centre are verified first;
-then, for buckets that still hold several components, every pair between a member
-outside the bucket's largest component and the members of other components. Every
-pair of a bucket thus is verified or already connected, without all pairs. The
+so copies meet once. Shingles that no other text in a bucket has can be common to
+no pair; texts with too many of them are out, exactly. Within a bucket only links
+to one drawn centre are verified first, twice; then, for buckets that still hold
+several components, every pair between a member outside the bucket's largest
+component and the members of other components. Every pair of a bucket thus is
+verified, ruled out by counts or already connected, without all pairs. The
 verification compares full shingle sets.
 
 A link at similarity 0.85 is missed by all 32 bands of 4 rows with a probability
@@ -37,6 +39,7 @@ from .graph import components
 
 BANDS, ROWS = 32, 4
 SIZE = BANDS * ROWS
+STAR_ROUNDS = 2
 _BITS = 52
 _LOW = np.uint64((1 << _BITS) - 1)
 _SEEDS = np.arange(2 * SIZE + 1, dtype=np.uint64) * np.uint64(0xA24BAED4963EE407)
@@ -167,6 +170,47 @@ def _verified(pairs: DataFrame, sets: DataFrame, share: int) -> DataFrame:
     return both.where(100 * common >= share * (F.col("n_a") + F.col("n_b") - common)).select("a", "b")
 
 
+def _own_shingles(sets: DataFrame) -> DataFrame:
+    """(cls, own): how many shingles of a class no other class of ``sets`` has."""
+    once = sets.select("cls", F.explode("s").alias("g")).groupBy("g").agg(F.count("*").alias("classes"), F.min("cls").alias("cls")).where("classes = 1")
+    return once.groupBy("cls").agg(F.count("*").alias("own"))
+
+
+def _may_link(a: str, b: str, share: int):
+    """Whether sizes and own shingles allow a link: none of a set's own shingles is common."""
+    n = [F.col(f"n_{x}") for x in (a, b)]
+    common = F.least(*[F.col(f"n_{x}") - F.col(f"own_{x}") for x in (a, b)])
+    return 100 * common >= share * (n[0] + n[1] - common)
+
+
+def _labelled(members: DataFrame, labels: DataFrame | None) -> DataFrame:
+    if labels is None:
+        return members.withColumn("comp", F.col("cls"))
+    return members.join(labels.withColumnRenamed("node", "cls"), "cls", "left").select("bucket", "cls", "n", "own", F.coalesce("comp", "cls").alias("comp"))
+
+
+def _split(labelled: DataFrame) -> DataFrame:
+    """(bucket, largest) of the buckets that hold several components."""
+    parts = labelled.groupBy("bucket", "comp").agg(F.count("*").alias("m"))
+    return parts.groupBy("bucket").agg(F.count("*").alias("parts"), F.max(F.struct("m", "comp"))["comp"].alias("largest")).where("parts > 1").drop("parts")
+
+
+def _star_pairs(members: DataFrame, labels: DataFrame | None, turn: int, share: int) -> DataFrame:
+    """Pairs (a, b) of a centre of each bucket and its members of other components.
+
+    The centre is a member of the bucket's largest component, drawn by a hash of
+    bucket, class and turn, so that a class meets another centre in each bucket.
+    """
+    labelled = materialize(_labelled(members, labels))
+    split = materialize(_split(labelled))
+    drawn = F.min(F.struct(F.xxhash64("bucket", "cls", F.lit(turn)).alias("h"), F.col("cls"), F.col("n"), F.col("own"), F.col("comp"))).alias("c")
+    first = labelled if labels is None else labelled.join(split, "bucket").where("comp = largest")
+    centres = materialize(first.groupBy("bucket").agg(drawn).select("bucket", F.col("c.cls").alias("a"), F.col("c.n").alias("n_a"), F.col("c.own").alias("own_a"), F.col("c.comp").alias("comp_a")))
+    rest = labelled.select("bucket", F.col("cls").alias("b"), F.col("n").alias("n_b"), F.col("own").alias("own_b"), F.col("comp").alias("comp_b"))
+    met = rest.join(centres, "bucket").where((F.col("comp_a") != F.col("comp_b")) & _may_link("a", "b", share))
+    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = 3, share: int = 85) -> DataFrame:
     """_key, id, n_shingles, component_id and kept of each row of ``docs``.
 
@@ -178,25 +222,28 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         signed.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("rep"), F.min("_key").alias("rep_key"), F.min("n_shingles").alias("n"), F.first("bands").alias("bands"))
     )
     bands = classes.select("cls", "n", F.explode("bands").alias("bucket"))
-    shared = materialize(bands.groupBy("bucket").agg(F.count("*").alias("m"), F.min("cls").alias("centre")).where("m > 1"))
-    members = materialize(bands.join(shared, "bucket").select("bucket", "centre", "cls", "n"))
-    nodes = members.select("cls").distinct().join(classes.select("cls", "rep_key", "n"), "cls")
+    shared = materialize(bands.groupBy("bucket").agg(F.count("*").alias("m")).where("m > 1").select("bucket"))
+    met = materialize(bands.join(shared, "bucket").select("bucket", "cls", "n"))
+    nodes = met.select("cls").distinct().join(classes.select("cls", "rep_key", "n"), "cls")
     sets = materialize(_sets(docs, materialize(nodes), doc_id, text, k))
-
-    fits = lambda x, y: (100 * F.least(x, y) >= share * F.greatest(x, y))  # noqa: E731  sizes too far apart can't link
-    size = classes.select(F.col("cls").alias("centre"), F.col("n").alias("n_centre"))
-    star = members.where("cls <> centre").select(F.col("centre"), "cls", "n").distinct().join(size, "centre").where(fits(F.col("n"), F.col("n_centre"))).select(F.col("centre").alias("a"), F.col("cls").alias("b"))
-    links = materialize(_verified(star, sets, share))
-    labels = components(links)
-
-    labelled = materialize(members.join(labels.withColumnRenamed("node", "cls"), "cls", "left").select("bucket", "cls", "n", F.coalesce("comp", "cls").alias("comp")))
-    parts = labelled.groupBy("bucket", "comp").agg(F.count("*").alias("m"))
-    split = materialize(parts.groupBy("bucket").agg(F.count("*").alias("parts"), F.max(F.struct("m", "comp"))["comp"].alias("largest")).where("parts > 1").drop("parts"))
+    own = _own_shingles(sets)
+    members = materialize(met.join(own, "cls", "left").select("bucket", "cls", "n", F.coalesce("own", F.lit(0)).alias("own")).where(100 * (F.col("n") - F.col("own")) >= share * F.col("n")))
+
+    links = labels = None
+    for turn in range(STAR_ROUNDS):
+        pairs = _star_pairs(members, labels, turn, share)
+        more = _verified(pairs, sets, share)
+        links = materialize(more if links is None else links.union(more))
+        labels = components(links)
+
+    labelled = _labelled(members, labels)
+    split = materialize(_split(labelled))
     mixed = materialize(labelled.join(split, "bucket"))
-    minor = mixed.where("comp <> largest").select("bucket", F.col("cls").alias("a"), F.col("n").alias("n_a"), F.col("comp").alias("comp_a"), F.lit(True).alias("minor"))
-    every = mixed.select("bucket", F.col("cls").alias("b"), F.col("n").alias("n_b"), F.col("comp").alias("comp_b"), (F.col("comp") == F.col("largest")).alias("major"))
-    met = minor.join(every, "bucket").where((F.col("comp_a") != F.col("comp_b")) & (F.col("major") | (F.col("a") < F.col("b"))) & fits(F.col("n_a"), F.col("n_b")))
-    cross = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
+    side = lambda s: [F.col("bucket"), F.col("cls").alias(s), F.col("n").alias(f"n_{s}"), F.col("own").alias(f"own_{s}"), F.col("comp").alias(f"comp_{s}")]
+    minor = mixed.where("comp <> largest").select(*side("a"))
+    every = mixed.select(*side("b"), (F.col("comp") == F.col("largest")).alias("major"))
+    cross = minor.join(every, "bucket").where((F.col("comp_a") != F.col("comp_b")) & (F.col("major") | (F.col("a") < F.col("b"))) & _may_link("a", "b", share))
+    cross = cross.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     more = materialize(_verified(cross, sets, share))
     if not more.isEmpty():
         labels = components(links.union(more))
@@ -218,16 +265,17 @@ def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k:
     are further copies: the one with the smallest row key stays. Rows without
     words are in no group and all stay.
     """
-    found = near_duplicates(docs, doc_id, text, k, share)
+    found = materialize(near_duplicates(docs, doc_id, text, k, share))
     kept = found.where(F.col("kept") & (F.col("n_shingles") > 0)).groupBy("component_id").agg(F.min("_key").alias("_key")).select("_key")
     wordless = found.where("n_shingles = 0").select("_key")
     keep = materialize(kept.union(wordless).distinct())
     keyed = docs.withColumn("__key", row_key(doc_id, text))
-    chosen = keyed.join(keep, keyed["__key"] == keep["_key"], "left_semi")
-    copies = chosen.groupBy("__key").agg(F.count("*").alias("n"), F.max(F.trim(F.coalesce(F.col(text), F.lit("")))).alias("t")).where("n > 1 and t <> ''")
-    if copies.isEmpty():
-        return chosen.select(*docs.columns)
-    return chosen.dropDuplicates(["__key"]).select(*docs.columns)
+    chosen = lambda keys: keyed.join(keys, keyed["__key"] == keys["_key"], "left_semi")
+    again = materialize(found.where("n_shingles > 0").groupBy("_key").agg(F.count("*").alias("n")).where("n > 1").select("_key"))
+    if again.isEmpty():
+        return chosen(keep).select(*docs.columns)
+    once = chosen(keep.join(again, "_key", "left_anti"))
+    return once.union(chosen(keep.join(again, "_key", "left_semi")).dropDuplicates(["__key"])).select(*docs.columns)
 
 
 def query(spark, sf_dir: str) -> DataFrame:
