@@ -81,6 +81,23 @@ class PackedFilter:
         return np.unpackbits(self.packed).astype(bool)
 
 
+def maybe_member(key, cells: np.ndarray):
+    """Whether a 64-bit key may be among those of ``member_filter``, as a built-in expression
+    over a literal of fixed size; false means it is not."""
+    bitmap = F.lit(bytearray(np.packbits(cells, bitorder="little").tobytes()))
+    cell = key.bitwiseAND(F.lit(len(cells) - 1))
+    byte = F.conv(F.hex(F.substring(bitmap, F.shiftright(cell, 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return F.call_function("getbit", byte, cell.bitwiseAND(F.lit(7)).cast("int")) == 1
+
+
+def without(df: DataFrame, key, gone: DataFrame) -> DataFrame:
+    """The rows of ``df`` whose key is not in ``gone`` (one column). Only rows that may be in it are shuffled."""
+    name = gone.columns[0]
+    maybe = maybe_member(key, member_filter(gone, name))
+    other = gone.select(F.col(name).alias("__gone")).distinct()
+    return df.where(~maybe).union(df.where(maybe).join(other, key == F.col("__gone"), "left_anti"))
+
+
 # --------------------------------------------------------------- bytes to words
 
 #: Words of op1: runs of ASCII digits, letters and every byte of a non-ASCII character.

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import ALNUM, PackedFilter, Words, materialize, member_filter, row_key, slices, text_bytes, winnow
+from ._common import ALNUM, PackedFilter, Words, materialize, member_filter, row_key, slices, text_bytes, winnow, without
 
 SPAN = 10
 K = 5
@@ -188,9 +188,7 @@ def contamination(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", tex
 def decontaminate(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", most_hit: float = 0.0, **names) -> DataFrame:
     """``docs`` without the rows of which more than ``most_hit`` of the words are hit."""
     found = contamination(docs, items, doc_id, text, **names).where(F.col("n_hit") > most_hit * F.col("n_words")).select("_key").distinct()
-    columns = [F.col(c) for c in docs.columns]
-    keyed = docs.select(*columns, row_key(doc_id, text).alias("__key"))
-    return keyed.join(found, keyed["__key"] == found["_key"], "left_anti").select(*docs.columns)
+    return without(docs, row_key(doc_id, text), materialize(found))
 
 
 def query(spark, sf_dir: str) -> DataFrame:

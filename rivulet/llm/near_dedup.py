@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import NONSPACE, PackedFilter, Words, long_list, materialize, member_filter, mix, row_key, slices, text_bytes
+from ._common import NONSPACE, PackedFilter, Words, long_list, materialize, member_filter, mix, row_key, slices, text_bytes, without
 from .graph import components
 
 BANDS, ROWS = 32, 4
@@ -266,16 +266,16 @@ def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k:
     words are in no group and all stay.
     """
     found = materialize(near_duplicates(docs, doc_id, text, k, share))
-    kept = found.where(F.col("kept") & (F.col("n_shingles") > 0)).groupBy("component_id").agg(F.min("_key").alias("_key")).select("_key")
-    wordless = found.where("n_shingles = 0").select("_key")
-    keep = materialize(kept.union(wordless).distinct())
-    keyed = docs.withColumn("__key", row_key(doc_id, text))
-    chosen = lambda keys: keyed.join(keys, keyed["__key"] == keys["_key"], "left_semi")
-    again = materialize(found.where("n_shingles > 0").groupBy("_key").agg(F.count("*").alias("n")).where("n > 1").select("_key"))
-    if again.isEmpty():
-        return chosen(keep).select(*docs.columns)
-    once = chosen(keep.join(again, "_key", "left_anti"))
-    return once.union(chosen(keep.join(again, "_key", "left_semi")).dropDuplicates(["__key"])).select(*docs.columns)
+    worded = found.where("n_shingles > 0")
+    kept = worded.where("kept").groupBy("component_id").agg(F.min("_key").alias("_key"), F.count("*").alias("n"))
+    gone = materialize(worded.select("_key").distinct().join(kept.select("_key"), "_key", "left_anti"))
+    left = without(docs, row_key(doc_id, text), gone)
+    copies = materialize(worded.groupBy("_key").agg(F.count("*").alias("n")).where("n > 1").select("_key"))
+    if copies.isEmpty():
+        return left.select(*docs.columns)
+    keyed = left.withColumn("__key", row_key(doc_id, text))
+    again = keyed.join(copies, keyed["__key"] == copies["_key"], "left_semi").dropDuplicates(["__key"])
+    return without(left, row_key(doc_id, text), copies).union(again.select(*docs.columns))
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -10,6 +10,7 @@ MODULES = {
     "op3_warc": "warc",
     "op5_topk": "topk",
     "op6_toxicity": "toxicity",
+    "op7_sentencepiece": "sentencepieces",
     "op8_near_dedup": "near_dedup",
     "op9_language": "language",
     "op10_quality": "quality",
