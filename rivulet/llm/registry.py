@@ -7,6 +7,7 @@ from importlib import import_module
 #: Query name -> module whose ``query`` applies the operator to its whole table.
 MODULES = {
     "op1_decontaminate": "decontaminate",
+    "op2_substring_dedup": "substring_dedup",
     "op3_warc": "warc",
     "op5_topk": "topk",
     "op6_toxicity": "toxicity",
