@@ -9,6 +9,7 @@ MODULES = {
     "op1_decontaminate": "decontaminate",
     "op2_substring_dedup": "substring_dedup",
     "op3_warc": "warc",
+    "op4_extract": "extract",
     "op5_topk": "topk",
     "op6_toxicity": "toxicity",
     "op7_sentencepiece": "sentencepieces",
