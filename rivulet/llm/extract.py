@@ -141,6 +141,8 @@ class Page:
                 if depth_of.get(tag):
                     if tag in BLOCKS:
                         flush()
+                    elif next(t for t, _ in reversed(stack) if t == tag or t in BLOCKS) != tag:
+                        continue  # the end of an inline element closes no block
                     while stack[-1][0] != tag:
                         pop()
                     pop()
