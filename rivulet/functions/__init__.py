@@ -1 +1 @@
-
+"""Column functions and schemas."""

@@ -1 +1 @@
-
+"""Operators over batch or streaming DataFrames."""

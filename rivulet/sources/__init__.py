@@ -1 +1 @@
-
+"""Readers and generators."""

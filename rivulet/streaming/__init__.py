@@ -1 +1 @@
-
+"""What only streaming needs: runners and stateful processors."""
