@@ -9,13 +9,13 @@ averages over the whole set, the estimate is concentrated as that of independent
 MinHashes, at the cost of about one hash a shingle for texts of ordinary size.
 
 Bands of rows meet in a shuffle. Texts with the same shingle set are one class,
-so copies meet once. Shingles that no other text in a bucket has can be common to
-no pair; texts with too many of them are out, exactly. Within a bucket only links
-to one drawn centre are verified first, twice; then, for buckets that still hold
-several components, every pair between a member outside the bucket's largest
-component and the members of other components. Every pair of a bucket thus is
-verified, ruled out by counts or already connected, without all pairs. The
-verification compares full shingle sets.
+so copies meet once. Within a bucket only links to one drawn centre are verified
+first; then, for buckets that still hold several components, every pair between a
+member outside the bucket's largest component and the members of other components,
+unless bitmaps of the two sets show that too many shingles are not common: each bit
+set in one and not in the other stands for at least one such shingle. Every pair of a
+bucket thus is verified, ruled out exactly or already connected, without all pairs.
+The verification compares full shingle sets.
 
 A link at similarity 0.85 is missed by all 32 bands of 4 rows with a probability
 of 6e-11 (at 0.8: 5e-8).
@@ -35,11 +35,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._common import NONSPACE, PackedFilter, Words, long_list, materialize, member_filter, mix, row_key, slices, text_bytes, without
-from .graph import components
+from .graph import components, merged
 
 BANDS, ROWS = 32, 4
 SIZE = BANDS * ROWS
-STAR_ROUNDS = 2
+BITMAP_WORDS = 16  # of 64 bits each
 _BITS = 52
 _LOW = np.uint64((1 << _BITS) - 1)
 _SEEDS = np.arange(2 * SIZE + 1, dtype=np.uint64) * np.uint64(0xA24BAED4963EE407)
@@ -141,8 +141,16 @@ def signatures(docs: DataFrame, doc_id: str, text: str, k: int) -> DataFrame:
     return source.mapInArrow(sign, f"_key bigint, doc_id {key_type}, n_shingles bigint, cls bigint, bands array<bigint>")
 
 
+def bitmaps(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """A bitmap of each set, ``BITMAP_WORDS`` words a row: the bit of each shingle's hash."""
+    n = len(offsets) - 1
+    bits = np.zeros((n, 64 * BITMAP_WORDS), dtype=bool)
+    bits[np.repeat(np.arange(n), np.diff(offsets)), (values & np.uint64(64 * BITMAP_WORDS - 1)).astype(np.int64)] = True
+    return np.packbits(bits, axis=1, bitorder="little").view("<i8")
+
+
 def _sets(docs: DataFrame, nodes: DataFrame, doc_id: str, text: str, k: int) -> DataFrame:
-    """(cls, n, s) of the classes in ``nodes`` (cls, rep_key, n), from the representative's text."""
+    """(cls, n, s, bits) of the classes in ``nodes`` (cls, rep_key, n), from the representative's text."""
     member = PackedFilter(member_filter(nodes, "rep_key"))
 
     def collect(batches):
@@ -156,10 +164,11 @@ def _sets(docs: DataFrame, nodes: DataFrame, doc_id: str, text: str, k: int) ->
             data, offsets = text_bytes(batch.column(1))
             for a, b in _slices(offsets):
                 values, own = shingle_sets(Words(data, offsets[a : b + 1], NONSPACE), k)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), long_list(values, own)], names=["rep_key", "s"])
+                bits = long_list(bitmaps(values, own).ravel(), np.arange(b - a + 1) * BITMAP_WORDS)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), long_list(values, own), bits], names=["rep_key", "s", "bits"])
 
-    found = docs.select(row_key(doc_id, text).alias("rep_key"), F.col(text).cast("string").alias("text")).mapInArrow(collect, "rep_key bigint, s array<bigint>")
-    return found.join(nodes, "rep_key").select("cls", "n", "s")
+    found = docs.select(row_key(doc_id, text).alias("rep_key"), F.col(text).cast("string").alias("text")).mapInArrow(collect, "rep_key bigint, s array<bigint>, bits array<bigint>")
+    return found.join(nodes, "rep_key").select("cls", "n", "s", "bits")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, share: int) -> DataFrame:
@@ -170,45 +179,16 @@ def _verified(pairs: DataFrame, sets: DataFrame, share: int) -> DataFrame:
     return both.where(100 * common >= share * (F.col("n_a") + F.col("n_b") - common)).select("a", "b")
 
 
-def _own_shingles(sets: DataFrame) -> DataFrame:
-    """(cls, own): how many shingles of a class no other class of ``sets`` has."""
-    once = sets.select("cls", F.explode("s").alias("g")).groupBy("g").agg(F.count("*").alias("classes"), F.min("cls").alias("cls")).where("classes = 1")
-    return once.groupBy("cls").agg(F.count("*").alias("own"))
-
-
-def _may_link(a: str, b: str, share: int):
-    """Whether sizes and own shingles allow a link: none of a set's own shingles is common."""
-    n = [F.col(f"n_{x}") for x in (a, b)]
-    common = F.least(*[F.col(f"n_{x}") - F.col(f"own_{x}") for x in (a, b)])
-    return 100 * common >= share * (n[0] + n[1] - common)
-
-
-def _labelled(members: DataFrame, labels: DataFrame | None) -> DataFrame:
-    if labels is None:
-        return members.withColumn("comp", F.col("cls"))
-    return members.join(labels.withColumnRenamed("node", "cls"), "cls", "left").select("bucket", "cls", "n", "own", F.coalesce("comp", "cls").alias("comp"))
+def _may_link(share: int):
+    """Whether the bitmaps and sizes of sets a and b (n_a, a0, a1, ..., n_b, b0, ...) allow a link."""
+    beyond = lambda x, y: sum((F.bit_count(F.col(f"{x}{i}").bitwiseAND(F.bitwise_not(F.col(f"{y}{i}")))) for i in range(BITMAP_WORDS)), F.lit(0))
+    common = F.least(F.col("n_a") - beyond("a", "b"), F.col("n_b") - beyond("b", "a"))
+    return 100 * common >= share * (F.col("n_a") + F.col("n_b") - common)
 
 
-def _split(labelled: DataFrame) -> DataFrame:
-    """(bucket, largest) of the buckets that hold several components."""
-    parts = labelled.groupBy("bucket", "comp").agg(F.count("*").alias("m"))
-    return parts.groupBy("bucket").agg(F.count("*").alias("parts"), F.max(F.struct("m", "comp"))["comp"].alias("largest")).where("parts > 1").drop("parts")
-
-
-def _star_pairs(members: DataFrame, labels: DataFrame | None, turn: int, share: int) -> DataFrame:
-    """Pairs (a, b) of a centre of each bucket and its members of other components.
-
-    The centre is a member of the bucket's largest component, drawn by a hash of
-    bucket, class and turn, so that a class meets another centre in each bucket.
-    """
-    labelled = materialize(_labelled(members, labels))
-    split = materialize(_split(labelled))
-    drawn = F.min(F.struct(F.xxhash64("bucket", "cls", F.lit(turn)).alias("h"), F.col("cls"), F.col("n"), F.col("own"), F.col("comp"))).alias("c")
-    first = labelled if labels is None else labelled.join(split, "bucket").where("comp = largest")
-    centres = materialize(first.groupBy("bucket").agg(drawn).select("bucket", F.col("c.cls").alias("a"), F.col("c.n").alias("n_a"), F.col("c.own").alias("own_a"), F.col("c.comp").alias("comp_a")))
-    rest = labelled.select("bucket", F.col("cls").alias("b"), F.col("n").alias("n_b"), F.col("own").alias("own_b"), F.col("comp").alias("comp_b"))
-    met = rest.join(centres, "bucket").where((F.col("comp_a") != F.col("comp_b")) & _may_link("a", "b", share))
-    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+def _fits(share: int):
+    """Whether the sizes alone allow a link."""
+    return 100 * F.least("n_a", "n_b") >= share * F.greatest("n_a", "n_b")
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = 3, share: int = 85) -> DataFrame:
@@ -226,27 +206,26 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     met = materialize(bands.join(shared, "bucket").select("bucket", "cls", "n"))
     nodes = met.select("cls").distinct().join(classes.select("cls", "rep_key", "n"), "cls")
     sets = materialize(_sets(docs, materialize(nodes), doc_id, text, k))
-    own = _own_shingles(sets)
-    members = materialize(met.join(own, "cls", "left").select("bucket", "cls", "n", F.coalesce("own", F.lit(0)).alias("own")).where(100 * (F.col("n") - F.col("own")) >= share * F.col("n")))
-
-    links = labels = None
-    for turn in range(STAR_ROUNDS):
-        pairs = _star_pairs(members, labels, turn, share)
-        more = _verified(pairs, sets, share)
-        links = materialize(more if links is None else links.union(more))
-        labels = components(links)
-
-    labelled = _labelled(members, labels)
-    split = materialize(_split(labelled))
-    mixed = materialize(labelled.join(split, "bucket"))
-    side = lambda s: [F.col("bucket"), F.col("cls").alias(s), F.col("n").alias(f"n_{s}"), F.col("own").alias(f"own_{s}"), F.col("comp").alias(f"comp_{s}")]
+    # A centre is drawn for each bucket by a hash of bucket and class, so a class meets another one in each.
+    drawn = F.min(F.struct(F.xxhash64("bucket", "cls").alias("h"), F.col("cls"), F.col("n")))
+    centres = materialize(met.groupBy("bucket").agg(drawn.alias("c")).select("bucket", F.col("c.cls").alias("a"), F.col("c.n").alias("n_a")))
+    star = met.select("bucket", F.col("cls").alias("b"), F.col("n").alias("n_b")).join(centres, "bucket").where(F.col("a") != F.col("b")).where(_fits(share))
+    pair = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")]
+    links = materialize(_verified(star.select(*pair).distinct(), sets, share))
+    labels = components(links)
+
+    labelled = materialize(met.join(labels.withColumnRenamed("node", "cls"), "cls", "left").select("bucket", "cls", "n", F.coalesce("comp", "cls").alias("comp")))
+    parts = labelled.groupBy("bucket", "comp").agg(F.count("*").alias("m"))
+    split = materialize(parts.groupBy("bucket").agg(F.count("*").alias("parts"), F.max(F.struct("m", "comp"))["comp"].alias("largest")).where("parts > 1").drop("parts"))
+    bits = sets.select("cls", *[F.col("bits")[i].alias(f"w{i}") for i in range(BITMAP_WORDS)])
+    mixed = materialize(labelled.join(split, "bucket").join(bits, "cls"))
+    side = lambda x: [F.col("bucket"), F.col("cls").alias(x), F.col("n").alias(f"n_{x}"), F.col("comp").alias(f"comp_{x}"), *[F.col(f"w{i}").alias(f"{x}{i}") for i in range(BITMAP_WORDS)]]
     minor = mixed.where("comp <> largest").select(*side("a"))
     every = mixed.select(*side("b"), (F.col("comp") == F.col("largest")).alias("major"))
-    cross = minor.join(every, "bucket").where((F.col("comp_a") != F.col("comp_b")) & (F.col("major") | (F.col("a") < F.col("b"))) & _may_link("a", "b", share))
-    cross = cross.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    more = materialize(_verified(cross, sets, share))
+    cross = minor.join(every, "bucket").where((F.col("comp_a") != F.col("comp_b")) & (F.col("major") | (F.col("a") < F.col("b"))) & _fits(share) & _may_link(share))
+    more = materialize(_verified(cross.select(*pair).distinct(), sets, share))
     if not more.isEmpty():
-        labels = components(links.union(more))
+        labels = merged(labels, more)
 
     linked = labels.withColumnRenamed("node", "cls").join(classes.select("cls", "rep"), "cls")
     names = materialize(linked.groupBy("comp").agg(F.min("rep").alias("name")))
