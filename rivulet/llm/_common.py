@@ -81,21 +81,29 @@ class PackedFilter:
         return np.unpackbits(self.packed).astype(bool)
 
 
-def maybe_member(key, cells: np.ndarray):
-    """Whether a 64-bit key may be among those of ``member_filter``, as a built-in expression
-    over a literal of fixed size; false means it is not."""
-    bitmap = F.lit(bytearray(np.packbits(cells, bitorder="little").tobytes()))
-    cell = key.bitwiseAND(F.lit(len(cells) - 1))
-    byte = F.conv(F.hex(F.substring(bitmap, F.shiftright(cell, 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    return F.call_function("getbit", byte, cell.bitwiseAND(F.lit(7)).cast("int")) == 1
+def maybe_members(df: DataFrame, key, members: DataFrame, bits: int = FILTER_BITS) -> DataFrame:
+    """``df`` with __maybe: false only for rows whose 64-bit key is not in ``members`` (one column).
+
+    The same filter as ``member_filter``, as a table of at most ``2**bits / 32`` rows, which
+    is what bounds its broadcast; nothing of ``df`` is shuffled.
+    """
+    name = members.columns[0]
+    cell = F.col(name).bitwiseAND(F.lit((1 << bits) - 1))
+    words = members.where(F.col(name).isNotNull()).select(F.shiftright(cell, 5).alias("__w"), F.expr(f"shiftleft(1L, cast(`{name}` & 31L as int))").alias("__b"))
+    table_ = materialize(words.groupBy("__w").agg(F.bit_or("__b").alias("__b")))
+    celled = df.withColumn("__cell", key.bitwiseAND(F.lit((1 << bits) - 1)))
+    joined = celled.join(F.broadcast(table_), F.shiftright("__cell", 5) == F.col("__w"), "left")
+    hit = F.call_function("getbit", F.coalesce("__b", F.lit(0)), F.col("__cell").bitwiseAND(F.lit(31)).cast("int")) == 1
+    return joined.withColumn("__maybe", hit).drop("__cell", "__w", "__b")
 
 
 def without(df: DataFrame, key, gone: DataFrame) -> DataFrame:
     """The rows of ``df`` whose key is not in ``gone`` (one column). Only rows that may be in it are shuffled."""
     name = gone.columns[0]
-    maybe = maybe_member(key, member_filter(gone, name))
+    marked = maybe_members(df, key, gone)
     other = gone.select(F.col(name).alias("__gone")).distinct()
-    return df.where(~maybe).union(df.where(maybe).join(other, key == F.col("__gone"), "left_anti"))
+    rest = marked.where("__maybe").join(other, key == F.col("__gone"), "left_anti")
+    return marked.where("not __maybe").union(rest).drop("__maybe")
 
 
 # --------------------------------------------------------------- bytes to words
