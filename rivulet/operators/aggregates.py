@@ -10,8 +10,6 @@ from pyspark.sql import functions as F
 from ..functions.columns import guarded_divide
 from .windows import tumbling
 
-LATEST = 0
-
 
 def vehicle_metrics(events: DataFrame, key: str = "vehicle_id", time: str = "event_time", temperature: str = "temperature", vibration: str = "vibration", mileage: str = "mileage", size: str = "60 seconds") -> DataFrame:
     """Per key and window: latest time, highest temperature and vibration, and the mean mileage

@@ -9,10 +9,6 @@ from pyspark.sql import functions as F
 
 from .windows import tumbling, watermark
 
-#: A lookup table of at most so many bytes, by Catalyst's own estimate, is broadcast; others are shuffled.
-MOST_BROADCAST = 64 * 1024 * 1024
-
-
 def windowed_left_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_time: str, right_time: str, size: str = "60 seconds", lateness: str = "0 seconds") -> DataFrame:
     """Left outer join of rows with equal keys in the same tumbling window.
 
@@ -32,22 +28,16 @@ def windowed_left_join(left: DataFrame, right: DataFrame, keys: Sequence[str], l
     return a.join(other, same, "left").drop(*names.values())
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """What Catalyst estimates for the optimised plan."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-
-
-def enrich(events: DataFrame, dimension: DataFrame, key: str, dimension_key: str | None = None, keep_misses: bool = True, columns: Sequence[str] | None = None, most_broadcast: int = MOST_BROADCAST) -> DataFrame:
+def enrich(events: DataFrame, dimension: DataFrame, key: str, dimension_key: str | None = None, keep_misses: bool = True, columns: Sequence[str] | None = None) -> DataFrame:
     """Events with the dimension's columns and enrichment_miss, by point lookup on ``key``.
 
-    The dimension has one row a key. It is broadcast only if its estimated size is below
-    ``most_broadcast``; otherwise Catalyst shuffles both sides. Without ``keep_misses``
-    events without a row go, and so does the flag.
+    The dimension has one row a key. No hint is given: Catalyst broadcasts it if its size
+    is below the session's threshold and shuffles both sides otherwise. Without
+    ``keep_misses`` events without a row go, and so does the flag.
     """
     other = dimension_key or key
     names = [c for c in (columns or dimension.columns) if c != other]
     side = dimension.select(F.col(other).alias("__key"), *names, F.lit(False).alias("enrichment_miss"))
-    side = F.broadcast(side) if estimated_bytes(side) <= most_broadcast else side
     joined = events.join(side, F.col(key) == F.col("__key"), "left" if keep_misses else "inner").drop("__key")
     return joined.withColumn("enrichment_miss", F.coalesce("enrichment_miss", F.lit(True))) if keep_misses else joined.drop("enrichment_miss")
 

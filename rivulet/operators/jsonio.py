@@ -64,8 +64,9 @@ def _coerce(text: Column, kind: T.DataType) -> Column:
 
 def sanitize(text: Column, schema: T.StructType) -> Column:
     """A struct of only the schema's fields, in its order, coerced; null if ``text`` is no object."""
-    raw = F.from_json(text, _shadow(schema))
-    return F.when(is_object(text), _coerce(raw, schema))
+    raw = F.when(is_object(text), F.from_json(text, _shadow(schema)))
+    # Bound to a lambda's variable, the parsed text is made once and not once for each field.
+    return F.transform(F.array(raw), lambda r: _coerce(r, schema))[0]
 
 
 def sanitize_json(text: Column, schema: T.StructType) -> Column:
@@ -76,7 +77,8 @@ def sanitize_json(text: Column, schema: T.StructType) -> Column:
 def parse_typed(df: DataFrame, schema: T.StructType, value: str = "value", timestamp: str = "publish_time") -> ParseOutput:
     """Typed rows of the messages, and (input_data, error_message, timestamp) of the bad ones."""
     text = F.col(value).cast("string")
-    row = df.withColumn("__row", sanitize(text, schema))
+    # The generator keeps the optimiser from copying the parse into every use of its fields.
+    row = df.withColumn("__row", F.explode(F.array(sanitize(text, schema))))
     missing = [F.when(F.col(f"__row.`{f.name}`").isNull(), F.lit(f.name)) for f in schema.fields if not f.nullable]
     bad = F.array_compact(F.array(*missing)) if missing else F.array().cast("array<string>")
     error = F.when(F.col("__row").isNull(), F.lit("not a JSON object")).when(F.size(bad) > 0, F.concat(F.lit("missing or malformed: "), F.array_join(bad, ",")))

@@ -1,11 +1,417 @@
-"""Every query of the library on the driver's tables, and its SQL."""
+"""Every query of the library on the driver's tables, and its SQL.
+
+Times leave as text in both, so that engines with and without zones compare equal.
+"""
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..functions.columns import prediction_text, row_json
+from ..functions.schemas import TAXI_EVENT
+from ..operators import aggregates, inference, joins, jsonio, sinks, windows
+from ..sources import synthetic
+from . import cdp, etl, iot
+
+MICROS = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+AS_OF = "2024-06-30"
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def _time(name: str):
+    return F.date_format(name, MICROS).alias(name)
+
+
+# ----------------------------------------------------------------------- vehicles
+
+
+def _vehicle_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events table in the shape of vehicle events."""
+    return _table(spark, sf_dir, "events").select(
+        F.col("user_id").cast("string").alias("vehicle_id"),
+        F.col("ts").alias("event_time"),
+        F.get_json_object("props", "$.k").try_cast("int").alias("temperature"),
+        F.col("value").alias("vibration"),
+        F.col("event_id").alias("mileage"),
+    )
+
+
+def _metrics(spark: SparkSession, sf_dir: str, size: str) -> DataFrame:
+    return aggregates.vehicle_metrics(_vehicle_events(spark, sf_dir), size=size)
+
+
+def iot_window_metrics(spark: SparkSession, sf_dir: str, size: str = "60 seconds") -> DataFrame:
+    rows = _metrics(spark, sf_dir, size)
+    return rows.select("vehicle_id", F.date_format("window.start", MICROS).alias("window_start"), _time("max_timestamp"), "max_temperature", "max_vibration", "avg_mileage")
+
+
+def iot_window_metrics_1d(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return iot_window_metrics(spark, sf_dir, "1 day")
+
+
+def _dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers in the shape of maintenance records."""
+    return _table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").cast("string").alias("vehicle_id"),
+        F.date_format(F.date_add(F.lit("2024-01-01").cast("date"), F.col("c_nationkey") * 7), "yyyy-MM-dd").alias("last_service_date"),
+        F.col("c_mktsegment").alias("maintenance_type"),
+        F.col("c_name").alias("model"),
+    )
+
+
+def iot_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return iot.enriched(_metrics(spark, sf_dir, "1 day"), _dimension(spark, sf_dir)).withColumn("latest_timestamp", F.date_format("latest_timestamp", MICROS))
+
+
+def maintenance_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = iot.enriched(_metrics(spark, sf_dir, "1 day"), _dimension(spark, sf_dir))
+    flag = inference.needs_maintenance(as_of=AS_OF, hot=75, shaking=250, days=120).cast("bigint")
+    return iot.to_sink(rows.withColumn("needs_maintenance", flag)).withColumn("latest_timestamp", F.date_format("latest_timestamp", MICROS))
+
+
+def enrich_miss(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "lang")
+    labels = _table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max("quality").alias("quality"))
+    return joins.enrich(docs, labels, "doc_id")
+
+
+def frame_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days since the first service date of all vehicles, as the model's feature."""
+    dimension = _dimension(spark, sf_dir)
+    first = aggregates.frame_minimum(dimension, "last_service_date")
+    return dimension.select("vehicle_id", aggregates.offset_days(F.col("last_service_date"), first).alias("service_day"))
+
+
+# ------------------------------------------------------------------ customer data
+
+
+def _cdp_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    events = _table(spark, sf_dir, "events")
+    key = [F.col("user_id").cast("string").alias("transaction_id"), (F.col("user_id") % 7).cast("string").alias("household_key")]
+    left = events.where("event_type = 'purchase'").select(*key, F.col("event_id").cast("string").alias("product_id"), F.get_json_object("props", "$.k").alias("coupon_disc"), F.col("ts").alias("publish_time"))
+    right = events.where("event_type = 'click'").select(*key, F.col("event_id").cast("string").alias("coupon_upc"), F.col("ts").alias("publish_time"))
+    return left, right
+
+
+def cdp_unified(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cdp.unify(*_cdp_sides(spark, sf_dir), cdp.Config(window="1 day"))
+
+
+def cogroup_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left, right = (df.withColumn("day", F.date_format(F.window("publish_time", "1 day")["start"], "yyyy-MM-dd")) for df in _cdp_sides(spark, sf_dir))
+    out = joins.cogroup(left, right, ["transaction_id", "day"], F.col("product_id"), F.col("coupon_upc"), ("products", "coupons"))
+    return out.select("transaction_id", "day", F.array_join("products", ",").alias("products"), F.array_join("coupons", ",").alias("coupons"))
+
+
+def orders_left_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders, lines = _table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus"), _table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
+    return orders.join(lines, orders.o_orderkey == lines.l_orderkey, "left").select("o_orderkey", "o_orderstatus", "l_linenumber", "l_quantity")
+
+
+IDS = [1, 5, 33, 64, 97, 130, 256]
+
+
+def semi_filter_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = joins.in_ids(_table(spark, sf_dir, "lineitem"), "l_orderkey", IDS)
+    orders = _table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"))
+    return joins.in_table(lines, orders, "l_orderkey").select("l_orderkey", "l_linenumber", "l_partkey")
+
+
+# -------------------------------------------------------------------- clickstream
+
+
+def click_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = windows.sessions(_table(spark, sf_dir, "events"), "user_id", "ts", "30 minutes")
+    return out.select("user_id", _time("session_start"), _time("session_end"), "events")
+
+
+def sliding_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    grouped = _table(spark, sf_dir, "events").groupBy(windows.sliding("ts", "2 days", "1 day").alias("w"), "event_type").agg(F.count(F.lit(1)).alias("n"))
+    return grouped.select(F.date_format("w.start", MICROS).alias("window_start"), "event_type", "n")
+
+
+def _raw_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event properties as messages; some cut off, some no object, some too big (200 bytes)."""
+    n = F.col("event_id")
+    text = (
+        F.when(n % 97 == 0, F.concat(F.lit("{bad "), n.cast("string")))
+        .when(n % 89 == 0, F.concat(F.lit('{"k": 1, "pad": "'), F.repeat(F.lit("x"), 200), F.lit('"}')))
+        .when(n % 83 == 0, F.lit("[1, 2]"))
+        .otherwise(F.col("props"))
+    )
+    return jsonio.parse_objects(_table(spark, sf_dir, "events").select("event_id", text.alias("value")), most=200)
+
+
+_RAW_SQL = """raw AS (
+  SELECT event_id, CASE WHEN event_id % 97 = 0 THEN '{bad ' || event_id WHEN event_id % 89 = 0 THEN '{"k": 1, "pad": "' || repeat('x', 200) || '"}'
+    WHEN event_id % 83 = 0 THEN '[1, 2]' ELSE props END AS value FROM events),
+tagged AS (
+  SELECT *, CASE WHEN strlen(value) >= 200 THEN 'TooBigRow' WHEN NOT json_valid(value) OR NOT starts_with(ltrim(value), '{') THEN 'JsonParseError' END AS error_tag FROM raw)"""
+
+
+def json_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    good, _ = jsonio.split_tagged(_raw_clicks(spark, sf_dir))
+    return good.select("event_id", F.from_json("value", "k bigint").getField("k").alias("k"))
+
+
+def json_dead_letter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jsonio.split_tagged(_raw_clicks(spark, sf_dir))[1]
+
+
+def job_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jsonio.counters(_raw_clicks(spark, sf_dir), F.col("event_id") % 50 == 0)
+
+
+def oversize_route(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of 4 KiB or more, with their size in bytes."""
+    docs = _table(spark, sf_dir, "documents")
+    return docs.where(F.octet_length("text") >= 4096).select("doc_id", F.octet_length("text").cast("bigint").alias("bytes"))
+
+
+def _wide_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as text rows for a table of (k int, kind string NOT NULL, value double), some of which don't fit."""
+    n = F.col("event_id")
+    return _table(spark, sf_dir, "events").select(
+        n.cast("string").alias("id"),
+        F.when(n % 11 == 0, "many").when(n % 13 == 0, "3.5").otherwise(F.get_json_object("props", "$.k")).alias("k"),
+        F.when(n % 17 != 0, F.col("event_type")).alias("kind"),
+        F.lit("ignored").alias("unknown"),
+    )
+
+
+_WIDE = T.StructType([T.StructField("id", T.LongType(), False), T.StructField("k", T.IntegerType()), T.StructField("kind", T.StringType(), False), T.StructField("note", T.StringType())])
+
+
+def conform_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sinks.conform(_wide_rows(spark, sf_dir), _WIDE)[0]
+
+
+def deadletter_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rejected = sinks.conform(_wide_rows(spark, sf_dir), _WIDE)[1]
+    attributes = F.array(F.struct(F.lit("source").alias("key"), F.lit("events").alias("value")))
+    letters = sinks.dead_letters(rejected, when=F.lit("2024-01-01 00:00:00").cast("timestamp"), attributes=attributes)
+    return letters.select(F.date_format("timestamp", MICROS).alias("timestamp"), "payloadString", F.hex("payloadBytes").alias("payloadBytes"), F.to_json("attributes").alias("attributes"), "errorMessage")
+
+
+# ------------------------------------------------------------------------- taxis
+
+
+def _taxi_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as taxi messages: numbers quoted, unknown fields, and some bad ones."""
+    n = F.col("event_id")
+    text = F.format_string(
+        '{"extra":{"a":1},"ride_id":"r%d","point_idx":"%s","latitude":%d.25,"longitude":"-%d.5","timestamp":"2024-01-%02dT00:00:00Z","meter_reading":%d,"meter_increment":"0.5","ride_status":"%s","passenger_count":%s}',
+        F.col("user_id"),
+        F.when(n % 101 == 0, "abc").when(n % 107 == 0, "3000000000").otherwise(n.cast("string")),
+        n % 90,
+        n % 180,
+        n % 28 + 1,
+        n % 60,
+        F.col("event_type"),
+        F.when(n % 103 == 0, "null").otherwise((n % 5).cast("string")),
+    )
+    text = F.when(n % 97 == 0, F.concat(F.lit("cut off {"), n.cast("string"))).otherwise(text)
+    return _table(spark, sf_dir, "events").select(text.alias("value"), F.col("ts").alias("publish_time"))
+
+
+_TAXI_SQL = """m AS (
+  SELECT event_id, ts, CASE WHEN event_id % 97 = 0 THEN 'cut off {' || event_id ELSE
+   printf('{"extra":{"a":1},"ride_id":"r%d","point_idx":"%s","latitude":%d.25,"longitude":"-%d.5","timestamp":"2024-01-%02dT00:00:00Z","meter_reading":%d,"meter_increment":"0.5","ride_status":"%s","passenger_count":%s}',
+    user_id, CASE WHEN event_id % 101 = 0 THEN 'abc' WHEN event_id % 107 = 0 THEN '3000000000' ELSE CAST(event_id AS VARCHAR) END, event_id % 90, event_id % 180, event_id % 28 + 1, event_id % 60, event_type,
+    CASE WHEN event_id % 103 = 0 THEN 'null' ELSE CAST(event_id % 5 AS VARCHAR) END) END AS value FROM events),
+o AS (SELECT *, CASE WHEN json_valid(value) THEN value ELSE '{}' END AS j, json_valid(value) AS ok FROM m),
+t AS (SELECT *, j->>'$.ride_id' AS ride_id, TRY_CAST(j->>'$.point_idx' AS INTEGER) AS point_idx, TRY_CAST(j->>'$.latitude' AS DOUBLE) AS latitude, TRY_CAST(j->>'$.longitude' AS DOUBLE) AS longitude,
+  j->>'$.timestamp' AS "timestamp", TRY_CAST(j->>'$.meter_reading' AS DOUBLE) AS meter_reading, TRY_CAST(j->>'$.meter_increment' AS DOUBLE) AS meter_increment, j->>'$.ride_status' AS ride_status, TRY_CAST(j->>'$.passenger_count' AS INTEGER) AS passenger_count FROM o),
+e AS (SELECT *, CASE WHEN NOT ok THEN 'not a JSON object' WHEN point_idx IS NULL AND passenger_count IS NULL THEN 'missing or malformed: point_idx,passenger_count'
+  WHEN point_idx IS NULL THEN 'missing or malformed: point_idx' WHEN passenger_count IS NULL THEN 'missing or malformed: passenger_count' END AS err FROM t)"""
+
+
+def taxi_sanitize(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return etl.build(_taxi_messages(spark, sf_dir)).good
+
+
+def taxi_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return etl.build(_taxi_messages(spark, sf_dir)).errors.withColumn("timestamp", F.date_format("timestamp", MICROS))
+
+
+def taxi_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The taxi table after the upsert of all events, by key the last time."""
+    rows = etl.to_table(etl.build(_taxi_messages(spark, sf_dir)).good)
+    return sinks.upserted(None, rows, ["ride_id", "passenger_count"], ["timestamp", "point_idx"]).withColumn("timestamp", F.date_format("timestamp", MICROS))
+
+
+def sanitized_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sanitised messages as JSON text; what is no object passes unchanged."""
+    rows = _taxi_messages(spark, sf_dir)
+    return rows.select(F.get_json_object(jsonio.sanitize_json(F.col("value"), TAXI_EVENT), "$.ride_id").alias("ride_id"), F.startswith("value", F.lit("cut")).alias("passed")).groupBy("ride_id", "passed").agg(F.count(F.lit(1)).alias("n"))
+
+
+# ---------------------------------------------------------------- keyed tables
+
+
+def upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = _table(spark, sf_dir, "events").select("user_id", "event_type", "ts", "event_id", "value")
+    old, new = events.where("ts < timestamp_ntz '2024-01-15 00:00:00'"), events.where("ts >= timestamp_ntz '2024-01-15 00:00:00'")
+    keys, order = ["user_id", "event_type"], ["ts", "event_id"]
+    return sinks.upserted(sinks.upserted(None, old, keys, order), new, keys, order).withColumn("ts", F.date_format("ts", MICROS))
+
+
+def cdc_replica(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kind = F.when(F.col("event_type") == "error", "DELETE").when(F.col("event_type") == "signup", "INSERT").otherwise("UPDATE")
+    changes = _table(spark, sf_dir, "events").select("user_id", "ts", "event_id", "value", kind.alias("mod_type"))
+    return aggregates.replica(changes, ["user_id"], ["ts", "event_id"]).select("user_id", "event_id", "value")
+
+
+def cell_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = _table(spark, sf_dir, "events").select("user_id", "ts", "event_id", "value")
+    return aggregates.versions(events, ["user_id"], ["ts", "event_id"]).select("user_id", "event_id", "value", "version")
+
+
+# --------------------------------------------------------------------- inference
+
+
+def format_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    talk = _table(spark, sf_dir, "conversations")
+    return talk.select("conv_id", "turn", prediction_text(F.col("text"), F.when(F.col("turn") % 2 == 0, F.col("role"))).alias("value"))
+
+
+def local_inference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    talk = _table(spark, sf_dir, "conversations")
+    return inference.run_inference(talk, inference.TemplateHandler(inference.EchoModel, "echo"), "text")
+
+
+def endpoint_inference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    talk = _table(spark, sf_dir, "conversations").select(row_json(_table(spark, sf_dir, "conversations"), "conv_id", "turn").alias("value"))
+    return inference.run_inference(talk, inference.EndpointHandler(inference.EchoModel, "endpoint"))
+
+
+def _spread_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    day = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("event_id") % 300).cast("int"))
+    base = _table(spark, sf_dir, "events").select(F.col("event_id").cast("string").alias("vehicle_id"), (50 + F.col("event_id") % 50).cast("int").alias("max_temperature"), ((F.col("event_id") % 100) / 100).alias("max_vibration"), F.date_format(day, "yyyy-MM-dd").alias("last_service_date"))
+    return base.withColumn("needs_maintenance", inference.needs_maintenance(as_of=AS_OF))
+
+
+def trained_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Logistic regression learned from the rule, on the rows that it did not see."""
+    model, held = inference.MaintenanceModel.train(_spread_events(spark, sf_dir))
+    return model.predict(held.withColumn("rule", F.col("needs_maintenance").cast("bigint"))).select("vehicle_id", "rule", "needs_maintenance")
+
+
+# -------------------------------------------------------------------- logs, inputs
+
+
+def log_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events posted as logs to a collector that refuses small bodies: outcomes by batch."""
+    lines = _table(spark, sf_dir, "events").select(F.col("props").alias("value"))
+    return sinks.post(lines, lambda body: 200 if len(body) > 60 else 400).select(F.size("events").alias("events"), "bytes", "status", "outcome")
+
+
+def log_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each event as the collector's envelope."""
+    return _table(spark, sf_dir, "events").select("event_id", sinks.envelope(F.col("event_type"), F.col("ts").cast("timestamp")).alias("event"))
+
+
+def delivery_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    status = F.when(F.col("event_id") % 7 == 0, F.lit(None)).otherwise(F.element_at(F.array(*[F.lit(s) for s in (200, 201, 400, 404, 408, 429, 500, 503)]), (F.col("event_id") % 8 + 1).cast("int")))
+    return _table(spark, sf_dir, "events").select(sinks.classify(status).alias("outcome")).groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))
+
+
+def synthetic_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return synthetic.model_samples(spark, 5000)
+
+
+def row_to_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nation = _table(spark, sf_dir, "nation")
+    return nation.select("n_nationkey", row_json(nation, "n_nationkey", "n_name").alias("value"))
+
+
+QUERIES = {f.__name__: f for f in [
+    iot_window_metrics, iot_window_metrics_1d, iot_enriched, maintenance_rule, enrich_miss, frame_offsets, cdp_unified, cogroup_lists, orders_left_lineitem, semi_filter_ids, click_sessions,
+    sliding_counts, json_rows, json_dead_letter, job_counters, oversize_route, conform_sink, deadletter_records, taxi_sanitize, taxi_errors, taxi_table, sanitized_json, upsert_latest, cdc_replica,
+    cell_versions, format_predictions, local_inference, endpoint_inference, trained_model, log_batches, log_events, delivery_outcomes, synthetic_samples, row_to_json,
+]}
+
 
 def queries() -> dict:
-    return {}
+    return dict(QUERIES)
+
+
+_FMT = "'%Y-%m-%d %H:%M:%S.%f'"
+_VEHICLES = "v AS (SELECT CAST(user_id AS VARCHAR) AS vehicle_id, ts, TRY_CAST(props->>'$.k' AS INTEGER) AS k, value, event_id FROM events)"
+
+
+def _metrics_sql(size: str) -> str:
+    return f"""{_VEHICLES}, w AS (
+  SELECT vehicle_id, time_bucket(INTERVAL '{size}', ts, TIMESTAMP '1970-01-01') AS ws, max(ts) AS mt, max(CAST(k AS DOUBLE)) AS max_temperature, max(CAST(value AS DOUBLE)) AS max_vibration,
+    CAST(trunc(avg(event_id)) AS BIGINT) AS avg_mileage FROM v GROUP BY 1, 2)"""
+
+
+def _window_sql(size: str) -> str:
+    return f"WITH {_metrics_sql(size)} SELECT vehicle_id, strftime(ws, {_FMT}) AS window_start, strftime(mt, {_FMT}) AS max_timestamp, max_temperature, max_vibration, avg_mileage FROM w"
+
+
+_ENRICHED = f"""{_metrics_sql('1 day')}, d AS (
+  SELECT CAST(c_custkey AS VARCHAR) AS vehicle_id, strftime(DATE '2024-01-01' + CAST(c_nationkey * 7 AS INTEGER), '%Y-%m-%d') AS last_service_date, c_mktsegment AS maintenance_type, c_name AS model FROM customer),
+en AS (SELECT w.vehicle_id, max_temperature, max_vibration, strftime(mt, {_FMT}) AS latest_timestamp, avg_mileage, last_service_date, maintenance_type, model FROM w JOIN d USING (vehicle_id))"""
+_DRAW = "(((n + {s}) * 1103515245 + 12345) % 2147483648 // 65536) % {b}"
+_WIDE_SQL = """wide AS (
+  SELECT CAST(event_id AS VARCHAR) AS id, CASE WHEN event_id % 11 = 0 THEN 'many' WHEN event_id % 13 = 0 THEN '3.5' ELSE props->>'$.k' END AS k,
+    CASE WHEN event_id % 17 <> 0 THEN event_type END AS kind FROM events),
+fit AS (SELECT *, concat_ws('; ', CASE WHEN k IS NOT NULL AND NOT regexp_matches(k, '^[+-]?[0-9]+$') THEN 'k: not int' END, CASE WHEN kind IS NULL THEN 'kind: null' END) AS err FROM wide)"""
+_TAXI_COLUMNS = 'ride_id, point_idx, latitude, longitude, "timestamp", meter_reading, meter_increment, ride_status, passenger_count'
+
+ORACLE = {
+    "iot_window_metrics": _window_sql("60 seconds"),
+    "iot_window_metrics_1d": _window_sql("1 day"),
+    "iot_enriched": f"WITH {_ENRICHED} SELECT * FROM en",
+    "maintenance_rule": f"""WITH {_ENRICHED} SELECT vehicle_id, CAST(trunc(max_temperature) AS BIGINT) AS max_temperature, max_vibration, latest_timestamp, last_service_date, maintenance_type, model,
+      CAST(coalesce(max_temperature > 75, false) OR coalesce(max_vibration > 250, false) OR CAST(last_service_date AS DATE) < DATE '{AS_OF}' - 120 AS BIGINT) AS needs_maintenance FROM en""",
+    "enrich_miss": "WITH l AS (SELECT doc_id, max(quality) AS quality FROM labels GROUP BY doc_id) SELECT documents.doc_id, lang, quality, l.doc_id IS NULL AS enrichment_miss FROM documents LEFT JOIN l ON documents.doc_id = l.doc_id",
+    "frame_offsets": "WITH d AS (SELECT CAST(c_custkey AS VARCHAR) AS vehicle_id, c_nationkey * 7 AS day FROM customer) SELECT vehicle_id, CAST(day - (SELECT min(day) FROM d) AS INTEGER) AS service_day FROM d",
+    "cdp_unified": """WITH p AS (SELECT *, date_trunc('day', ts) AS w FROM events WHERE event_type = 'purchase'), c AS (SELECT *, date_trunc('day', ts) AS w FROM events WHERE event_type = 'click')
+      SELECT CAST(p.user_id AS VARCHAR) AS transaction_id, CAST(p.user_id % 7 AS VARCHAR) AS household_key, CAST(c.event_id AS VARCHAR) AS coupon_upc, CAST(p.event_id AS VARCHAR) AS product_id, p.props->>'$.k' AS coupon_discount
+      FROM p LEFT JOIN c ON p.user_id = c.user_id AND p.w = c.w""",
+    "cogroup_lists": """WITH p AS (SELECT CAST(user_id AS VARCHAR) AS u, strftime(ts, '%Y-%m-%d') AS d, string_agg(CAST(event_id AS VARCHAR), ',' ORDER BY CAST(event_id AS VARCHAR)) AS x FROM events WHERE event_type = 'purchase' GROUP BY 1, 2),
+      c AS (SELECT CAST(user_id AS VARCHAR) AS u, strftime(ts, '%Y-%m-%d') AS d, string_agg(CAST(event_id AS VARCHAR), ',' ORDER BY CAST(event_id AS VARCHAR)) AS x FROM events WHERE event_type = 'click' GROUP BY 1, 2)
+      SELECT coalesce(p.u, c.u) AS transaction_id, coalesce(p.d, c.d) AS day, coalesce(p.x, '') AS products, coalesce(c.x, '') AS coupons FROM p FULL JOIN c ON p.u = c.u AND p.d = c.d""",
+    "orders_left_lineitem": "SELECT o_orderkey, o_orderstatus, l_linenumber, l_quantity FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey",
+    "semi_filter_ids": f"SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem WHERE l_orderkey IN ({', '.join(map(str, IDS))}) AND l_orderkey IN (SELECT o_orderkey FROM orders)",
+    "click_sessions": f"""WITH a AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER w > INTERVAL 30 MINUTE OR lag(ts) OVER w IS NULL THEN 1 ELSE 0 END AS new FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
+      s AS (SELECT user_id, ts, sum(new) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS n FROM a)
+      SELECT user_id, strftime(min(ts), {_FMT}) AS session_start, strftime(max(ts) + INTERVAL 30 MINUTE, {_FMT}) AS session_end, count(*) AS events FROM s GROUP BY user_id, n""",
+    "sliding_counts": f"SELECT strftime(date_trunc('day', ts) - to_days(CAST(i AS INTEGER)), {_FMT}) AS window_start, event_type, count(*) AS n FROM events, range(2) r(i) GROUP BY 1, 2",
+    "json_rows": f"WITH {_RAW_SQL} SELECT event_id, CAST(value->>'$.k' AS BIGINT) AS k FROM tagged WHERE error_tag IS NULL",
+    "json_dead_letter": f"WITH {_RAW_SQL} SELECT error_tag, value FROM tagged WHERE error_tag IS NOT NULL",
+    "job_counters": f"""WITH {_RAW_SQL} SELECT count(*) AS pub_sub_messages, count(*) FILTER (error_tag IS NULL AND event_id % 50 <> 0) AS successful_messages, count(*) FILTER (error_tag = 'JsonParseError') AS json_parse_failed_messages,
+      count(*) FILTER (error_tag = 'TooBigRow') AS too_big_messages, count(*) FILTER (error_tag IS NULL AND event_id % 50 = 0) AS failed_insert_messages FROM tagged""",
+    "oversize_route": "SELECT doc_id, CAST(strlen(text) AS BIGINT) AS bytes FROM documents WHERE strlen(text) >= 4096",
+    "conform_sink": f"WITH {_WIDE_SQL} SELECT CAST(id AS BIGINT) AS id, CAST(k AS INTEGER) AS k, kind, CAST(NULL AS VARCHAR) AS note FROM fit WHERE err = ''",
+    "deadletter_records": f"""WITH {_WIDE_SQL}, j AS (SELECT err, '{{"id":"' || id || '","k":' || coalesce('"' || k || '"', 'null') || ',"kind":' || coalesce('"' || kind || '"', 'null') || ',"unknown":"ignored"}}' AS p FROM fit WHERE err <> '')
+      SELECT '2024-01-01 00:00:00.000000' AS "timestamp", p AS payloadString, hex(encode(p)) AS payloadBytes, '[{{"key":"source","value":"events"}}]' AS attributes, err AS errorMessage FROM j""",
+    "taxi_sanitize": f"WITH {_TAXI_SQL} SELECT {_TAXI_COLUMNS} FROM e WHERE err IS NULL",
+    "taxi_errors": f"""WITH {_TAXI_SQL} SELECT value AS input_data, err AS error_message, strftime(ts, {_FMT}) AS "timestamp" FROM e WHERE err IS NOT NULL""",
+    "taxi_table": f"""WITH {_TAXI_SQL}, r AS (SELECT *, row_number() OVER (PARTITION BY ride_id, passenger_count ORDER BY "timestamp" DESC, point_idx DESC) AS rn FROM e WHERE err IS NULL)
+      SELECT ride_id, CAST(point_idx AS BIGINT) AS point_idx, latitude, longitude, strftime(CAST(substr("timestamp", 1, 10) AS TIMESTAMP), {_FMT}) AS "timestamp", meter_reading, meter_increment, ride_status, CAST(passenger_count AS BIGINT) AS passenger_count FROM r WHERE rn = 1""",
+    "sanitized_json": f"WITH {_TAXI_SQL} SELECT ride_id, NOT ok AS passed, count(*) AS n FROM t GROUP BY 1, 2",
+    "upsert_latest": f"SELECT user_id, event_type, strftime(ts, {_FMT}) AS ts, event_id, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn = 1",
+    "cdc_replica": "SELECT user_id, event_id, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn = 1 AND event_type <> 'error'",
+    "cell_versions": "SELECT user_id, event_id, value, CAST(rn AS INTEGER) AS version FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn <= 2",
+    "format_predictions": "SELECT conv_id, turn, 'Input: ' || chr(10) || coalesce(text, '') || ', ' || chr(10) || chr(10) || chr(10) || 'Output: ' || chr(10) || CASE WHEN turn % 2 = 0 THEN coalesce(role, '') ELSE '' END AS value FROM conversations",
+    "endpoint_inference": """WITH v AS (SELECT '{"conv_id":' || conv_id || ',"turn":' || turn || '}' AS x FROM conversations) SELECT x AS example, CAST(length(x) AS VARCHAR) AS inference, 'endpoint' AS model_id FROM v""",
+    "log_events": """SELECT event_id, '{"time":' || epoch_ms(ts) // 1000 || ',"event":"' || event_type || '"}' AS event FROM events""",
+    "delivery_outcomes": """WITH s AS (SELECT CASE WHEN event_id % 7 <> 0 THEN [200, 201, 400, 404, 408, 429, 500, 503][event_id % 8 + 1] END AS st FROM events)
+      SELECT CASE WHEN st BETWEEN 200 AND 299 THEN 'ok' WHEN st IS NULL OR st IN (408, 429) OR st >= 500 THEN 'retry' ELSE 'dead' END AS outcome, count(*) AS n FROM s GROUP BY 1""",
+    "synthetic_samples": f"""WITH r AS (SELECT range AS n FROM range(5000)), s AS (SELECT CAST(n + 1000 AS VARCHAR) AS vehicle_id, CAST(50 + {_DRAW.format(s=8, b=50)} AS INTEGER) AS max_temperature, {_DRAW.format(s=9, b=1000)} / 1000 AS max_vibration,
+      DATE '2025-01-18' - CAST({_DRAW.format(s=10, b=365)} AS INTEGER) AS d FROM r)
+      SELECT vehicle_id, max_temperature, max_vibration, strftime(d, '%Y-%m-%d') AS last_service_date, max_temperature > 75 OR max_vibration > 0.5 OR d < DATE '2025-01-18' - 180 AS needs_maintenance FROM s""",
+    "row_to_json": """SELECT n_nationkey, '{"n_nationkey":' || n_nationkey || ',"n_name":"' || n_name || '"}' AS value FROM nation""",
+}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(ORACLE)
