@@ -403,7 +403,7 @@ ORACLE = {
     "cell_versions": "SELECT user_id, event_id, value, CAST(rn AS INTEGER) AS version FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn <= 2",
     "format_predictions": "SELECT conv_id, turn, 'Input: ' || chr(10) || coalesce(text, '') || ', ' || chr(10) || chr(10) || chr(10) || 'Output: ' || chr(10) || CASE WHEN turn % 2 = 0 THEN coalesce(role, '') ELSE '' END AS value FROM conversations",
     "endpoint_inference": """WITH v AS (SELECT '{"conv_id":' || conv_id || ',"turn":' || turn || '}' AS x FROM conversations) SELECT x AS example, CAST(length(x) AS VARCHAR) AS inference, 'endpoint' AS model_id FROM v""",
-    "log_events": """SELECT event_id, '{"time":' || epoch_ms(ts) // 1000 || ',"event":"' || event_type || '"}' AS event FROM events""",
+    "log_events": """SELECT event_id, '{"time":' || CAST(floor(epoch(ts)) AS BIGINT) || ',"event":"' || event_type || '"}' AS event FROM events""",
     "delivery_outcomes": """WITH s AS (SELECT CASE WHEN event_id % 7 <> 0 THEN [200, 201, 400, 404, 408, 429, 500, 503][event_id % 8 + 1] END AS st FROM events)
       SELECT CASE WHEN st BETWEEN 200 AND 299 THEN 'ok' WHEN st IS NULL OR st IN (408, 429) OR st >= 500 THEN 'retry' ELSE 'dead' END AS outcome, count(*) AS n FROM s GROUP BY 1""",
     "synthetic_samples": f"""WITH r AS (SELECT range AS n FROM range(5000)), s AS (SELECT CAST(n + 1000 AS VARCHAR) AS vehicle_id, CAST(50 + {_DRAW.format(s=8, b=50)} AS INTEGER) AS max_temperature, {_DRAW.format(s=9, b=1000)} / 1000 AS max_vibration,
