@@ -9,18 +9,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 
-def _struct(ddl: str, required: str = "") -> T.StructType:
+_KINDS = {"string": T.StringType(), "int": T.IntegerType(), "bigint": T.LongType(), "double": T.DoubleType(), "timestamp": T.TimestampType(), "binary": T.BinaryType()}
+_ATTRIBUTES = T.ArrayType(T.StructType([T.StructField("key", T.StringType()), T.StructField("value", T.StringType())]))
+
+
+def _struct(fields: str, required: str = "") -> T.StructType:
+    """``name kind, ...`` as a struct, without a session; fields named in ``required`` (or all: *) are not null."""
     need = set(required.split())
-    return T.StructType([T.StructField(f.name, f.dataType, f.name not in need) for f in T.StructType.fromDDL(ddl).fields])
+    pairs = [f.split() for f in fields.split(",")]
+    return T.StructType([T.StructField(n, _ATTRIBUTES if k == "attributes" else _KINDS[k], n not in need and "*" not in need) for n, k in pairs])
 
 
-TAXI_EVENT = T.StructType(
-    [
-        T.StructField(f.name, f.dataType, False)
-        for f in T.StructType.fromDDL(
-            "ride_id string, point_idx int, latitude double, longitude double, timestamp string, meter_reading double, meter_increment double, ride_status string, passenger_count int"
-        ).fields
-    ]
+TAXI_EVENT = _struct(
+    "ride_id string, point_idx int, latitude double, longitude double, timestamp string, meter_reading double, meter_increment double, ride_status string, passenger_count int", "*"
 )
 TAXI_KEY = ["ride_id", "point_idx"]
 PARSING_ERROR = _struct("input_data string, error_message string, timestamp timestamp")
@@ -34,7 +35,7 @@ MAINTENANCE = _struct("vehicle_id string, last_service_date string, maintenance_
 MAINTENANCE_ANALYTICS = "vehicle_id:STRING,max_temperature:INTEGER,max_vibration:FLOAT,latest_timestamp:TIMESTAMP,last_service_date:STRING,maintenance_type:STRING,model:STRING,needs_maintenance:INTEGER"
 CLICKSTREAM = _struct("prev string, curr string, type string, n bigint")
 DEAD_LETTER = _struct(
-    "timestamp timestamp, payloadString string, payloadBytes binary, attributes array<struct<key:string,value:string>>, errorMessage string, stacktrace string", "timestamp payloadString payloadBytes"
+    "timestamp timestamp, payloadString string, payloadBytes binary, attributes attributes, errorMessage string, stacktrace string", "timestamp payloadString payloadBytes"
 )
 PREDICTION = _struct("example string, inference string, model_id string")
 

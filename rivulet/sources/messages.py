@@ -16,7 +16,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MESSAGE = T.StructType.fromDDL("value binary, publish_time timestamp, attributes map<string,string>")
+MESSAGE = T.StructType(
+    [T.StructField("value", T.BinaryType()), T.StructField("publish_time", T.TimestampType()), T.StructField("attributes", T.MapType(T.StringType(), T.StringType()))]
+)
 NO_ATTRIBUTES = "cast(map() as map<string,string>)"
 
 
