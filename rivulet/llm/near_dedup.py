@@ -186,6 +186,14 @@ def _may_link(share: int):
     return 100 * common >= share * (F.col("n_a") + F.col("n_b") - common)
 
 
+def _first_shared():
+    """Whether no band before this one is common to a and b: each pair comes out once."""
+    out = F.lit(True)
+    for j in range(BANDS - 1):
+        out = out & ((F.col("band") <= j) | (F.col("bands_a")[j] != F.col("bands_b")[j]))
+    return out
+
+
 def _fits(share: int):
     """Whether the sizes alone allow a link."""
     return 100 * F.least("n_a", "n_b") >= share * F.greatest("n_a", "n_b")
@@ -201,9 +209,9 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     classes = materialize(
         signed.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("rep"), F.min("_key").alias("rep_key"), F.min("n_shingles").alias("n"), F.first("bands").alias("bands"))
     )
-    bands = classes.select("cls", "n", F.explode("bands").alias("bucket"))
+    bands = classes.select("cls", "n", F.posexplode("bands").alias("band", "bucket"))
     shared = materialize(bands.groupBy("bucket").agg(F.count("*").alias("m")).where("m > 1").select("bucket"))
-    met = materialize(bands.join(shared, "bucket").select("bucket", "cls", "n"))
+    met = materialize(bands.join(shared, "bucket").select("band", "bucket", "cls", "n"))
     nodes = met.select("cls").distinct().join(classes.select("cls", "rep_key", "n"), "cls")
     sets = materialize(_sets(docs, materialize(nodes), doc_id, text, k))
     # A centre is drawn for each bucket by a hash of bucket and class, so a class meets another one in each.
@@ -214,15 +222,15 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     links = materialize(_verified(star.select(*pair).distinct(), sets, share))
     labels = components(links)
 
-    labelled = materialize(met.join(labels.withColumnRenamed("node", "cls"), "cls", "left").select("bucket", "cls", "n", F.coalesce("comp", "cls").alias("comp")))
+    labelled = materialize(met.join(labels.withColumnRenamed("node", "cls"), "cls", "left").select("band", "bucket", "cls", "n", F.coalesce("comp", "cls").alias("comp")))
     parts = labelled.groupBy("bucket", "comp").agg(F.count("*").alias("m"))
     split = materialize(parts.groupBy("bucket").agg(F.count("*").alias("parts"), F.max(F.struct("m", "comp"))["comp"].alias("largest")).where("parts > 1").drop("parts"))
     bits = sets.select("cls", *[F.col("bits")[i].alias(f"w{i}") for i in range(BITMAP_WORDS)])
-    mixed = materialize(labelled.join(split, "bucket").join(bits, "cls"))
-    side = lambda x: [F.col("bucket"), F.col("cls").alias(x), F.col("n").alias(f"n_{x}"), F.col("comp").alias(f"comp_{x}"), *[F.col(f"w{i}").alias(f"{x}{i}") for i in range(BITMAP_WORDS)]]
+    mixed = materialize(labelled.join(split, "bucket").join(bits, "cls").join(classes.select("cls", "bands"), "cls"))
+    side = lambda x: [F.col("band"), F.col("bucket"), F.col("bands").alias(f"bands_{x}"), F.col("cls").alias(x), F.col("n").alias(f"n_{x}"), F.col("comp").alias(f"comp_{x}"), *[F.col(f"w{i}").alias(f"{x}{i}") for i in range(BITMAP_WORDS)]]
     minor = mixed.where("comp <> largest").select(*side("a"))
     every = mixed.select(*side("b"), (F.col("comp") == F.col("largest")).alias("major"))
-    cross = minor.join(every, "bucket").where((F.col("comp_a") != F.col("comp_b")) & (F.col("major") | (F.col("a") < F.col("b"))) & _fits(share) & _may_link(share))
+    cross = minor.join(every, ["band", "bucket"]).where((F.col("comp_a") != F.col("comp_b")) & (F.col("major") | (F.col("a") < F.col("b"))) & _fits(share) & _may_link(share) & _first_shared())
     more = materialize(_verified(cross.select(*pair).distinct(), sets, share))
     if not more.isEmpty():
         labels = merged(labels, more)
