@@ -8,7 +8,6 @@ worker's memory does not depend on the size of an Arrow batch.
 
 from __future__ import annotations
 
-import os
 import tempfile
 from collections.abc import Iterator
 
@@ -46,6 +45,15 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def hashed_sample(df: DataFrame, key: str, most: int, total: int) -> DataFrame:
+    """The ``most`` rows of smallest key hash. ``total``, the rows of ``df``, bounds beforehand which
+    hashes can be among them, so that few more rows than that meet in the final top-k."""
+    h = F.pmod(F.xxhash64(key), F.lit(1 << 31))
+    if total > 2 * most:
+        df = df.where(h < int((1 << 31) * (2 * most / total)))
+    return df.orderBy(h, key).limit(most)
+
+
 def row_key(*cols: str):
     """A key of a row's own content: rows with equal content share their result."""
     return F.xxhash64(*[F.col(c) for c in cols])
@@ -254,7 +262,3 @@ def as_long(x: np.ndarray) -> pa.Array:
 
 def long_list(values: np.ndarray, offsets: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(np.ascontiguousarray(values).view(np.int64)))
-
-
-def worker_cores() -> int:
-    return int(os.environ.get("OMP_NUM_THREADS", "1"))

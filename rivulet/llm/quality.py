@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from ._common import NONSPACE, Words, materialize, slices, text_bytes
+from ._common import NONSPACE, Words, hashed_sample, materialize, slices, text_bytes
 
 MOST_LABELS = 20_000
 #: A table of sites of at most so many rows is broadcast (below 10 MB); a larger one is joined by shuffle.
@@ -113,8 +113,9 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     from pyspark.ml.feature import VectorAssembler
 
     known = labels.where(F.col(doc_id).isNotNull() & F.col(label).isin(0, 1)).select(F.col(doc_id).alias("__id"), F.col(label).cast("double").alias("__label"))
-    sample = materialize(known.where("__label = 1").orderBy(F.xxhash64("__id"), "__id").limit(most).union(known.where("__label = 0").orderBy(F.xxhash64("__id"), "__id").limit(most)))
     counted = {r["__label"]: r["count"] for r in known.groupBy("__label").count().collect()}
+    take = lambda y: hashed_sample(known.where(F.col("__label") == y), "__id", most, counted.get(y, 0))
+    sample = materialize(take(1.0).union(take(0.0)))
     rate = counted.get(1.0, 0) / max(1, sum(counted.values())) if counted else 1.0
     rows = docs.select(F.col(doc_id).alias("__id"), F.col(text).cast("string").alias("__text")).join(F.broadcast(sample), "__id")  # at most 2 * most rows
     found = materialize(with_features(rows.select("__label", "__text"), "__text").drop("__text"))

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import FOLD, NONSPACE, Words, materialize, mix, slices, text_bytes
+from ._common import FOLD, NONSPACE, Words, hashed_sample, materialize, mix, slices, text_bytes
 from .language import fold
 
 FOLDS, HELD_OUT = 5, 0
@@ -40,7 +40,7 @@ LM_CELLS = 1 << 16
 #: The letters that a sign or digit resembles.
 LOOKALIKES = {
     "0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",
-    "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "<": "c", "€": "e", "£": "l",
+    "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "<": "c", "€": "e", "£": "l", "*": "aeiou",
 }
 #: Signs that can separate the letters of one word, or hide one.
 SEPARATORS = set(".-_*'~^:/\\,;")
@@ -348,7 +348,7 @@ def train(docs: DataFrame, labels: DataFrame, counts: np.ndarray, doc_id: str =
     known = labels.where(F.col(doc_id).isNotNull() & F.col(label).isin(0, 1)).select(F.col(doc_id).alias("id"), F.col(label).cast("int").alias("y"))
     totals = {r.y: r["count"] for r in known.groupBy("y").count().collect()}
     rate = totals.get(1, 0) / sum(totals.values()) if totals else 0.5
-    take = lambda y, n: known.where(F.col("y") == y).orderBy(F.xxhash64("id"), "id").limit(n)
+    take = lambda y, n: hashed_sample(known.where(F.col("y") == y), "id", n, totals.get(y, 0))
     sample = materialize(take(1, MOST_TOXIC).union(take(0, MOST_CLEAN)))
     chosen = docs.select(F.col(doc_id).alias("id"), F.col(text).cast("string").alias("text")).join(F.broadcast(sample), "id")  # the sample's size is bounded
     part = F.pmod(F.xxhash64("id", F.lit(1)), F.lit(4)) == 0
