@@ -269,3 +269,20 @@ def query(spark, sf_dir: str) -> DataFrame:
     """op8: components of all documents on 3-word shingles at 0.85."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return near_duplicates(docs).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+#: From the definition: shingles as strings, all pairs with a common one, and reachability.
+ORACLE_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 3 THEN [array_to_string(w[p : p + 2], ' ') FOR p IN range(1, len(w) - 1)] ELSE [array_to_string(w, ' ')] END) AS g
+  FROM w WHERE len(w) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+pair AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+link AS (SELECT x, y FROM pair JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * c >= 85 * (nx.n + ny.n - c)),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM w UNION SELECT reach.a, link.y FROM reach JOIN link ON link.x = reach.b),
+comp AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
+SELECT w.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, component_id, w.doc_id = component_id AS kept
+FROM w JOIN comp ON w.doc_id = comp.doc_id LEFT JOIN n ON n.doc_id = w.doc_id
+"""
