@@ -27,7 +27,7 @@ def vehicle_metrics(events: DataFrame, key: str = "vehicle_id", time: str = "eve
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """The row of each key that is last in ``order``: a partial aggregate, no sort of whole keys."""
+    """The row of each key that is last in ``order``; of a key, one row a task crosses the exchange."""
     rest = [c for c in df.columns if c not in keys]
     return df.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("__r")).select(*[F.col(c) if c in keys else F.col(f"__r.`{c}`").alias(c) for c in df.columns])
 
