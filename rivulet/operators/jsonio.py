@@ -102,7 +102,7 @@ def _counter_columns(failed_insert: Column | None) -> list[Column]:
     failed = F.lit(False) if failed_insert is None else failed_insert
     tag = F.col("error_tag")
     return [
-        F.count(F.lit(1)).alias("pub_sub_messages"),
+        F.count(F.lit(1)).alias("received_messages"),
         F.count_if(tag.isNull() & ~failed).alias("successful_messages"),
         F.count_if(tag.eqNullSafe(BAD_JSON)).alias("json_parse_failed_messages"),
         F.count_if(tag.eqNullSafe(TOO_BIG)).alias("too_big_messages"),

@@ -387,7 +387,7 @@ ORACLE = {
     "sliding_counts": f"SELECT strftime(date_trunc('day', ts) - to_days(CAST(i AS INTEGER)), {_FMT}) AS window_start, event_type, count(*) AS n FROM events, range(2) r(i) GROUP BY 1, 2",
     "json_rows": f"WITH {_RAW_SQL} SELECT event_id, CAST(value->>'$.k' AS BIGINT) AS k FROM tagged WHERE error_tag IS NULL",
     "json_dead_letter": f"WITH {_RAW_SQL} SELECT error_tag, value FROM tagged WHERE error_tag IS NOT NULL",
-    "job_counters": f"""WITH {_RAW_SQL} SELECT count(*) AS pub_sub_messages, count(*) FILTER (error_tag IS NULL AND event_id % 50 <> 0) AS successful_messages, count(*) FILTER (error_tag = 'JsonParseError') AS json_parse_failed_messages,
+    "job_counters": f"""WITH {_RAW_SQL} SELECT count(*) AS received_messages, count(*) FILTER (error_tag IS NULL AND event_id % 50 <> 0) AS successful_messages, count(*) FILTER (error_tag = 'JsonParseError') AS json_parse_failed_messages,
       count(*) FILTER (error_tag = 'TooBigRow') AS too_big_messages, count(*) FILTER (error_tag IS NULL AND event_id % 50 = 0) AS failed_insert_messages FROM tagged""",
     "oversize_route": "SELECT doc_id, CAST(strlen(text) AS BIGINT) AS bytes FROM documents WHERE strlen(text) >= 4096",
     "conform_sink": f"WITH {_WIDE_SQL} SELECT CAST(id AS BIGINT) AS id, CAST(k AS INTEGER) AS k, kind, CAST(NULL AS VARCHAR) AS note FROM fit WHERE err = ''",
