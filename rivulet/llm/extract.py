@@ -47,6 +47,8 @@ KEEP_P = BLOCKS - {"tbody", "td", "tfoot", "th", "thead", "tr", "caption", "labe
 
 KINDS = {t: i for i, group in enumerate(["p", "h1", "h2 h3 h4 h5 h6 hgroup", "li", "ul ol menu dir", "div center", "section", "article", "main", "nav", "header", "footer", "aside", "form fieldset label legend", "table tbody thead tfoot tr caption", "td th", "blockquote", "pre", "figure figcaption", "dl dt dd", "address details summary dialog hr", "body html"]) for t in group.split()}
 N_KINDS = len(set(KINDS.values()))
+#: Kinds of elements that colour all that they hold.
+CONTEXTS = ["article main", "nav", "header", "footer", "aside", "form"]
 #: Words of class, id and role that tell content from the rest.
 HINTS = [
     "article|content|main|post|entry|story|body|text|page",
@@ -236,11 +238,19 @@ class Forest:
             np.add.at(total, self.parent[level], total[level])
         return total
 
+    def _above(self, marks: np.ndarray) -> np.ndarray:
+        """Whether an ancestor of each node is marked."""
+        out = np.zeros(len(marks), dtype=bool)
+        for level in self.levels[1:]:
+            up = self.parent[level]
+            out[level] = out[up] | marks[up]
+        return out
+
     def features(self) -> np.ndarray:
         text, links, punct = self._below(self.own), self._below(self.links), self._below(self.punct)
         up = np.maximum(self.parent, 0)
         top = np.maximum(text[self.first[:-1]], 1)[self.page] if len(self.page) else text
-        x = np.zeros((len(self.kinds), N_KINDS + 2 * len(HINTS) + 6))
+        x = np.zeros((len(self.kinds), N_KINDS + 2 * len(HINTS) + 6 + len(CONTEXTS)))
         x[np.arange(len(x)), self.kinds] = 1
         for i in range(len(HINTS)):
             x[:, N_KINDS + i] = (self.hints >> i) & 1
@@ -252,6 +262,8 @@ class Forest:
         x[:, tail + 3] = text / top
         x[:, tail + 4] = text == 0
         x[:, tail + 5] = np.log1p(self.own) / 8
+        for i, tags in enumerate(CONTEXTS):
+            x[:, tail + 6 + i] = self._above(np.isin(self.kinds, [KINDS[t] for t in tags.split()]))
         return x
 
 

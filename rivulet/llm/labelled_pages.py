@@ -28,4 +28,11 @@ PAGES = [
     f'<html><body><header><h1>The Example</h1>{_NAV}</header><article x-main><h2>Story</h2><section><h3>One</h3><p>{_S}</p></section><section><h3>Two</h3><p>{_M}</p><ol><li>{_L}</li><li>First of all.</li></ol></section></article><div class="sidebar"><p>{_S}</p><ul><li><a href="/a">More</a></li></ul></div>{_FOOT}</body></html>',
     f'<html><body>{_NAV}<div class="ad">Now.</div><article x-main><h1>Tags !! and ###</h1><p><b>Tags !! and ###<br><p>AND!! THE!! OF!!</p><p>la la la la la la</p><p>{_S}</p></article><footer>&copy; x.example.net &middot; {_S}</footer></body></html>',
     f'<html><body>{_NAV}<div class="message-box"><p>{_M}</p></div><div class="story-text" x-main><p>{_S}</p><p>{_M}</p></div><div class="disqus_thread"><p>{_S}</p><p>Nice.</p></div><div class="login-form"><form><p>Log in to reply</p></form></div>{_FOOT}</body></html>',
+    f'<html><body><header><h2>The Example Times</h2><p>{_M}</p></header>{_NAV}<div class="ad">{_S}</div><article x-main><h1>Bridge</h1><p><b>Bridge<br><p>{_P}</p><p>{_L}</p></article><footer>&copy; example.com &middot; {_M}</footer></body></html>',
+    f'<html><body><header><p>{_S}</p></header>{_NAV}<main x-main><h1>Bridge</h1><p>{_L}</p><p>{_P}</p><p>Short.</p></main>{_FOOT}</body></html>',
+    f'<html><body>{_NAV}<article x-main><h1>Road</h1><p>{_P}</p><p>{_S}</p></article><aside><h3>Related</h3><p>{_L}</p></aside><aside><p>{_M}</p></aside><footer>&copy; example.org &middot; {_S}</footer></body></html>',
+    f'<html><body>{_NAV}<article x-main><h1>Road</h1><p>{_P}</p><aside x-not><p>{_M}</p></aside><p>{_S}</p><form x-not class="newsletter"><p>{_L}</p><input></form></article>{_FOOT}</body></html>',
+    f'<html><body>{_NAV}<article x-main><h1>Road</h1><p>{_M}</p><p>{_P}</p><form x-not><label>Mail</label><p>{_S}</p><input></form></article><form><p>{_M}</p><label>Name</label></form>{_FOOT}</body></html>',
+    f'<html><body>{_NAV}<form><p>{_L}</p><input></form><section x-main><h1>Road</h1><p>{_P}</p><p>{_S}</p><nav x-not><p>{_M}</p></nav></section><aside>{_P}</aside>{_FOOT}</body></html>',
+    f'<html><body><div class="header"><p>{_L}</p></div><div class="nav"><p>{_S}</p></div><div class="text" x-main><p>{_P}</p><p>{_M}</p><ul><li>{_S}</li></ul></div><div class="footer"><p>{_P}</p></div></body></html>',
 ]
