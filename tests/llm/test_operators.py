@@ -159,6 +159,26 @@ def test_chaining_is_optimal_on_small_cases():
             assert abs(total(path) - best) < 1e-9
 
 
+def test_chaining_is_optimal_under_the_gap_limit():
+    def total(path, s, o, z):
+        gaps = [(s[b] - s[a] - z[a], o[b] - o[a] - z[a]) for a, b in zip(path, path[1:], strict=False)]
+        if any(not 0 <= x <= substring_dedup.MOST_GAP for g in gaps for x in g):
+            return -1e9
+        return sum(z[i] for i in path) - substring_dedup.GAP_COST * sum(g + h for g, h in gaps)
+
+    r = random.Random(5)
+    for _ in range(200):
+        n = r.randrange(2, 9)
+        s = np.array(sorted(r.sample(range(120), n)))
+        o = np.array([r.randrange(120) for _ in range(n)])
+        z = np.array([r.choice([5, 5, 8, 60]) for _ in range(n)])
+        best = max(total([i for i in range(n) if mask >> i & 1], s, o, z) for mask in range(1, 1 << n))
+        assert abs(total(substring_dedup.chains(s, o, z)[0], s, o, z) - best) < 1e-9
+    # A long passage out of reach does not hide the near fragments that follow it.
+    s, o, z = np.array([0, 230, 240, 250]), np.array([0, 235, 246, 257]), np.array([200, 5, 5, 5])
+    assert [1, 2, 3] in substring_dedup.chains(s, o, z)
+
+
 # ------------------------------------------------------------------------ 3 WARC
 
 
