@@ -159,6 +159,31 @@ def test_chaining_is_optimal_on_small_cases():
             assert abs(total(path) - best) < 1e-9
 
 
+def test_two_lone_seeds_on_different_diagonals_are_chained(spark):
+    rows = [(1, 2, 10, 50), (1, 2, 22, 63), (1, 3, 10, 50)]
+    found = substring_dedup._chained(spark.createDataFrame(rows, "key long, other long, pos int, o_pos int")).collect()
+    assert [(r.key, r.other, r.first, r.after, r.o_first, r.o_after) for r in found] == [(1, 2, 10, 27, 50, 68)]
+
+
+def test_runs_of_twelve_words_share_a_seed(spark):
+    run = prose(12, 77)
+    for n in range(20):
+        rows = [(1, f"{prose(20, n)} {run} {prose(20, n + 100)}"), (2, f"{prose(30, n + 200)} {run} {prose(9, n + 300)}")]
+        data, offsets = text_bytes(pa.array([t for _, t in rows]))
+        words = Words(data, offsets, ALNUM)
+        grams, at = words.grams(substring_dedup.K)
+        of = words.text_of[at]
+        keep = winnow(grams, of, substring_dedup.WINDOW)
+        assert set(grams[keep[of[keep] == 0]].tolist()) & set(grams[keep[of[keep] == 1]].tolist())
+
+
+def test_bit_filters_lose_no_member(spark):
+    values = np.random.default_rng(1).integers(-(1 << 63), 1 << 63, 5000)
+    held = substring_dedup.bit_filter(spark.createDataFrame([(int(v),) for v in values], "h long"), "h")
+    assert held.may_hold(values.view(np.uint64)).all()
+    assert held.may_hold(np.arange(100000, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)).mean() < 0.05
+
+
 def test_chaining_is_optimal_under_the_gap_limit():
     def total(path, s, o, z):
         gaps = [(s[b] - s[a] - z[a], o[b] - o[a] - z[a]) for a, b in zip(path, path[1:], strict=False)]
