@@ -159,6 +159,37 @@ def test_chaining_is_optimal_on_small_cases():
             assert abs(total(path) - best) < 1e-9
 
 
+def uncovered_windows(docs, rows, size=50):
+    """Windows of ``size`` words that a document of smaller key holds and no passage covers."""
+    texts = {r.key: alnum(r.text) for r in docs.select(substring_dedup.row_key("doc_id", "text").alias("key"), "text").collect()}
+    first = {}
+    for key in sorted(texts):
+        for j in range(len(texts[key]) - size + 1):
+            first.setdefault(tuple(texts[key][j : j + size]), key)
+    spans = defaultdict(list)
+    for r in rows:
+        assert r.other != r.key and texts[r.key] and r.after - r.first >= size
+        spans[r.key].append((r.first, r.after))
+    return [(key, j) for key, w in texts.items() for j in range(len(w) - size + 1) if first[tuple(w[j : j + size])] != key and not any(a <= j and j + size <= b for a, b in spans[key])]
+
+
+def test_exact_repeats_whose_parts_occur_elsewhere(spark):
+    p, line = prose(60, 21).split(), prose(12, 22)
+    rows = [(i, f"{prose(30, 40 + i)} {' '.join(p)} {prose(30, 60 + i)}") for i in range(2)]
+    rows += [(10 + i, f"{prose(9, 80 + i)} {' '.join(p[30 * (i % 2):][:30])} {prose(9, 120 + i)}") for i in range(30)]
+    rows += [(50 + i, f"{prose(20, 200 + i)} {' '.join([line] * 6)} {prose(20, 210 + i)}") for i in range(2)]
+    rows += [(60 + i, f"{prose(20, 220 + i)} {' '.join(prose(300, 23).split()[4 * i:][:50])} {prose(20, 230 + i)}") for i in range(6)]
+    rows += [(70 + i, " ".join(prose(300, 24).split()[:50])) for i in range(3)]
+    docs = docs_of(spark, rows, extra=False)
+    found = substring_dedup.passages(docs).collect()
+    assert uncovered_windows(docs, found) == []
+    assert found
+    texts = {r.key: alnum(r.text) for r in docs.select(substring_dedup.row_key("doc_id", "text").alias("key"), "text").collect()}
+    for r in found:
+        if r.matched == r.after - r.first == r.o_after - r.o_first:
+            assert texts[r.key][r.first : r.after] == texts[r.other][r.o_first : r.o_after]
+
+
 def test_two_lone_seeds_on_different_diagonals_are_chained(spark):
     rows = [(1, 2, 10, 50), (1, 2, 22, 63), (1, 3, 10, 50)]
     found = substring_dedup._chained(spark.createDataFrame(rows, "key long, other long, pos int, o_pos int")).collect()
