@@ -33,8 +33,10 @@ from . import labelled_pages
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements whose content is no text of the page.
-SILENT = frozenset("script style template noscript iframe object svg math canvas audio video select textarea button head title datalist option".split())
-#: Of these, the ones whose content is not markup.
+SILENT = frozenset("script style template noscript iframe object svg annotation annotation-xml canvas audio video select textarea button head title datalist option".split())
+#: What can stand in a head; any other start tag ends it.
+IN_HEAD = frozenset("head base basefont bgsound link meta title noscript noframes style script template html".split())
+#: Of the silent ones, those whose content is not markup.
 RAW = frozenset("script style textarea title iframe noscript".split())
 BLOCKS = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table caption tbody td tfoot th thead tr ul label".split()
@@ -127,6 +129,8 @@ class Page:
         for m in _TOKEN.finditer(source):
             if m.start() < at:
                 continue
+            if stack[-1][0] == "head" and source[at : m.start()].strip():
+                pop()  # text ends a head
             if m.start() > at and not silent:
                 piece = source[at : m.start()]
                 buffer.append(piece)
@@ -149,6 +153,8 @@ class Page:
                         pop()
                     pop()
                 continue
+            if stack[-1][0] == "head" and tag not in IN_HEAD:
+                pop()
             if tag == "br" or tag in ("img", "input", "wbr"):
                 if not silent and tag != "wbr":
                     buffer.append(" ")
@@ -158,7 +164,7 @@ class Page:
                     flush()
                 continue
             attrs = m.group("attrs")
-            if attrs.endswith("/") and tag in ("svg", "math", "path"):
+            if attrs.endswith("/") and tag in ("svg", "math", "path", "annotation", "annotation-xml"):
                 continue
             block = tag in BLOCKS
             if tag in ("html", "body"):  # the root stands for both
@@ -199,6 +205,8 @@ class Page:
                 if tag in RAW:
                     end = _end_of(tag).search(source, at)
                     at = end.start() if end else len(source)
+        if stack[-1][0] == "head" and source[at:].strip():
+            pop()
         if at < len(source) and not silent:
             buffer.append(source[at:])
         flush()

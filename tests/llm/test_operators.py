@@ -282,6 +282,15 @@ def test_extraction(spark):
     assert extract.extract(df.limit(0)).count() == 0
 
 
+def test_heads_without_an_end_tag_and_formulas():
+    article = "<article><h1>Headline of it</h1><p>First words, of a story that goes on for a while, as stories do.</p><p>The law is <math><mi>E</mi><mo>=</mo><mi>m</mi><annotation>E=m</annotation></math>, and that is all of it, they say.</p></article>"
+    want = "Headline of it First words, of a story that goes on for a while, as stories do. The law is E=m, and that is all of it, they say."
+    for head in ("<head><title>T</title>{}</head><body>", "<head><title>T</title>{}<body>", "<head><title>T</title>{}", ""):
+        page = "<html>" + head.format("<meta charset=x><style>p{}</style><template><p>No</p></template>") + article
+        assert extract.main_texts([page], extract.default_model()) == [want], head
+    assert extract.Page("<head><title>T</title> plain text").runs == [(0, "plain text")]
+
+
 def test_messages_give_exact_marginals():
     model = extract.default_model()
     forest = extract.Forest([extract.Page(extract.labelled_pages.PAGES[1])])
