@@ -200,7 +200,8 @@ def _fits(share: int):
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = 3, share: int = 85) -> DataFrame:
-    """_key, id, n_shingles, component_id and kept of each row of ``docs``.
+    """_key, id, n_shingles, component_id, kept and _group of each row of ``docs``; _group numbers
+    the components, those without any id too.
 
     Linked are texts whose sets of k-word shingles have at least ``share``
     hundredths of their union in common; a component is named by its smallest id.
@@ -237,11 +238,11 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     linked = labels.withColumnRenamed("node", "cls").join(classes.select("cls", "rep"), "cls")
     names = materialize(linked.groupBy("comp").agg(F.min("rep").alias("name")))
-    named = materialize(classes.select("cls", "rep").join(linked.select("cls", "comp"), "cls", "left").join(names, "comp", "left").select("cls", F.coalesce("name", "rep").alias("name")))
-    alone = signed.where("cls is null").select("_key", "doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    rest = signed.where("cls is not null").select("_key", "doc_id", "n_shingles", "cls").join(named, "cls").select("_key", "doc_id", "n_shingles", F.col("name").alias("component_id"))
+    named = materialize(classes.select("cls", "rep").join(linked.select("cls", "comp"), "cls", "left").join(names, "comp", "left").select("cls", F.coalesce("name", "rep").alias("name"), F.coalesce("comp", "cls").alias("_group")))
+    alone = signed.where("cls is null").select("_key", "doc_id", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(None).cast("bigint").alias("_group"))
+    rest = signed.where("cls is not null").select("_key", "doc_id", "n_shingles", "cls").join(named, "cls").select("_key", "doc_id", "n_shingles", F.col("name").alias("component_id"), "_group")
     return rest.union(alone).select(
-        "_key", F.col("doc_id").alias(doc_id), "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)).alias("kept")
+        "_key", F.col("doc_id").alias(doc_id), "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)).alias("kept"), "_group"
     )
 
 
@@ -249,12 +250,13 @@ def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k:
     """One row of each group of near-duplicates, the one with the smallest id.
 
     Rows that repeat the kept id within the component (whole repeated rows too)
-    are further copies: the one with the smallest row key stays. Rows without
+    are further copies: the one with the smallest row key stays. So does that row of
+    a group in which no row has an id. Rows without
     words are in no group and all stay.
     """
     found = materialize(near_duplicates(docs, doc_id, text, k, share))
     worded = found.where("n_shingles > 0")
-    kept = worded.where("kept").groupBy("component_id").agg(F.min("_key").alias("_key"), F.count("*").alias("n"))
+    kept = worded.where("kept or component_id is null").groupBy("_group").agg(F.min("_key").alias("_key"))
     gone = materialize(worded.select("_key").distinct().join(kept.select("_key"), "_key", "left_anti"))
     left = without(docs, row_key(doc_id, text), gone)
     copies = materialize(worded.groupBy("_key").agg(F.count("*").alias("n")).where("n > 1").select("_key"))

@@ -454,6 +454,15 @@ def test_near_dedup_rows(spark):
     assert near_dedup.deduplicate(df).columns == df.columns
 
 
+def test_groups_without_ids_keep_one(spark):
+    base = prose(60, 2)
+    rows = [(None, base), (None, base + " end"), (None, "alone in its group"), (None, "alone in its group"), (None, None), (7, prose(50, 3)), (None, prose(50, 3))]
+    kept = [(r.doc_id, r.text) for r in near_dedup.deduplicate(docs_of(spark, rows)).collect()]
+    assert len(kept) == 4
+    assert {(None, "alone in its group"), (None, None), (7, prose(50, 3))} < set(kept)
+    assert sum(i is None and (t or "").startswith(base) for i, t in kept) == 1
+
+
 def test_sketches_fill_and_estimate():
     r = np.random.default_rng(1)
     common, a, b = (r.integers(1, 1 << 52, n, dtype=np.uint64) for n in (800, 100, 100))
