@@ -16,7 +16,8 @@ and is left to Catalyst, which broadcasts the item side only if it is small.
 
 Defined results: a null or empty text has no words and no hits; repeated rows each
 get their own, equal result; items of no words or null text never occur; equal
-items all count; columns beside id and text are ignored, whatever their names.
+items all count; items with a null id hit as others do and are one null among the
+items; columns beside id and text are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -95,7 +96,7 @@ def item_fingerprints(items: DataFrame, item_id: str = "item_id", text: str = "t
 
 def hits(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", span: int = SPAN, k: int = K) -> tuple[DataFrame, DataFrame]:
     """(base, spans). base: _key, doc_id and n_words of each row of ``docs``.
-    spans: _key, first and after (word indexes) and items, the ids of the items
+    spans: _key, first and after (word indexes) and items, structs of the ids of the items
     of which the run of words holds a window; one row for each run and hit."""
     reach = span - k
     names = _context_names(reach)
@@ -128,7 +129,7 @@ def hits(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str =
     found = materialize(source.mapInArrow(fingerprint, fields))
     base = found.where("cls = -1").select("_key", "doc_id", "n_words")
 
-    grouped = prints.groupBy("cls", "h", *names).agg(F.collect_set("item_id").alias("items"))
+    grouped = prints.groupBy("cls", "h", *names).agg(F.collect_set(F.struct("item_id")).alias("items"))
     other = grouped.select(F.col("cls").alias("i_cls"), F.col("h").alias("i_h"), *[F.col(n).alias(f"i_{n}") for n in names], "items")
     mine = found.where("cls >= 0").select("_key", F.col("cls").cast("int").alias("cls"), "pos", "h", *names)
     met = mine.join(other, (F.col("cls") == F.col("i_cls")) & (F.col("h") == F.col("i_h")))
@@ -171,8 +172,8 @@ def contamination(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", tex
     base, spans = hits(docs, items, doc_id, text, item_id, item_text, span, k)
     spans = materialize(spans)
     runs = merge_spans(spans, "_key")
-    named = spans.select("_key", F.explode("items").alias("i")).distinct().groupBy("_key").agg(F.array_sort(F.collect_list(F.col("i").cast("string"))).alias("items"))
-    out = base.join(runs.join(named, "_key"), "_key", "left")
+    named = spans.select("_key", F.explode("items").alias("i")).select("_key", F.col("i.item_id").cast("string").alias("i")).distinct().groupBy("_key").agg(F.array_sort(F.transform(F.collect_list(F.struct("i")), lambda x: x["i"])).alias("items"))
+    out = base.join(runs.join(named, "_key", "left"), "_key", "left")
     n_hit = F.expr("coalesce(aggregate(runs, 0L, (a, x) -> a + x.after - x.first), 0L)")
     return out.select(
         "_key",

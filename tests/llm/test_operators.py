@@ -110,6 +110,14 @@ def test_decontamination_empty_tables(spark):
     assert [r.n_hit for r in decontaminate.contamination(docs, items).collect()] == [2, 2]
 
 
+def test_items_without_ids_hit(spark):
+    items = spark.createDataFrame([(None, "a b"), (None, "c d"), (4, "c d")], "item_id int, text string")
+    docs = docs_of(spark, [(1, "x a b"), (2, "c d a b"), (3, "y")])
+    got = {r.doc_id: (r.n_hit, r["items"], r.contaminated) for r in decontaminate.contamination(docs, items).collect()}
+    assert got == {1: (2, [None], True), 2: (4, ["4", None], True), 3: (0, [], False)}
+    assert [r.doc_id for r in decontaminate.decontaminate(docs, items).collect()] == [3]
+
+
 # -------------------------------------------------------------- 2 substring dedup
 
 
