@@ -33,7 +33,7 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
 
 
 def replica(changes: DataFrame, keys: Sequence[str], order: Sequence[str], mod_type: str = "mod_type") -> DataFrame:
-    """The state that a change log leaves: each key's last change, without deleted keys."""
+    """The state that a change log leaves: each key's last change by ``order``, whenever it came, without deleted keys."""
     return latest_per_key(changes, keys, order).where(F.col(mod_type) != "DELETE").drop(mod_type)
 
 
@@ -46,9 +46,14 @@ def versions(df: DataFrame, keys: Sequence[str], order: Sequence[str], most: int
 
 def offset_days(day: Column, first: Column | str) -> Column:
     """Days since ``first`` (a stored minimum, so that serving and training agree)."""
-    return F.datediff(day.cast("date"), F.lit(first).cast("date") if isinstance(first, str) else first)
+    return F.datediff(day.cast("date"), F.lit(first).cast("date") if isinstance(first, str) else first.cast("date"))
 
 
 def frame_minimum(df: DataFrame, column: str):
     """The least value of a column, one row to the driver."""
     return df.agg(F.min(column)).first()[0]
+
+
+def least(df: DataFrame, column: str) -> Column:
+    """The least value of a column as a scalar subquery, for plans that need no value on the driver."""
+    return df.agg(F.min(column)).scalar()

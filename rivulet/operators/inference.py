@@ -7,6 +7,8 @@ share memory: one copy a process, not a machine.)
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Callable, Iterable, Iterator, Sequence
 from typing import Any, Protocol
 
@@ -19,6 +21,7 @@ from .aggregates import frame_minimum, offset_days
 
 PREDICTION = "example string, inference string, model_id string"
 _models: dict[str, Any] = {}
+MOST_MODELS = 4  # that a worker keeps
 
 
 class ModelHandler(Protocol):
@@ -45,35 +48,32 @@ class TemplateHandler:
 
 
 class EndpointHandler:
-    """A remote model: ``connect`` makes a client whose ``predict(instances)`` takes a list."""
+    """A remote model: ``connect`` makes a client whose ``predict(instances)`` takes a list.
 
-    def __init__(self, connect: Callable[[], Any], endpoint: str):
-        self.connect, self.model_id = connect, endpoint
+    With ``json_instances`` each example is a JSON object and goes as such, not as its text;
+    one that is no JSON fails the query, as bad messages are routed before inference.
+    """
+
+    def __init__(self, connect: Callable[[], Any], endpoint: str, json_instances: bool = False):
+        self.connect, self.model_id, self.json_instances = connect, endpoint, json_instances
 
     def load_model(self):
         return self.connect()
 
     def run_inference(self, batch, model):
-        return [str(x) for x in model.predict(list(batch))]
-
-
-class EchoModel:
-    """A stand-in without weights: the first ``max_length`` characters, upper-cased."""
-
-    def generate(self, text: str, max_length: int = 64) -> str:
-        return text[:max_length].upper()
-
-    def predict(self, instances: list) -> list:
-        return [len(str(x)) for x in instances]
+        return [str(x) for x in model.predict([json.loads(x) for x in batch] if self.json_instances else list(batch))]
 
 
 def run_inference(df: DataFrame, handler: ModelHandler, example: str = "value", batch: int = 64) -> DataFrame:
     """(example, inference, model_id) of each row; a null example is an empty text."""
+    own = uuid.uuid4().hex  # models are kept by handler: two handlers may share a model_id
 
     def predict(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model = _models.get(handler.model_id)
+        model = _models.get(own)
         if model is None:
-            model = _models[handler.model_id] = handler.load_model()
+            while len(_models) >= MOST_MODELS:
+                _models.pop(next(iter(_models)))
+            model = _models[own] = handler.load_model()
         for frame in frames:
             texts = frame["example"].fillna("").tolist()
             out = [x for i in range(0, len(texts), batch) for x in handler.run_inference(texts[i : i + batch], model)]
@@ -104,14 +104,15 @@ class MaintenanceModel:
         self.fitted, self.first_day = fitted, first_day
 
     @classmethod
-    def train(cls, samples: DataFrame, share: float = 0.8, seed: int = 42) -> tuple[MaintenanceModel, DataFrame]:
-        """(model, the held-out rows)."""
+    def train(cls, samples: DataFrame, share: float = 0.8, key: str = "vehicle_id", held: Column | None = None) -> tuple[MaintenanceModel, DataFrame]:
+        """(model, the held-out rows). A row's key decides its side (or ``held`` does), whatever the order or number of rows."""
         from pyspark.ml.classification import LogisticRegression
 
-        fit_on, held = samples.randomSplit([share, 1 - share], seed=seed)
+        out = held if held is not None else F.pmod(F.crc32(F.col(key).cast("string").cast("binary")), F.lit(1000)) >= int(1000 * share)
+        fit_on, left = samples.where(~out), samples.where(out)
         first = frame_minimum(fit_on, "last_service_date")
         rows = cls._vectors(fit_on, first).withColumn("label", F.col("needs_maintenance").cast("double"))
-        return cls(LogisticRegression(featuresCol="features", labelCol="label", maxIter=100).fit(rows), first), held
+        return cls(LogisticRegression(featuresCol="features", labelCol="label", maxIter=100).fit(rows), first), left
 
     @classmethod
     def _vectors(cls, df: DataFrame, first_day) -> DataFrame:

@@ -24,9 +24,16 @@ TOO_BIG, BAD_JSON = "TooBigRow", "JsonParseError"
 MOST_BYTES = 10 * 1024 * 1024
 
 
+#: The four characters that JSON has as white space may surround a message.
+_BRACES = r"(?s)^[ \t\r\n]*\{.*\}[ \t\r\n]*\z"
+
+
 def is_object(text: Column) -> Column:
-    """Whether a text is one JSON object. Blank texts, scalars and arrays are not."""
-    return F.coalesce(F.trim(text).startswith("{") & F.trim(text).endswith("}") & F.try_parse_json(text).isNotNull(), F.lit(False))
+    """Whether a text is one JSON object. Blank texts, scalars, arrays, objects with anything behind them
+    and objects that repeat a key are not."""
+    # The parser stops behind the first value. What parses both as an element and as a field ends where that value ends.
+    held = [F.try_parse_json(F.concat(F.lit(a), text, F.lit(b))).isNotNull() for a, b in (("[", "]"), ('{"x":', "}"))]
+    return F.coalesce(text.rlike(_BRACES) & held[0] & held[1], F.lit(False))
 
 
 def parse_objects(df: DataFrame, value: str = "value", most: int = MOST_BYTES) -> DataFrame:

@@ -12,12 +12,13 @@ import json
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import row_json, to_flag, to_integer, to_number
-from .aggregates import latest_per_key, replica
+from .aggregates import latest_per_key
 
 # ------------------------------------------------------------ schema conformance
 
@@ -92,58 +93,72 @@ def append_conformed(df: DataFrame, path: str, dead_path: str, schema: T.StructT
     append(dead_letters(bad), dead_path)
 
 
+def destined(df: DataFrame, destination: Column) -> DataFrame:
+    """``df`` with the name of each row's destination table."""
+    return df.withColumn("destination", destination)
+
+
 def route(df: DataFrame, destination: Column, root: str) -> None:
     """Append each row to the table that ``destination`` names, as partitions of ``root``."""
-    df.withColumn("destination", destination).write.mode("append").partitionBy("destination").parquet(root)
+    destined(df, destination).write.mode("append").partitionBy("destination").parquet(root)
 
 
-def upserted(target: DataFrame | None, changes: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """The target after an upsert: the last change of each key replaces its row or is added."""
-    newest = latest_per_key(changes, keys, order)
-    if target is None:
-        return newest
-    return target.join(newest.select(*keys), list(keys), "left_anti").select(*newest.columns).unionByName(newest)
+def append_json_lines(df: DataFrame, path: str) -> None:
+    """Append each row as one JSON object a line; nulls are written."""
+    df.select(row_json(df).alias("value")).write.mode("append").text(path)
 
 
-class VersionedTable:
-    """A Parquet table whose versions are folders; a pointer file names the current one.
+def existing(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame | None:
+    """The Parquet table at ``path``; None if there is none yet."""
+    try:
+        return (spark.read if schema is None else spark.read.schema(schema)).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
 
-    A writer makes a whole new version and then moves the pointer, so readers see the old
-    or the new state; a batch that is run again finds its id in the pointer and is skipped.
-    """
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path
+def upserted(target: DataFrame | None, changes: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """The target after an upsert: of each key the row that is last in ``order``, old or new.
+
+    A change that is older than the stored row changes nothing, so batches may come late or twice.
+    """
+    return latest_per_key(changes if target is None else target.select(*changes.columns).unionByName(changes), keys, order)
 
-    def _pointer(self) -> tuple[int, int]:
-        try:
-            found = self.spark.read.schema("version bigint, batch bigint").json(f"{self.path}/_current")
-            row = found.orderBy(F.desc("version")).first()
-        except Exception as e:  # noqa: BLE001
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
-            row = None
-        return (row.version, row.batch) if row else (-1, -1)
 
-    def read(self) -> DataFrame | None:
-        version, _ = self._pointer()
-        return None if version < 0 else self.spark.read.parquet(f"{self.path}/v{version}")
+def upsert(changes: DataFrame, path: str, keys: Sequence[str], order: Sequence[str], buckets: int = 64) -> None:
+    """Upsert into a Parquet table that is partitioned by a hash of the key.
 
-    def replace(self, df: DataFrame, batch: int = -1) -> None:
-        version, last = self._pointer()
-        if 0 <= batch <= last:
-            return
-        df.write.mode("overwrite").parquet(f"{self.path}/v{version + 1}")
-        self.spark.createDataFrame([(version + 1, batch)], "version bigint, batch bigint").coalesce(1).write.mode("append").json(f"{self.path}/_current")
+    Only the buckets that the changes touch are read and, by dynamic partition overwrite,
+    written anew. An upsert that is run again gives the same rows. One writer at a time; for
+    isolation from readers a table format with MERGE takes its place.
+    """
+    spark, names = changes.sparkSession, changes.columns
+    numbered = changes.withColumn("bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
+    target = existing(spark, path)
+    if target is not None:
+        touched = [r.bucket for r in numbered.select("bucket").distinct().collect()]  # ``buckets`` numbers at most
+        target = target.where(F.col("bucket").isin(touched)).select(*names)
+    merged = upserted(target, changes, keys, order).withColumn("bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
+    # Written apart first: the table's own files are then replaced from whole new ones.
+    staged = f"{path.rstrip('/')}_staged"
+    merged.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(staged)
+    fresh = spark.read.schema(merged.schema).parquet(staged).repartition("bucket")
+    fresh.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path)
+
+
+def apply_changes(changes: DataFrame, path: str, keys: Sequence[str], order: Sequence[str], buckets: int = 64) -> None:
+    """Change-data capture: upsert of change records with ``mod_type``.
+
+    Deleted keys stay as tombstones, so that an older change that comes later does not bring them back.
+    """
+    upsert(changes, path, keys, order, buckets)
 
-    def upsert(self, changes: DataFrame, keys: Sequence[str], order: Sequence[str], batch: int = -1) -> None:
-        self.replace(upserted(self.read(), changes, keys, order), batch)
 
-    def apply_changes(self, changes: DataFrame, keys: Sequence[str], order: Sequence[str], batch: int = -1) -> None:
-        """Change-data capture: inserts and updates replace, deletes remove."""
-        target, touched = self.read(), changes.select(*keys).distinct()
-        state = replica(changes, keys, order)
-        self.replace(state if target is None else target.join(touched, list(keys), "left_anti").select(*state.columns).unionByName(state), batch)
+def read_keyed(spark: SparkSession, path: str, mod_type: str = "mod_type") -> DataFrame:
+    """The rows of a table of ``upsert`` or ``apply_changes``, without tombstones."""
+    rows = spark.read.parquet(path).drop("bucket")
+    return rows.where(F.col(mod_type) != "DELETE").drop(mod_type) if mod_type in rows.columns else rows
 
 
 # -------------------------------------------------------------------- log posts
@@ -167,29 +182,49 @@ def envelope(value: Column, time: Column | None = None) -> Column:
 POSTED = "events array<string>, body string, bytes int, status int, outcome string"
 
 
-def post(df: DataFrame, send: Callable[[bytes], int | None], value: str = "value", batch: int = 100, tries: int = 3, compress: bool = True) -> DataFrame:
-    """Post envelopes in (gzip) batches and report each batch: its events, status and outcome.
+def numbered_batches(df: DataFrame, value: str, number: Column, order: Column) -> DataFrame:
+    """(batch, events): the envelopes of the events of each batch number, in order. Numbers are given so that batches are small."""
+    rows = df.select(number.alias("batch"), order.alias("o"), envelope(F.col(value)).alias("event"))
+    return rows.groupBy("batch").agg(F.array_sort(F.collect_list(F.struct("o", "event"))).alias("e")).select("batch", F.col("e.event").alias("events"))
+
+
+def post_batches(batched: DataFrame, send: Callable[[bytes], int | None], tries: int = 3, compress: bool = True) -> DataFrame:
+    """Post the array ``events`` of each row as one (gzip) body; report its bytes, status and outcome.
 
     ``send`` takes a body and returns an HTTP status, or None without reply; it is made in the
     task. Batches to be tried again are, ``tries`` times in all, before they count as dead.
     """
+    kept = [f for f in batched.schema.fields if f.name != "events"]
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            rows = [(list(events), *_sent("".join(events).encode(), send, tries, compress)) for events in frame["events"]]
+            out = pd.DataFrame(rows, columns=["events", "body", "bytes", "status", "outcome"])
+            yield pd.concat([frame[[f.name for f in kept]].reset_index(drop=True), out], axis=1)
+
+    fields = [*kept, *T.StructType.fromDDL(POSTED).fields]
+    return batched.select(*[f.name for f in kept], "events").mapInPandas(run, T.StructType(fields))
+
+
+def _sent(raw: bytes, send: Callable[[bytes], int | None], tries: int, compress: bool) -> tuple[str, int, int | None, str]:
+    body = gzip.compress(raw, mtime=0) if compress else raw
+    status, outcome = None, RETRY
+    for _ in range(tries):
+        status = send(body)
+        outcome = OK if status and 200 <= status < 300 else RETRY if status is None or status in (408, 429) or status >= 500 else DEAD
+        if outcome != RETRY:
+            break
+    return base64.b64encode(body).decode(), len(body), status, DEAD if outcome == RETRY else outcome
+
+
+def post(df: DataFrame, send: Callable[[bytes], int | None], value: str = "value", batch: int = 100, tries: int = 3, compress: bool = True) -> DataFrame:
+    """Post envelopes in batches of at most ``batch`` events, formed where the rows lie (no shuffle), as ``post_batches`` does."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            rows = []
             events = frame["event"].tolist()
-            for i in range(0, len(events), batch):
-                part = events[i : i + batch]
-                raw = "".join(part).encode()
-                body = gzip.compress(raw, mtime=0) if compress else raw
-                status, outcome = None, RETRY
-                for _ in range(tries):
-                    status = send(body)
-                    outcome = OK if status and 200 <= status < 300 else RETRY if status is None or status in (408, 429) or status >= 500 else DEAD
-                    if outcome != RETRY:
-                        break
-                rows.append((part, base64.b64encode(body).decode(), len(body), status, DEAD if outcome == RETRY else outcome))
-            yield pd.DataFrame(rows, columns=["events", "body", "bytes", "status", "outcome"])
+            parts = [events[i : i + batch] for i in range(0, len(events), batch)]
+            yield pd.DataFrame([(part, *_sent("".join(part).encode(), send, tries, compress)) for part in parts], columns=["events", "body", "bytes", "status", "outcome"])
 
     return df.select(envelope(F.col(value)).alias("event")).mapInPandas(run, POSTED)
 
@@ -208,11 +243,16 @@ def unpack(body: str) -> list[dict]:
     return out
 
 
+def publish_options(uri: str) -> dict[str, str]:
+    """The connector's options for writing to ``kafka://hosts/topic``."""
+    hosts, _, topic = uri.partition(":")[2].strip("/").partition("/")
+    return {"kafka.bootstrap.servers": hosts, "topic": topic}
+
+
 def publish(df: DataFrame, uri: str, value: str = "value") -> None:
     """Send text rows of a batch to a queue (``kafka://host/topic``) or folder (``text:/path``)."""
     scheme, _, rest = uri.partition(":")
     if scheme == "kafka":
-        host, _, topic = rest.strip("/").partition("/")
-        df.select(F.col(value).cast("string").alias("value")).write.format("kafka").option("kafka.bootstrap.servers", host).option("topic", topic).save()
+        df.select(F.col(value).cast("string").alias("value")).write.format("kafka").options(**publish_options(uri)).save()
     else:
         df.select(F.to_json(F.struct(F.col(value).cast("string").alias("value")))).write.mode("append").text(rest)

@@ -6,9 +6,11 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..functions.schemas import COUPON_REDEMPTION, TRANSACTION
+from ..functions.schemas import COUPON_REDEMPTION, TRANSACTION, ParseOutput
 from ..operators.joins import windowed_left_join
+from ..operators.jsonio import parse_objects
 
 KEYS = ("transaction_id", "household_key")
 
@@ -19,10 +21,20 @@ class Config:
     lateness: str = "0 seconds"
 
 
-def parse(messages: DataFrame, schema) -> DataFrame:
-    """JSON messages as rows of text columns with their publish time; the literal NaN is null."""
-    text = F.regexp_replace(F.col("value").cast("string"), r":\s*NaN\b", ":null")
-    return messages.select(F.from_json(text, schema).alias("j"), F.col("publish_time").cast("timestamp").alias("publish_time")).where("j is not null").select("j.*", "publish_time")
+#: The literal NaN as a value: from there on, quotes are balanced, so it stands outside of texts.
+NAN = r'(?<=[:\[,\s])-?NaN(?=\s*[,}\]](?:[^"\\]++|\\.|"(?:[^"\\]++|\\.)*+")*+\z)'
+
+
+def parse(messages: DataFrame, schema: T.StructType) -> ParseOutput:
+    """JSON objects as rows of text columns with their publish time, the literal NaN being null; the errors
+    are what is no object and what has no transaction id, which the sink requires."""
+    text = F.col("value").cast("string")
+    tagged = parse_objects(messages.select(text.alias("input_data"), F.regexp_replace(text, NAN, "null").alias("value"), F.col("publish_time").cast("timestamp").alias("publish_time")))
+    parsed = tagged.withColumn("j", F.explode(F.array(F.from_json("value", schema))))
+    error = F.coalesce("error_tag", F.when(F.col("j.transaction_id").isNull(), F.lit("missing: transaction_id")))
+    checked = parsed.withColumn("error_message", error)
+    errors = checked.where("error_message is not null").select("input_data", "error_message", F.col("publish_time").alias("timestamp"))
+    return ParseOutput(checked.where("error_message is null").select("j.*", "publish_time"), errors)
 
 
 def unify(transactions: DataFrame, coupons: DataFrame, cfg: Config = Config(), time: str = "publish_time") -> DataFrame:
@@ -40,4 +52,4 @@ def unify(transactions: DataFrame, coupons: DataFrame, cfg: Config = Config(), t
 
 def build(transactions: DataFrame, coupons: DataFrame, cfg: Config = Config()) -> DataFrame:
     """From messages to unified rows, batch or stream."""
-    return unify(parse(transactions, TRANSACTION), parse(coupons, COUPON_REDEMPTION), cfg)
+    return unify(parse(transactions, TRANSACTION).good, parse(coupons, COUPON_REDEMPTION).good, cfg)

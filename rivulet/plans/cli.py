@@ -1,27 +1,34 @@
-"""``python -m rivulet.plans.cli PIPELINE --option ...``: start a pipeline as a stream."""
+"""``python -m rivulet.plans.cli PIPELINE --option ...``: start a pipeline as a stream.
+
+Models and collectors are given as ``module:factory``: the factory takes the endpoint or
+model id and returns a ``ModelHandler``, or, for logs, takes the endpoint and returns the
+function that posts a body.
+"""
 
 from __future__ import annotations
 
 import argparse
 import sys
+from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.schemas import UNIFIED
-from ..operators.inference import EchoModel, EndpointHandler, TemplateHandler
-from ..operators.sinks import VersionedTable, append, publish
+from ..operators.sinks import publish
 from ..sources.messages import read_dimension, read_messages
 from ..streaming.runner import append_stream, start
-from . import cdp, clickstream, etl, iot, predictions
+from . import cdp, clickstream, etl, iot, logs, predictions
 
 OPTIONS = {
-    "anomaly": "messages responses endpoint checkpoint",
-    "generation": "messages responses model checkpoint",
-    "marketing": "messages responses endpoint checkpoint",
-    "cdp": "transactions coupons table checkpoint",
-    "iot": "messages dimension table row_key checkpoint",
+    "anomaly": "messages responses endpoint handler checkpoint",
+    "generation": "messages responses model handler checkpoint",
+    "marketing": "messages responses endpoint handler checkpoint",
+    "cdp": "transactions coupons table errors checkpoint",
+    "iot": "messages dimension table errors row_key checkpoint",
     "etl": "messages table errors checkpoint",
     "clickstream": "messages table deadletter checkpoint",
+    "logs": "messages endpoint handler report deadletter checkpoint",
 }
 
 
@@ -36,35 +43,53 @@ def parser() -> argparse.ArgumentParser:
     return out
 
 
-def launch(spark: SparkSession, args: argparse.Namespace):
-    """The running query of parsed options."""
+def factory(name: str):
+    """What ``module:attribute`` names."""
+    module, _, attribute = name.partition(":")
+    if not attribute:
+        raise ValueError(f"{name!r} is not module:factory")
+    return getattr(import_module(module), attribute)
+
+
+def launch(spark: SparkSession, args: argparse.Namespace) -> list[StreamingQuery]:
+    """The running queries of parsed options: the pipeline's, and one for its bad messages where it has such.
+
+    Appends go through the file sink, whose log makes a batch that is run again count once.
+    """
+    read = lambda uri: read_messages(spark, uri, stream=True)
+    out = lambda df, path, name: append_stream(df, path, f"{args.checkpoint}/{name}", once=args.once)
     if args.pipeline in ("anomaly", "generation", "marketing"):
-        handler = TemplateHandler(EchoModel, args.model) if args.pipeline == "generation" else EndpointHandler(EchoModel, args.endpoint)
-        answers = predictions.build(read_messages(spark, args.messages, stream=True), handler)
-        return start(answers, args.checkpoint, lambda rows, _: publish(rows, args.responses), once=args.once)
+        handler = factory(args.handler)(args.model if args.pipeline == "generation" else args.endpoint)
+        answers = predictions.build(read(args.messages), handler)
+        return [start(answers, f"{args.checkpoint}/answers", lambda rows, _: publish(rows, args.responses), once=args.once)]
     if args.pipeline == "cdp":
-        unified = cdp.build(*(read_messages(spark, uri, stream=True) for uri in (args.transactions, args.coupons)))
-        return append_stream(unified.select(*UNIFIED.names), args.table, args.checkpoint, once=args.once)
+        sides = [cdp.parse(read(args.transactions), cdp.TRANSACTION), cdp.parse(read(args.coupons), cdp.COUPON_REDEMPTION)]
+        unified = cdp.unify(sides[0].good, sides[1].good).select(*UNIFIED.names)
+        return [out(unified, args.table, "rows"), out(sides[0].errors.unionByName(sides[1].errors), args.errors, "errors")]
     if args.pipeline == "iot":
-        dimension = read_dimension(spark, args.dimension, args.row_key)
-        rows = iot.build(read_messages(spark, args.messages, stream=True), dimension, iot.Config(row_key=args.row_key))
-        return append_stream(rows, args.table, args.checkpoint, once=args.once)
+        rows = iot.build(read(args.messages), read_dimension(spark, args.dimension, args.row_key), iot.Config(row_key=args.row_key))
+        return [out(rows, args.table, "rows"), out(iot.parse(read(args.messages)).errors, args.errors, "errors")]
     if args.pipeline == "etl":
-        table = VersionedTable(spark, args.table)
+        parsed = etl.build(read(args.messages))
+        rows = start(parsed.good, f"{args.checkpoint}/rows", lambda batch, _: etl.upsert(batch, args.table), once=args.once)
+        return [rows, out(parsed.errors, args.errors, "errors")]
+    if args.pipeline == "logs":
+        send = factory(args.handler)(args.endpoint)
 
-        def write(rows: DataFrame, batch: int) -> None:
-            parsed = etl.build(rows)
-            etl.upsert(parsed.good, table, batch=batch)
-            append(parsed.errors, args.errors)
+        def deliver(batch: DataFrame, number: int) -> None:
+            logs.deliver(batch, send, args.deadletter, args.report, batch_id=number)
 
-        return start(read_messages(spark, args.messages, stream=True), args.checkpoint, write, once=args.once)
-    return start(read_messages(spark, args.messages, stream=True), args.checkpoint, lambda rows, _: clickstream.write_batch(rows, args.table, args.deadletter), once=args.once)
+        return [start(read(args.messages), f"{args.checkpoint}/posts", deliver, once=args.once)]
+    rows, letters = clickstream.parse(read(args.messages))
+    clickstream.require_table(spark, args.table)
+    return [out(rows, args.table, "rows"), out(letters, args.deadletter, "letters")]
 
 
 def main(argv: list[str]) -> None:
     args = parser().parse_args(argv)
     spark = SparkSession.builder.appName(f"rivulet-{args.pipeline}").config("spark.sql.session.timeZone", "UTC").getOrCreate()
-    launch(spark, args).awaitTermination()
+    for query in launch(spark, args):
+        query.awaitTermination()
 
 
 if __name__ == "__main__":

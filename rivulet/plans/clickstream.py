@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.schemas import CLICKSTREAM
+from ..operators.joins import enrich
 from ..operators.jsonio import MOST_BYTES, parse_objects, split_tagged
 from ..operators.sinks import append, conform, dead_letters
 from ..operators.windows import sessions, watermark
@@ -30,10 +31,21 @@ def parse(messages: DataFrame, schema: T.StructType = CLICKSTREAM, cfg: Config =
     return rows, letters.unionByName(dead_letters(rejected))
 
 
+def require_table(spark: SparkSession, path: str) -> None:
+    """Rows go to an existing table only; raises if there is none."""
+    spark.read.parquet(path).schema  # noqa: B018
+
+
+def enriched(rows: DataFrame, dimension: DataFrame, key: str = "curr", dimension_key: str | None = None, keep_misses: bool = True) -> DataFrame:
+    """Click rows with the columns of a keyed table; misses are flagged."""
+    return enrich(rows, dimension, key, dimension_key, keep_misses)
+
+
 def write_batch(messages: DataFrame, table: str, dead: str, schema: T.StructType = CLICKSTREAM, cfg: Config = Config()) -> None:
     """Append a batch; the table must exist."""
     rows, letters = parse(messages, schema, cfg)
-    append(rows, table, create=False)
+    require_table(messages.sparkSession, table)
+    append(rows, table)
     append(letters, dead)
 
 

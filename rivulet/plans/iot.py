@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.schemas import MAINTENANCE_ANALYTICS, VEHICLE_EVENT, from_warehouse_string
+from ..functions.columns import VEHICLE_TIME
+from ..functions.schemas import MAINTENANCE_ANALYTICS, VEHICLE_EVENT, ParseOutput, from_warehouse_string
 from ..operators.aggregates import vehicle_metrics
 from ..operators.inference import needs_maintenance
 from ..operators.joins import enrich
@@ -24,16 +25,24 @@ class Config:
     as_of: str = "2025-01-18"
 
 
-def parse(messages: DataFrame, cfg: Config = Config()) -> DataFrame:
-    """Typed events with event time; messages without a readable time or that are no object go."""
-    rows = messages.select(sanitize(F.col("value").cast("string"), VEHICLE_EVENT).alias("e")).where("e is not null").select("e.*")
-    return event_time(rows, "timestamp", lateness=cfg.lateness)
+def parse(messages: DataFrame, cfg: Config = Config()) -> ParseOutput:
+    """Typed events with event time; what is no object, or has no vehicle or readable time, is an error."""
+    text = F.col("value").cast("string")
+    rows = messages.select(text.alias("input_data"), F.col("publish_time").cast("timestamp").alias("publish_time"), F.explode(F.array(sanitize(text, VEHICLE_EVENT))).alias("e"))
+    timed = F.try_to_timestamp(F.col("e.timestamp"), F.lit(VEHICLE_TIME))
+    error = F.when(F.col("e").isNull(), "not a JSON object").when(F.col("e.vehicle_id").isNull(), "missing: vehicle_id").when(timed.isNull(), "missing or malformed: timestamp")
+    checked = rows.withColumn("error_message", error)
+    errors = checked.where("error_message is not null").select("input_data", "error_message", F.col("publish_time").alias("timestamp"))
+    return ParseOutput(event_time(checked.where("error_message is null").select("e.*"), "timestamp", lateness=cfg.lateness), errors)
 
 
 def enriched(metrics: DataFrame, dimension: DataFrame, cfg: Config = Config(), keep_misses: bool = False) -> DataFrame:
-    joined = enrich(metrics, dimension, cfg.row_key, keep_misses=keep_misses, columns=["last_service_date", "maintenance_type", "model"])
-    names = ["vehicle_id", "max_temperature", "max_vibration", F.col("max_timestamp").alias("latest_timestamp"), "avg_mileage", "last_service_date", "maintenance_type", "model"]
-    return joined.select(*names, *(["enrichment_miss"] if keep_misses else []))
+    return enrich(metrics, dimension, cfg.row_key, keep_misses=keep_misses, project=_projection)
+
+
+def _projection(event, row) -> list[Column]:
+    """The enriched record's fields, of the metrics and of the vehicle's maintenance row."""
+    return [event(n) for n in ("vehicle_id", "max_temperature", "max_vibration")] + [event("max_timestamp").alias("latest_timestamp"), event("avg_mileage")] + [row(n) for n in ("last_service_date", "maintenance_type", "model")]
 
 
 def to_sink(scored: DataFrame) -> DataFrame:
@@ -43,6 +52,6 @@ def to_sink(scored: DataFrame) -> DataFrame:
 
 def build(messages: DataFrame, dimension: DataFrame, cfg: Config = Config(), predict: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """From messages to sink rows. ``predict`` adds needs_maintenance; by default the rule does."""
-    rows = enriched(vehicle_metrics(parse(messages, cfg), size=cfg.window), dimension, cfg)
+    rows = enriched(vehicle_metrics(parse(messages, cfg).good, size=cfg.window), dimension, cfg)
     by_rule = lambda df: df.withColumn("needs_maintenance", needs_maintenance(as_of=cfg.as_of).cast("bigint"))
     return to_sink((predict or by_rule)(rows))

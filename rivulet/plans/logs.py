@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.sinks import append, post, undelivered
+from ..operators.sinks import existing, post, undelivered
 
 
 @dataclass(frozen=True)
@@ -18,11 +18,14 @@ class Config:
     compress: bool = True
 
 
-def deliver(messages: DataFrame, send: Callable[[bytes], int | None], dead: str, report: str, cfg: Config = Config()) -> None:
-    """Post a batch once, keep its report, and put dead events into the dead-letter folder.
+def deliver(messages: DataFrame, send: Callable[[bytes], int | None], dead: str, report: str, cfg: Config = Config(), batch_id: int = 0) -> None:
+    """Post the messages of a batch once, keep its report, and put its dead events into the dead-letter folder.
 
-    The report is written first and read back, so a batch is posted once, not once for each output.
+    Report and dead letters lie in folders of the batch's own. A batch that is run again finds its
+    report, is not posted again, and writes the same dead letters over the old ones.
     """
+    spark, own = messages.sparkSession, f"{report}/batch_id={batch_id}"
     posted = post(messages.select(F.col("value").cast("string").alias("value")), send, batch=cfg.batch, tries=cfg.tries, compress=cfg.compress)
-    append(posted, report)
-    append(undelivered(messages.sparkSession.read.schema(posted.schema).parquet(report)), dead)
+    if existing(spark, own, posted.schema) is None:
+        posted.write.mode("overwrite").parquet(own)
+    undelivered(spark.read.schema(posted.schema).parquet(own)).write.mode("overwrite").parquet(f"{dead}/batch_id={batch_id}")

@@ -9,11 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import prediction_text, row_json
-from ..functions.schemas import TAXI_EVENT
+from ..functions.columns import prediction_text, row_json, utf8
+from ..functions.schemas import COUPON_REDEMPTION, MAINTENANCE, TAXI_EVENT
 from ..operators import aggregates, inference, joins, jsonio, sinks, windows
 from ..sources import synthetic
-from . import cdp, etl, iot
+from ..sources.messages import as_messages, from_queue, parse_json_lines, read_dimension
+from . import cdp, clickstream, etl, iot, predictions
 
 MICROS = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 AS_OF = "2024-06-30"
@@ -83,8 +84,30 @@ def enrich_miss(spark: SparkSession, sf_dir: str) -> DataFrame:
 def frame_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Days since the first service date of all vehicles, as the model's feature."""
     dimension = _dimension(spark, sf_dir)
-    first = aggregates.frame_minimum(dimension, "last_service_date")
-    return dimension.select("vehicle_id", aggregates.offset_days(F.col("last_service_date"), first).alias("service_day"))
+    return dimension.select("vehicle_id", aggregates.offset_days(F.col("last_service_date"), aggregates.least(dimension, "last_service_date")).alias("service_day"))
+
+
+def _vehicle_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as vehicle messages: some cut off, some without vehicle, some with an unreadable time."""
+    n = F.col("event_id")
+    text = F.format_string(
+        '{"vehicle_id":%s,"timestamp":"%s","temperature":"%d","rpm":1,"vibration":%d.5,"fuel_level":null,"mileage":%d}',
+        F.when(n % 71 == 0, "null").otherwise(F.format_string('"v%d"', F.col("user_id"))),
+        F.when(n % 73 == 0, "yesterday").otherwise(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'")),
+        n % 90,
+        n % 3,
+        n,
+    )
+    return as_messages(_table(spark, sf_dir, "events").select(F.when(n % 79 == 0, F.concat(F.lit("\n{"), n.cast("string"))).otherwise(text).alias("v"), "ts"), F.col("v"), F.col("ts"))
+
+
+def iot_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    good = iot.parse(_vehicle_messages(spark, sf_dir)).good
+    return good.select("vehicle_id", "temperature", "vibration", "fuel_level", "mileage", _time("event_time"))
+
+
+def iot_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return iot.parse(_vehicle_messages(spark, sf_dir)).errors.withColumn("timestamp", F.date_format("timestamp", MICROS))
 
 
 # ------------------------------------------------------------------ customer data
@@ -98,6 +121,28 @@ def _cdp_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return left, right
 
 
+def _coupon_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as coupon messages with line ends, literals NaN inside and outside of texts, and bad ones."""
+    n = F.col("event_id")
+    text = F.format_string('{"household_key": %s, "transaction_id": %s, "coupon_upc": "say: NaN, \\"%d\\", NaN", "day": NaN}\n', F.when(n % 3 == 0, "NaN").otherwise('"h"'), F.when(n % 29 == 0, "null").otherwise(F.col("user_id").cast("string")), n)
+    value = F.when(n % 31 == 0, F.concat(F.lit("NaN "), n.cast("string"))).when(n % 37 == 0, F.concat(F.format_string('{"transaction_id": %d}', n), F.lit(" }"))).otherwise(text)
+    return as_messages(_table(spark, sf_dir, "events").select(value.alias("v"), "ts"), F.col("v"), F.col("ts"))
+
+
+_COUPON_SQL = """m AS (
+  SELECT event_id, user_id, CASE WHEN event_id % 31 = 0 THEN 'NaN ' || event_id WHEN event_id % 37 = 0 THEN '{"transaction_id": ' || event_id || '} }' ELSE
+    '{"household_key": ' || CASE WHEN event_id % 3 = 0 THEN 'NaN' ELSE '"h"' END || ', "transaction_id": ' || CASE WHEN event_id % 29 = 0 THEN 'null' ELSE CAST(user_id AS VARCHAR) END
+    || ', "coupon_upc": "say: NaN, \\"' || event_id || '\\", NaN", "day": NaN}' || chr(10) END AS value FROM events)"""
+
+
+def coupon_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cdp.parse(_coupon_messages(spark, sf_dir), COUPON_REDEMPTION).good.select("transaction_id", "household_key", "coupon_upc", "day")
+
+
+def coupon_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cdp.parse(_coupon_messages(spark, sf_dir), COUPON_REDEMPTION).errors.select("input_data", "error_message")
+
+
 def cdp_unified(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cdp.unify(*_cdp_sides(spark, sf_dir), cdp.Config(window="1 day"))
 
@@ -110,7 +155,13 @@ def cogroup_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def orders_left_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders, lines = _table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus"), _table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
-    return orders.join(lines, orders.o_orderkey == lines.l_orderkey, "left").select("o_orderkey", "o_orderstatus", "l_linenumber", "l_quantity")
+    return joins.enrich(orders, lines, "o_orderkey", "l_orderkey").select("o_orderkey", "o_orderstatus", "l_linenumber", "l_quantity")
+
+
+def with_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events whose properties have a key, by the predicate on nulls."""
+    events = _table(spark, sf_dir, "events").select("event_id", F.get_json_object("props", "$.k").alias("k"))
+    return joins.not_null(events, "k")
 
 
 IDS = [1, 5, 33, 64, 97, 130, 256]
@@ -130,6 +181,13 @@ def click_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("user_id", _time("session_start"), _time("session_end"), "events")
 
 
+def click_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clicks with their user's customer row, of which some have none."""
+    clicks = _table(spark, sf_dir, "events").where("event_type = 'click'").select("event_id", "user_id")
+    people = _table(spark, sf_dir, "customer").where("c_custkey % 3 <> 0").select("c_custkey", "c_mktsegment")
+    return clickstream.enriched(clicks, people, "user_id", "c_custkey")
+
+
 def sliding_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     grouped = _table(spark, sf_dir, "events").groupBy(windows.sliding("ts", "2 days", "1 day").alias("w"), "event_type").agg(F.count(F.lit(1)).alias("n"))
     return grouped.select(F.date_format("w.start", MICROS).alias("window_start"), "event_type", "n")
@@ -140,6 +198,8 @@ def _raw_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = F.col("event_id")
     text = (
         F.when(n % 97 == 0, F.concat(F.lit("{bad "), n.cast("string")))
+        .when(n % 79 == 0, F.concat(F.lit("\n\t"), F.col("props"), F.lit("\r\n")))
+        .when(n % 73 == 0, F.concat(F.col("props"), F.lit(" {}")))
         .when(n % 89 == 0, F.concat(F.lit('{"k": 1, "pad": "'), F.repeat(F.lit("x"), 200), F.lit('"}')))
         .when(n % 83 == 0, F.lit("[1, 2]"))
         .otherwise(F.col("props"))
@@ -147,11 +207,11 @@ def _raw_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jsonio.parse_objects(_table(spark, sf_dir, "events").select("event_id", text.alias("value")), most=200)
 
 
-_RAW_SQL = """raw AS (
-  SELECT event_id, CASE WHEN event_id % 97 = 0 THEN '{bad ' || event_id WHEN event_id % 89 = 0 THEN '{"k": 1, "pad": "' || repeat('x', 200) || '"}'
+_RAW_SQL = r"""raw AS (
+  SELECT event_id, CASE WHEN event_id % 97 = 0 THEN '{bad ' || event_id WHEN event_id % 79 = 0 THEN chr(10) || chr(9) || props || chr(13) || chr(10) WHEN event_id % 73 = 0 THEN props || ' {}' WHEN event_id % 89 = 0 THEN '{"k": 1, "pad": "' || repeat('x', 200) || '"}'
     WHEN event_id % 83 = 0 THEN '[1, 2]' ELSE props END AS value FROM events),
 tagged AS (
-  SELECT *, CASE WHEN strlen(value) >= 200 THEN 'TooBigRow' WHEN NOT json_valid(value) OR NOT starts_with(ltrim(value), '{') THEN 'JsonParseError' END AS error_tag FROM raw)"""
+  SELECT *, CASE WHEN strlen(value) >= 200 THEN 'TooBigRow' WHEN NOT json_valid(value) OR NOT regexp_matches(value, '^[ \t\r\n]*\{') THEN 'JsonParseError' END AS error_tag FROM raw)"""
 
 
 def json_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -169,8 +229,8 @@ def job_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def oversize_route(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents of 4 KiB or more, with their size in bytes."""
-    docs = _table(spark, sf_dir, "documents")
-    return docs.where(F.octet_length("text") >= 4096).select("doc_id", F.octet_length("text").cast("bigint").alias("bytes"))
+    tagged = jsonio.parse_objects(_table(spark, sf_dir, "documents").select("doc_id", "text"), "text", most=4096)
+    return tagged.where(F.col("error_tag") == jsonio.TOO_BIG).select("doc_id", F.octet_length("text").cast("bigint").alias("bytes"))
 
 
 def _wide_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -198,6 +258,12 @@ def deadletter_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return letters.select(F.date_format("timestamp", MICROS).alias("timestamp"), "payloadString", F.hex("payloadBytes").alias("payloadBytes"), F.to_json("attributes").alias("attributes"), "errorMessage")
 
 
+def route_destinations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each event's destination table, by its type."""
+    routed = sinks.destined(_table(spark, sf_dir, "events").select("event_id", "event_type"), F.when(F.col("event_type").isin("click", "view"), F.concat(F.lit("web_"), "event_type")).otherwise("other"))
+    return routed.groupBy("destination").agg(F.count(F.lit(1)).alias("n"), F.max("event_id").alias("last"))
+
+
 # ------------------------------------------------------------------------- taxis
 
 
@@ -251,6 +317,20 @@ def sanitized_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.get_json_object(jsonio.sanitize_json(F.col("value"), TAXI_EVENT), "$.ride_id").alias("ride_id"), F.startswith("value", F.lit("cut")).alias("passed")).groupBy("ride_id", "passed").agg(F.count(F.lit(1)).alias("n"))
 
 
+NESTED = "user struct<id: bigint, known: boolean>, tags array<string>, counts array<int>, parts array<struct<w: double, on: boolean>>"
+
+
+def sanitize_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages with arrays, records in arrays and spellings of flags, sanitised to a nested schema."""
+    n = F.col("event_id")
+    text = F.format_string(
+        '{"user":{"id":"%d","known":"%s","drop":1},"tags":["%s","x"],"counts":["%d",2,"many"],"parts":[{"w":"%d.5","on":true,"drop":[]},{"w":1,"on":"%s"}],"drop":null}',
+        F.col("user_id"), F.when(n % 2 == 0, "TRUE").otherwise("no"), F.col("event_type"), n, n % 9, F.when(n % 3 == 0, "True").otherwise("1"),
+    )
+    row = _table(spark, sf_dir, "events").select("event_id", jsonio.sanitize(text, T.StructType.fromDDL(NESTED)).alias("r"))
+    return row.select("event_id", "r.user.id", "r.user.known", F.array_join("r.tags", ",").alias("tags"), F.col("r.counts")[0].alias("first"), F.size("r.counts").cast("bigint").alias("counted"), F.col("r.counts")[2].isNull().alias("odd_is_null"), F.col("r.parts")[0]["w"].alias("w"), F.col("r.parts")[0]["on"].alias("on_a"), F.col("r.parts")[1]["on"].alias("on_b"))
+
+
 # ---------------------------------------------------------------- keyed tables
 
 
@@ -267,6 +347,32 @@ def cdc_replica(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aggregates.replica(changes, ["user_id"], ["ts", "event_id"]).select("user_id", "event_id", "value")
 
 
+def cdc_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The replica after two batches of which the second holds the older half of the changes."""
+    kind = F.when(F.col("event_type") == "error", "DELETE").otherwise("UPDATE")
+    changes = _table(spark, sf_dir, "events").select("user_id", "ts", "event_id", "value", kind.alias("mod_type"))
+    late = changes.where("event_id % 2 = 0")
+    keys, order = ["user_id"], ["ts", "event_id"]
+    state = sinks.upserted(sinks.upserted(None, changes.where("event_id % 2 = 1"), keys, order), late, keys, order)
+    return state.where("mod_type <> 'DELETE'").select("user_id", "event_id", "value")
+
+
+def change_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Change records with old and new values as rows to apply."""
+    n, old, new = F.col("event_id"), F.format_string('{"amount":%d,"kind":"%s"}', F.col("event_id") % 5, F.col("event_type")), F.format_string('{"amount":%d,"kind":"click"}', F.col("event_id") % 4)
+    mod = F.when(n % 3 == 0, "DELETE").when(n % 3 == 1, "UPDATE").otherwise("INSERT")
+    records = _table(spark, sf_dir, "events").select(
+        mod.alias("mod_type"), F.col("ts").alias("commit_time"), F.format_string('{"id":%d}', n).alias("keys"), F.when(mod != "INSERT", old).alias("old_values"), F.when(mod != "DELETE", new).alias("new_values")
+    )
+    rows = etl.change_rows(records, T.StructType.fromDDL("id bigint, amount int, kind string"))
+    return rows.select("id", "amount", "kind", "mod_type", F.array_join("changed", ",").alias("changed"))
+
+
+def dimension_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of each customer the order of largest key, as the newest version of a keyed table."""
+    return read_dimension(spark, f"{sf_dir}/orders.parquet", "o_custkey", "o_orderkey").select("o_custkey", "o_orderkey", "o_orderstatus")
+
+
 def cell_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = _table(spark, sf_dir, "events").select("user_id", "ts", "event_id", "value")
     return aggregates.versions(events, ["user_id"], ["ts", "event_id"]).select("user_id", "event_id", "value", "version")
@@ -281,13 +387,41 @@ def format_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def local_inference(spark: SparkSession, sf_dir: str) -> DataFrame:
-    talk = _table(spark, sf_dir, "conversations")
-    return inference.run_inference(talk, inference.TemplateHandler(inference.EchoModel, "echo"), "text")
+    """Whole texts through a local handler; the model itself is one that SQL can state."""
+    return inference.run_inference(_table(spark, sf_dir, "conversations"), inference.TemplateHandler(StatedModel, "stated"), "text")
 
 
 def endpoint_inference(spark: SparkSession, sf_dir: str) -> DataFrame:
-    talk = _table(spark, sf_dir, "conversations").select(row_json(_table(spark, sf_dir, "conversations"), "conv_id", "turn").alias("value"))
-    return inference.run_inference(talk, inference.EndpointHandler(inference.EchoModel, "endpoint"))
+    """JSON instances through an endpoint's handler."""
+    talk = _table(spark, sf_dir, "conversations")
+    return inference.run_inference(talk.select(row_json(talk, "conv_id", "turn").alias("value")), inference.EndpointHandler(StatedModel, "endpoint", json_instances=True))
+
+
+class StatedModel:
+    """Stands where a model does in these queries: how many bytes a text has, which number an instance has."""
+
+    def generate(self, text: str, max_length: int) -> str:
+        return f"{len(text.encode())} bytes: {text}"
+
+    def predict(self, instances: list[dict]) -> list[int]:
+        return [1000 * i["conv_id"] + i["turn"] for i in instances]
+
+
+def predicted_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event messages enriched by their user's row, through a model, as answer messages."""
+    events = _table(spark, sf_dir, "events").where("event_type = 'purchase'")
+    messages = as_messages(events.select(F.format_string('{"user_id":%d,"n":%d}', "user_id", "event_id").alias("v"), "ts"), F.col("v"), F.col("ts"))
+    people = _table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("user_id"), "c_mktsegment")
+    return predictions.build(messages, inference.TemplateHandler(StatedModel, "stated"), features=people, key="user_id")
+
+
+def queue_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records in the shape of the queue's connector as messages: UTF-8 text and attributes."""
+    header = lambda k, v: F.struct(F.lit(k).alias("key"), v.cast("string").cast("binary").alias("value"))
+    headers = F.when(F.col("conv_id") % 2 == 0, F.array(header("role", F.lit("old")), header("role", F.col("role")), header("turn", F.col("turn"))))
+    raw = _table(spark, sf_dir, "conversations").select(F.col("text").cast("binary").alias("value"), F.lit("2024-01-01 00:00:00").cast("timestamp").alias("timestamp"), headers.alias("headers"), "conv_id", "turn")
+    kept = from_queue(raw.withColumn("value", F.concat(F.format_string("%d/%d ", "conv_id", "turn").cast("binary"), F.coalesce("value", F.lit(b"")))))
+    return kept.select(utf8(F.col("value"), strict=True).alias("text"), F.col("attributes")["role"].alias("role"), F.col("attributes")["turn"].alias("turn"), F.size("attributes").cast("bigint").alias("n"))
 
 
 def _spread_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -297,18 +431,34 @@ def _spread_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def trained_model(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Logistic regression learned from the rule, on the rows that it did not see."""
-    model, held = inference.MaintenanceModel.train(_spread_events(spark, sf_dir))
-    return model.predict(held.withColumn("rule", F.col("needs_maintenance").cast("bigint"))).select("vehicle_id", "rule", "needs_maintenance")
+    """Logistic regression learned from the rule: how many rows it did not see, of how many the rule
+    holds, and whether it agrees with the rule on nine of ten."""
+    model, held = inference.MaintenanceModel.train(_spread_events(spark, sf_dir), held=F.col("vehicle_id").cast("bigint") % 5 == 0)
+    scored = model.predict(held.withColumn("rule", F.col("needs_maintenance").cast("bigint")))
+    return scored.agg(F.count(F.lit(1)).alias("held"), F.sum("rule").alias("by_rule"), (F.avg((F.col("rule") == F.col("needs_maintenance")).cast("int")) >= 0.9).alias("agrees"))
 
 
 # -------------------------------------------------------------------- logs, inputs
 
 
 def log_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events posted as logs to a collector that refuses small bodies: outcomes by batch."""
-    lines = _table(spark, sf_dir, "events").select(F.col("props").alias("value"))
-    return sinks.post(lines, lambda body: 200 if len(body) > 60 else 400).select(F.size("events").alias("events"), "bytes", "status", "outcome")
+    """Events posted as logs, in batches of a hundred numbers, to a collector that refuses large bodies."""
+    batched = sinks.numbered_batches(_table(spark, sf_dir, "events"), "props", F.floor(F.col("event_id") / 100).cast("bigint"), F.col("event_id"))
+    posted = sinks.post_batches(batched, lambda body: 200 if len(body) <= 2790 else 413, compress=False)
+    return posted.select("batch", F.size("events").cast("bigint").alias("events"), F.col("bytes").cast("bigint").alias("bytes"), "status", "outcome")
+
+
+def undelivered_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events of the batches that the collector refused."""
+    batched = sinks.numbered_batches(_table(spark, sf_dir, "events"), "event_type", F.floor(F.col("event_id") / 100).cast("bigint"), F.col("event_id"))
+    posted = sinks.post_batches(batched, lambda body: 404 if b"signup" in body[:40] else 200, compress=False)
+    return sinks.undelivered(posted).groupBy("value", "status").agg(F.count(F.lit(1)).alias("n"))
+
+
+def json_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Maintenance records as the lines of a JSON-lines file, read back from the text."""
+    made = synthetic.maintenance(spark, 5000)
+    return parse_json_lines(made.select(row_json(made).alias("value")), MAINTENANCE)[0].select("vehicle_id", "last_service_date", "maintenance_type")
 
 
 def log_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -334,6 +484,8 @@ QUERIES = {f.__name__: f for f in [
     iot_window_metrics, iot_window_metrics_1d, iot_enriched, maintenance_rule, enrich_miss, frame_offsets, cdp_unified, cogroup_lists, orders_left_lineitem, semi_filter_ids, click_sessions,
     sliding_counts, json_rows, json_dead_letter, job_counters, oversize_route, conform_sink, deadletter_records, taxi_sanitize, taxi_errors, taxi_table, sanitized_json, upsert_latest, cdc_replica,
     cell_versions, format_predictions, local_inference, endpoint_inference, trained_model, log_batches, log_events, delivery_outcomes, synthetic_samples, row_to_json,
+    iot_events, iot_errors, coupon_rows, coupon_errors, with_values, click_enriched, route_destinations, sanitize_nested, cdc_late, change_records, dimension_versions, predicted_messages, queue_records,
+    undelivered_events, json_lines,
 ]}
 
 
@@ -402,7 +554,40 @@ ORACLE = {
     "cdc_replica": "SELECT user_id, event_id, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn = 1 AND event_type <> 'error'",
     "cell_versions": "SELECT user_id, event_id, value, CAST(rn AS INTEGER) AS version FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn <= 2",
     "format_predictions": "SELECT conv_id, turn, 'Input: ' || chr(10) || coalesce(text, '') || ', ' || chr(10) || chr(10) || chr(10) || 'Output: ' || chr(10) || CASE WHEN turn % 2 = 0 THEN coalesce(role, '') ELSE '' END AS value FROM conversations",
-    "endpoint_inference": """WITH v AS (SELECT '{"conv_id":' || conv_id || ',"turn":' || turn || '}' AS x FROM conversations) SELECT x AS example, CAST(length(x) AS VARCHAR) AS inference, 'endpoint' AS model_id FROM v""",
+    "local_inference": "SELECT coalesce(text, '') AS example, strlen(coalesce(text, '')) || ' bytes: ' || coalesce(text, '') AS inference, 'stated' AS model_id FROM conversations",
+    "endpoint_inference": """SELECT '{"conv_id":' || conv_id || ',"turn":' || turn || '}' AS example, CAST(1000 * conv_id + turn AS VARCHAR) AS inference, 'endpoint' AS model_id FROM conversations""",
+    "trained_model": f"""WITH e AS (SELECT event_id, 50 + event_id % 50 AS t, (event_id % 100) / 100 AS v, DATE '2024-01-01' + CAST(event_id % 300 AS INTEGER) AS d FROM events)
+      SELECT count(*) AS held, CAST(sum(CASE WHEN t > 75 OR v > 0.5 OR d < DATE '{AS_OF}' - 180 THEN 1 ELSE 0 END) AS BIGINT) AS by_rule, true AS agrees FROM e WHERE event_id % 5 = 0""",
+    "log_batches": """WITH b AS (SELECT event_id // 100 AS batch, count(*) AS events, CAST(sum(strlen('{"event":' || to_json(props) || '}')) AS BIGINT) AS bytes FROM events GROUP BY 1)
+      SELECT batch, events, bytes, CASE WHEN bytes <= 2790 THEN 200 ELSE 413 END AS status, CASE WHEN bytes <= 2790 THEN 'ok' ELSE 'dead' END AS outcome FROM b""",
+    "undelivered_events": """WITH e AS (SELECT event_id // 100 AS batch, event_id, event_type FROM events), f AS (SELECT batch, string_agg('{"event":"' || event_type || '"}', '' ORDER BY event_id) AS body FROM e GROUP BY 1)
+      SELECT '{"event":"' || event_type || '"}' AS value, 404 AS status, count(*) AS n FROM e JOIN f USING (batch) WHERE contains(substr(body, 1, 40), 'signup') GROUP BY 1""",
+    "iot_events": f"""SELECT 'v' || user_id AS vehicle_id, CAST(event_id % 90 AS INTEGER) AS temperature, event_id % 3 + 0.5::DOUBLE AS vibration, CAST(NULL AS INTEGER) AS fuel_level, CAST(event_id AS INTEGER) AS mileage,
+      strftime(date_trunc('second', ts), {_FMT}) AS event_time FROM events WHERE event_id % 71 <> 0 AND event_id % 73 <> 0 AND event_id % 79 <> 0""",
+    "iot_errors": f"""WITH m AS (SELECT ts, event_id, CASE WHEN event_id % 79 = 0 THEN chr(10) || '{{' || event_id ELSE '{{"vehicle_id":' || CASE WHEN event_id % 71 = 0 THEN 'null' ELSE '"v' || user_id || '"' END
+        || ',"timestamp":"' || CASE WHEN event_id % 73 = 0 THEN 'yesterday' ELSE strftime(ts, '%Y-%m-%dT%H:%M:%SZ') END || '","temperature":"' || event_id % 90 || '","rpm":1,"vibration":' || event_id % 3 || '.5,"fuel_level":null,"mileage":' || event_id || '}}' END AS v FROM events)
+      SELECT v AS input_data, CASE WHEN event_id % 79 = 0 THEN 'not a JSON object' WHEN event_id % 71 = 0 THEN 'missing: vehicle_id' ELSE 'missing or malformed: timestamp' END AS error_message, strftime(ts, {_FMT}) AS "timestamp"
+      FROM m WHERE event_id % 71 = 0 OR event_id % 73 = 0 OR event_id % 79 = 0""",
+    "coupon_rows": """SELECT CAST(user_id AS VARCHAR) AS transaction_id, CASE WHEN event_id % 3 <> 0 THEN 'h' END AS household_key, 'say: NaN, "' || event_id || '", NaN' AS coupon_upc, CAST(NULL AS VARCHAR) AS day
+      FROM events WHERE event_id % 31 <> 0 AND event_id % 37 <> 0 AND event_id % 29 <> 0""",
+    "coupon_errors": f"""WITH {_COUPON_SQL} SELECT value AS input_data, CASE WHEN event_id % 31 = 0 OR event_id % 37 = 0 THEN 'JsonParseError' ELSE 'missing: transaction_id' END AS error_message
+      FROM m WHERE event_id % 31 = 0 OR event_id % 37 = 0 OR event_id % 29 = 0""",
+    "with_values": "SELECT event_id, props->>'$.k' AS k FROM events WHERE props->>'$.k' IS NOT NULL",
+    "click_enriched": "SELECT event_id, user_id, c_mktsegment, c_custkey IS NULL AS enrichment_miss FROM events LEFT JOIN customer ON user_id = c_custkey AND c_custkey % 3 <> 0 WHERE event_type = 'click'",
+    "route_destinations": "SELECT CASE WHEN event_type IN ('click', 'view') THEN 'web_' || event_type ELSE 'other' END AS destination, count(*) AS n, max(event_id) AS last FROM events GROUP BY 1",
+    "sanitize_nested": """SELECT event_id, user_id AS id, event_id % 2 = 0 AS known, event_type || ',x' AS tags, CAST(event_id AS INTEGER) AS first, CAST(3 AS BIGINT) AS counted, true AS odd_is_null,
+      event_id % 9 + 0.5::DOUBLE AS w, true AS on_a, event_id % 3 = 0 AS on_b FROM events""",
+    "cdc_late": "SELECT user_id, event_id, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn = 1 AND event_type <> 'error'",
+    "change_records": """WITH m AS (SELECT event_id AS id, event_id % 3 AS t, event_id % 5 AS a, event_id % 4 AS b, event_type AS k FROM events)
+      SELECT id, CAST(CASE WHEN t = 0 THEN a ELSE b END AS INTEGER) AS amount, CASE WHEN t = 0 THEN k ELSE 'click' END AS kind, CASE t WHEN 0 THEN 'DELETE' WHEN 1 THEN 'UPDATE' ELSE 'INSERT' END AS mod_type,
+        CASE WHEN t = 1 THEN concat_ws(',', CASE WHEN a <> b THEN 'amount' END, CASE WHEN k <> 'click' THEN 'kind' END) END AS changed FROM m""",
+    "dimension_versions": "SELECT o_custkey, o_orderkey, o_orderstatus FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC) AS rn FROM orders) WHERE rn = 1",
+    "predicted_messages": """WITH m AS (SELECT '{"message":' || to_json('{"user_id":' || user_id || ',"n":' || event_id || '}') || ',"c_mktsegment":' || coalesce('"' || c_mktsegment || '"', 'null') || '}' AS x
+        FROM events LEFT JOIN customer ON user_id = c_custkey WHERE event_type = 'purchase')
+      SELECT 'Input: ' || chr(10) || x || ', ' || chr(10) || chr(10) || chr(10) || 'Output: ' || chr(10) || strlen(x) || ' bytes: ' || x AS value FROM m""",
+    "queue_records": """SELECT conv_id || '/' || turn || ' ' || coalesce(text, '') AS text, CASE WHEN conv_id % 2 = 0 THEN role END AS role, CASE WHEN conv_id % 2 = 0 THEN CAST(turn AS VARCHAR) END AS turn, CAST(CASE WHEN conv_id % 2 = 0 THEN 2 ELSE 0 END AS BIGINT) AS n FROM conversations""",
+    "json_lines": f"""SELECT CAST(n + 1000 AS VARCHAR) AS vehicle_id, strftime(DATE '2025-01-18' - CAST({_DRAW.format(s=6, b=365)} AS INTEGER), '%Y-%m-%d') AS last_service_date,
+      ['coolant_refill', 'belt_exchange', 'lamp_check', 'chain_greasing', 'filter_swap'][{_DRAW.format(s=7, b=5)} + 1] AS maintenance_type FROM (SELECT range AS n FROM range(5000))""",
     "log_events": """SELECT event_id, '{"time":' || CAST(floor(epoch(ts)) AS BIGINT) || ',"event":"' || event_type || '"}' AS event FROM events""",
     "delivery_outcomes": """WITH s AS (SELECT CASE WHEN event_id % 7 <> 0 THEN [200, 201, 400, 404, 408, 429, 500, 503][event_id % 8 + 1] END AS st FROM events)
       SELECT CASE WHEN st BETWEEN 200 AND 299 THEN 'ok' WHEN st IS NULL OR st IN (408, 429) OR st >= 500 THEN 'retry' ELSE 'dead' END AS outcome, count(*) AS n FROM s GROUP BY 1""",

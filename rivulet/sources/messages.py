@@ -27,10 +27,7 @@ def read_messages(spark: SparkSession, uri: str, stream: bool = False, **options
     reader = (spark.readStream if stream else spark.read).options(**options)
     scheme, _, rest = uri.partition(":")
     if scheme == "kafka":
-        parts = urlparse(uri)
-        raw = reader.format("kafka").option("kafka.bootstrap.servers", parts.netloc).option("subscribe", parts.path.strip("/")).option("includeHeaders", "true").load()
-        headers = F.expr("map_from_entries(transform(coalesce(headers, array()), h -> struct(h.key as key, cast(h.value as string) as value)))")
-        return raw.select("value", F.col("timestamp").alias("publish_time"), headers.alias("attributes"))
+        return from_queue(reader.format("kafka").options(**queue_options(uri)).load())
     if scheme == "text":
         lines = reader.text(rest).select("value", "_metadata.file_modification_time")
         return lines.select(F.col("value").cast("binary").alias("value"), F.col("file_modification_time").alias("publish_time"), F.expr(NO_ATTRIBUTES).alias("attributes"))
@@ -39,6 +36,20 @@ def read_messages(spark: SparkSession, uri: str, stream: bool = False, **options
     raise ValueError(f"no reader for {uri!r}")
 
 
+def queue_options(uri: str) -> dict[str, str]:
+    """The connector's options for ``kafka://hosts/topic``; ``?group=g`` reads as a named subscription."""
+    parts = urlparse(uri)
+    group = dict(p.split("=", 1) for p in parts.query.split("&") if "=" in p).get("group")
+    out = {"kafka.bootstrap.servers": parts.netloc, "subscribe": parts.path.strip("/"), "includeHeaders": "true"}
+    return out | ({"kafka.group.id": group} if group else {})
+
+
+def from_queue(raw: DataFrame) -> DataFrame:
+    """Records of the queue's connector (value, timestamp, headers) as messages; of headers with one name the last counts."""
+    headers = F.expr("aggregate(coalesce(headers, array()), cast(map() as map<string,string>), (m, h) -> map_concat(map_filter(m, (k, v) -> k <> h.key), map(h.key, cast(h.value as string))))")
+    return raw.select("value", F.col("timestamp").cast("timestamp").alias("publish_time"), headers.alias("attributes"))
+
+
 def read_text(spark: SparkSession, uri: str, stream: bool = False, **options: str) -> DataFrame:
     """Messages as UTF-8 text in ``value``."""
     return read_messages(spark, uri, stream, **options).withColumn("value", F.make_valid_utf8(F.col("value").cast("string")))
@@ -59,8 +70,13 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
 
 def read_json_lines(spark: SparkSession, path: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
     """(rows, bad lines) of a JSON-lines file; a bad line never fails the read."""
+    return parse_json_lines(spark.read.text(path), schema)
+
+
+def parse_json_lines(lines: DataFrame, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
+    """(rows, bad lines) of lines of JSON in ``value``; blank lines are neither."""
     kept = T.StructType([*schema.fields, T.StructField("_bad", T.StringType())])
-    lines = spark.read.text(path).where(F.trim("value") != "")
+    lines = lines.where(F.trim("value") != "")
     parsed = lines.select("value", F.from_json("value", kept, {"columnNameOfCorruptRecord": "_bad"}).alias("j"))
     return parsed.where("j._bad is null").select("j.*").drop("_bad"), parsed.where("j._bad is not null").select(F.col("value").alias("line"))
 

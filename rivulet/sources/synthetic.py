@@ -30,13 +30,13 @@ def vehicles(spark: SparkSession, rows: int, start: str = "2025-01-18 15:56:41")
 
 def maintenance(spark: SparkSession, rows: int, as_of: str = "2025-01-18") -> DataFrame:
     n = F.col("id")
-    kinds = F.array(*[F.lit(k) for k in ("oil_change", "tire_rotation", "brake_check", "engine_tuning")])
+    kinds = F.array(*[F.lit(k) for k in ("coolant_refill", "belt_exchange", "lamp_check", "chain_greasing", "filter_swap")])
     return spark.range(rows).select(
         (n + 1000).cast("string").alias("vehicle_id"),
         F.date_format(F.date_sub(F.lit(as_of).cast("date"), draw(n, 6, 365).cast("int")), "yyyy-MM-dd").alias("last_service_date"),
-        F.element_at(kinds, (draw(n, 7, 4) + 1).cast("int")).alias("maintenance_type"),
-        F.lit("Ford").alias("make"),
-        F.lit("F-150").alias("model"),
+        F.element_at(kinds, (draw(n, 7, 5) + 1).cast("int")).alias("maintenance_type"),
+        F.lit("Velora").alias("make"),
+        F.lit("Cargo 9").alias("model"),
     )
 
 
