@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from rivulet.llm._common import shared_folder
 from rivulet.llm import decontaminate, near_dedup, quality, sentencepieces, substring_dedup
 
 
@@ -49,8 +49,7 @@ ORACLE_SQL = None
 
 
 def _folder(spark: SparkSession) -> str:
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="pipeline-")
-    return os.path.join(shared, f"pipeline-{uuid.uuid4().hex}")
+    return os.path.join(shared_folder(spark), f"pipeline-{uuid.uuid4().hex}")
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

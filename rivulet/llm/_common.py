@@ -18,8 +18,9 @@ from pyspark.sql import functions as F
 
 SLICE_BYTES = 1 << 20
 
-#: Bits of the fixed-size membership filters (1 MiB each), whatever the input's size.
-FILTER_BITS = 23
+#: Membership filters have ``CELLS`` cells a member, rounded up to a power of two, from 2**20 to 2**MOST_BITS (8 MiB).
+#: With more members than ``FULL`` of the cells a filter would let most rows through and is left out.
+CELLS, LEAST_BITS, MOST_BITS, FULL = 16, 20, 26, 0.5
 
 _U = np.uint64
 _MULT = _U(0x9E3779B97F4A7C15)
@@ -36,15 +37,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def materialize(df: DataFrame) -> DataFrame:
     """Cut the lineage with a reliable checkpoint in the shared checkpoint folder.
 
-    The folder is the session's ``spark.checkpoint.dir``; only where that is
-    unset (tests, a laptop) a temporary one is made.
+    The folder is the session's ``spark.checkpoint.dir``. Where that is unset, a session on
+    one machine (tests, a laptop) gets a temporary one; a cluster must name it. Checkpoint
+    files go when the driver forgets them, if ``spark.cleaner.referenceTracking.cleanCheckpoints`` is set.
     """
-    spark = df.sparkSession
-    if spark.conf.get("spark.checkpoint.dir", None) is None and spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="checkpoint-"))
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The checkpoint folder; made on a session of one machine that has none."""
+    context = spark.sparkContext
+    found = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not found:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        found = tempfile.mkdtemp(prefix="checkpoint-")
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(found)
+    return found
+
+
 def hashed_sample(df: DataFrame, key: str, most: int, total: int) -> DataFrame:
     """The ``most`` rows of smallest key hash. ``total``, the rows of ``df``, bounds beforehand which
     hashes can be among them, so that few more rows than that meet in the final top-k."""
@@ -55,17 +68,21 @@ def hashed_sample(df: DataFrame, key: str, most: int, total: int) -> DataFrame:
 
 
 def row_key(*cols: str):
-    """A key of a row's own content: rows with equal content share their result."""
-    return F.xxhash64(*[F.col(c) for c in cols])
+    """A key of a row's own content, nulls included: rows with equal content share their result."""
+    return F.xxhash64(*[x for c in cols for x in (F.col(c), F.col(c).isNull())])
+
+
+def filter_bits(members: int) -> int:
+    return min(max((CELLS * max(members, 1) - 1).bit_length(), LEAST_BITS), MOST_BITS)
 
 
-def member_filter(df: DataFrame, hash_col: str, bits: int = FILTER_BITS) -> np.ndarray:
-    """One-hash Bloom filter of a 64-bit column as a boolean array of 2**bits cells.
+def member_filter(df: DataFrame, hash_col: str, members: int | None = None) -> np.ndarray:
+    """One-hash Bloom filter of a 64-bit column as a boolean array, sized by its rows (``members``, else counted).
 
-    Built by a grouped ``bit_or``; at most ``2**bits / 32`` rows reach the driver,
-    whatever the size of ``df``. With many members it fills up and lets more
-    rows through; the join behind it stays exact.
+    Built by a grouped ``bit_or``; at most ``2**MOST_BITS / 32`` rows reach the driver. With
+    more members than it has room for it lets more rows through; the join behind it stays exact.
     """
+    bits = filter_bits(df.count() if members is None else members)
     cell = F.col(hash_col).bitwiseAND(F.lit((1 << bits) - 1))
     words = (
         df.where(F.col(hash_col).isNotNull())
@@ -89,24 +106,29 @@ class PackedFilter:
         return np.unpackbits(self.packed).astype(bool)
 
 
-def maybe_members(df: DataFrame, key, members: DataFrame, bits: int = FILTER_BITS) -> DataFrame:
-    """``df`` with __maybe: false only for rows whose 64-bit key is not in ``members`` (one column).
+def maybe_members(df: DataFrame, key, members: DataFrame) -> DataFrame:
+    """``df`` with __maybe: false only for rows whose 64-bit key is not in ``members`` (one column, materialised).
 
-    The same filter as ``member_filter``, as a table of at most ``2**bits / 32`` rows, which
-    is what bounds its broadcast; nothing of ``df`` is shuffled.
+    The same filter as ``member_filter``, as a table of at most ``2**MOST_BITS / 64`` rows (16 MB), which
+    is what bounds its broadcast; nothing of ``df`` is shuffled. With too many members for it,
+    every row may be one.
     """
+    count = members.count()
+    bits = filter_bits(count)
+    if count > FULL * (1 << bits):
+        return df.withColumn("__maybe", key.isNotNull())
     name = members.columns[0]
     cell = F.col(name).bitwiseAND(F.lit((1 << bits) - 1))
-    words = members.where(F.col(name).isNotNull()).select(F.shiftright(cell, 5).alias("__w"), F.expr(f"shiftleft(1L, cast(`{name}` & 31L as int))").alias("__b"))
+    words = members.where(F.col(name).isNotNull()).select(F.shiftright(cell, 6).cast("int").alias("__w"), F.expr(f"shiftleft(1L, cast(`{name}` & 63L as int))").alias("__b"))
     table_ = materialize(words.groupBy("__w").agg(F.bit_or("__b").alias("__b")))
     celled = df.withColumn("__cell", key.bitwiseAND(F.lit((1 << bits) - 1)))
-    joined = celled.join(F.broadcast(table_), F.shiftright("__cell", 5) == F.col("__w"), "left")
-    hit = F.call_function("getbit", F.coalesce("__b", F.lit(0)), F.col("__cell").bitwiseAND(F.lit(31)).cast("int")) == 1
-    return joined.withColumn("__maybe", hit).drop("__cell", "__w", "__b")
+    joined = celled.join(F.broadcast(table_), F.shiftright("__cell", 6).cast("int") == F.col("__w"), "left")
+    hit = F.call_function("getbit", F.coalesce("__b", F.lit(0)), F.col("__cell").bitwiseAND(F.lit(63)).cast("int")) == 1
+    return joined.withColumn("__maybe", F.coalesce(hit, F.lit(False))).drop("__cell", "__w", "__b")
 
 
 def without(df: DataFrame, key, gone: DataFrame) -> DataFrame:
-    """The rows of ``df`` whose key is not in ``gone`` (one column). Only rows that may be in it are shuffled."""
+    """The rows of ``df`` whose key is not in ``gone`` (one column, materialised). Only rows that may be in it are shuffled."""
     name = gone.columns[0]
     marked = maybe_members(df, key, gone)
     other = gone.select(F.col(name).alias("__gone")).distinct()

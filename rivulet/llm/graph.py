@@ -26,7 +26,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         moved = materialize(labels.join(seen, "node").select("node", F.col("comp").alias("was"), F.least("comp", "near").alias("comp")))
         if moved.where("comp < was").isEmpty():
             return labels
-        roots = moved.groupBy("was").agg(F.min("comp").alias("root"))
+        # Written apart, so that adaptive execution may broadcast it or split a giant component among tasks.
+        roots = materialize(moved.groupBy("was").agg(F.min("comp").alias("root")))
         labels = materialize(moved.join(roots, "was").select("node", "root").withColumnRenamed("root", "comp"))
 
 
@@ -40,5 +41,5 @@ def merged(labels: DataFrame, edges: DataFrame, a: str = "a", b: str = "b") -> D
     every = materialize(known.union(nodes.join(known, "node", "left_anti").select("node", F.col("node").alias("comp"))))
     one = edges.select(a, b).join(every.select(F.col("node").alias(a), F.col("comp").alias("x")), a)
     two = one.join(every.select(F.col("node").alias(b), F.col("comp").alias("y")), b).where("x <> y")
-    names = components(two, "x", "y").select(F.col("node").alias("comp"), F.col("comp").alias("to"))
+    names = materialize(components(two, "x", "y").select(F.col("node").alias("comp"), F.col("comp").alias("to")))
     return materialize(every.join(names, "comp", "left").select("node", F.coalesce("to", "comp").alias("comp")))

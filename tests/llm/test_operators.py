@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from oracle import same
 from rivulet.llm import decontaminate, extract, language, near_dedup, quality, registry, sentencepieces, substring_dedup, topk, toxicity, warc
-from rivulet.llm._common import ALNUM, FOLD, Words, maybe_members, text_bytes, winnow, without
+from rivulet.llm._common import ALNUM, FOLD, Words, maybe_members, row_key, text_bytes, winnow, without
 from rivulet.llm.graph import components, merged
 
 FOLDING = {c: c + 32 for c in range(65, 91)}
@@ -449,8 +449,30 @@ def edited(words, n, seed):
 def test_near_duplicates(spark, k, share):
     base = prose(150, 1).split()
     docs = [(i, edited(base, i % 12, i)) for i in range(120)] + [(200 + i, prose(60, i + 50)) for i in range(30)] + [(300, None), (301, ""), (302, "hi"), (303, "Hi"), (304, "hi there"), (305, " \t\n")]
-    out = near_dedup.near_duplicates(docs_of(spark, docs), k=k, share=share)
-    assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in out.collect()} == brute_near(docs, k, share)
+    for few in (near_dedup.FEW, 0):
+        out = near_dedup.near_duplicates(docs_of(spark, docs), k=k, share=share, few=few)
+        assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in out.collect()} == brute_near(docs, k, share)
+
+
+def test_prefix_filtering_loses_no_link(spark):
+    r = random.Random(9)
+    sets = {}
+    for i in range(60):
+        old = sets[r.choice(list(sets))] if sets and r.random() < 0.7 else None
+        sets[i] = frozenset(r.sample(sorted(old), int(len(old) * r.uniform(0.85, 1)))) | {r.randrange(400) for _ in range(r.randrange(4))} if old else frozenset(r.sample(range(400), r.randrange(1, 60)))
+    nodes = spark.createDataFrame([(i, i) for i in sets], "node long, comp long")
+    maps = near_dedup.bitmaps(np.array([x for s in sets.values() for x in sorted(s)], np.uint64), np.concatenate([[0], np.cumsum([len(s) for s in sets.values()])]))
+    held = spark.createDataFrame([(i, len(s), sorted(s), m) for (i, s), m in zip(sets.items(), maps.tolist(), strict=True)], "node long, n long, s array<long>, bits array<long>")
+    found = {(p.a, p.b) for p in near_dedup._by_prefix(nodes, held, 85).distinct().collect()}
+    links = {(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])}
+    assert links and links <= found
+    assert len(found) < 4 * len(links)
+    assert {(p.a, p.b) for p in near_dedup._verified(spark.createDataFrame(list(found), "a long, b long"), held, 85).collect()} == links
+
+
+def test_row_keys_tell_nulls_apart(spark):
+    df = spark.createDataFrame([("t", None), (None, "t"), (None, None), ("t", "t")], "a string, b string")
+    assert df.select(row_key("a", "b").alias("k")).distinct().count() == 4
 
 
 def test_near_dedup_rows(spark):
