@@ -128,7 +128,7 @@ def test_repeated_passages(spark):
     docs = [(1, prose(200, 1) + " " + " ".join(p) + " " + prose(100, 2)), (2, prose(150, 3) + " " + " ".join(p)), (3, " ".join(fuzzy) + " " + prose(90, 4)), (4, prose(300, 5)), (5, None), (6, ""), (7, prose(20, 1))]
     rows = substring_dedup.passages(docs_of(spark, docs)).collect()
     spans = [(r.after - r.first, r.matched) for r in rows]
-    assert len(rows) == 2
+    assert len(rows) == 3  # each pair of the three holders
     assert all(n >= 50 and m >= 0.8 * n for n, m in spans)
     cut = {r.doc_id: r.text for r in substring_dedup.cut(docs_of(spark, docs)).collect()}
     assert set(cut) == {1, 2, 3, 4, 5, 6, 7}
@@ -146,27 +146,6 @@ def test_whole_copies_go_and_repeated_rows_stay(spark):
     assert substring_dedup.cut(df.limit(0)).count() == 0
 
 
-def test_chaining_is_optimal_on_small_cases():
-    r = random.Random(3)
-    for _ in range(50):
-        n = r.randrange(2, 8)
-        s = np.array(sorted(r.sample(range(60), n)))
-        o = np.array([r.randrange(60) for _ in range(n)])
-        z = np.array([5] * n)
-        path = substring_dedup.chains(s, o, z)[0]
-
-        def total(path):
-            gaps = [(s[b] - s[a] - z[a], o[b] - o[a] - z[a]) for a, b in zip(path, path[1:], strict=False)]
-            if any(g < 0 or h < 0 for g, h in gaps):
-                return -1e9
-            return sum(z[i] for i in path) - substring_dedup.GAP_COST * sum(g + h for g, h in gaps)
-
-        best = max(total([i for i in range(n) if mask >> i & 1]) for mask in range(1, 1 << n))
-        assert total(path) >= min(best, total(path)) and total(path) > 0
-        if all(g <= substring_dedup.MOST_GAP for g in [60]):
-            assert abs(total(path) - best) < 1e-9
-
-
 def uncovered_windows(docs, rows, size=50):
     """Windows of ``size`` words that a document of smaller key holds and no passage covers."""
     texts = {r.key: alnum(r.text) for r in docs.select(substring_dedup.row_key("doc_id", "text").alias("key"), "text").collect()}
@@ -204,6 +183,41 @@ def test_two_lone_seeds_on_different_diagonals_are_chained(spark):
     assert [(r.key, r.other, r.first, r.after, r.o_first, r.o_after) for r in found] == [(1, 2, 10, 27, 50, 68)]
 
 
+def test_recall_on_edited_passages(spark):
+    """Passages of 70 words of which a tenth differ in the end, in documents that also hold short common lines."""
+    r = random.Random(12)
+    lines = [prose(9, 500 + i) for i in range(5)]
+    rows, planted = [], []
+    for i in range(40):
+        p = prose(70, 600 + i).split()
+        for j in range(2):
+            words = [w if r.random() > 0.03 else f"e{r.randrange(10**6)}" for w in p]
+            words = [w for w in words if r.random() > 0.015]
+            rows.append((2 * i + j, f"{prose(60, 700 + 2 * i + j)} {r.choice(lines)} {' '.join(words)} {r.choice(lines)} {prose(40, 900 + 2 * i + j)}"))
+        planted.append({2 * i, 2 * i + 1})
+    docs = docs_of(spark, rows, extra=False)
+    ids = {x.key: x.doc_id for x in docs.select(row_key("doc_id", "text").alias("key"), "doc_id").collect()}
+    found = [{ids[x.key], ids[x.other]} for x in substring_dedup.passages(docs).collect()]
+    assert sum(p in found for p in planted) >= 0.9 * len(planted)
+    assert all(f in planted for f in found)
+
+
+def test_passages_whose_seeds_are_first_held_elsewhere(spark):
+    """Edited copies of which every third word run also stands in documents of its own."""
+    p = prose(80, 31).split()
+    one, two = list(p), list(p)
+    for i in (13, 40, 66):
+        one[i] = f"x{i}"
+    rows = [(i, f"{prose(20, 300 + i)} {' '.join(p[8 * i : 8 * i + 14])} {prose(20, 340 + i)}") for i in range(9)] + [(100, " ".join(one)), (101, " ".join(two))]
+    docs = docs_of(spark, rows, extra=False)
+    ids = {x.key: x.doc_id for x in docs.select(row_key("doc_id", "text").alias("key"), "doc_id").collect()}
+    order = [d for _, d in sorted(ids.items())]
+    found = [{ids[x.key], ids[x.other]} for x in substring_dedup.passages(docs).collect()]
+    if order.index(100) in (0, len(order) - 1) or order.index(101) in (0, len(order) - 1):
+        assert {100, 101} in found
+    assert all(f == {100, 101} for f in found)
+
+
 def test_runs_of_twelve_words_share_a_seed(spark):
     run = prose(12, 77)
     for n in range(20):
@@ -241,6 +255,18 @@ def test_chaining_is_optimal_under_the_gap_limit():
     # A long passage out of reach does not hide the near fragments that follow it.
     s, o, z = np.array([0, 230, 240, 250]), np.array([0, 235, 246, 257]), np.array([200, 5, 5, 5])
     assert [1, 2, 3] in substring_dedup.chains(s, o, z)
+    assert [1, 2] in substring_dedup.chains(np.array([0, 260, 270]), np.array([0, 260, 270]), np.array([200, 5, 40]))
+    for _ in range(20):  # the trees against a plain search
+        n = r.randrange(20, 120)
+        s, o = np.array(sorted(r.sample(range(600), n))), np.array([r.randrange(600) for _ in range(n)])
+        z = np.array([r.choice([5, 6, 9]) for _ in range(n)])
+        score = [float(x) for x in z]
+        for j in range(n):
+            for i in range(n):
+                g, h = s[j] - s[i] - z[i], o[j] - o[i] - z[i]
+                if 0 <= g <= substring_dedup.MOST_GAP and 0 <= h <= substring_dedup.MOST_GAP:
+                    score[j] = max(score[j], z[j] + score[i] - substring_dedup.GAP_COST * (g + h))
+        assert abs(total(substring_dedup.chains(s, o, z)[0], s, o, z) - max(score)) < 1e-9
 
 
 # ------------------------------------------------------------------------ 3 WARC
