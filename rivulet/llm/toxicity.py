@@ -3,12 +3,14 @@
 Words that look disguised (signs or digits among letters, letters drawn out,
 letters spaced out) become a lattice: a sign may stand for the letters it
 resembles, be a separator or be itself; a run of one letter may be one, two or
-all of its letters. A Viterbi search under a character trigram model, counted over
-all documents, picks the most likely reading. Words that have a single reading are
-their own. The restored words, beside the others, are then scored.
+all of its letters; between letters that are spaced out a word may end. A Viterbi
+search over all states of the lattice, the two bytes before, picks the most likely
+reading under a character trigram model of exact counts over all documents. Words
+that have a single reading are their own. The restored words, beside the others, are
+then scored.
 
 The scorer is learned from labelled rows outside the held-out fold, from at most
-``MOST_TOXIC`` and ``MOST_CLEAN`` rows of smallest id hash: word features (the
+``most_toxic`` and ``most_clean`` rows of smallest id hash: word features (the
 word and its first 4, 5 and 6 bytes) that are far more frequent in toxic
 documents, by document counts, and a logistic calibration of their sum, largest
 weight and density, fitted on a quarter of the sample that the counts don't see.
@@ -16,11 +18,13 @@ weight and density, fitted on a quarter of the sample that the counts don't see.
 Defined results: a null or empty text has the score of a text without any learned
 word; with no labelled rows of either class the score is the rate of label 1 (0.5
 without labels); rows with a null id teach nothing and aren't held out; repeated
-rows are each answered; columns beside id and text are ignored.
+rows are each answered, repeated labels count as often as they occur; words of any
+length are read whole; columns beside id and text are ignored, in labels too.
 """
 
 from __future__ import annotations
 
+import uuid
 from functools import lru_cache
 
 import numpy as np
@@ -35,7 +39,6 @@ FOLDS, HELD_OUT = 5, 0
 MOST_TOXIC, MOST_CLEAN = 4_000, 8_000
 LEAST_DOCS = 4
 LEAST_LOG_ODDS = 1.5
-LM_CELLS = 1 << 16
 
 #: The letters that a sign or digit resembles.
 LOOKALIKES = {
@@ -44,8 +47,10 @@ LOOKALIKES = {
 }
 #: Signs that can separate the letters of one word, or hide one.
 SEPARATORS = set(".-_*'~^:/\\,;")
-COST_LOOKALIKE, COST_SEPARATOR, COST_SIGN, COST_RUN = 0.8, 0.7, 6.0, 0.5
-LONGEST = 400  # a longer disguised word is read in pieces of so many signs
+COST_LOOKALIKE, COST_SEPARATOR, COST_SIGN, COST_RUN, COST_BOUNDARY = 0.8, 0.7, 6.0, 0.5, 1.0
+#: Stands between letters that are spaced out, where a word may end.
+BETWEEN = "\x1f"
+MOST_REMEMBERED = 64  # longest word that a worker remembers the reading of
 
 _LETTERS = np.zeros(256, dtype=bool)
 _LETTERS[0x41:0x5B] = _LETTERS[0x61:0x7B] = _LETTERS[0x80:] = True
@@ -53,72 +58,78 @@ _LOOKS = np.zeros(256, dtype=bool)
 _LOOKS[[ord(c) for c in LOOKALIKES if ord(c) < 128]] = True
 _SEPARATES = np.zeros(256, dtype=bool)
 _SEPARATES[[ord(c) for c in SEPARATORS]] = True
+#: Look-alikes that are no punctuation, and so count at the ends of words too.
+_FIRM = np.zeros(256, dtype=bool)
+_FIRM[[ord(c) for c in "0123456789@$"]] = True
+#: Symbols of the character model: letters, bytes of other characters, and 0 for all else.
+_SYMBOL = np.zeros(256, dtype=np.int64)
+_SYMBOL[0x61:0x7B] = _SYMBOL[0x41:0x5B] = np.arange(1, 27)
+_SYMBOL[0x80:] = np.arange(27, 155)
+SYMBOLS = 155
 
 
 # ------------------------------------------------------------ character model
 
 
-def _lm_codes(data: np.ndarray, offsets: np.ndarray, size: int) -> np.ndarray:
-    """Cells of the byte n-grams of lower-cased letters and spaces."""
-    d = np.where(_LETTERS, FOLD, 0x20).astype(np.uint32)[data[offsets[0] : offsets[-1]]]
+def _trigrams(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Codes of the symbol trigrams that lie in one text."""
+    d = _SYMBOL[data[offsets[0] : offsets[-1]]]
     text = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
-    n = len(d) - size + 1
-    if n <= 0:
+    if len(d) < 3:
         return np.zeros(0, np.int64)
-    code = d[:n].copy()
-    for j in range(1, size):
-        code = (code << np.uint32(8)) | d[j : n + j]
-    return _cell(code[text[:n] == text[size - 1 :]], size)
+    code = (d[:-2] * SYMBOLS + d[1:-1]) * SYMBOLS + d[2:]
+    return code[text[:-2] == text[2:]]
 
 
-def _cell(code: np.ndarray, size: int) -> np.ndarray:
-    if size == 3:
-        code = (code.astype(np.uint32) * np.uint32(2654435761)) >> np.uint32(16)
-    return code.astype(np.int64) & (LM_CELLS - 1)
-
-
-def character_counts(docs: DataFrame, text: str) -> np.ndarray:
-    """Counts of byte pairs and (hashed) triples of all texts: 2 x LM_CELLS cells."""
+def character_counts(docs: DataFrame, text: str):
+    """Broadcast of (name, codes, counts) of the symbol trigrams of all texts, exact; ``SYMBOLS`` ** 3 = 3.7 million codes at most."""
 
     def count(batches):
-        total = np.zeros((2, LM_CELLS), dtype=np.int64)
+        total = np.zeros(SYMBOLS**3, dtype=np.int64)
         for batch in batches:
             data, offsets = text_bytes(batch.column(0))
             for a, b in slices(offsets):
-                for size in (2, 3):
-                    total[size - 2] += np.bincount(_lm_codes(data, offsets[a : b + 1], size), minlength=LM_CELLS)
-        kind, cell = np.nonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(kind * LM_CELLS + cell), pa.array(total[kind, cell])], names=["cell", "n"])
+                codes, n = np.unique(_trigrams(data, offsets[a : b + 1]), return_counts=True)
+                total[codes] += n
+        code = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(code), pa.array(total[code])], names=["code", "n"])
 
     rows = docs.where(F.col(text).isNotNull()).select(F.col(text).cast("string").alias("text"))
-    found = rows.mapInArrow(count, "cell bigint, n bigint").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
-    out = np.zeros(2 * LM_CELLS)
-    out[found.column("cell").to_numpy()] = found.column("n").to_numpy()
-    return out.reshape(2, LM_CELLS)
+    found = rows.mapInArrow(count, "code bigint, n bigint").groupBy("code").agg(F.sum("n").alias("n")).toArrow()
+    return docs.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, found.column("code").to_numpy().astype(np.int32), found.column("n").to_numpy()))
 
 
 class Decoder:
-    """Viterbi readings under -log P(byte | two bytes before), with memory for repeated words."""
-
-    def __init__(self, counts: np.ndarray):
-        self.cost = -np.log((counts[1] + 0.01) / (counts[1].sum() + 0.01 * LM_CELLS))
-        self.context = -np.log((counts[0] + 2.56) / (counts[1].sum() + 2.56 * LM_CELLS))
-        self.read = lru_cache(maxsize=200_000)(self._read)
-
-    def _step(self, before: bytes, letter: str) -> tuple[float, bytes]:
-        total = 0.0
-        for byte in letter.encode():
-            code = (before[0] << 16) | (before[1] << 8) | byte
-            total += self.cost[((code * 2654435761) & 0xFFFFFFFF) >> 16] - self.context[(before[0] << 8) | before[1]]
-            before = bytes((before[1], byte))
-        return min(max(total, 0.0), 12.0 * len(letter.encode())), before
-
-    def _arcs(self, token: str, i: int):
-        """(next position, letters, cost) of the readings of the sign at i."""
+    """Viterbi readings under -log P(symbol | two symbols before), with memory for repeated words."""
+
+    def __init__(self, counts: tuple[np.ndarray, np.ndarray]):
+        codes, n = counts[0].astype(np.int64), counts[1]
+        pairs = np.bincount(codes // SYMBOLS, n, minlength=SYMBOLS**2)
+        cost = np.log(pairs + 2.56).astype(np.float32).repeat(SYMBOLS) - np.float32(np.log(0.01))
+        cost[codes] += np.float32(np.log(0.01)) - np.log(n + 0.01).astype(np.float32)
+        self.cost = cost
+        self._remember = lru_cache(maxsize=200_000)(self._read)
+
+    def read(self, token: str) -> str:
+        return self._remember(token) if len(token) <= MOST_REMEMBERED else self._read(token)
+
+    def step(self, before: int, letters: str) -> tuple[float, int]:
+        """Cost of ``letters`` after the two symbols ``before``, and the two symbols then."""
+        total, raw = 0.0, letters.encode("utf-8", "replace")
+        for byte in raw:
+            code = before * SYMBOLS + int(_SYMBOL[byte])
+            total += min(max(float(self.cost[code]), 0.0), 12.0)
+            before = code % SYMBOLS**2
+        return total, before
+
+    @staticmethod
+    def arcs(token: str, i: int, j: int):
+        """(next position, letters, cost) of the readings of the sign at i, which repeats up to j."""
         c = token[i]
-        j = i
-        while j < len(token) and token[j] == c:
-            j += 1
+        if c == BETWEEN:
+            yield i + 1, "", 0.0
+            yield i + 1, " ", COST_BOUNDARY
+            return
         if c.isalpha():
             yield i + 1, c, 0.0
             if j - i >= 2:
@@ -136,49 +147,68 @@ class Decoder:
 
     def _read(self, token: str) -> str:
         """The likeliest reading of a lower-cased token; white space where a sign stays one."""
-        token = token[:LONGEST] if len(token) <= LONGEST else token
-        if len(token) > LONGEST:
-            return " ".join(self._read(token[i : i + LONGEST]) for i in range(0, len(token), LONGEST))
         n = len(token)
-        at: list[dict[bytes, tuple[float, str]]] = [{} for _ in range(n + 1)]
-        at[0][b"  "] = (0.0, "")
+        ends = [n] * (n + 1)
+        for i in range(n - 2, -1, -1):
+            ends[i] = ends[i + 1] if token[i] == token[i + 1] else i + 1
+        # Of each position the states that reach it: cost, and where from by which letters.
+        at: list[dict[int, tuple[float, int, int, str]]] = [{} for _ in range(n + 1)]
+        at[0][0] = (0.0, -1, 0, "")
         for i in range(n):
-            states = sorted(at[i].items(), key=lambda s: s[1][0])[:24]
-            for before, (cost, text) in states:
-                for j, letters, extra in self._arcs(token, i):
-                    step, after = self._step(before, letters) if letters else (0.0, before)
+            if not at[i]:
+                continue
+            arcs = list(self.arcs(token, i, ends[i]))
+            for before, (cost, *_) in at[i].items():
+                for j, letters, extra in arcs:
+                    step, after = self.step(before, letters) if letters else (0.0, before)
                     total = cost + extra + step
-                    if total < at[j].get(after, (np.inf,))[0]:
-                        at[j][after] = (total, text + letters)
-        best = min(((cost + self._step(before, " ")[0], text) for before, (cost, text) in at[n].items()), default=(0, token))
-        return best[1]
+                    old = at[j].get(after)
+                    if old is None or total < old[0]:
+                        at[j][after] = (total, i, before, letters)
+        state = min(at[n], key=lambda x: at[n][x][0] + self.step(x, " ")[0])
+        out, i = [], n
+        while i > 0:
+            _, i, state, letters = at[i][state]
+            out.append(letters)
+        return "".join(reversed(out))
+
+
+_decoders: dict[str, Decoder] = {}
+
+
+def _decoder(shared) -> Decoder:
+    """The worker's decoder of broadcast counts, made once."""
+    name, codes, n = shared.value
+    if name not in _decoders:
+        _decoders.clear()
+        _decoders[name] = Decoder((codes, n))
+    return _decoders[name]
 
 
 def disguised(words: Words) -> np.ndarray:
-    """Which words have more than one reading: letters with look-alike signs or separators
-    between them, a letter three times in a row, or single letters in a row of three words."""
-    n = len(words.counts)
+    """Which words have more than one reading: three readable signs (letters and look-alikes, a letter among
+    them) with a look-alike or separator between them, or at an end if it is a digit or the like; or a letter
+    three times in a row."""
     if not len(words.starts):
         return np.zeros(0, dtype=bool)
     d = words.bytes
-    inside = np.zeros(len(d) + 1, np.int64)
-    letter = _LETTERS[d]
-    np.cumsum(letter, out=inside[1:])
-    letters = inside[words.ends] - inside[words.starts]
-    # A sign counts if letters stand on both sides of it within the word, or a look-alike at an end beside letters.
-    owner = np.repeat(np.arange(len(words.starts)), words.ends - words.starts)
+    before = lambda marks: np.concatenate([[0], np.cumsum(marks[d], dtype=np.int64)])
+    letters, readable = before(_LETTERS), before(_LETTERS | _LOOKS)
+    # A sign counts between readable ones, or beside two letters at an end; a row of one punctuation sign there does not.
     place = np.flatnonzero(NONSPACE[d])
+    owner = np.repeat(np.arange(len(words.starts)), words.ends - words.starts)
     signs = place[(_LOOKS | _SEPARATES)[d[place]]]
     of = owner[np.searchsorted(place, signs)]
-    left = inside[signs] - inside[words.starts[of]]
-    right = inside[words.ends[of]] - inside[signs + 1]
+    start, end = words.starts[of], words.ends[of]
+    left, right = readable[signs] - readable[start], readable[end] - readable[signs + 1]
     edge_run = (signs + 1 < len(d)) & (d[np.minimum(signs + 1, len(d) - 1)] == d[signs]) | (signs > 0) & (d[np.maximum(signs - 1, 0)] == d[signs])
-    counts_ = ((left > 0) & (right > 0)) | (_LOOKS[d[signs]] & (d[signs] != 0x21) & ((left > 1) | (right > 1)) & ~edge_run)
+    beside = np.maximum(letters[signs] - letters[start], letters[end] - letters[signs + 1]) > 1
+    counts_ = ((left > 0) & (right > 0)) | _FIRM[d[signs]] | (_LOOKS[d[signs]] & (d[signs] != 0x21) & beside & ~edge_run)
     out = np.zeros(len(words.starts), dtype=bool)
     out[of[counts_]] = True
-    out &= letters >= 2
+    out &= (letters[words.ends] > letters[words.starts]) & (readable[words.ends] - readable[words.starts] >= 3)
     low = FOLD[d]
-    triple = np.flatnonzero((low[2:] == low[1:-1]) & (low[1:-1] == low[:-2]) & letter[2:] & (d[2:] < 0x80)) if len(d) > 2 else np.zeros(0, np.int64)
+    triple = np.flatnonzero((low[2:] == low[1:-1]) & (low[1:-1] == low[:-2]) & _LETTERS[d[2:]] & (d[2:] < 0x80)) if len(d) > 2 else np.zeros(0, np.int64)
     word = np.searchsorted(words.starts, triple, side="right") - 1
     ok = (word >= 0) & (triple + 3 <= words.ends[word])
     out[word[ok]] = True
@@ -186,17 +216,22 @@ def disguised(words: Words) -> np.ndarray:
 
 
 def spaced(words: Words) -> list[tuple[int, int]]:
-    """[first, after) of runs of three or more words of one letter each, with a sign behind it at most."""
+    """[first, after) of runs of three or more words of one letter or look-alike each (with a sign behind
+    it at most) of which two are letters."""
     lens = words.ends - words.starts
-    one = (lens <= 2) & (words.bytes[words.starts] < 0x80) & _LETTERS[words.bytes[words.starts]]
-    one &= (lens == 1) | ~_LETTERS[words.bytes[np.minimum(words.starts + 1, max(len(words.bytes) - 1, 0))]]
+    head = words.bytes[words.starts] if len(words.starts) else np.zeros(0, np.uint8)
+    letter = _LETTERS[head] & (head < 0x80)
+    one = (lens <= 2) & (letter | _FIRM[head] | (head == 0x21) & (lens == 1))
+    if len(words.starts):
+        second = words.bytes[np.minimum(words.starts + 1, len(words.bytes) - 1)]
+        one &= (lens == 1) | ~(_LETTERS | _FIRM)[second]
     if not one.any():
         return []
     edge = np.diff(np.concatenate([[0], one.astype(np.int8), [0]]))
     runs = []
     for a, b in zip(np.flatnonzero(edge == 1), np.flatnonzero(edge == -1), strict=True):
         cuts = [a, *(a + 1 + np.flatnonzero(np.diff(words.text_of[a:b]))), b]
-        runs += [(x, y) for x, y in zip(cuts, cuts[1:], strict=False) if y - x >= 3]
+        runs += [(x, y) for x, y in zip(cuts, cuts[1:], strict=False) if y - x >= 3 and letter[x:y].sum() >= 2]
     return runs
 
 
@@ -208,7 +243,7 @@ def restored(words: Words, decoder: Decoder) -> tuple[list[tuple[int, int, str]]
     text = words.bytes.tobytes()
     for a, b in runs:
         taken[a:b] = True
-        letters = "".join(chr(words.bytes[s]) for s in words.starts[a:b]).lower()
+        letters = BETWEEN.join(chr(words.bytes[s]) for s in words.starts[a:b]).lower()
         found.append((a, b, decoder.read(letters)))
     for i in np.flatnonzero(disguised(words) & ~taken) if len(words.starts) else ():
         token = text[words.starts[i] : words.ends[i]].decode("utf-8", "replace").lower()
@@ -216,12 +251,12 @@ def restored(words: Words, decoder: Decoder) -> tuple[list[tuple[int, int, str]]
     return found
 
 
-def restore(docs: DataFrame, counts: np.ndarray, text: str = "text") -> DataFrame:
+def restore(docs: DataFrame, counts, text: str = "text") -> DataFrame:
     """``docs`` with the column restored: the text with every disguised word in its likeliest reading."""
     at = docs.columns.index(text)
 
     def mend(batches):
-        decoder = Decoder(counts)
+        decoder = _decoder(counts)
         for batch in batches:
             data, offsets = text_bytes(batch.column(at))
             out: list[str] = []
@@ -314,11 +349,11 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def _map_stats(rows: DataFrame, lexicon: Lexicon, counts: np.ndarray, keep: list[tuple[str, str]]) -> DataFrame:
+def _map_stats(rows: DataFrame, lexicon: Lexicon, counts, keep: list[tuple[str, str]]) -> DataFrame:
     """The columns ``keep`` (name, type) and s0, s1, s2 of rows whose last column is the text."""
 
     def measure(batches):
-        decoder = Decoder(counts)
+        decoder = _decoder(counts)
         for batch in batches:
             data, offsets = text_bytes(batch.column(len(keep)))
             parts = [lexicon.stats(*slice_features(data, offsets[a : b + 1], decoder), b - a) for a, b in slices(offsets)]
@@ -343,13 +378,13 @@ def logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1e-2) -> np.ndarray:
     return w
 
 
-def train(docs: DataFrame, labels: DataFrame, counts: np.ndarray, doc_id: str = "doc_id", text: str = "text", label: str = "toxic") -> Model:
+def train(docs: DataFrame, labels: DataFrame, counts, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", most_toxic: int = MOST_TOXIC, most_clean: int = MOST_CLEAN) -> Model:
     """The model of a bounded sample of labelled rows (of ``labels``: those to learn from only)."""
     known = labels.where(F.col(doc_id).isNotNull() & F.col(label).isin(0, 1)).select(F.col(doc_id).alias("id"), F.col(label).cast("int").alias("y"))
     totals = {r.y: r["count"] for r in known.groupBy("y").count().collect()}
     rate = totals.get(1, 0) / sum(totals.values()) if totals else 0.5
     take = lambda y, n: hashed_sample(known.where(F.col("y") == y), "id", n, totals.get(y, 0))
-    sample = materialize(take(1, MOST_TOXIC).union(take(0, MOST_CLEAN)))
+    sample = materialize(take(1, most_toxic).union(take(0, most_clean)))
     chosen = docs.select(F.col(doc_id).alias("id"), F.col(text).cast("string").alias("text")).join(F.broadcast(sample), "id")  # the sample's size is bounded
     part = F.pmod(F.xxhash64("id", F.lit(1)), F.lit(4)) == 0
     rows = materialize(chosen.select(part.alias("held"), "y", "text").repartition(16))
@@ -360,7 +395,7 @@ def train(docs: DataFrame, labels: DataFrame, counts: np.ndarray, doc_id: str =
 
     def document_counts(only: Lexicon | None):
         def count(batches):
-            decoder = Decoder(counts)
+            decoder = _decoder(counts)
             total: list[np.ndarray] = []
             for batch in batches:
                 data, offsets = text_bytes(batch.column(0))
@@ -404,7 +439,7 @@ def train(docs: DataFrame, labels: DataFrame, counts: np.ndarray, doc_id: str =
     return Model(lexicon, w, rate)
 
 
-def score(docs: DataFrame, model: Model, counts: np.ndarray, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def score(docs: DataFrame, model: Model, counts, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """id, score and predicted of each row of ``docs``."""
     rows = docs.select(F.col(doc_id).alias("__id"), F.col(text).cast("string").alias("__text"))
     found = _map_stats(rows, model.lexicon, counts, [("__id", docs.schema[doc_id].dataType.simpleString())])

@@ -391,9 +391,55 @@ def test_restoration(spark):
     assert [r.restored for r in found[1:]] == ["", ""]
 
 
+def test_hidden_words_come_back(spark):
+    text = "you are an idiot and that shit is a moron of an ass in the heat of it all "
+    counts = toxicity.character_counts(docs_of(spark, [(i, text * 30) for i in range(4)]), "text")
+    hidden = ["5h17", "1d10t", "a$$", "m 0 r o n", "y o u i d i o t", "sh!t", "m0r0n", "i-d-i-o-t", "shiiiiit"]
+    df = docs_of(spark, list(enumerate(hidden)), extra=False)
+    out = {r.text: r.restored for r in toxicity.restore(df, counts).collect()}
+    assert out == {"5h17": "shit", "1d10t": "idiot", "a$$": "ass", "m 0 r o n": "moron", "y o u i d i o t": "you idiot", "sh!t": "shit", "m0r0n": "moron", "i-d-i-o-t": "idiot", "shiiiiit": "shit"}
+    plain = docs_of(spark, [(1, "a 12 b2 word. (word) 1 2 3 4 ... ?? x!"), (2, "x" * 50000 + "0" * 50000)], extra=False)
+    rows = toxicity.restore(plain, counts).orderBy("doc_id").collect()
+    assert [w for w in rows[0].restored.split() if w != "cword"] == [w for w in rows[0].text.split() if w != "(word)"]
+    assert len(rows[1].restored) <= 100000
+
+
+def test_readings_are_the_likeliest_of_all():
+    r = random.Random(4)
+    text = " ".join(r.choice(["stupid", "idiot", "moron", "loser", "fool", "ass", "see", "sail"]) for _ in range(3000)).encode()
+    codes, n = np.unique(toxicity._trigrams(np.frombuffer(text, np.uint8), np.array([0, len(text)])), return_counts=True)
+    decoder = toxicity.Decoder((codes, n))
+
+    def cost(letters, arcs):
+        before, total = 0, arcs
+        for x in letters:
+            step, before = decoder.step(before, x)
+            total += step
+        return total + decoder.step(before, " ")[0]
+
+    def readings(token, i, letters, arcs):
+        if i == len(token):
+            yield cost(letters, arcs), "".join(letters)
+            return
+        end = next((k for k in range(i, len(token)) if token[k] != token[i]), len(token))
+        for j, x, extra in decoder.arcs(token, i, end):
+            yield from readings(token, j, [*letters, x] if x else letters, arcs + extra)
+
+    for token in ["st0p1d", "1d10t", "l00ser", "a$$", "m.o.r.0.n", "fooool", "**s", "s@|l", "a\x1f5\x1f5", "€1+"]:
+        best = min(readings(token, 0, [], 0.0))
+        mine = decoder.read(token)
+        assert abs(best[0] - min(c for c, t in readings(token, 0, [], 0.0) if t == mine)) < 1e-6, token
+
+
+def test_toxicity_of_held_out_labels(spark, sf):
+    labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    out = [r for r in registry.queries()["op6_toxicity"](spark, sf).where("held_out").collect() if labels.get(r.doc_id) is not None]
+    assert np.mean([r.predicted == labels[r.doc_id] for r in out]) > 0.9
+
+
 def test_toxicity_learns_and_takes_edges(spark):
     docs = [(i, prose(60, i) + (" stup1d wretch " if i % 3 == 0 else " fine day ")) for i in range(300)] + [(900, None), (901, ""), (None, "wretch"), (902, "a " * 5000)]
-    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(300)] + [(None, 1), (5, None)], "doc_id long, toxic int")
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(300)] + [(None, 1), (5, None)], "doc_id long, toxic int").withColumns({"text": F.lit("x"), "y": F.lit(0), "id": F.lit(1)})
     df = docs_of(spark, docs)
     counts = toxicity.character_counts(df, "text")
     model = toxicity.train(df, labels, counts)
