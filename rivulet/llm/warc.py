@@ -7,16 +7,24 @@ to the one response. Records are rows of Spark's text writer with the record end
 of the format (two CRLF) as line separator, so archives land on any file system
 that Spark can write, as gzip members.
 
-``read`` parses the archives in tasks, groups continuation records by the id of
-their origin, orders them by number, verifies that the numbers are complete and
-the total length holds, then decodes the chunked framing and verifies the digest.
+``read`` streams the archives through Spark's text reader with the same separator,
+so that a task holds one record at a time and never a whole file; pieces between
+separators are put together by each record's length. Continuation records are grouped
+by the id of their origin and ordered by number; numbers must be complete and the
+total length must hold; then the chunked framing is decoded and the digest verified.
 
 Defined results: a null payload is an empty one; rows that are equal in id, url
 and payload are equal records and come back as often as they went in; rows that
 share the largest id of their payload are all responses, as are rows whose payload
 has no row with an id; a null url is an empty one; other columns are ignored.
-Archives with missing segments, wrong lengths, framing or digests give a row
-with ``error`` set and no payload.
+Records with missing segments, wrong lengths, framing or digests give a row
+with ``error`` set and no payload. So does an archive from where it is no archive any
+more (no WARC head, no length, cut off): what stands before is kept, and reading goes on
+with the next head; one of which nothing can be read gives one such row with its path as ``url``.
+Archives that ``write`` made say at their beginning that a record at their end counts the
+others, so one that is cut off or lacks records is always seen; of archives from elsewhere
+that are cut off between two records, it isn't.
+Archives are gzip files (``*.gz``) of one member or many, which Spark doesn't split.
 """
 
 from __future__ import annotations
@@ -24,15 +32,15 @@ from __future__ import annotations
 import base64
 import hashlib
 import uuid
-import zlib
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import materialize
+from ._common import materialize, maybe_members, shared_folder
 
 SEGMENT = 16_384
+HOT = 1000
 CHUNK = 4_096
 DATE = "2024-01-01T00:00:00Z"
 END = b"\r\n\r\n"
@@ -77,6 +85,11 @@ def _record(fields: list[tuple[str, str]], block: bytes) -> bytes:
     return b"WARC/1.1\r\n" + head.encode() + b"Content-Length: %d\r\n\r\n" % len(block) + block
 
 
+def _about(kind: str, block: bytes) -> bytes:
+    """A record about the archive itself."""
+    return _record([("WARC-Type", kind), ("WARC-Record-ID", f"<{uuid.uuid4().urn}>"), ("WARC-Date", DATE), ("Content-Type", "application/warc-fields")], block)
+
+
 def _records(page, url: str, payload: bytes, digest: str, rid: str, refers: str | None, segment: int, chunk: int):
     """The records of one page, the first one first."""
     kind = "revisit" if refers else "response"
@@ -98,14 +111,26 @@ def write(pages: DataFrame, path: str, page_id: str = "page_id", url: str = "url
     """Write a WARC archive of ``pages`` into the folder ``path``.
 
     Payloads of ``least`` bytes or more that occur again are revisits of the row
-    with the largest id; the choice is an aggregate over (digest, id, url) that
-    is joined back, so that a payload of many copies is split by the join.
+    with the largest id; the choice is an aggregate over (digest, id, url). Only rows whose
+    payload occurs again are joined with it: the most frequent payloads by broadcast (those with a
+    thousandth of the rows, a thousand at most), the others by digest.
     """
     body = F.coalesce(F.col(payload).cast("binary"), F.lit(b""))
     keyed = pages.select(F.col(page_id).alias("page_id"), F.coalesce(F.col(url).cast("string"), F.lit("")).alias("url"), body.alias("payload")).withColumn("digest", base32_sha1(F.col("payload")))
     ids = keyed.where((F.octet_length("payload") >= least) & F.col("page_id").isNotNull()).select("digest", "page_id", "url")
-    first = materialize(ids.groupBy("digest").agg(F.count("*").alias("n"), F.max(F.struct("page_id", "url")).alias("top")).where("n > 1").select("digest", "top"))
-    typed = keyed.join(first, "digest", "left").select(
+    first = materialize(ids.groupBy("digest").agg(F.count("*").alias("n"), F.max(F.struct("page_id", "url")).alias("top")).where("n > 1").select("digest", F.xxhash64("digest").alias("h"), "n", "top"))
+    repeated = first.agg(F.sum("n")).first()[0] or 0
+    marked = maybe_members(keyed, F.xxhash64("digest"), first.select("h"))
+    hot = first.where(F.col("n") * HOT >= repeated).select("digest", "top")
+    cold = first.where(F.col("n") * HOT < repeated).select("digest", "top")
+    known = marked.where("__maybe").drop("__maybe").join(F.broadcast(hot), "digest", "left")
+    names = [*keyed.columns, "top"]
+    top = [
+        marked.where("not __maybe").drop("__maybe").withColumn("top", F.lit(None).cast(first.schema["top"].dataType)).select(*names),
+        known.where("top is not null").select(*names),
+        known.where("top is null").drop("top").join(cold, "digest", "left").select(*names),
+    ]
+    typed = top[0].union(top[1]).union(top[2]).select(
         "page_id",
         "url",
         "payload",
@@ -115,44 +140,83 @@ def write(pages: DataFrame, path: str, page_id: str = "page_id", url: str = "url
     )
 
     def frame(batches):
+        out, size, n = [_about("warcinfo", b"records are counted at the end")], 0, 0
         for batch in batches:
-            out, size = [], 0
             for i in range(batch.num_rows):
                 page, address, data, digest, rid, refers = (c[i].as_py() for c in batch.columns)
                 for record in _records(page, address, data, digest, rid, refers, segment, chunk):
                     out.append(record)
-                    size += len(record)
+                    size, n = size + len(record), n + 1
                 if size > 4_000_000:
                     yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["value"])
                     out, size = [], 0
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["value"])
+        out.append(_about("metadata", b"records: %d" % n))
+        yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["value"])
 
     records = typed.mapInArrow(frame, "value binary").select(F.col("value").cast("string").alias("value"))
     records.write.option("lineSep", END.decode()).option("compression", "gzip").text(path)
 
 
-def _parse(content: bytes):
-    """(fields, block) of each record of an archive of one or more gzip members, or plain."""
-    if content[:2] == b"\x1f\x8b":
-        parts, rest = [], content
-        while rest:
-            member = zlib.decompressobj(31)
-            parts.append(member.decompress(rest))
-            rest = member.unused_data
-        content = b"".join(parts)
-    at = 0
-    while at < len(content):
-        end = content.index(END, at)
-        lines = content[at:end].decode("utf-8", "replace").split("\r\n")
-        fields = {}
-        for line in lines[1:]:
-            name, _, value = line.partition(":")
-            fields[name.strip().lower()] = value.strip()
-        if not lines[0].startswith("WARC/"):
-            raise ValueError(f"no record at byte {at}")
-        size = int(fields["content-length"])
-        yield fields, content[end + 4 : end + 4 + size]
-        at = end + 4 + size + 4
+def _fields(head: bytes) -> dict[str, str]:
+    """The named fields of a record's head; ValueError if it is none or has no length."""
+    lines = head.decode("utf-8", "replace").split("\r\n")
+    if not lines[0].startswith("WARC/"):
+        raise ValueError("no record head")
+    fields = {}
+    for line in lines[1:]:
+        name, _, value = line.partition(":")
+        fields[name.strip().lower()] = value.strip()
+    if not fields.get("content-length", "").isdigit():
+        raise ValueError("no length")
+    return fields
+
+
+class Reassembly:
+    """Records of one archive from its pieces, those between two record ends, in order.
+
+    A block that holds record ends itself comes in several pieces. ``add`` and ``close`` give
+    (fields, block, error): one of fields and error is None.
+    """
+
+    def __init__(self):
+        self.fields, self.parts, self.held, self.lost = None, [], 0, False
+        self.counted, self.seen, self.told = False, 0, None
+
+    def add(self, piece: bytes):
+        if self.fields is None:
+            try:
+                self.fields, self.parts, self.held = _fields(piece), [], 0
+                self.size, self.lost = int(self.fields["content-length"]), False
+            except ValueError as e:
+                if not self.lost:  # one error from here to the next head
+                    self.lost = True
+                    yield None, None, f"archive: {e}"
+                return
+        else:
+            self.parts.append(piece)
+            self.held += len(piece) + len(END)
+            if self.held - len(END) < self.size:
+                return
+            block = END.join(self.parts)
+            error = None if len(block) == self.size else "archive: wrong length"
+            fields, self.fields = self.fields, None
+            kind = fields.get("warc-type")
+            if error:
+                yield None, None, error
+            elif kind == "warcinfo":
+                self.counted |= block == b"records are counted at the end"
+            elif kind == "metadata" and block.startswith(b"records: "):
+                self.told = int(block[9:])
+            else:
+                self.seen += 1
+                yield fields, block, None
+
+    def close(self):
+        if self.fields is not None or self.counted and self.told is None:
+            yield None, None, "archive: cut off"
+        elif self.counted and self.told > self.seen:
+            yield None, None, "archive: records are missing"
+        self.fields, self.counted = None, False
 
 
 def _decode(block: bytes | None, digest: str | None, revisit: bool) -> tuple[bytes | None, str | None]:
@@ -179,32 +243,44 @@ _HEADERS = ["warc-record-id", "x-page-id", "warc-target-uri", "warc-type", "warc
 def read(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
     """rid, page (string), url, kind, digest, refers, payload_bytes, payload and error of each response and revisit.
 
-    Whole records and segments are parsed in two passes over the archives, so that
-    whole records take no shuffle and nothing is stored between. Without
-    ``payloads`` that column is null (lengths and digests are verified all the same).
+    One pass over the archives; its rows are kept in the checkpoint folder, whole records beside
+    the blocks of segments, of which only the latter are shuffled. Without ``payloads``
+    that column is null (lengths and digests are verified all the same).
     """
 
-    def parse(batches, segments):
+    def row_of(fields, block, error):
+        if error:
+            return [None] * len(_FIELDS) + [None, None, error, None, None, None]
+        row, number = [fields.get(h) for h in _HEADERS], fields.get("warc-segment-number")
+        if row[3] not in ("response", "revisit", "continuation"):
+            return None  # records about the archive itself
+        if number is None and row[3] != "continuation":
+            payload, error = _decode(block, row[4], row[3] == "revisit")
+            return row + [None if payload is None else len(payload), payload if payloads else None, error, None, None, None]
+        total = fields.get("warc-segment-total-length", "")
+        if not (number or "").isdigit() or total and not total.isdigit():
+            return row + [None, None, "segments", None, None, None]
+        return row + [None, block, None, fields.get("warc-segment-origin-id", row[0]), int(number), int(total) if total else None]
+
+    def parse(batches):
+        path, archive, rows, size = None, Reassembly(), [], 0
         for batch in batches:
-            for content in batch.column(0):
-                rows, size = [], 0
-                for fields, block in _parse(content.as_py()):
-                    row = [fields.get(h) for h in _HEADERS]
-                    number = fields.get("warc-segment-number")
-                    if (number is not None) != segments:
-                        continue
-                    if number is None:
-                        payload, error = _decode(block, row[4], row[3] == "revisit")
-                        row += [None if payload is None else len(payload), payload if payloads else None, error, None, None, None]
-                    else:
-                        total = fields.get("warc-segment-total-length")
-                        row += [None, block, None, fields.get("warc-segment-origin-id", row[0]), int(number), total and int(total)]
-                    rows.append(row)
-                    size += len(block)
-                    if size > 4_000_000:
-                        yield _batch(rows)
-                        rows, size = [], 0
-                yield _batch(rows)
+            files = batch.column(0)
+            for i, piece in enumerate(batch.column(1)):
+                found = []
+                if files[i] != path:
+                    found, path, archive = list(archive.close()), files[i], Reassembly()
+                raw = piece.as_py() or b""
+                for record in [*found, *archive.add(raw)]:
+                    row = row_of(*record)
+                    if row is not None:
+                        rows.append(row)
+                        size += len(row[7] or b"") + 500
+                if size > 4_000_000:
+                    yield _batch(rows)
+                    rows, size = [], 0
+        rows += [row_of(*record) for record in archive.close()]
+        yield _batch(rows)
 
     schema = ", ".join(f"{f} string" for f in _FIELDS) + ", payload_bytes bigint, payload binary, error string, origin string, number int, total bigint"
     names = [*_FIELDS, "payload_bytes", "payload", "error", "origin", "number", "total"]
@@ -214,9 +290,14 @@ def read(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
         columns = zip(*rows, strict=True) if rows else [[] for _ in names]
         return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
-    archives = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("content")
-    whole = archives.mapInArrow(lambda batches: parse(batches, False), schema).select(*_FIELDS, "payload_bytes", "payload", "error")
-    segments = archives.mapInArrow(lambda batches: parse(batches, True), schema)
+    files = spark.read.option("pathGlobFilter", "*.gz")
+    pieces = files.option("lineSep", END.decode()).option("ignoreCorruptFiles", True).text(path).select(F.col("_metadata.file_path").alias("file"), F.col("value").cast("binary").alias("piece"))
+    parsed = materialize(pieces.mapInArrow(parse, schema))
+    whole = parsed.where("origin is null").select(*_FIELDS, "payload_bytes", "payload", "error")
+    segments = parsed.where("origin is not null")
+    readable = pieces.select("file").distinct()
+    listed = files.format("binaryFile").load(path).where("length > 0").select(F.col("_metadata.file_path").alias("file"))
+    unread = listed.join(readable, "file", "left_anti").select(*[(F.col("file") if f == "url" else F.lit(None).cast("string")).alias(f) for f in _FIELDS], F.lit(None).cast("bigint").alias("payload_bytes"), F.lit(None).cast("binary").alias("payload"), F.lit("archive: no records").alias("error"))
 
     # Segments of equal rows have equal origins: each number then occurs as often as the row.
     parts = segments.groupBy("origin", "number").agg(
@@ -242,25 +323,22 @@ def read(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
 
     copied = checked.select(*_FIELDS, "block", "error", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).drop("col")
     mended = copied.mapInArrow(decode, ", ".join(f"{f} string" for f in _FIELDS) + ", payload_bytes bigint, payload binary, error string")
-    return whole.union(mended)
+    return whole.union(mended).union(unread)
 
 
 def resolve(records: DataFrame) -> DataFrame:
     """``records`` with, for revisits, the length and page of the response they refer to."""
     responses = materialize(records.where("kind = 'response'").groupBy("rid").agg(F.max("payload_bytes").alias("of_bytes"), F.max("page").alias("of_page"), F.max("digest").alias("of_digest")))
     named = responses.withColumnRenamed("rid", "refers")
-    out = records.where("kind = 'revisit'").join(named, "refers", "left").select("page", "url", "kind", "digest", F.col("of_bytes").alias("payload_bytes"), F.col("of_page").alias("refers_to"), F.when(F.col("of_digest").isNull() | (F.col("of_digest") != F.col("digest")), "dangling").alias("error"))
-    return records.where("kind = 'response'").select("page", "url", "kind", "digest", "payload_bytes", F.lit(None).cast("string").alias("refers_to"), "error").union(out)
+    out = records.where("kind = 'revisit' and error is null").join(named, "refers", "left").select("page", "url", "kind", "digest", F.col("of_bytes").alias("payload_bytes"), F.col("of_page").alias("refers_to"), F.when(F.col("of_digest").isNull() | (F.col("of_digest") != F.col("digest")), "dangling").alias("error"))
+    rest = records.where("kind is null or kind <> 'revisit' or error is not null")
+    return rest.select("page", "url", "kind", "digest", "payload_bytes", F.lit(None).cast("string").alias("refers_to"), "error").union(out)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """op3: every page written to an archive and read back."""
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html")
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared is None:
-        materialize(spark.range(1))
-        shared = spark.sparkContext.getCheckpointDir()
-    path = f"{shared}/warc-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/warc-{uuid.uuid4().hex}"
     write(pages, path)
     back = resolve(materialize(read(spark, path, payloads=False).drop("payload")))
     return back.select(F.col("page").cast("bigint").alias("page_id"), "payload_bytes", F.expr("substr(digest, 6)").alias("payload_digest"), F.col("kind").alias("record_type"), F.col("refers_to").cast("bigint").alias("refers_to"))

@@ -298,7 +298,38 @@ def test_warc_damage_is_reported(spark, tmp_path):
     (tmp_path / "d").mkdir()
     (tmp_path / "d" / "x.warc.gz").write_bytes(gzip.compress(b"".join(b"WARC/1.1\r\n" + r for r in changed)))
     errors = {r.page: r.error for r in warc.read(spark, str(tmp_path / "d")).collect()}
-    assert errors == {"1": "segments", "2": "digest"}
+    assert errors == {"1": "segments", "2": "digest", None: "archive: records are missing"}
+
+
+def test_damaged_archives_give_error_rows(spark, tmp_path):
+    import glob
+    import gzip
+
+    df = spark.createDataFrame([(i, "u", f"page {i} " + "\r\n\r\nx" * 20) for i in range(40)], "page_id long, url string, html string").coalesce(1)
+    warc.write(df, str(tmp_path / "w"))
+    path, = glob.glob(f"{tmp_path}/w/*.gz")
+    raw = gzip.open(path).read()
+    records = [b"WARC/1.1\r\n" + r for r in raw.split(b"WARC/1.1\r\n")[2:-1]]
+    info = b"WARC/1.1\r\nWARC-Type: warcinfo\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n"
+    archives = {
+        "a": gzip.compress(info) + b"".join(gzip.compress(r) for r in records),  # a member a record
+        "b": gzip.compress(b"garbage" + records[0] + records[1]),
+        "c": gzip.compress(records[2] + records[3].replace(b"Content-Length", b"Content-Size") + records[4]),
+        "d": open(path, "rb").read()[:-40],
+        "e": b"no gzip at all",
+        "f": gzip.compress(records[5][:-30]),
+        "g": b"",
+    }
+    for name, content in archives.items():
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "x.warc.gz").write_bytes(content)
+    found = {n: warc.read(spark, str(tmp_path / n)).collect() for n in archives}
+    good = {n: sum(r.error is None for r in rows) for n, rows in found.items()}
+    bad = {n: [r.error for r in rows if r.error] for n, rows in found.items()}
+    assert good == {"a": 40, "b": 1, "c": 2, "d": good["d"], "e": 0, "f": 0, "g": 0}
+    assert good["d"] <= 40
+    assert bad == {"a": [], "b": ["archive: no record head"], "c": ["archive: no length"], "d": bad["d"], "e": ["archive: no records"], "f": ["archive: cut off"], "g": []}
+    assert bad["d"] == ["archive: cut off"]
 
 
 # ------------------------------------------------------------------ 4 extraction
