@@ -5,9 +5,10 @@ sqrt(M^2 - |x|^2) for M the largest norm, all vectors have norm M; to a query, w
 own extra coordinate is 0, the Euclidean order is the order of inner products, so
 the index is metric.
 
-Tree: a root of at most ``ROUTERS`` routing objects (the vectors of smallest hash:
-a bounded sample that shapes the tree but never decides what is indexed), each
-with leaf pages of about ``PAGE`` entries. An entry keeps the distance to its
+Tree: a root of routing objects (the vectors of smallest hash, about the square root
+of all, from ``FEWEST`` to ``ROUTERS``: a bounded sample that shapes the tree but never decides
+what is indexed), each with parts of ``PAGES`` leaf pages of about ``PAGE`` entries, as many as
+it takes. An entry keeps the distance to its
 routing object, a page the range of these distances, its covering shell. Vectors
 that are equal form one class, of which the first k + 1 ids are kept, which is
 enough for every query.
@@ -20,12 +21,16 @@ left out by stored distances alone, before any product is computed. Scores are
 integers and bounds are widened by more than the rounding error, so that the
 result is exact, ties to the smaller id included.
 
-Queries meet pages by routing object, in blocks of ``BLOCK`` queries.
+Queries meet pages by part, in blocks of ``BLOCK`` queries, so the keys of that join
+grow with the data. A task remembers the results of ``REMEMBERED`` queries at most; what it
+forgets has left it.
 
 Defined results: rows with a null id, a null or empty vector, or null or non-finite
 components take no part. Shorter vectors count as padded with zeros. Rows that
 repeat id and vector are one candidate; one id with several vectors gives a
-candidate, and a query, for each distinct one. Other columns are ignored.
+candidate, and a query, for each distinct one. Other columns are ignored. A component
+of 2**55 and more (2**63 after scaling), or a score beyond 64 bits, is an error and never wraps; scores
+from 2**53 on, where doubles are no longer exact, are computed in integers.
 """
 
 from __future__ import annotations
@@ -37,21 +42,44 @@ from pyspark.sql import functions as F
 
 from ._common import materialize
 
-ROUTERS = 128
-PAGE = 1024
+ROUTERS, FEWEST = 1024, 16
+PAGE, PAGES = 1024, 16
 BLOCK = 256
+REMEMBERED = 50_000
+EXACT = 2.0**52
 SLACK = 1e-6
 
 
 def _matrix(column: pa.Array, width: int) -> np.ndarray:
-    """Integer vectors, packed as int32, as float64 rows of equal width."""
+    """Integer vectors, packed as int64, as float64 rows of equal width."""
     out = np.zeros((len(column), width))
     for i, x in enumerate(column.to_pylist()):
-        v = np.frombuffer(x, dtype="<i4")
+        v = np.frombuffer(x, dtype="<i8")
         out[i, : len(v)] = v
     return out
 
 
+def _packed(x: list | None, scale: int) -> bytes | None:
+    """floor(scale * x) as packed int64; None for what takes no part."""
+    if not x or None in x:
+        return None
+    v = np.asarray(x, dtype=np.float64)
+    if not np.isfinite(v).all():
+        return None
+    v = np.floor(scale * v)
+    if (np.abs(v) >= 2.0**63).any():
+        raise OverflowError("a component is beyond 64 bits")
+    return v.astype("<i8").tobytes()
+
+
+def _score(a: bytes, b: bytes) -> int:
+    """The integer inner product of packed vectors, whatever its size."""
+    total = sum(int(x) * int(y) for x, y in zip(np.frombuffer(a, "<i8").tolist(), np.frombuffer(b, "<i8").tolist(), strict=False))
+    if not -(2**63) <= total < 2**63:
+        raise OverflowError("a score is beyond 64 bits")
+    return total
+
+
 def _classes(vectors: DataFrame, vec_id: str, embedding: str, k: int, scale: int) -> DataFrame:
     """v (packed integers), ids (the k + 1 smallest) and norm2 of each distinct vector."""
 
@@ -60,12 +88,9 @@ def _classes(vectors: DataFrame, vec_id: str, embedding: str, k: int, scale: int
             best: dict[bytes, list[int]] = {}
             ids = batch.column(0).to_pylist()
             for i, x in zip(ids, batch.column(1).to_pylist(), strict=True):
-                if not x or None in x:
-                    continue
-                v = np.asarray(x, dtype=np.float64)
-                if not np.isfinite(v).all():
-                    continue
-                best.setdefault(np.floor(scale * v).astype("<i4").tobytes(), []).append(i)
+                v = _packed(x, scale)
+                if v is not None:
+                    best.setdefault(v, []).append(i)
             keys = list(best)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(keys, pa.binary()), pa.array([sorted(set(best[b]))[: k + 1] for b in keys], pa.list_(pa.int64()))], names=["v", "ids"]
@@ -87,7 +112,7 @@ def _distances(q: np.ndarray, routers: np.ndarray, top: float) -> np.ndarray:
     return np.sqrt(np.maximum((q * q).sum(axis=1)[:, None] + top - 2 * q @ routers.T, 0))
 
 
-def search(vectors: DataFrame, queries: DataFrame, k: int = 5, vec_id: str = "vec_id", embedding: str = "embedding", scale: int = 256, routers: int = ROUTERS, page: int = PAGE) -> DataFrame:
+def search(vectors: DataFrame, queries: DataFrame, k: int = 5, vec_id: str = "vec_id", embedding: str = "embedding", scale: int = 256, routers: int | None = None, page: int = PAGE) -> DataFrame:
     """query_id, rank, vec_id and score of the ``k`` best rows of ``vectors`` for each row of ``queries``.
 
     A row is never its own result (by id).
@@ -95,9 +120,10 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 5, vec_id: str = "ve
     spark = vectors.sparkSession
     schema = "query_id bigint, rank int, vec_id bigint, score bigint"
     classes = materialize(_classes(vectors, vec_id, embedding, k, scale))
-    width, = classes.select(F.max(F.octet_length("v") / 4).cast("int")).first()
+    width, n = classes.select(F.max(F.octet_length("v") / 8).cast("int"), F.count("*")).first()
     if width is None:
         return spark.createDataFrame([], schema)
+    routers = routers or min(max(int(n**0.5), FEWEST), ROUTERS)
     sample = _matrix(pa.array([r.v for r in classes.orderBy(F.xxhash64("v"), "v").select("v").limit(routers).collect()]), width)
     shape = materialize(classes.mapInArrow(lambda batches: _norms(batches, width), "norm2 double").agg(F.max("norm2").alias("top")))
     top = float(shape.first().top)
@@ -121,11 +147,12 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 5, vec_id: str = "ve
     paged = shelled.join(sizes, ["node", "shell"]).withColumn("split", F.pmod(F.xxhash64("v"), F.col("splits"))).groupBy("node", "shell", "split").agg(
         F.sort_array(F.collect_list(F.struct("d", "v", "ids"))).alias("entries"), F.min("d").alias("inner"), F.max("d").alias("outer")
     )
-    pages = materialize(paged)
+    pages = materialize(paged.withColumn("part", F.floor(F.col("shell") / PAGES).cast("int")))
+    parts = materialize(pages.select("node", "part", "split").distinct())
 
     def ask(batches):
         for batch in batches:
-            keep = [(i, np.floor(scale * v).astype("<i4").tobytes()) for i, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) if x and None not in x and np.isfinite(v := np.asarray(x, dtype=np.float64)).all()]
+            keep = [(i, v) for i, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) if (v := _packed(x, scale)) is not None]
             yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in keep], pa.int64()), pa.array([v for _, v in keep], pa.binary())], names=["query_id", "q"])
 
     asked = (
@@ -161,13 +188,13 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 5, vec_id: str = "ve
             .groupBy("node", "block")
             .agg(F.collect_list(F.struct("query_id", "q", "bound")).alias("queries"))
         )
-        met = pages.join(blocks, "node").select("node", "inner", "outer", "entries", "block", "queries")
+        met = pages.join(blocks.join(parts, "node"), ["node", "part", "split"]).select("node", "inner", "outer", "entries", "block", "queries")
         return met.mapInArrow(lambda batches: _scan(batches, sample, extra, top, width, k), "query_id bigint, q binary, vec_id bigint, score bigint")
 
     n_blocks = max(1, -(-asked.count() // BLOCK))
     wanted_schema = "query_id bigint, q binary, bound bigint, node int"
     near = materialize(_best(visit(asked.mapInArrow(nearest, wanted_schema)), k))
-    bounds = asked.join(near.groupBy("query_id", "q").agg(F.when(F.count("*") >= k, F.min("score")).alias("bound")), ["query_id", "q"], "left").select("query_id", "q", F.coalesce("bound", F.lit(-(2**62))).alias("bound"))
+    bounds = asked.join(near.groupBy("query_id", "q").agg(F.when(F.count("*") >= k, F.min("score")).alias("bound")), ["query_id", "q"], "left").select("query_id", "q", F.coalesce("bound", F.lit(-(2**63) + 1)).alias("bound"))
     radii = {r.node: (r.inner, r.outer) for r in pages.groupBy("node").agg(F.min("inner").alias("inner"), F.max("outer").alias("outer")).collect()}  # at most ROUTERS rows
     inner = np.array([radii.get(i, (np.inf, -np.inf))[0] for i in range(len(sample))])
     outer = np.array([radii.get(i, (np.inf, -np.inf))[1] for i in range(len(sample))])
@@ -195,12 +222,15 @@ def _scan(batches, sample: np.ndarray, extra: np.ndarray, top: float, width: int
     """Best-first through the (page, block of queries) rows of a task."""
     best: dict[tuple[int, bytes], list[tuple[int, int]]] = {}  # query -> [(-score, id)], ascending, k at most
     for batch in batches:
+        if len(best) > REMEMBERED:
+            yield from _found(best)
+            best = {}
         rows = []
         for i in range(batch.num_rows):
             node, inner, outer, entries, _, queries = (c[i] for c in batch.columns)
             node = node.as_py()
             block = queries.as_py()
-            q = np.array([np.pad(np.frombuffer(x["q"], "<i4"), (0, width - len(x["q"]) // 4)) for x in block], dtype=np.float64)
+            q = np.array([np.pad(np.frombuffer(x["q"], "<i8"), (0, width - len(x["q"]) // 8)) for x in block], dtype=np.float64)
             d = _distances(q, sample[node : node + 1], top)[:, 0]
             gap = np.maximum(np.maximum(d - outer.as_py(), inner.as_py() - d), 0)
             rows.append((gap.min(), node, block, q, d, gap, entries))
@@ -209,6 +239,7 @@ def _scan(batches, sample: np.ndarray, extra: np.ndarray, top: float, width: int
             slack = SLACK * (q2 + top)
             keys = [(x["query_id"], x["q"]) for x in block]
             bound = np.array([max(x["bound"], -best[key][-1][0] if len(best.get(key, ())) >= k else x["bound"]) for x, key in zip(block, keys, strict=True)], dtype=np.float64)
+            bound -= np.abs(bound) * 2.0**-50  # as a double it may have been rounded up
             live = np.flatnonzero((q2 + top - gap * gap) / 2 + slack >= bound)
             if not len(live):
                 continue
@@ -221,10 +252,17 @@ def _scan(batches, sample: np.ndarray, extra: np.ndarray, top: float, width: int
             if first >= after:
                 continue
             scores = q[live] @ x[first:after].T
+            size = np.sqrt(q2[live][:, None] * (x[first:after] ** 2).sum(axis=1)[None, :])  # no sum on the way is larger
+            plain = bool((size < EXACT).all())
             for row, j in enumerate(live):
                 s = scores[row]
                 held = best.setdefault(keys[j], [])
                 floor = max(bound[j], -held[-1][0] if len(held) >= k else bound[j])
+                if not plain:  # doubles only say which products may count; integers say what they are
+                    near = np.flatnonzero(s + SLACK * size[row] >= floor)
+                    more = [(-score, i) for g in near if any(i != keys[j][0] for i in ids[first + g]) for score in [_score(keys[j][1], vectors[first + int(g)].as_py())] for i in ids[first + g] if i != keys[j][0]]
+                    best[keys[j]] = sorted(set(held + more))[:k]
+                    continue
                 good = np.flatnonzero(s >= floor)
                 if len(good) > 4 * k:
                     cut = np.partition(s[good], len(good) - k - 1)[len(good) - k - 1]  # one class may be the query's own
@@ -232,6 +270,10 @@ def _scan(batches, sample: np.ndarray, extra: np.ndarray, top: float, width: int
                 more = [(-int(s[g]), i) for g in good for i in ids[first + g] if i != keys[j][0]]
                 if more:
                     best[keys[j]] = sorted(set(held + more))[:k]
+    yield from _found(best)
+
+
+def _found(best: dict):
     out = [(key[0], key[1], i, -s) for key, found in best.items() for s, i in found]
     for at in range(0, len(out), 10_000):
         part = list(zip(*out[at : at + 10_000], strict=True))

@@ -411,6 +411,25 @@ def test_topk_edges(spark):
     assert topk.search(df.where("vec_id = 0"), df.where("vec_id = 0")).count() == 0
 
 
+def test_large_components_are_exact(spark):
+    r = np.random.default_rng(2)
+    rows = [(0, [1.0, 0.0]), (1, [1e8, 0.0]), (2, [0.5, 0.0]), (3, [-1e8, 3.0]), (50, [3e5 + 1, 5.0]), (51, [3e5, 5.0]), (52, [3e5 + 1, 5.25])]
+    rows += [(100 + i, [float(x) for x in r.normal(size=2) * 10.0 ** r.integers(0, 6)]) for i in range(200)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = defaultdict(list)
+    for g in topk.search(df, df.where("vec_id % 50 = 0"), page=16).orderBy("query_id", "rank").collect():
+        got[g.query_id].append((g.vec_id, g.score))
+    ints = {i: [int(np.floor(256 * x)) for x in v] for i, v in rows}
+    for q in ints:
+        if q % 50 == 0:
+            every = sorted((-sum(a * b for a, b in zip(ints[q], v, strict=True)), i) for i, v in ints.items() if i != q)[:5]
+            assert got[q] == [(i, -s) for s, i in every]
+    assert got[0][0] == (1, 6553600000000)
+    assert got[50][0][1] > 2**53
+    with pytest.raises(Exception, match="64 bits"):
+        topk.search(spark.createDataFrame([(0, [1e300]), (1, [1.0])], df.schema), df).collect()
+
+
 # --------------------------------------------------------------------- 6 toxicity
 
 
