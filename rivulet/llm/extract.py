@@ -65,8 +65,8 @@ HINTS = [
 ]
 _HINT = [re.compile(rf"(?:^|[^a-z])(?:{h})(?:$|[^a-z])") for h in HINTS]
 
-_TOKEN = re.compile(r"""<(?:!--(?P<comment>.*?)(?:-->|\Z)|(?P<other>[!?][^>]*(?:>|\Z))|(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>"']|"[^"]*(?:"|\Z)|'[^']*(?:'|\Z))*)(?P<close>>|\Z)|/[^>]*(?:>|\Z))""", re.S)
-_ATTR = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
+_TOKEN = re.compile(r"""<(?:!--(?P<comment>.*?)(?:-->|\Z)|(?P<other>[!?][^>]*(?:>|\Z))|(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>=]|=\s*(?:"[^"]*(?:"|\Z)|'[^']*(?:'|\Z))|=(?!\s*["']))*)(?P<close>>|\Z)|/[^>]*(?:>|\Z))""", re.S)
+_ATTR = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>][^\s>]*)""", re.I)
 _SPACE = re.compile(r"\s+")
 
 
@@ -168,6 +168,7 @@ class Page:
                 continue
             block = tag in BLOCKS
             if tag in ("html", "body"):  # the root stands for both
+                self.label[0] |= labels and "x-main" in attrs
                 continue
             if block:
                 flush()
@@ -304,7 +305,7 @@ class Model:
         counts += 4 * (every / every.sum(axis=1, keepdims=True))[None]
         rate = np.array([1 - y[inner].mean(), y[inner].mean()])
         pair = np.log(counts / counts.sum(axis=2, keepdims=True)) - np.log(rate)[None, None, :]
-        return cls(w, strength * pair, np.array([0.0, -3.0]))
+        return cls(w, strength * pair, np.zeros(2))
 
     def marginals(self, forest: Forest) -> np.ndarray:
         """P(content) of each block, by sum-product up and down the trees."""

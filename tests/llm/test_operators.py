@@ -356,6 +356,22 @@ def test_heads_without_an_end_tag_and_formulas():
     assert extract.Page("<head><title>T</title> plain text").runs == [(0, "plain text")]
 
 
+def test_pages_of_few_blocks_and_odd_attributes():
+    pages = {
+        "<p class=x'>First words of it, here. </p><p>Second ones, too.</p>": "First words of it, here. Second ones, too.",
+        '<p title="a > b" data-x=\'"\' hidden=">">Words of the first part, as they are.</p><p "odd>And more of it.</p>': "Words of the first part, as they are. And more of it.",
+        "Plain text without markup, which is all there is.": "Plain text without markup, which is all there is.",
+        "<div><div>Some text, which is all there is.</div></div>": "Some text, which is all there is.",
+        "<html><body><h1>Head</h1><p class=x'>First part, of a story. </p><p>Second part, of it.</p></body></html>": "Head First part, of a story. Second part, of it.",
+        "<body><a href=/>Home</a> | <a href=/n>News</a></body>": "",
+        "<body>Some words first, in the body. <p>Then a paragraph, of a few words more, in it.</p></body>": "Some words first, in the body. Then a paragraph, of a few words more, in it.",
+        "<article><p>One <b>two <i>three</b> four</i>, as it goes.</p><p>Five.</p></article>": "One two three four, as it goes. Five.",
+    }
+    assert extract.main_texts(list(pages), extract.default_model()) == list(pages.values())
+    long = "<article>" + "<p>A paragraph of words, again and again.</p>" * 20000 + "</article>"
+    assert extract.main_texts([long], extract.default_model())[0] == " ".join(["A paragraph of words, again and again."] * 20000)
+
+
 def test_messages_give_exact_marginals():
     model = extract.default_model()
     forest = extract.Forest([extract.Page(extract.labelled_pages.PAGES[1])])
@@ -527,6 +543,22 @@ def test_pieces_equal_the_library(spark):
     assert sentencepieces.encode(df.limit(0)).count() == 0
 
 
+def test_long_words_and_forgetting(spark):
+    r = random.Random(3)
+    texts = ["".join(r.choice("abcdefghijklmnopqrstuvwxyzé日") for _ in range(n)) for n in (600, 5000, 30000)] + ["ab" * 40000, "x" * 60000]
+    vocabulary = sentencepieces.Vocabulary(sentencepieces.MODEL)
+    encoder = sentencepieces.Encoder(vocabulary)
+    data, offsets = text_bytes(pa.array(texts))
+    want = library_ids(texts)
+    for _ in range(2):
+        ids, bounds = encoder.encode(data, offsets)
+        assert [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:], strict=False)] == want
+    encoder.known_check[:] = 1  # as if other words had the same hashes
+    ids, bounds = encoder.encode(data, offsets)
+    assert [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:], strict=False)] == want
+    assert encoder.salt == 1
+
+
 def test_pieces_query(spark, sf):
     out = {r.doc_id: r for r in registry.queries()["op7_sentencepiece"](spark, sf).collect()}
     docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()
