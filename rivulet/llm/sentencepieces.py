@@ -13,8 +13,10 @@ that no piece holds are edges of their own and become byte pieces.
 The result is that of the library's encoder, id by id; decoding gives the text back.
 
 Defined results: null and empty texts have no ids and decode to the empty text;
-U+2581 is read as a space, as the format has it; very long words are relaxed like
-others; repeated rows are each answered; other columns pass through untouched.
+U+2581 is read as a space, as the format has it; words of more than ``LONG`` bytes are relaxed
+one by one, in time linear in their length; repeated rows are each answered; other
+columns pass through untouched. A worker remembers ``MOST_WORDS`` words, by two independent
+hashes, and ``MOST_PAIRS`` pairs of pieces, and starts anew beyond that.
 """
 
 from __future__ import annotations
@@ -34,7 +36,10 @@ MARK = "▁".encode()
 GAP = 0xFF  # divides words; UTF-8 never has it
 SLICE = 1 << 21
 MOST_WORDS = 1_500_000  # words that a worker remembers; then it starts anew
+MOST_PAIRS = 2_000_000
+LONG = 512
 _RAW_HASH = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
+_CHECK = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x165667B19E3779F9))
 
 
 class Vocabulary:
@@ -88,11 +93,17 @@ class Encoder:
         self.singles = np.array([p for p in pieces if len(p.decode()) == 1], dtype="S4")
         self.singles.sort()
         self.lengths = np.array([len(p) for p in vocabulary.pieces] + [0])
+        self.salt = 0
+        self.forget_pairs()
+        self.forget()
+
+    def forget_pairs(self):
         self.pairs = np.zeros(0, np.int64)
         self.pair_ok = np.zeros(0, dtype=bool)
-        self.forget()
+        self.long_pairs: dict[int, bool] = {}
 
     def forget(self):
+        self.known_check = np.zeros(0, np.uint64)
         self.known = np.zeros(0, np.uint64)
         self.known_at = np.zeros(1, np.int64)
         self.known_ids = np.zeros(0, np.int32)
@@ -102,23 +113,48 @@ class Encoder:
     def compatible(self, before: np.ndarray, piece: np.ndarray) -> np.ndarray:
         """Whether merging leaves each piece behind the one before as it is."""
         code = before * (self.unknown + 1) + piece
+        if len(self.pairs) > MOST_PAIRS:
+            self.forget_pairs()
         need = np.unique(code)
         at = np.searchsorted(self.pairs, need)
         new = need[(at >= len(self.pairs)) | (self.pairs[np.minimum(at, len(self.pairs) - 1)] != need)] if len(self.pairs) else need
         if len(new):
-            ok = np.ones(len(new), dtype=bool)
-            p = self.v.pieces
-            for k, c in enumerate(new.tolist()):
-                a, b = divmod(c, self.unknown + 1)
-                if a != self.unknown and b != self.unknown:
-                    ok[k] = self.v.merge(p[a] + p[b]) == [p[a], p[b]]
+            ok = np.array([self._stands(*divmod(c, self.unknown + 1)) for c in new.tolist()], dtype=bool)
             merged = np.concatenate([self.pairs, new])
             order = np.argsort(merged, kind="stable")
             self.pairs, self.pair_ok = merged[order], np.concatenate([self.pair_ok, ok])[order]
         return self.pair_ok[np.searchsorted(self.pairs, code)]
 
+    def _stands(self, a: int, b: int) -> bool:
+        p = self.v.pieces
+        return a == self.unknown or b == self.unknown or self.v.merge(p[a] + p[b]) == [p[a], p[b]]
+
     # ------------------------------------------------------------------ words
 
+    def long_word(self, text: np.ndarray) -> np.ndarray:
+        """Ids of one word, its edges relaxed one after the other."""
+        first, after, piece = self.edges(text)
+        order = np.argsort(after, kind="stable")
+        last, back, known = [-1] * (len(text) + 1), [-1] * (len(text) + 1), self.long_pairs
+        for f, e, p in zip(first[order].tolist(), after[order].tolist(), piece[order].tolist(), strict=True):
+            if f:
+                if last[f] < 0:
+                    continue
+                code = last[f] * (self.unknown + 1) + p
+                stands = known.get(code)
+                if stands is None:
+                    if len(known) > MOST_PAIRS:
+                        known.clear()
+                    stands = known[code] = self._stands(last[f], p)
+                if not stands:
+                    continue
+            last[e], back[e] = p, f
+        out, at = [], len(text)
+        while at > 0:
+            out += [last[at]] if last[at] != self.unknown else self.v.byte_ids[text[back[at] : at]][::-1].tolist()
+            at = back[at]
+        return np.array(out[::-1], dtype=np.int32)
+
     def edges(self, text: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(first byte, byte after, id) of every piece in a text of words divided by ``GAP``."""
         suffix = np.flatnonzero(((text & 0xC0) != 0x80) & (text != GAP))
@@ -218,30 +254,42 @@ class Encoder:
         ends = np.append(starts[1:], len(d))
         lens = ends - starts
         place = np.arange(len(d)) - np.repeat(starts, lens)
-        hashes = mix(np.add.reduceat(_RAW_HASH[d] * powers(int(lens.max()))[place], starts) + lens.astype(np.uint64))
+        up = powers(int(lens.max()))[place]
+        salt = np.uint64(self.salt)
+        hashes = mix(np.add.reduceat(_RAW_HASH[d] * up, starts) + lens.astype(np.uint64) + salt * np.uint64(0x9E3779B97F4A7C15))
+        check = mix(np.add.reduceat(_CHECK[d] * up, starts) + salt)
         words, where, which = np.unique(hashes, return_index=True, return_inverse=True)
         at = np.searchsorted(self.known, words)
         new = (at >= len(self.known)) | (self.known[np.minimum(at, len(self.known) - 1)] != words) if len(self.known) else np.ones(len(words), dtype=bool)
+        if (check != check[where][which]).any() or (self.known_check[at[~new]] != check[where[~new]]).any():
+            self.salt += 1  # two words have one hash: hash otherwise, and start anew
+            self.forget()
+            return self.encode(data, offsets)
         if new.any():
             if len(self.known) + new.sum() > MOST_WORDS and len(self.known):
                 self.forget()
                 new = np.ones(len(words), dtype=bool)
-            s, e = starts[where[new]], ends[where[new]]
+            length = ends[where] - starts[where]
+            short, long = np.flatnonzero(new & (length <= LONG)), np.flatnonzero(new & (length > LONG))
+            s, e = starts[where[short]], ends[where[short]]
             size = e - s
             base = np.cumsum(size + 1) - size - 1
             text = np.full(int((size + 1).sum()), GAP, np.uint8)
             inner = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
             text[np.repeat(base, size) + inner] = d[np.repeat(s, size) + inner]
-            ids, bounds = self.words(text, base, base + size)
-            self._remember(words[new], ids, bounds)
+            ids, bounds = self.words(text, base, base + size) if len(short) else (np.zeros(0, np.int32), np.zeros(1, np.int64))
+            more = [self.long_word(d[starts[w] : ends[w]]) for w in where[long]]
+            bounds = np.concatenate([bounds, bounds[-1] + np.cumsum([len(m) for m in more], dtype=np.int64)])
+            both = np.concatenate([short, long])
+            self._remember(words[both], check[where[both]], np.concatenate([ids, *more]), bounds)
         at = np.searchsorted(self.known, words)
         first, count = self.known_at[at][which], np.diff(self.known_at)[at][which]
         total = np.concatenate([[0], np.cumsum(count)])
         out = self.known_ids[np.repeat(first - total[:-1], count) + np.arange(total[-1])]
         return out, total[np.searchsorted(starts, own)]
 
-    def _remember(self, words: np.ndarray, ids: np.ndarray, bounds: np.ndarray) -> None:
-        all_words = np.concatenate([self.known, words])
+    def _remember(self, words: np.ndarray, check: np.ndarray, ids: np.ndarray, bounds: np.ndarray) -> None:
+        all_words, all_check = np.concatenate([self.known, words]), np.concatenate([self.known_check, check])
         counts = np.concatenate([np.diff(self.known_at), np.diff(bounds)])
         firsts = np.concatenate([self.known_at[:-1], bounds[:-1] + len(self.known_ids)])
         order = np.argsort(all_words, kind="stable")
@@ -249,7 +297,7 @@ class Encoder:
         counts, firsts = counts[order], firsts[order]
         total = np.concatenate([[0], np.cumsum(counts)])
         self.known_ids = pool[np.repeat(firsts - total[:-1], counts) + np.arange(total[-1])]
-        self.known, self.known_at = all_words[order], total
+        self.known, self.known_check, self.known_at = all_words[order], all_check[order], total
 
 
 def _marked(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
