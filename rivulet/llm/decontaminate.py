@@ -94,10 +94,10 @@ def item_fingerprints(items: DataFrame, item_id: str = "item_id", text: str = "t
     return out.select(*[F.col(f.split()[0]).cast(f.split()[1]) for f in schema.split(", ")])
 
 
-def hits(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", span: int = SPAN, k: int = K) -> tuple[DataFrame, DataFrame]:
-    """(base, spans). base: _key, doc_id and n_words of each row of ``docs``.
-    spans: _key, first and after (word indexes) and items, structs of the ids of the items
-    of which the run of words holds a window; one row for each run and hit."""
+def hits(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", span: int = SPAN, k: int = K) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(base, spans, owners). base: _key, doc_id and n_words of each row of ``docs``.
+    spans: _key, first and after (word indexes) and fid, the number of the fingerprint that was hit;
+    one row for each run and hit. owners: fid and item_id of the items that have the fingerprint."""
     reach = span - k
     names = _context_names(reach)
     prints = materialize(item_fingerprints(items, item_id, item_text, span, k))
@@ -129,8 +129,10 @@ def hits(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str =
     found = materialize(source.mapInArrow(fingerprint, fields))
     base = found.where("cls = -1").select("_key", "doc_id", "n_words")
 
-    grouped = prints.groupBy("cls", "h", *names).agg(F.collect_set(F.struct("item_id")).alias("items"))
-    other = grouped.select(F.col("cls").alias("i_cls"), F.col("h").alias("i_h"), *[F.col(n).alias(f"i_{n}") for n in names], "items")
+    keys = ["cls", "h", *names]
+    numbered = materialize(prints.select(*keys).distinct().withColumn("fid", F.monotonically_increasing_id()))
+    owners = materialize(prints.join(numbered, keys).select("fid", "item_id").distinct())
+    other = numbered.select(*[F.col(n).alias(f"i_{n}") for n in keys], "fid")
     mine = found.where("cls >= 0").select("_key", F.col("cls").cast("int").alias("cls"), "pos", "h", *names)
     met = mine.join(other, (F.col("cls") == F.col("i_cls")) & (F.col("h") == F.col("i_h")))
 
@@ -145,9 +147,9 @@ def hits(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str =
         met.withColumn("left", extent("l"))
         .withColumn("right", extent("r"))
         .where((F.col("cls") > 0) | (F.col("left") + k + F.col("right") >= span))
-        .select("_key", (F.col("pos") - F.col("left")).alias("first"), (F.col("pos") + size + F.col("right")).alias("after"), "items")
+        .select("_key", (F.col("pos") - F.col("left")).alias("first"), (F.col("pos") + size + F.col("right")).alias("after"), "fid")
     )
-    return base, spans
+    return base, spans, owners
 
 
 def merge_spans(spans: DataFrame, *keys: str) -> DataFrame:
@@ -169,10 +171,11 @@ def merge_spans(spans: DataFrame, *keys: str) -> DataFrame:
 def contamination(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", span: int = SPAN, k: int = K) -> DataFrame:
     """One row for each row of ``docs``: id, n_words, n_hit, items (sorted as
     strings), runs (merged spans of hit words), contaminated."""
-    base, spans = hits(docs, items, doc_id, text, item_id, item_text, span, k)
+    base, spans, owners = hits(docs, items, doc_id, text, item_id, item_text, span, k)
     spans = materialize(spans)
     runs = merge_spans(spans, "_key")
-    named = spans.select("_key", F.explode("items").alias("i")).select("_key", F.col("i.item_id").cast("string").alias("i")).distinct().groupBy("_key").agg(F.array_sort(F.transform(F.collect_list(F.struct("i")), lambda x: x["i"])).alias("items"))
+    met = spans.select("_key", "fid").distinct().join(owners, "fid")
+    named = met.select("_key", F.col("item_id").cast("string").alias("i")).distinct().groupBy("_key").agg(F.array_sort(F.transform(F.collect_list(F.struct("i")), lambda x: x["i"])).alias("items"))
     out = base.join(runs.join(named, "_key", "left"), "_key", "left")
     n_hit = F.expr("coalesce(aggregate(runs, 0L, (a, x) -> a + x.after - x.first), 0L)")
     return out.select(
