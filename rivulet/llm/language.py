@@ -3,12 +3,13 @@
 Each language has a codeword of bits. For each bit a binary classifier tells the
 languages with a 1 from those with a 0: a naive Bayes over hashed n-grams of one
 to three bytes of the lower-cased letters, learned from counts over all labelled
-documents (one grouped sum; languages x buckets cells reach the driver). A text
+documents (one grouped sum; at most ``MOST_LANGUAGES`` x ``BUCKETS`` cells reach the driver). A text
 is decoded by loss: each bit's margin, in units of the margin that its own classes
 show, costs exp(-margin) under a codeword's bit, weighted by how well the bit
 separates its classes; the codeword of least cost wins. Texts whose runner-up
 costs nearly as little are flagged ambiguous.
 
+Of more than ``most`` languages (``MOST_LANGUAGES``) those with the most labelled rows are learned.
 Few languages have the exhaustive code, all 2^(L-1) - 1 two-way splits, more than
 six a dense random one of the most distant columns among a fixed number of draws.
 
@@ -28,6 +29,7 @@ from pyspark.sql import functions as F
 from ._common import slices, text_bytes
 
 BUCKETS = 1 << 13
+MOST_LANGUAGES = 400
 FOLDS, HELD_OUT = 4, 2
 AMBIGUOUS = 0.25
 SHARPNESS = 4.0
@@ -97,7 +99,8 @@ def codewords(n: int) -> np.ndarray:
     bits, rng, best = int(np.ceil(10 * np.log2(n))), np.random.default_rng(7), None
     for _ in range(200):
         code = rng.choice([-1, 1], size=(n, bits))
-        near = min((code[i] != code[j]).sum() for i in range(n) for j in range(i))
+        alike = (code @ code.T).astype(np.int64)
+        near = (bits - alike[~np.eye(n, dtype=bool)].max()) // 2
         if best is None or near > best[0]:
             best = (near, code)
     return best[1]
@@ -134,8 +137,11 @@ class Model:
         return cost.argmin(axis=1), likely.max(axis=1), order[:, -1] - order[:, -2] < AMBIGUOUS
 
 
-def train(docs: DataFrame, text: str = "text", lang: str = "lang") -> Model | None:
-    found = counts(docs, text, lang).toArrow()
+def train(docs: DataFrame, text: str = "text", lang: str = "lang", most: int = MOST_LANGUAGES) -> Model | None:
+    """The model of the ``most`` languages that most rows have; None if none has any."""
+    rows = docs.where(F.col(text).isNotNull() & F.col(lang).isNotNull())
+    common = [r[0] for r in rows.groupBy(F.col(lang).cast("string").alias("l")).count().orderBy(F.desc("count"), "l").limit(most).collect()]
+    found = counts(rows.where(F.col(lang).cast("string").isin(common)), text, lang).toArrow()
     names = sorted(set(found.column("lang").to_pylist()))
     if not names:
         return None

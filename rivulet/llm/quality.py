@@ -167,12 +167,18 @@ def _posterior(rows: DataFrame, sites: DataFrame, host: str, path: str, rate: fl
     return joined.withColumn("__site", site).withColumn("__posterior", post).drop("host_n", "host_s", "path_n", "path_s")
 
 
-def score(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", host: str = "source", path: str = "lang", label: str = "quality") -> DataFrame:
+def score(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", host: str = "source", path: str = "lang", label: str = "quality", keep_text: bool = True) -> DataFrame:
     """``docs`` with __logit, __p (evidence), __site (prior) and __posterior appended; no shuffle of texts
-    unless the table of sites is too large to broadcast."""
+    unless the table of sites is too large to broadcast. Without ``keep_text`` the text is left out and
+    its features are computed once; with it, once for the sites and once beside the text."""
     evidence = fit(docs, labels, doc_id, text, label)
     names = [f"__{f}" for f in FEATURES]
     logit = evidence.logit()
+    if not keep_text:
+        slim = with_features(docs.withColumn("__text", F.col(text).cast("string")).drop(text), "__text").withColumn("__logit", logit).drop("__text", *names)
+        rows = materialize(slim.withColumn("__p", 1 / (1 + F.exp(-F.col("__logit")))))
+        sites, rate, by_host, by_path = site_priors(rows, host, path)
+        return _posterior(rows, sites, host, path, rate, by_host, by_path, evidence.rate)
     light = with_features(docs.select(F.col(host).alias("__host"), F.col(path).alias("__path"), F.col(text).cast("string").alias("__text")), "__text").select("__host", "__path", logit.alias("__logit"))
     light = light.withColumn("__p", 1 / (1 + F.exp(-F.col("__logit"))))
     sites, rate, by_host, by_path = site_priors(light, "__host", "__path")
@@ -193,7 +199,8 @@ def site_of(url):
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """op10: evidence, site prior and posterior of every document; source and language are its site."""
+    """op10: evidence, site prior and posterior of every document. As documents have no URL, their source
+    stands for the host and their language for the path."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "source", "lang")
-    out = score(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    out = score(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), keep_text=False)
     return out.select("doc_id", F.col("__p").alias("evidence"), F.col("__site").alias("site_prior"), F.col("__posterior").alias("score"), (F.col("__posterior") >= 0.5).alias("accepted"))

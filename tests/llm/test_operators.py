@@ -681,6 +681,39 @@ def test_codewords_are_apart():
     assert min((language.codewords(9)[i] != language.codewords(9)[j]).sum() for i in range(9) for j in range(i)) >= 5
 
 
+def test_decoding_by_all_codewords():
+    r = np.random.default_rng(6)
+    for n in (3, 5, 8):
+        table = r.integers(0, 50, size=(n, language.BUCKETS)).astype(float)
+        model = language.Model([f"l{i}" for i in range(n)], table)
+        h = np.concatenate([table[:2] + r.integers(0, 20, size=(2, language.BUCKETS)), r.integers(0, 5, size=(4, language.BUCKETS))]).astype(np.float32)
+        p = [[(x + 0.5) / (sum(row) + 0.5 * len(row)) for x in row] for row in table.tolist()]
+        best, score, unsure = model.decode(h)
+        for k in range(len(h)):
+            total, costs = float(h[k].sum()), []
+            bits = []
+            for b in range(model.code.shape[1]):
+                groups = [[p[i] for i in range(n) if model.code[i][b] == s] for s in (1, -1)]
+                one, zero = (np.mean(g, axis=0) for g in groups)
+                w = np.log(one) - np.log(zero)
+                scale = float(((one - zero) * w).sum() / 2)
+                bits.append((float((h[k] * (w - ((one + zero) / 2 * w).sum())).sum()) / total / scale, scale))
+            for word in model.code:
+                costs.append(sum(s * np.exp(-np.clip(m, -3, 3) * c) for (m, s), c in zip(bits, word, strict=True)) / sum(s for _, s in bits))
+            likely = np.exp(-language.SHARPNESS * (np.array(costs) - min(costs)))
+            likely /= likely.sum()
+            top = np.sort(likely)[::-1]
+            assert abs(score[k] - top[0]) < 1e-3
+            assert top[0] - top[1] < 1e-3 or best[k] == int(likely.argmax())
+            assert abs(top[0] - top[1] - language.AMBIGUOUS) < 2e-3 or unsure[k] == (top[0] - top[1] < language.AMBIGUOUS)
+
+
+def test_only_the_most_frequent_languages_are_learned(spark):
+    df = spark.createDataFrame([(i, "der und die das" if i % 3 else "the and of to", "de" if i % 3 else "en", 1) for i in range(30)] + [(99, "zz", "rare", 1)], "doc_id long, text string, lang string, bucket int")
+    assert language.train(df, most=2).languages == ["de", "en"]
+    assert {r.lang_pred for r in language.identify(df.where("doc_id = 0"), language.train(df)).collect()} == {"en"}
+
+
 # ---------------------------------------------------------------------- 10 quality
 
 
@@ -697,6 +730,45 @@ def test_quality(spark, sf):
     assert quality.accepted(odd.limit(0), labels).count() == 0
 
 
+def test_quality_of_held_out_labels(spark, sf):
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    out = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == 0
+    scored = quality.score(docs, labels.where(~out).withColumns({"text": F.lit("x"), "lang": F.lit("y")}), keep_text=False)
+    truth = {r.doc_id: r.quality for r in labels.where(out).collect()}
+    got = {r.doc_id: r["__posterior"] >= 0.5 for r in scored.select("doc_id", "__posterior").collect()}
+    assert np.mean([got[d] == bool(q) for d, q in truth.items()]) > 0.93
+
+
+def test_posteriors_by_plain_arithmetic(spark, sf):
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    rows = [r.asDict() for r in quality.score(docs, labels, keep_text=False).select("source", "lang", "__p", "__logit", "__site", "__posterior").collect()]
+    again = [r.asDict() for r in quality.score(docs, labels).select("__site", "__posterior").collect()]
+    assert np.allclose(sorted(r["__posterior"] for r in rows), sorted(r["__posterior"] for r in again))
+    hosts, paths = defaultdict(list), defaultdict(list)
+    for r in rows:
+        hosts[r["source"]].append(r["__p"])
+        paths[r["source"], r["lang"]].append(r["__p"])
+    total = [r["__p"] for r in rows]
+    rate = sum(total) / len(total)
+
+    def strength(groups, parent):
+        n = sum(map(len, groups.values()))
+        spread = sum(len(g) * (sum(g) / len(g) - parent(k)) ** 2 for k, g in groups.items()) / n
+        between = spread - rate * (1 - rate) * len(groups) / n
+        return min(max(rate * (1 - rate) / between - 1, 2.0), 1e4) if between > 0 else 1e4
+
+    by_host = strength(hosts, lambda k: rate)
+    mean = lambda h, less=0.0, n=0: (sum(hosts[h]) - less + by_host * rate) / (len(hosts[h]) - n + by_host)
+    by_path = strength(paths, lambda k: mean(k[0]))
+    trained = np.mean([r.quality for r in labels.where("quality is not null").collect()])
+    for r in rows[:200]:
+        p, own = r["__p"], paths[r["source"], r["lang"]]
+        site = (sum(own) - p + by_path * mean(r["source"], p, 1)) / (len(own) - 1 + by_path)
+        z = r["__logit"] - np.log(trained / (1 - trained)) + np.log(site / (1 - site))
+        assert abs(site - r["__site"]) < 1e-6
+        assert abs(1 / (1 + np.exp(-z)) - r["__posterior"]) < 1e-6
+
+
 def test_sparse_sites_shrink(spark):
     rows = [("a", "x", 0.9)] * 200 + [("b", "x", 0.1)] * 200 + [("c", "x", 0.1)]
     sites, rate, by_host, by_path = quality.site_priors(spark.createDataFrame(rows, "h string, p string, __p double"), "h", "p")
