@@ -8,6 +8,21 @@ from pyspark.sql import functions as F
 from ._common import materialize
 
 
+#: A label with this share of all nodes is hot; there are at most 1000 of them.
+HOT = 1000
+
+
+def _renamed(rows: DataFrame, names: DataFrame, total: int) -> DataFrame:
+    """(node, comp) of ``rows`` (node, was): comp is ``to`` in ``names`` (was, to, m; m rows have the label), else was.
+
+    The names of hot labels are broadcast, so that no task gets a giant component; the others are joined.
+    """
+    hot = names.where(F.col("m") * HOT >= total).select("was", "to")
+    first = rows.select("node", "was").join(F.broadcast(hot), "was", "left")
+    cold = first.where("to is null").drop("to").join(names.where(F.col("m") * HOT < total).select("was", "to"), "was", "left")
+    return first.select("node", "was", "to").where("to is not null").union(cold.select("node", "was", "to")).select("node", F.coalesce("to", "was").alias("comp"))
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, comp) of every node of ``edges``; comp is the smallest node reachable.
 
@@ -21,14 +36,14 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     pairs = edges.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a is not null and b is not null")
     both = materialize(pairs.union(pairs.select("b", "a")).distinct())
     labels = materialize(both.groupBy("a").agg(F.least("a", F.min("b")).alias("comp")).withColumnRenamed("a", "node"))
+    total = labels.count()
     while True:
         seen = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy("a").agg(F.min("comp").alias("near")).withColumnRenamed("a", "node")
         moved = materialize(labels.join(seen, "node").select("node", F.col("comp").alias("was"), F.least("comp", "near").alias("comp")))
         if moved.where("comp < was").isEmpty():
             return labels
-        # Written apart, so that adaptive execution may broadcast it or split a giant component among tasks.
-        roots = materialize(moved.groupBy("was").agg(F.min("comp").alias("root")))
-        labels = materialize(moved.join(roots, "was").select("node", "root").withColumnRenamed("root", "comp"))
+        roots = materialize(moved.groupBy("was").agg(F.min("comp").alias("to"), F.count("*").alias("m")))
+        labels = materialize(_renamed(moved, roots, total))
 
 
 def merged(labels: DataFrame, edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -41,5 +56,7 @@ def merged(labels: DataFrame, edges: DataFrame, a: str = "a", b: str = "b") -> D
     every = materialize(known.union(nodes.join(known, "node", "left_anti").select("node", F.col("node").alias("comp"))))
     one = edges.select(a, b).join(every.select(F.col("node").alias(a), F.col("comp").alias("x")), a)
     two = one.join(every.select(F.col("node").alias(b), F.col("comp").alias("y")), b).where("x <> y")
-    names = materialize(components(two, "x", "y").select(F.col("node").alias("comp"), F.col("comp").alias("to")))
-    return materialize(every.join(names, "comp", "left").select("node", F.coalesce("to", "comp").alias("comp")))
+    names = components(two, "x", "y").select(F.col("node").alias("was"), F.col("comp").alias("to"))
+    rows = every.select("node", F.col("comp").alias("was"))
+    sized = materialize(rows.groupBy("was").agg(F.count("*").alias("m")).join(names, "was"))
+    return materialize(_renamed(rows, sized, every.count()))

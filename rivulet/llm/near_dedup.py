@@ -270,8 +270,12 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         labels = merged(labels, more)
 
     linked = materialize(labels.join(classes.select("node", "rep"), "node"))
-    names = materialize(linked.groupBy("comp").agg(F.min("rep").alias("name")))
-    grouped = linked.select("node", "comp").join(names, "comp")
+    names = materialize(linked.groupBy("comp").agg(F.min("rep").alias("name"), F.count("*").alias("m")))
+    size = linked.count()
+    large = names.where(F.col("m") * HOT >= size).select("comp", "name", F.lit(True).alias("large"))
+    first = linked.select("node", "comp").join(F.broadcast(large), "comp", "left")  # ``HOT`` rows at most, as below
+    other = first.where("large is null").select("node", "comp").join(names.where(F.col("m") * HOT < size), "comp")
+    grouped = first.where("large").select("node", "comp", "name").union(other.select("node", "comp", "name"))
     # What is said of a class: its own smallest id and key where nothing links it. Classes of one row need no word.
     said = classes.join(grouped, "node", "left").where("m > 1 or comp is not null")
     said = materialize(said.select("cls", "chk", "m", F.when(F.col("comp").isNull(), F.col("rep")).otherwise(F.col("name")).alias("name"), F.coalesce("comp", "node").alias("_group")))
