@@ -14,7 +14,7 @@ The result is that of the library's encoder, id by id; decoding gives the text b
 
 Defined results: null and empty texts have no ids and decode to the empty text;
 U+2581 is read as a space, as the format has it; words of more than ``LONG`` bytes are relaxed
-one by one, in time linear in their length; repeated rows are each answered; other
+one by one, in time linear in their length, ``BLOCK`` bytes at a time; repeated rows are each answered; other
 columns pass through untouched. A worker remembers ``MOST_WORDS`` words, by two independent
 hashes, and ``MOST_PAIRS`` pairs of pieces, and starts anew beyond that.
 """
@@ -22,6 +22,7 @@ hashes, and ``MOST_PAIRS`` pairs of pieces, and starts anew beyond that.
 from __future__ import annotations
 
 import hashlib
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -34,9 +35,10 @@ from ._common import mix, powers, slices, text_bytes
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁".encode()
 GAP = 0xFF  # divides words; UTF-8 never has it
-SLICE = 1 << 21
-MOST_WORDS = 1_500_000  # words that a worker remembers; then it starts anew
-MOST_PAIRS = 2_000_000
+SLICE = 1 << 20
+BLOCK = 1 << 18  # bytes of words that are matched at a time
+MOST_WORDS = 400_000  # words that a worker remembers; then it starts anew
+MOST_PAIRS = 500_000
 LONG = 512
 _RAW_HASH = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
 _CHECK = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x165667B19E3779F9))
@@ -86,6 +88,7 @@ class Encoder:
         ids = np.array(vocabulary.edges, dtype=np.int64)
         pieces = [vocabulary.pieces[i] for i in vocabulary.edges]
         self.sizes = np.array([len(p) for p in pieces])
+        self.longest = int(self.sizes.max(initial=4))
         self.ids = ids
         self.heads_low = np.array([p[:16] for p in pieces], dtype="S16")
         self.heads_high = np.array([p[:16] + b"\xff" * (16 - len(p[:16])) for p in pieces], dtype="S16")
@@ -132,23 +135,26 @@ class Encoder:
     # ------------------------------------------------------------------ words
 
     def long_word(self, text: np.ndarray) -> np.ndarray:
-        """Ids of one word, its edges relaxed one after the other."""
-        first, after, piece = self.edges(text)
-        order = np.argsort(after, kind="stable")
-        last, back, known = [-1] * (len(text) + 1), [-1] * (len(text) + 1), self.long_pairs
-        for f, e, p in zip(first[order].tolist(), after[order].tolist(), piece[order].tolist(), strict=True):
-            if f:
-                if last[f] < 0:
-                    continue
-                code = last[f] * (self.unknown + 1) + p
-                stands = known.get(code)
-                if stands is None:
-                    if len(known) > MOST_PAIRS:
-                        known.clear()
-                    stands = known[code] = self._stands(last[f], p)
-                if not stands:
-                    continue
-            last[e], back[e] = p, f
+        """Ids of one word, its edges relaxed one after the other, in the order of their first bytes:
+        all edges that end where one begins come before it."""
+        last, back, known = array("q", [-1]) * (len(text) + 1), array("q", [-1]) * (len(text) + 1), self.long_pairs
+        for base in range(0, len(text), BLOCK):
+            first, after, piece = self.edges(text[base : base + BLOCK + self.longest])
+            own = np.flatnonzero(first < BLOCK)
+            order = own[np.lexsort((after[own], first[own]))]
+            for f, e, p in zip((first[order] + base).tolist(), (after[order] + base).tolist(), piece[order].tolist(), strict=True):
+                if f:
+                    if last[f] < 0:
+                        continue
+                    code = last[f] * (self.unknown + 1) + p
+                    stands = known.get(code)
+                    if stands is None:
+                        if len(known) > MOST_PAIRS:
+                            known.clear()
+                        stands = known[code] = self._stands(last[f], p)
+                    if not stands:
+                        continue
+                last[e], back[e] = p, f
         out, at = [], len(text)
         while at > 0:
             out += [last[at]] if last[at] != self.unknown else self.v.byte_ids[text[back[at] : at]][::-1].tolist()
@@ -271,17 +277,21 @@ class Encoder:
                 new = np.ones(len(words), dtype=bool)
             length = ends[where] - starts[where]
             short, long = np.flatnonzero(new & (length <= LONG)), np.flatnonzero(new & (length > LONG))
-            s, e = starts[where[short]], ends[where[short]]
-            size = e - s
-            base = np.cumsum(size + 1) - size - 1
-            text = np.full(int((size + 1).sum()), GAP, np.uint8)
-            inner = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
-            text[np.repeat(base, size) + inner] = d[np.repeat(s, size) + inner]
-            ids, bounds = self.words(text, base, base + size) if len(short) else (np.zeros(0, np.int32), np.zeros(1, np.int64))
-            more = [self.long_word(d[starts[w] : ends[w]]) for w in where[long]]
-            bounds = np.concatenate([bounds, bounds[-1] + np.cumsum([len(m) for m in more], dtype=np.int64)])
+            parts, counts = [], []
+            for a, b in slices(np.concatenate([[0], np.cumsum(length[short] + 1)]), BLOCK):
+                s, size = starts[where[short[a:b]]], length[short[a:b]]
+                base = np.cumsum(size + 1) - size - 1
+                text = np.full(int((size + 1).sum()), GAP, np.uint8)
+                inner = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+                text[np.repeat(base, size) + inner] = d[np.repeat(s, size) + inner]
+                ids, bounds = self.words(text, base, base + size)
+                parts.append(ids)
+                counts.append(np.diff(bounds))
+            for w in where[long]:
+                parts.append(self.long_word(d[starts[w] : ends[w]]))
+                counts.append(np.array([len(parts[-1])]))
             both = np.concatenate([short, long])
-            self._remember(words[both], check[where[both]], np.concatenate([ids, *more]), bounds)
+            self._remember(words[both], check[where[both]], np.concatenate(parts), np.concatenate([[0], np.cumsum(np.concatenate(counts))]))
         at = np.searchsorted(self.known, words)
         first, count = self.known_at[at][which], np.diff(self.known_at)[at][which]
         total = np.concatenate([[0], np.cumsum(count)])
