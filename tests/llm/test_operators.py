@@ -559,6 +559,16 @@ def test_long_words_and_forgetting(spark):
     assert encoder.salt == 1
 
 
+def test_blocks_of_the_encoder(monkeypatch):
+    """Words and parts of long words that are matched in many blocks, multi-byte characters across their ends."""
+    monkeypatch.setattr(sentencepieces, "BLOCK", 101)
+    r = random.Random(5)
+    texts = ["".join(r.choice("abcdeé日😀") for _ in range(n)) for n in (300, 700, 1500)] + ["the " * 200, " ".join(str(i * 7919) for i in range(300)), "", "inter" * 300]
+    data, offsets = text_bytes(pa.array(texts))
+    ids, bounds = sentencepieces.Encoder(sentencepieces.Vocabulary(sentencepieces.MODEL)).encode(data, offsets)
+    assert [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:], strict=False)] == library_ids(texts)
+
+
 def test_pieces_query(spark, sf):
     out = {r.doc_id: r for r in registry.queries()["op7_sentencepiece"](spark, sf).collect()}
     docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()
