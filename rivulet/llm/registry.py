@@ -16,6 +16,7 @@ MODULES = {
     "op8_near_dedup": "near_dedup",
     "op9_language": "language",
     "op10_quality": "quality",
+    "op11_packing": "packing",
     "op12_conversation_repair": "conversations",
     "op13_importance_resampling": "resample",
 }
