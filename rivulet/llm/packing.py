@@ -293,9 +293,10 @@ class _Sums:
         return all(self.left[length] >= k for length, k in pattern.items())
 
     def pair(self, total: int, held: dict[int, int]) -> dict[int, int] | None:
-        """``held`` and two lengths of this sum, the longest first."""
+        """``held`` and two lengths of this sum, the pair that most pieces are left of."""
         low = np.arange(max(1, total - len(self.left) + 1), total // 2 + 1)
-        for a in low[(self.left[low] > 0) & (self.left[total - low] > 0)].tolist():
+        most = np.minimum(self.left[low], self.left[total - low])
+        for a in low[np.argsort(-most, kind="stable")[: np.count_nonzero(most)]].tolist():
             if self.has(found := _more(held, total - a, a)):
                 return found
         return None
