@@ -126,9 +126,7 @@ class Page:
             if tag in SILENT:
                 silent -= 1
 
-        for m in _TOKEN.finditer(source):
-            if m.start() < at:
-                continue
+        while m := _TOKEN.search(source, at):  # from where a raw element ends, whatever it holds
             if stack[-1][0] == "head" and source[at : m.start()].strip():
                 pop()  # text ends a head
             if m.start() > at and not silent:

@@ -174,8 +174,9 @@ def _fields(head: bytes) -> dict[str, str]:
 class Reassembly:
     """Records of one archive from its pieces, those between two record ends, in order.
 
-    A block that holds record ends itself comes in several pieces. ``add`` and ``close`` give
-    (fields, block, error): one of fields and error is None.
+    A block that holds record ends itself comes in several pieces, and one that ends in a line end
+    is parted from the next record a line end early; its length says where it ends.
+    ``add`` and ``close`` give (fields, block, error): one of fields and error is None.
     """
 
     def __init__(self):
@@ -197,7 +198,9 @@ class Reassembly:
             self.held += len(piece) + len(END)
             if self.held - len(END) < self.size:
                 return
-            block = END.join(self.parts)
+            block, rest = END.join(self.parts), b""
+            if block[self.size : self.size + len(END)] == END:
+                block, rest = block[: self.size], block[self.size + len(END) :]
             error = None if len(block) == self.size else "archive: wrong length"
             fields, self.fields = self.fields, None
             kind = fields.get("warc-type")
@@ -210,6 +213,8 @@ class Reassembly:
             else:
                 self.seen += 1
                 yield fields, block, None
+            if rest:
+                yield from self.add(rest)
 
     def close(self):
         if self.fields is not None or self.counted and self.told is None:
@@ -326,6 +331,12 @@ def read(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
     return whole.union(mended).union(unread)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete the archives in the folder ``path``, on whatever file system it is."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def resolve(records: DataFrame) -> DataFrame:
     """``records`` with, for revisits, the length and page of the response they refer to."""
     responses = materialize(records.where("kind = 'response'").groupBy("rid").agg(F.max("payload_bytes").alias("of_bytes"), F.max("page").alias("of_page"), F.max("digest").alias("of_digest")))
@@ -340,7 +351,9 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html")
     path = f"{shared_folder(spark)}/warc-{uuid.uuid4().hex}"
     write(pages, path)
-    back = resolve(materialize(read(spark, path, payloads=False).drop("payload")))
+    back = materialize(read(spark, path, payloads=False).drop("payload"))
+    remove(spark, path)
+    back = resolve(back)
     return back.select(F.col("page").cast("bigint").alias("page_id"), "payload_bytes", F.expr("substr(digest, 6)").alias("payload_digest"), F.col("kind").alias("record_type"), F.col("refers_to").cast("bigint").alias("refers_to"))
 
 

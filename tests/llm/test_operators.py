@@ -284,6 +284,38 @@ def test_warc_round_trip(spark, tmp_path):
     assert revisits == {("1", "2", 50000), ("3", "4", 0)}
 
 
+@pytest.mark.parametrize("segment", [3, 7, 16])
+def test_line_ends_at_every_cut_come_back(spark, tmp_path, segment):
+    r = random.Random(segment)
+    texts = ["".join(r.choice("\r\n\r\nx") for _ in range(r.randrange(40))) for _ in range(250)]
+    texts += ["\r\n" * n for n in range(12)] + ["x" * n + "\r\n\r\n\r\n" for n in range(20)]
+    df = spark.createDataFrame(list(enumerate(texts)), "page_id long, html string").selectExpr("page_id", "'u' AS url", "html").repartition(3)
+    warc.write(df, str(tmp_path / "w"), segment=segment, chunk=5, least=1000)
+    back = warc.read(spark, str(tmp_path / "w")).collect()
+    assert not [r.error for r in back if r.error]
+    assert sorted((int(r.page), bytes(r.payload).decode()) for r in back) == list(enumerate(texts))
+
+
+def test_long_pages_of_line_ends(spark, tmp_path):
+    r = random.Random(4)
+    lines = lambda n: "".join(r.choice(["\r\n", "\r\n\r\n", "<p>", "word ", "\r", "\n"]) for _ in range(n))
+    texts = [lines(r.randrange(8_000, 25_000)) for _ in range(100)] + [lines(r.randrange(100)) for _ in range(300)]
+    df = spark.createDataFrame(list(enumerate(texts)), "page_id long, html string").selectExpr("page_id", "'u' AS url", "html")
+    warc.write(df, str(tmp_path / "w"), least=1_000_000)
+    back = warc.read(spark, str(tmp_path / "w")).collect()
+    assert not [r.error for r in back if r.error]
+    assert sorted((int(r.page), bytes(r.payload).decode()) for r in back) == list(enumerate(texts))
+
+
+def test_warc_query_removes_its_archives_and_takes_an_empty_table(spark, sf, tmp_path):
+    from pathlib import Path
+
+    folder = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:"))
+    assert warc.query(spark, sf).count() and not list(folder.glob("warc-*"))
+    spark.read.parquet(f"{sf}/pages.parquet").limit(0).write.parquet(f"{tmp_path}/pages.parquet")
+    assert warc.query(spark, str(tmp_path)).count() == 0
+
+
 def test_warc_damage_is_reported(spark, tmp_path):
     import glob
     import gzip
@@ -356,6 +388,13 @@ def test_heads_without_an_end_tag_and_formulas():
     assert extract.Page("<head><title>T</title> plain text").runs == [(0, "plain text")]
 
 
+@pytest.mark.parametrize("raw", ["<script>for(i=0;i<n;i++){}</script>", "<script><!-- x=1 </script>", """<script>document.write("<a href='x")</script>""", "<style>a<b{}</style>", "<textarea><!-- <p </textarea>", "<SCRIPT>if (a<b && c>d) '<!--'</SCRIPT>"])
+def test_raw_elements_end_at_their_end_tag(raw):
+    words = "The council met on Monday, and spoke of the bridge for two hours. It will be mended in spring, the mayor said."
+    page = f"<html><head>{raw}</head><body>{raw}<nav><ul><li><a href='/'>Home</a></li><li><a href='/n'>News</a></li></ul></nav>{raw}<article><h1>The bridge</h1>{raw}<p>{words}</p>{raw}<p>{words}</p></article>{raw}<footer>&copy; x.example</footer>{raw}</body></html>"
+    assert extract.main_texts([page], extract.default_model()) == [f"The bridge {words} {words}"]
+
+
 def test_pages_of_few_blocks_and_odd_attributes():
     pages = {
         "<p class=x'>First words of it, here. </p><p>Second ones, too.</p>": "First words of it, here. Second ones, too.",
