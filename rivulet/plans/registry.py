@@ -11,9 +11,10 @@ from pyspark.sql import types as T
 
 from ..functions.columns import prediction_text, row_json, utf8
 from ..functions.schemas import COUPON_REDEMPTION, MAINTENANCE, TAXI_EVENT
-from ..operators import aggregates, inference, joins, jsonio, sinks, windows
+from ..operators import aggregates, inference, joins, jsonio, sinks, versions, windows
 from ..sources import synthetic
 from ..sources.messages import as_messages, from_queue, parse_json_lines, read_dimension
+from ..streaming import panes
 from . import cdp, clickstream, etl, iot, predictions
 
 MICROS = "yyyy-MM-dd HH:mm:ss.SSSSSS"
@@ -147,6 +148,30 @@ def cdp_unified(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cdp.unify(*_cdp_sides(spark, sf_dir), cdp.Config(window="1 day"))
 
 
+def cdp_panes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The unified rows with the early pane that each comes out in, if events come in five micro-batches by their number."""
+    left, right = (df.withColumn("pane", F.col(n).cast("bigint") % 5) for df, n in zip(_cdp_sides(spark, sf_dir), ("product_id", "coupon_upc"), strict=True))
+    found = panes.paned_pairs(left, right, cdp.KEYS, "publish_time", "publish_time", "pane", "1 day")
+    return found.select("transaction_id", "household_key", "product_id", "coupon_upc", "pane")
+
+
+def pane_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each pane of a day's events of a type holds, discarding and accumulating; seven micro-batches by event number."""
+    rows = _table(spark, sf_dir, "events").select(F.window("ts", "1 day")["start"].alias("day"), "event_type", (F.col("event_id") % 7).alias("pane"), "event_id")
+    each = panes.discarded(rows, ["day", "event_type"], "pane", F.count(F.lit(1)).alias("n"), F.max("event_id").alias("last"))
+    so_far = panes.accumulated(each, ["day", "event_type"], "pane", n=F.sum, last=F.max)
+    both = each.join(so_far.withColumnsRenamed({"n": "n_so_far", "last": "last_so_far"}), ["day", "event_type", "pane"])
+    return both.select(F.date_format("day", MICROS).alias("day"), "event_type", "pane", "n", "last", "n_so_far", "last_so_far")
+
+
+def as_of_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each purchase with its user's last view at or before it."""
+    events = _table(spark, sf_dir, "events")
+    views = events.where("event_type = 'view'").select("user_id", "ts", F.col("event_id").alias("view_id"), F.col("value").alias("view_value"))
+    found = versions.as_of(events.where("event_type = 'purchase'").select("event_id", "user_id", "ts"), views, "user_id", "ts", bucket="1 day")
+    return found.select("event_id", "user_id", _time("ts"), "view_id", "view_value", F.date_format("version_time", MICROS).alias("viewed"))
+
+
 def cogroup_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     left, right = (df.withColumn("day", F.date_format(F.window("publish_time", "1 day")["start"], "yyyy-MM-dd")) for df in _cdp_sides(spark, sf_dir))
     out = joins.cogroup(left, right, ["transaction_id", "day"], F.col("product_id"), F.col("coupon_upc"), ("products", "coupons"))
@@ -485,7 +510,7 @@ QUERIES = {f.__name__: f for f in [
     sliding_counts, json_rows, json_dead_letter, job_counters, oversize_route, conform_sink, deadletter_records, taxi_sanitize, taxi_errors, taxi_table, sanitized_json, upsert_latest, cdc_replica,
     cell_versions, format_predictions, local_inference, endpoint_inference, trained_model, log_batches, log_events, delivery_outcomes, synthetic_samples, row_to_json,
     iot_events, iot_errors, coupon_rows, coupon_errors, with_values, click_enriched, route_destinations, sanitize_nested, cdc_late, change_records, dimension_versions, predicted_messages, queue_records,
-    undelivered_events, json_lines,
+    undelivered_events, json_lines, cdp_panes, pane_counts, as_of_views,
 ]}
 
 
@@ -528,6 +553,14 @@ ORACLE = {
     "cdp_unified": """WITH p AS (SELECT *, date_trunc('day', ts) AS w FROM events WHERE event_type = 'purchase'), c AS (SELECT *, date_trunc('day', ts) AS w FROM events WHERE event_type = 'click')
       SELECT CAST(p.user_id AS VARCHAR) AS transaction_id, CAST(p.user_id % 7 AS VARCHAR) AS household_key, CAST(c.event_id AS VARCHAR) AS coupon_upc, CAST(p.event_id AS VARCHAR) AS product_id, p.props->>'$.k' AS coupon_discount
       FROM p LEFT JOIN c ON p.user_id = c.user_id AND p.w = c.w""",
+    "cdp_panes": """WITH p AS (SELECT *, date_trunc('day', ts) AS w FROM events WHERE event_type = 'purchase'), c AS (SELECT *, date_trunc('day', ts) AS w FROM events WHERE event_type = 'click')
+      SELECT CAST(p.user_id AS VARCHAR) AS transaction_id, CAST(p.user_id % 7 AS VARCHAR) AS household_key, CAST(p.event_id AS VARCHAR) AS product_id, CAST(c.event_id AS VARCHAR) AS coupon_upc,
+        CASE WHEN c.event_id IS NOT NULL THEN greatest(p.event_id % 5, c.event_id % 5) END AS pane FROM p LEFT JOIN c ON p.user_id = c.user_id AND p.w = c.w""",
+    "pane_counts": f"""WITH e AS (SELECT date_trunc('day', ts) AS day, event_type, event_id % 7 AS pane, count(*) AS n, max(event_id) AS last FROM events GROUP BY ALL)
+      SELECT strftime(day, {_FMT}) AS day, event_type, pane, n, last, CAST(sum(n) OVER w AS BIGINT) AS n_so_far, max(last) OVER w AS last_so_far FROM e WINDOW w AS (PARTITION BY day, event_type ORDER BY pane)""",
+    "as_of_views": f"""WITH v AS (SELECT user_id, ts, event_id, value FROM events WHERE event_type = 'view' QUALIFY row_number() OVER (PARTITION BY user_id, ts ORDER BY event_id DESC) = 1)
+      SELECT p.event_id, p.user_id, strftime(p.ts, {_FMT}) AS ts, v.event_id AS view_id, v.value AS view_value, strftime(v.ts, {_FMT}) AS viewed
+      FROM (SELECT * FROM events WHERE event_type = 'purchase') p ASOF LEFT JOIN v ON p.user_id = v.user_id AND p.ts >= v.ts""",
     "cogroup_lists": """WITH p AS (SELECT CAST(user_id AS VARCHAR) AS u, strftime(ts, '%Y-%m-%d') AS d, string_agg(CAST(event_id AS VARCHAR), ',' ORDER BY CAST(event_id AS VARCHAR)) AS x FROM events WHERE event_type = 'purchase' GROUP BY 1, 2),
       c AS (SELECT CAST(user_id AS VARCHAR) AS u, strftime(ts, '%Y-%m-%d') AS d, string_agg(CAST(event_id AS VARCHAR), ',' ORDER BY CAST(event_id AS VARCHAR)) AS x FROM events WHERE event_type = 'click' GROUP BY 1, 2)
       SELECT coalesce(p.u, c.u) AS transaction_id, coalesce(p.d, c.d) AS day, coalesce(p.x, '') AS products, coalesce(c.x, '') AS coupons FROM p FULL JOIN c ON p.u = c.u AND p.d = c.d""",
