@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 
 from ..functions.columns import row_json, to_flag, to_integer, to_number
 from .aggregates import latest_per_key
+from .delivery import DEAD, OK, RETRY, Backoff, attempt, paced
 
 # ------------------------------------------------------------ schema conformance
 
@@ -163,9 +164,6 @@ def read_keyed(spark: SparkSession, path: str, mod_type: str = "mod_type") -> Da
 
 # -------------------------------------------------------------------- log posts
 
-OK, RETRY, DEAD = "ok", "retry", "dead"
-
-
 def classify(status: Column) -> Column:
     """What a reply means: delivered, worth another try (no reply, 408, 429, 5xx), or never deliverable."""
     return F.when(status.between(200, 299), OK).when(status.isNull() | status.isin(408, 429) | (status >= 500), RETRY).otherwise(DEAD)
@@ -188,17 +186,24 @@ def numbered_batches(df: DataFrame, value: str, number: Column, order: Column) -
     return rows.groupBy("batch").agg(F.array_sort(F.collect_list(F.struct("o", "event"))).alias("e")).select("batch", F.col("e.event").alias("events"))
 
 
-def post_batches(batched: DataFrame, send: Callable[[bytes], int | None], tries: int = 3, compress: bool = True) -> DataFrame:
+def _sent(*attempted) -> tuple[str, int, int | None, str]:
+    """(body, bytes, status, outcome) of an attempt that no later one follows."""
+    body, size, _, status, outcome = attempt(*attempted)
+    return body, size, status, DEAD if outcome == RETRY else outcome
+
+
+def post_batches(batched: DataFrame, send: Callable[[bytes], int | None], tries: int = 3, compress: bool = True, backoff: Backoff = Backoff()) -> DataFrame:
     """Post the array ``events`` of each row as one (gzip) body; report its bytes, status and outcome.
 
     ``send`` takes a body and returns an HTTP status, or None without reply; it is made in the
-    task. Batches to be tried again are, ``tries`` times in all, before they count as dead.
+    task. Batches to be tried again are, ``tries`` times in all with the waits of ``backoff``, before they
+    count as dead (``delivery.deliver`` queues them instead).
     """
     kept = [f for f in batched.schema.fields if f.name != "events"]
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            rows = [(list(events), *_sent("".join(events).encode(), send, tries, compress)) for events in frame["events"]]
+            rows = [(list(events), *_sent("".join(events).encode(), send, backoff, tries, compress)) for events in frame["events"]]
             out = pd.DataFrame(rows, columns=["events", "body", "bytes", "status", "outcome"])
             yield pd.concat([frame[[f.name for f in kept]].reset_index(drop=True), out], axis=1)
 
@@ -206,25 +211,14 @@ def post_batches(batched: DataFrame, send: Callable[[bytes], int | None], tries:
     return batched.select(*[f.name for f in kept], "events").mapInPandas(run, T.StructType(fields))
 
 
-def _sent(raw: bytes, send: Callable[[bytes], int | None], tries: int, compress: bool) -> tuple[str, int, int | None, str]:
-    body = gzip.compress(raw, mtime=0) if compress else raw
-    status, outcome = None, RETRY
-    for _ in range(tries):
-        status = send(body)
-        outcome = OK if status and 200 <= status < 300 else RETRY if status is None or status in (408, 429) or status >= 500 else DEAD
-        if outcome != RETRY:
-            break
-    return base64.b64encode(body).decode(), len(body), status, DEAD if outcome == RETRY else outcome
-
-
-def post(df: DataFrame, send: Callable[[bytes], int | None], value: str = "value", batch: int = 100, tries: int = 3, compress: bool = True) -> DataFrame:
+def post(df: DataFrame, send: Callable[[bytes], int | None], value: str = "value", batch: int = 100, tries: int = 3, compress: bool = True, backoff: Backoff = Backoff()) -> DataFrame:
     """Post envelopes in batches of at most ``batch`` events, formed where the rows lie (no shuffle), as ``post_batches`` does."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             events = frame["event"].tolist()
             parts = [events[i : i + batch] for i in range(0, len(events), batch)]
-            yield pd.DataFrame([(part, *_sent("".join(part).encode(), send, tries, compress)) for part in parts], columns=["events", "body", "bytes", "status", "outcome"])
+            yield pd.DataFrame([(part, *_sent("".join(part).encode(), send, backoff, tries, compress)) for part in parts], columns=["events", "body", "bytes", "status", "outcome"])
 
     return df.select(envelope(F.col(value)).alias("event")).mapInPandas(run, POSTED)
 
@@ -249,9 +243,11 @@ def publish_options(uri: str) -> dict[str, str]:
     return {"kafka.bootstrap.servers": hosts, "topic": topic}
 
 
-def publish(df: DataFrame, uri: str, value: str = "value") -> None:
-    """Send text rows of a batch to a queue (``kafka://host/topic``) or folder (``text:/path``)."""
+def publish(df: DataFrame, uri: str, value: str = "value", rate: float | None = None, lanes: int = 1) -> None:
+    """Send text rows of a batch to a queue (``kafka://host/topic``) or folder (``text:/path``), ``rate`` a second if given, by ``lanes`` tasks."""
     scheme, _, rest = uri.partition(":")
+    if rate is not None:
+        df = paced(df.select(value), rate, lanes)
     if scheme == "kafka":
         df.select(F.col(value).cast("string").alias("value")).write.format("kafka").options(**publish_options(uri)).save()
     else:
