@@ -51,7 +51,7 @@ class EndpointHandler:
     """A remote model: ``connect`` makes a client whose ``predict(instances)`` takes a list.
 
     With ``json_instances`` each example is a JSON object and goes as such, not as its text;
-    one that is no JSON fails the query, as bad messages are routed before inference.
+    one that is no JSON is an example that fails.
     """
 
     def __init__(self, connect: Callable[[], Any], endpoint: str, json_instances: bool = False):
@@ -64,8 +64,24 @@ class EndpointHandler:
         return [str(x) for x in model.predict([json.loads(x) for x in batch] if self.json_instances else list(batch))]
 
 
-def run_inference(df: DataFrame, handler: ModelHandler, example: str = "value", batch: int = 64) -> DataFrame:
-    """(example, inference, model_id) of each row; a null example is an empty text."""
+def answers(handler: ModelHandler, texts: Sequence[str], model: Any) -> list[tuple[str | None, str | None]]:
+    """(output, error) of each text. A batch that fails, or has another number of outputs, is halved until the
+    texts that fail stand alone: one of n costs about 2 log2(n) calls more."""
+    try:
+        out = [str(x) if x is not None else None for x in handler.run_inference(texts, model)]
+        if len(out) != len(texts):
+            raise ValueError(f"{len(out)} outputs for {len(texts)} examples")
+        return [(x, None) for x in out]
+    except Exception as e:  # noqa: BLE001  whatever a model raises is the example's error
+        if len(texts) == 1:
+            return [(None, f"{type(e).__name__}: {e}")]
+    half = len(texts) // 2
+    return answers(handler, texts[:half], model) + answers(handler, texts[half:], model)
+
+
+def tagged_inference(df: DataFrame, handler: ModelHandler, example: str = "value", batch: int = 64) -> DataFrame:
+    """(example, inference, model_id, error) of each row; a null example is an empty text. Examples that fail have a null
+    inference and the error's text; the others of their batch are answered."""
     own = uuid.uuid4().hex  # models are kept by handler: two handlers may share a model_id
 
     def predict(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -76,10 +92,25 @@ def run_inference(df: DataFrame, handler: ModelHandler, example: str = "value",
             model = _models[own] = handler.load_model()
         for frame in frames:
             texts = frame["example"].fillna("").tolist()
-            out = [x for i in range(0, len(texts), batch) for x in handler.run_inference(texts[i : i + batch], model)]
-            yield pd.DataFrame({"example": texts, "inference": out, "model_id": handler.model_id}, columns=["example", "inference", "model_id"])
+            out = [x for i in range(0, len(texts), batch) for x in answers(handler, texts[i : i + batch], model)]
+            rows = [(text, found, handler.model_id, error) for text, (found, error) in zip(texts, out, strict=True)]
+            yield pd.DataFrame(rows, columns=["example", "inference", "model_id", "error"])
+
+    return df.select(F.col(example).cast("string").alias("example")).mapInPandas(predict, f"{PREDICTION}, error string")
+
+
+def run_inference(df: DataFrame, handler: ModelHandler, example: str = "value", batch: int = 64) -> DataFrame:
+    """(example, inference, model_id) of each row; an example that fails fails the query, and names itself.
+    ``tagged_inference`` keeps such examples apart instead."""
+    found = tagged_inference(df, handler, example, batch)
+    checked = F.when(F.col("error").isNotNull(), F.raise_error(F.concat(F.lit("inference failed for "), F.substring("example", 1, 200), F.lit(": "), F.col("error")))).otherwise(F.col("inference"))
+    return found.select("example", checked.cast("string").alias("inference"), "model_id")
+
 
-    return df.select(F.col(example).cast("string").alias("example")).mapInPandas(predict, PREDICTION)
+def split_inference(tagged: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(answers, errors: input_data, error_message, timestamp) of tagged inferences, which should be persisted first."""
+    bad = tagged.where("error is not null").select(F.col("example").alias("input_data"), F.col("error").alias("error_message"), F.current_timestamp().alias("timestamp"))
+    return tagged.where("error is null").drop("error"), bad
 
 
 def formatted(predictions: DataFrame) -> DataFrame:

@@ -25,15 +25,22 @@ MOST_BYTES = 10 * 1024 * 1024
 
 
 #: The four characters that JSON has as white space may surround a message.
-_BRACES = r"(?s)^[ \t\r\n]*\{.*\}[ \t\r\n]*\z"
+_WHITE = " \t\r\n"
+#: An element that is put behind a message to see where the parser stopped.
+_MARK = "end-of-the-message"
 
 
 def is_object(text: Column) -> Column:
     """Whether a text is one JSON object. Blank texts, scalars, arrays, objects with anything behind them
     and objects that repeat a key are not."""
-    # The parser stops behind the first value. What parses both as an element and as a field ends where that value ends.
-    held = [F.try_parse_json(F.concat(F.lit(a), text, F.lit(b))).isNotNull() for a, b in (("[", "]"), ('{"x":', "}"))]
-    return F.coalesce(text.rlike(_BRACES) & held[0] & held[1], F.lit(False))
+    trimmed = F.btrim(text, F.lit(_WHITE))
+    wrapped = lambda a, b: F.try_parse_json(F.concat(F.lit(a), text, F.lit(b)))
+    # The parser stops behind the first value. If the second element is the mark, the first one is the whole text.
+    alone = F.try_variant_get(wrapped("[", f',"{_MARK}"]'), "$[1]", "string") == _MARK
+    # Of a text that holds the mark itself: what parses both as an element and as a field ends where that value ends.
+    both = wrapped("[", "]").isNotNull() & wrapped('{"x":', "}").isNotNull()
+    whole = F.when(F.contains(text, F.lit(_MARK)), both).otherwise(alone)
+    return F.coalesce(F.startswith(trimmed, F.lit("{")) & F.endswith(trimmed, F.lit("}")) & whole, F.lit(False))
 
 
 def parse_objects(df: DataFrame, value: str = "value", most: int = MOST_BYTES) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from ..functions.columns import prediction_text, row_json, utf8
 from ..functions.schemas import COUPON_REDEMPTION, MAINTENANCE, TAXI_EVENT
-from ..operators import aggregates, inference, joins, jsonio, sinks, versions, windows
+from ..operators import aggregates, delivery, inference, joins, jsonio, sinks, versions, windows
 from ..sources import synthetic
 from ..sources.messages import as_messages, from_queue, parse_json_lines, read_dimension
 from ..streaming import panes
@@ -284,7 +284,7 @@ def deadletter_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def route_destinations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each event's destination table, by its type."""
+    """How many events each destination table gets, by their type."""
     routed = sinks.destined(_table(spark, sf_dir, "events").select("event_id", "event_type"), F.when(F.col("event_type").isin("click", "view"), F.concat(F.lit("web_"), "event_type")).otherwise("other"))
     return routed.groupBy("destination").agg(F.count(F.lit(1)).alias("n"), F.max("event_id").alias("last"))
 
@@ -339,7 +339,7 @@ def taxi_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sanitized_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sanitised messages as JSON text; what is no object passes unchanged."""
     rows = _taxi_messages(spark, sf_dir)
-    return rows.select(F.get_json_object(jsonio.sanitize_json(F.col("value"), TAXI_EVENT), "$.ride_id").alias("ride_id"), F.startswith("value", F.lit("cut")).alias("passed")).groupBy("ride_id", "passed").agg(F.count(F.lit(1)).alias("n"))
+    return rows.select(_time("publish_time"), jsonio.sanitize_json(F.col("value"), TAXI_EVENT).alias("value"))
 
 
 NESTED = "user struct<id: bigint, known: boolean>, tags array<string>, counts array<int>, parts array<struct<w: double, on: boolean>>"
@@ -456,11 +456,30 @@ def _spread_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def trained_model(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Logistic regression learned from the rule: how many rows it did not see, of how many the rule
-    holds, and whether it agrees with the rule on 85 of 100."""
+    """The rows that the model did not learn from, with its features, the rule, and whether it says what the rule says
+    wherever the rule is clear: all signs far off, or one of them far over the line."""
     model, held = inference.MaintenanceModel.train(_spread_events(spark, sf_dir), held=F.col("vehicle_id").cast("bigint") % 5 == 0)
     scored = model.predict(held.withColumn("rule", F.col("needs_maintenance").cast("bigint")))
-    return scored.agg(F.count(F.lit(1)).alias("held"), F.sum("rule").alias("by_rule"), (F.avg((F.col("rule") == F.col("needs_maintenance")).cast("int")) >= 0.85).alias("agrees"))
+    old = F.datediff(F.lit(AS_OF).cast("date"), F.col("last_service_date").cast("date"))
+    calm = (F.col("max_temperature") < 55) & (F.col("max_vibration") < 0.1) & (old < 60)
+    clear = (F.col("rule") == 0) & calm | (F.col("rule") == 1) & (F.col("max_temperature") > 90) & (F.col("max_vibration") > 0.9)
+    said = F.when(clear, F.col("needs_maintenance").cast("bigint") == F.col("rule"))
+    return scored.select("vehicle_id", F.col("max_temperature").cast("int").alias("max_temperature"), "max_vibration", "last_service_date", "rule", said.alias("agrees_where_clear"))
+
+
+def inference_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole texts through a model that fails on some of them: the others of their batch are answered."""
+    talk = _table(spark, sf_dir, "conversations").select(F.format_string("%d/%d", "conv_id", "turn").alias("value"))
+    return inference.tagged_inference(talk, inference.TemplateHandler(PickyModel, "picky"))
+
+
+class PickyModel:
+    """A model that refuses every text that ends in 3."""
+
+    def generate(self, text: str, max_length: int) -> str:
+        if text.endswith("3"):
+            raise ValueError(f"no answer to {text}")
+        return text[::-1]
 
 
 # -------------------------------------------------------------------- logs, inputs
@@ -481,9 +500,31 @@ def undelivered_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def json_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Maintenance records as the lines of a JSON-lines file, read back from the text."""
-    made = synthetic.maintenance(spark, 5000)
-    return parse_json_lines(made.select(row_json(made).alias("value")), MAINTENANCE)[0].select("vehicle_id", "last_service_date", "maintenance_type")
+    """Customers as the lines of a JSON-lines file of maintenance records, some of them broken, read back from the text."""
+    made = _dimension(spark, sf_dir).select("vehicle_id", "last_service_date", "maintenance_type", F.lit(None).cast("string").alias("make"), "model")
+    line = F.when(F.col("vehicle_id").cast("bigint") % 10 == 7, F.concat(F.lit("{"), F.col("vehicle_id"))).otherwise(row_json(made))
+    good, bad = parse_json_lines(made.select(line.alias("value")), MAINTENANCE)
+    return good.select("vehicle_id", "last_service_date", "maintenance_type", "model", F.lit(None).cast("string").alias("bad")).unionByName(bad.select(F.col("line").alias("bad")), allowMissingColumns=True)
+
+
+def _delivery_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A report of events in batches of a hundred numbers: delivered, to be tried again, dead, and waiting."""
+    events = _table(spark, sf_dir, "events").select(F.floor(F.col("event_id") / 100).alias("b"), F.struct(F.col("event_id").cast("string").alias("value"), (F.col("event_id") % 3).cast("int").alias("failures")).alias("e"))
+    outcome = F.element_at(F.array(*[F.lit(x) for x in (delivery.OK, delivery.RETRY, delivery.DEAD, delivery.WAIT)]), (F.col("b") % 4 + 1).cast("int"))
+    due = F.when(outcome == delivery.WAIT, F.lit("2024-01-01 00:05:00").cast("timestamp"))
+    status = F.when(outcome == delivery.OK, 200).when(outcome == delivery.DEAD, 400).when(outcome == delivery.RETRY, 503)
+    return events.groupBy("b").agg(F.collect_list("e").alias("events")).select("events", due.alias("due"), status.alias("status"), outcome.alias("outcome"), F.lit("2024-01-01 00:00:00").cast("timestamp").alias("written"))
+
+
+def delivery_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The retry queue that a report leaves, waits doubling from a minute."""
+    left = delivery.left_over(_delivery_report(spark, sf_dir), delivery.Backoff(jitter=0.0, most=3600.0), attempts=3)
+    return left.select("value", "failures", _time("due"))
+
+
+def delivery_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dead letters of the same report."""
+    return delivery.undeliverable(_delivery_report(spark, sf_dir), attempts=3)
 
 
 def log_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -497,7 +538,8 @@ def delivery_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def synthetic_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return synthetic.model_samples(spark, 5000)
+    """A reproducible labelled sample for each customer: the draws are made from its key."""
+    return synthetic.labelled(_table(spark, sf_dir, "customer").select((F.col("c_custkey") - 1000).alias("id")))
 
 
 def row_to_json(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -510,7 +552,7 @@ QUERIES = {f.__name__: f for f in [
     sliding_counts, json_rows, json_dead_letter, job_counters, oversize_route, conform_sink, deadletter_records, taxi_sanitize, taxi_errors, taxi_table, sanitized_json, upsert_latest, cdc_replica,
     cell_versions, format_predictions, local_inference, endpoint_inference, trained_model, log_batches, log_events, delivery_outcomes, synthetic_samples, row_to_json,
     iot_events, iot_errors, coupon_rows, coupon_errors, with_values, click_enriched, route_destinations, sanitize_nested, cdc_late, change_records, dimension_versions, predicted_messages, queue_records,
-    undelivered_events, json_lines, cdp_panes, pane_counts, as_of_views,
+    undelivered_events, json_lines, cdp_panes, pane_counts, as_of_views, inference_errors, delivery_queue, delivery_letters,
 ]}
 
 
@@ -535,7 +577,7 @@ def _window_sql(size: str) -> str:
 _ENRICHED = f"""{_metrics_sql('1 day')}, d AS (
   SELECT CAST(c_custkey AS VARCHAR) AS vehicle_id, strftime(DATE '2024-01-01' + CAST(c_nationkey * 7 AS INTEGER), '%Y-%m-%d') AS last_service_date, c_mktsegment AS maintenance_type, c_name AS model FROM customer),
 en AS (SELECT w.vehicle_id, max_temperature, max_vibration, strftime(mt, {_FMT}) AS latest_timestamp, avg_mileage, last_service_date, maintenance_type, model FROM w JOIN d USING (vehicle_id))"""
-_DRAW = "(((n + {s}) * 1103515245 + 12345) % 2147483648 // 65536) % {b}"
+_DRAW = "((((n + {s}) * 1103515245 + 12345) % 2147483648 + 2147483648) % 2147483648 // 65536) % {b}"
 _WIDE_SQL = """wide AS (
   SELECT CAST(event_id AS VARCHAR) AS id, CASE WHEN event_id % 11 = 0 THEN 'many' WHEN event_id % 13 = 0 THEN '3.5' ELSE props->>'$.k' END AS k,
     CASE WHEN event_id % 17 <> 0 THEN event_type END AS kind FROM events),
@@ -582,15 +624,26 @@ ORACLE = {
     "taxi_errors": f"""WITH {_TAXI_SQL} SELECT value AS input_data, err AS error_message, strftime(ts, {_FMT}) AS "timestamp" FROM e WHERE err IS NOT NULL""",
     "taxi_table": f"""WITH {_TAXI_SQL}, r AS (SELECT *, row_number() OVER (PARTITION BY ride_id, passenger_count ORDER BY "timestamp" DESC, point_idx DESC) AS rn FROM e WHERE err IS NULL)
       SELECT ride_id, CAST(point_idx AS BIGINT) AS point_idx, latitude, longitude, strftime(CAST(substr("timestamp", 1, 10) AS TIMESTAMP), {_FMT}) AS "timestamp", meter_reading, meter_increment, ride_status, CAST(passenger_count AS BIGINT) AS passenger_count FROM r WHERE rn = 1""",
-    "sanitized_json": f"WITH {_TAXI_SQL} SELECT ride_id, NOT ok AS passed, count(*) AS n FROM t GROUP BY 1, 2",
+    "sanitized_json": f"""WITH {_TAXI_SQL} SELECT strftime(ts, {_FMT}) AS publish_time, CASE WHEN NOT ok THEN value ELSE '{{"ride_id":' || to_json(ride_id) || ',"point_idx":' || coalesce(CAST(point_idx AS VARCHAR), 'null')
+      || ',"latitude":' || latitude || ',"longitude":' || longitude || ',"timestamp":' || to_json("timestamp") || ',"meter_reading":' || meter_reading || ',"meter_increment":' || meter_increment
+      || ',"ride_status":' || to_json(ride_status) || ',"passenger_count":' || coalesce(CAST(passenger_count AS VARCHAR), 'null') || '}}' END AS value FROM t""",
     "upsert_latest": f"SELECT user_id, event_type, strftime(ts, {_FMT}) AS ts, event_id, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn = 1",
     "cdc_replica": "SELECT user_id, event_id, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn = 1 AND event_type <> 'error'",
     "cell_versions": "SELECT user_id, event_id, value, CAST(rn AS INTEGER) AS version FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn <= 2",
     "format_predictions": "SELECT conv_id, turn, 'Input: ' || chr(10) || coalesce(text, '') || ', ' || chr(10) || chr(10) || chr(10) || 'Output: ' || chr(10) || CASE WHEN turn % 2 = 0 THEN coalesce(role, '') ELSE '' END AS value FROM conversations",
     "local_inference": "SELECT coalesce(text, '') AS example, strlen(coalesce(text, '')) || ' bytes: ' || coalesce(text, '') AS inference, 'stated' AS model_id FROM conversations",
     "endpoint_inference": """SELECT '{"conv_id":' || conv_id || ',"turn":' || turn || '}' AS example, CAST(1000 * conv_id + turn AS VARCHAR) AS inference, 'endpoint' AS model_id FROM conversations""",
-    "trained_model": f"""WITH e AS (SELECT event_id, 50 + event_id % 50 AS t, (event_id % 100) / 100 AS v, DATE '2024-01-01' + CAST(event_id % 300 AS INTEGER) AS d FROM events)
-      SELECT count(*) AS held, CAST(sum(CASE WHEN t > 75 OR v > 0.5 OR d < DATE '{AS_OF}' - 180 THEN 1 ELSE 0 END) AS BIGINT) AS by_rule, true AS agrees FROM e WHERE event_id % 5 = 0""",
+    "trained_model": f"""WITH e AS (SELECT CAST(event_id AS VARCHAR) AS vehicle_id, CAST(50 + event_id % 50 AS INTEGER) AS max_temperature, (event_id % 100) / 100 AS max_vibration, DATE '2024-01-01' + CAST(event_id % 300 AS INTEGER) AS d FROM events WHERE event_id % 5 = 0),
+      r AS (SELECT *, CAST(max_temperature > 75 OR max_vibration > 0.5 OR d < DATE '{AS_OF}' - 180 AS BIGINT) AS rule FROM e)
+      SELECT vehicle_id, max_temperature, max_vibration, strftime(d, '%Y-%m-%d') AS last_service_date, rule,
+        CASE WHEN rule = 0 AND max_temperature < 55 AND max_vibration < 0.1 AND DATE '{AS_OF}' - d < 60 OR rule = 1 AND max_temperature > 90 AND max_vibration > 0.9 THEN true END AS agrees_where_clear FROM r""",
+    "inference_errors": """SELECT conv_id || '/' || turn AS example, CASE WHEN turn % 10 <> 3 THEN reverse(conv_id || '/' || turn) END AS inference, 'picky' AS model_id,
+      CASE WHEN turn % 10 = 3 THEN 'ValueError: no answer to ' || conv_id || '/' || turn END AS error FROM conversations""",
+    "delivery_queue": f"""SELECT CAST(event_id AS VARCHAR) AS value, CAST(event_id % 3 + CASE WHEN event_id // 100 % 4 = 1 THEN 1 ELSE 0 END AS INTEGER) AS failures,
+      strftime(TIMESTAMP '2024-01-01' + to_minutes(CASE WHEN event_id // 100 % 4 = 3 THEN 5 ELSE 1 << (event_id % 3) END), {_FMT}) AS due
+      FROM events WHERE event_id // 100 % 4 = 3 OR event_id // 100 % 4 = 1 AND event_id % 3 < 2""",
+    "delivery_letters": """SELECT CAST(event_id AS VARCHAR) AS value, CASE WHEN event_id // 100 % 4 = 2 THEN 400 ELSE 503 END AS status, CAST(event_id % 3 + 1 AS INTEGER) AS attempts
+      FROM events WHERE event_id // 100 % 4 = 2 OR event_id // 100 % 4 = 1 AND event_id % 3 = 2""",
     "log_batches": """WITH b AS (SELECT event_id // 100 AS batch, count(*) AS events, CAST(sum(strlen('{"event":' || to_json(props) || '}')) AS BIGINT) AS bytes FROM events GROUP BY 1)
       SELECT batch, events, bytes, CASE WHEN bytes <= 2790 THEN 200 ELSE 413 END AS status, CASE WHEN bytes <= 2790 THEN 'ok' ELSE 'dead' END AS outcome FROM b""",
     "undelivered_events": """WITH e AS (SELECT event_id // 100 AS batch, event_id, event_type FROM events), f AS (SELECT batch, string_agg('{"event":"' || event_type || '"}', '' ORDER BY event_id) AS body FROM e GROUP BY 1)
@@ -619,12 +672,12 @@ ORACLE = {
         FROM events LEFT JOIN customer ON user_id = c_custkey WHERE event_type = 'purchase')
       SELECT 'Input: ' || chr(10) || x || ', ' || chr(10) || chr(10) || chr(10) || 'Output: ' || chr(10) || strlen(x) || ' bytes: ' || x AS value FROM m""",
     "queue_records": """SELECT conv_id || '/' || turn || ' ' || coalesce(text, '') AS text, CASE WHEN conv_id % 2 = 0 THEN role END AS role, CASE WHEN conv_id % 2 = 0 THEN CAST(turn AS VARCHAR) END AS turn, CAST(CASE WHEN conv_id % 2 = 0 THEN 2 ELSE 0 END AS BIGINT) AS n FROM conversations""",
-    "json_lines": f"""SELECT CAST(n + 1000 AS VARCHAR) AS vehicle_id, strftime(DATE '2025-01-18' - CAST({_DRAW.format(s=6, b=365)} AS INTEGER), '%Y-%m-%d') AS last_service_date,
-      ['coolant_refill', 'belt_exchange', 'lamp_check', 'chain_greasing', 'filter_swap'][{_DRAW.format(s=7, b=5)} + 1] AS maintenance_type FROM (SELECT range AS n FROM range(5000))""",
+    "json_lines": """SELECT CASE WHEN c_custkey % 10 <> 7 THEN CAST(c_custkey AS VARCHAR) END AS vehicle_id, CASE WHEN c_custkey % 10 <> 7 THEN strftime(DATE '2024-01-01' + CAST(c_nationkey * 7 AS INTEGER), '%Y-%m-%d') END AS last_service_date,
+      CASE WHEN c_custkey % 10 <> 7 THEN c_mktsegment END AS maintenance_type, CASE WHEN c_custkey % 10 <> 7 THEN c_name END AS model, CASE WHEN c_custkey % 10 = 7 THEN '{' || c_custkey END AS bad FROM customer""",
     "log_events": """SELECT event_id, '{"time":' || CAST(floor(epoch(ts)) AS BIGINT) || ',"event":"' || event_type || '"}' AS event FROM events""",
     "delivery_outcomes": """WITH s AS (SELECT CASE WHEN event_id % 7 <> 0 THEN [200, 201, 400, 404, 408, 429, 500, 503][event_id % 8 + 1] END AS st FROM events)
       SELECT CASE WHEN st BETWEEN 200 AND 299 THEN 'ok' WHEN st IS NULL OR st IN (408, 429) OR st >= 500 THEN 'retry' ELSE 'dead' END AS outcome, count(*) AS n FROM s GROUP BY 1""",
-    "synthetic_samples": f"""WITH r AS (SELECT range AS n FROM range(5000)), s AS (SELECT CAST(n + 1000 AS VARCHAR) AS vehicle_id, CAST(50 + {_DRAW.format(s=8, b=50)} AS INTEGER) AS max_temperature, {_DRAW.format(s=9, b=1000)} / 1000 AS max_vibration,
+    "synthetic_samples": f"""WITH r AS (SELECT c_custkey - 1000 AS n FROM customer), s AS (SELECT CAST(n + 1000 AS VARCHAR) AS vehicle_id, CAST(50 + {_DRAW.format(s=8, b=50)} AS INTEGER) AS max_temperature, {_DRAW.format(s=9, b=1000)} / 1000 AS max_vibration,
       DATE '2025-01-18' - CAST({_DRAW.format(s=10, b=365)} AS INTEGER) AS d FROM r)
       SELECT vehicle_id, max_temperature, max_vibration, strftime(d, '%Y-%m-%d') AS last_service_date, max_temperature > 75 OR max_vibration > 0.5 OR d < DATE '2025-01-18' - 180 AS needs_maintenance FROM s""",
     "row_to_json": """SELECT n_nationkey, '{"n_nationkey":' || n_nationkey || ',"n_name":"' || n_name || '"}' AS value FROM nation""",

@@ -41,10 +41,15 @@ def maintenance(spark: SparkSession, rows: int, as_of: str = "2025-01-18") -> Da
 
 
 def model_samples(spark: SparkSession, rows: int, as_of: str = "2025-01-18") -> DataFrame:
+    return labelled(spark.range(rows), as_of)
+
+
+def labelled(numbers: DataFrame, as_of: str = "2025-01-18") -> DataFrame:
+    """A labelled sample for each number in ``id``."""
     from ..operators.inference import needs_maintenance
 
     n = F.col("id")
-    base = spark.range(rows).select(
+    base = numbers.select(
         (n + 1000).cast("string").alias("vehicle_id"),
         (50 + draw(n, 8, 50)).cast("int").alias("max_temperature"),
         (draw(n, 9, 1000) / 1000).alias("max_vibration"),

@@ -205,6 +205,43 @@ def test_models_are_kept_by_handler(spark):
     assert inference.run_inference(df, other).first().inference == "5"
 
 
+def picky(calls, bad):
+    class Picky:  # counts its calls in a file
+        def predict(self, instances):
+            with open(calls, "a") as f:
+                f.write(".")
+            if set(instances) & bad:
+                raise RuntimeError("refused")
+            return [x.upper() for x in instances]
+
+    return Picky
+
+
+@pytest.mark.parametrize("bad", [set(), {"t500"}, {"t0", "t999", "t500"}])
+def test_failing_examples_stand_alone(spark, tmp_path, bad):
+    texts = [f"t{i}" for i in range(1000)]
+    df = messages(spark, texts).coalesce(1)
+    handler = inference.EndpointHandler(picky(f"{tmp_path}/calls", bad), "p")
+    found = inference.tagged_inference(df, handler, batch=1000).collect()
+    assert {(r.example, r.inference, r.error) for r in found} == {(t, None if t in bad else t.upper(), "RuntimeError: refused" if t in bad else None) for t in texts}
+    assert len((tmp_path / "calls").read_text()) <= 1 + 2 * 10 * len(bad)
+    good, wrong = inference.split_inference(inference.tagged_inference(df, handler))
+    assert good.columns == ["example", "inference", "model_id"] and {r.input_data for r in wrong.collect()} == bad
+    if bad:
+        with pytest.raises(Exception, match="inference failed for t"):
+            inference.run_inference(df, handler).collect()
+
+
+def test_models_with_too_few_outputs_are_errors():
+    class Short:
+        model_id = "s"
+
+        def run_inference(self, batch, model):
+            return [x for x in batch if x != "b"]
+
+    assert inference.answers(Short(), ["a", "b", "c"], None) == [("a", None), (None, "ValueError: 0 outputs for 1 examples"), ("c", None)]
+
+
 def test_predictions(spark):
     handler = shouting("t")
     out = predictions.build(messages(spark, ["hello"]), handler).first().value
@@ -308,6 +345,38 @@ def test_command_line(spark, tmp_path):
         cli.factory("nothing")
 
 
+def test_command_line_keeps_failing_examples_apart(spark, tmp_path):
+    put(spark, tmp_path / "in", ["hello", "bad"], T0)
+    args = cli.parser().parse_args(["generation", "--messages", f"parquet:{tmp_path / 'in'}", "--responses", f"text:{tmp_path / 'out'}", "--model", "m", "--handler", "test_pipelines:half_deaf", "--deadletter", str(tmp_path / "dead"), "--checkpoint", str(tmp_path / "cp"), "--once"])
+    for query in cli.launch(spark, args):
+        assert query.awaitTermination(120)
+    assert "HELLO" in spark.read.text(str(tmp_path / "out")).first().value
+    assert [(r.input_data, r.error_message) for r in spark.read.parquet(str(tmp_path / "dead")).collect()] == [("bad", "KeyError: 'bad'")]
+
+
+def half_deaf(model_id):
+    class Deaf:
+        def generate(self, text, max_length):
+            if text == "bad":
+                raise KeyError(text)
+            return text.upper()
+
+    return inference.TemplateHandler(Deaf, model_id)
+
+
+def test_command_line_early_panes(spark, tmp_path):
+    for name, objects in (("t", transactions()), ("c", coupons()[:1])):
+        put(spark, tmp_path / name, objects, T0)
+    last = {"household_key": "0", "transaction_id": "0", "product_id": "0", "coupon_upc": "0"}
+    for name in ("t", "c"):
+        put(spark, tmp_path / name, [last], "2025-01-18 18:00:00")
+    args = cli.parser().parse_args(["cdp", "--transactions", f"parquet:{tmp_path / 't'}", "--coupons", f"parquet:{tmp_path / 'c'}", "--table", str(tmp_path / "out"), "--errors", str(tmp_path / "e"), "--checkpoint", str(tmp_path / "cp"), "--early", "--once"])
+    for query in cli.launch(spark, args):
+        assert query.awaitTermination(240)
+    found = spark.read.parquet(str(tmp_path / "out")).collect()
+    assert {(r.product_id, r.coupon_upc) for r in found} == {("941769", "10000085364"), ("910635", "10000085364"), ("0", "0")}
+
+
 def test_command_line_tables(spark, tmp_path):
     source = tmp_path / "in"
     put(spark, source, [TAXI, TAXI | {"point_idx": "x"}, "{cut", TAXI | {"ride_status": "new", "passenger_count": 3}], T0)
