@@ -72,6 +72,12 @@ def row_key(*cols: str):
     return F.xxhash64(*[x for c in cols for x in (F.col(c), F.col(c).isNull())])
 
 
+def numbered_columns(df: DataFrame, *names: str) -> tuple[DataFrame, list[str]]:
+    """``df`` with its columns named by their places, so that none clashes with an operator's own, and the new names of
+    ``names``; ``toDF(*df.columns)`` names them back."""
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))]), [f"c{df.columns.index(n)}" for n in names]
+
+
 def filter_bits(members: int) -> int:
     return min(max((CELLS * max(members, 1) - 1).bit_length(), LEAST_BITS), MOST_BITS)
 

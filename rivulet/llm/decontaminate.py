@@ -10,7 +10,7 @@ words; what reaches ``span`` words is a shared run.
 Items shorter than ``span`` words are one window each. Their length m is a class
 of its own with k = m and a window of one, so that each m-gram is a fingerprint.
 
-A filter of fixed size (2**23 cells) made from the item fingerprints keeps most
+A filter made from the item fingerprints, sized by their number, keeps most
 document fingerprints from leaving the Python worker; the join behind it is exact
 and is left to Catalyst, which broadcasts the item side only if it is small.
 
@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import ALNUM, PackedFilter, Words, materialize, member_filter, row_key, slices, text_bytes, winnow, without
+from ._common import ALNUM, PackedFilter, Words, materialize, member_filter, numbered_columns, row_key, slices, text_bytes, winnow, without
 
 SPAN = 10
 K = 5
@@ -191,8 +191,10 @@ def contamination(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", tex
 
 def decontaminate(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", most_hit: float = 0.0, **names) -> DataFrame:
     """``docs`` without the rows of which more than ``most_hit`` of the words are hit."""
+    columns = docs.columns
+    docs, (doc_id, text) = numbered_columns(docs, doc_id, text)
     found = contamination(docs, items, doc_id, text, **names).where(F.col("n_hit") > most_hit * F.col("n_words")).select("_key").distinct()
-    return without(docs, row_key(doc_id, text), materialize(found))
+    return without(docs, row_key(doc_id, text), materialize(found)).toDF(*columns)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -3,14 +3,13 @@
 Each language has a codeword of bits. For each bit a binary classifier tells the
 languages with a 1 from those with a 0: a naive Bayes over hashed n-grams of one
 to three bytes of the lower-cased letters, learned from counts over all labelled
-documents (one grouped sum; at most ``MOST_LANGUAGES`` x ``BUCKETS`` cells reach the driver). A text
+documents (one grouped sum, which the driver reads ``TOGETHER`` languages at a time and folds into two vectors a bit). A text
 is decoded by loss: each bit's margin, in units of the margin that its own classes
 show, costs exp(-margin) under a codeword's bit, weighted by how well the bit
 separates its classes; the codeword of least cost wins. Texts whose runner-up
 costs nearly as little are flagged ambiguous.
 
-Of more than ``most`` languages (``MOST_LANGUAGES``) those with the most labelled rows are learned.
-Few languages have the exhaustive code, all 2^(L-1) - 1 two-way splits, more than
+All languages are learned, however many there are. Few languages have the exhaustive code, all 2^(L-1) - 1 two-way splits, more than
 six a dense random one of the most distant columns among a fixed number of draws.
 
 Defined results: null and letterless texts are ``und`` with score 0, as is every
@@ -21,15 +20,18 @@ answered; columns beside id, text and language are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import slices, text_bytes
+from ._common import materialize, slices, text_bytes
 
 BUCKETS = 1 << 13
-MOST_LANGUAGES = 400
+#: Languages whose counts the driver holds at once.
+TOGETHER = 200
 FOLDS, HELD_OUT = 4, 2
 AMBIGUOUS = 0.25
 SHARPNESS = 4.0
@@ -97,10 +99,14 @@ def codewords(n: int) -> np.ndarray:
     if n <= 6:
         return np.array([[1 if (split >> i) & 1 else -1 for split in range(1, 2 ** (n - 1))] for i in range(n)]).reshape(n, -1)
     bits, rng, best = int(np.ceil(10 * np.log2(n))), np.random.default_rng(7), None
-    for _ in range(200):
+    for _ in range(200 if n <= 1000 else 5):
         code = rng.choice([-1, 1], size=(n, bits))
-        alike = (code @ code.T).astype(np.int64)
-        near = (bits - alike[~np.eye(n, dtype=bool)].max()) // 2
+        # the nearest pair, some rows at a time
+        near = bits
+        for at in range(0, n, 1000):
+            alike = (code[at : at + 1000] @ code.T).astype(np.int64)
+            alike[np.arange(len(alike)), np.arange(at, at + len(alike))] = -bits
+            near = min(near, (bits - int(alike.max())) // 2)
         if best is None or near > best[0]:
             best = (near, code)
     return best[1]
@@ -109,13 +115,20 @@ def codewords(n: int) -> np.ndarray:
 class Model:
     """languages, codewords, and the weights, offsets, scales and trust of each bit."""
 
-    def __init__(self, languages: list[str], table: np.ndarray):
+    def __init__(self, languages: list[str], tables: np.ndarray | Iterable[np.ndarray]):
+        """``tables``: the counts of the languages, a row each, in one or several parts in their order."""
         self.languages = languages
         self.code = codewords(len(languages))
-        p = (table + 0.5) / (table + 0.5).sum(axis=1, keepdims=True)  # each language weighs the same
+        sums = {side: np.zeros((self.code.shape[1], BUCKETS)) for side in (1, -1)}
+        at = 0
+        for table in [tables] if isinstance(tables, np.ndarray) else tables:
+            p = (table + 0.5) / (table + 0.5).sum(axis=1, keepdims=True)  # each language weighs the same
+            for side, total in sums.items():
+                total += (self.code[at : at + len(p)] == side).T.astype(np.float64) @ p
+            at += len(p)
         log_odds, scale = [], []
-        for bit in self.code.T:
-            one, zero = p[bit > 0].mean(axis=0), p[bit < 0].mean(axis=0)
+        for bit, one, zero in zip(self.code.T, sums[1], sums[-1], strict=True):
+            one, zero = one / (bit > 0).sum(), zero / (bit < 0).sum()
             w = np.log(one) - np.log(zero)
             middle = ((one + zero) / 2 * w).sum()
             log_odds.append(w - middle)
@@ -137,18 +150,23 @@ class Model:
         return cost.argmin(axis=1), likely.max(axis=1), order[:, -1] - order[:, -2] < AMBIGUOUS
 
 
-def train(docs: DataFrame, text: str = "text", lang: str = "lang", most: int = MOST_LANGUAGES) -> Model | None:
-    """The model of the ``most`` languages that most rows have; None if none has any."""
-    rows = docs.where(F.col(text).isNotNull() & F.col(lang).isNotNull())
-    common = [r[0] for r in rows.groupBy(F.col(lang).cast("string").alias("l")).count().orderBy(F.desc("count"), "l").limit(most).collect()]
-    found = counts(rows.where(F.col(lang).cast("string").isin(common)), text, lang).toArrow()
-    names = sorted(set(found.column("lang").to_pylist()))
+def train(docs: DataFrame, text: str = "text", lang: str = "lang") -> Model | None:
+    """The model of all languages of ``docs``; None if no row has one."""
+    found = materialize(counts(docs, text, lang))
+    names = sorted(r.lang for r in found.select("lang").distinct().collect())  # a row a language
     if not names:
         return None
-    at = {name: i for i, name in enumerate(names)}
-    sums = np.zeros((len(names), BUCKETS))
-    sums[[at[x] for x in found.column("lang").to_pylist()], found.column("bucket").to_numpy()] = found.column("n").to_numpy()
-    return Model(names, sums)
+
+    def tables():
+        for a in range(0, len(names), TOGETHER):
+            part = names[a : a + TOGETHER]
+            at = {name: i for i, name in enumerate(part)}
+            own = found.where(F.col("lang").isin(part)).toArrow()
+            sums = np.zeros((len(part), BUCKETS))
+            sums[[at[x] for x in own.column("lang").to_pylist()], own.column("bucket").to_numpy()] = own.column("n").to_numpy()
+            yield sums
+
+    return Model(names, tables())
 
 
 def identify(docs: DataFrame, model: Model | None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._common import NONSPACE, PackedFilter, Words, long_list, materialize, maybe_members, member_filter, mix, row_key, slices, text_bytes, without
+from ._common import NONSPACE, PackedFilter, Words, long_list, materialize, maybe_members, member_filter, mix, numbered_columns, row_key, slices, text_bytes, without
 from .graph import components, merged
 
 BANDS, ROWS = 32, 4
@@ -300,6 +300,8 @@ def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k:
     a group in which no row has an id. Rows without
     words are in no group and all stay.
     """
+    names = docs.columns
+    docs, (doc_id, text) = numbered_columns(docs, doc_id, text)
     found = materialize(near_duplicates(docs, doc_id, text, k, share))
     worded = found.where("n_shingles > 0")
     # A row is in question where its key is not that of its group, or stands more than once.
@@ -310,11 +312,11 @@ def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k:
     left = without(docs, row_key(doc_id, text), gone)
     copies = materialize(keys.where("n > 1").select("_key"))
     if copies.isEmpty():
-        return left.select(*docs.columns)
+        return left.select(*docs.columns).toDF(*names)
     marked = maybe_members(left.withColumn("__key", row_key(doc_id, text)), F.col("__key"), copies)
     again = F.col("__maybe") & F.coalesce(F.col(text).cast("string").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
     # Rows that may be copies and are none stand alone, so nothing but copies goes; each task drops its own first.
-    return marked.where(~again).select(*docs.columns).union(marked.where(again).dropDuplicates(["__key"]).select(*docs.columns))
+    return marked.where(~again).select(*docs.columns).union(marked.where(again).dropDuplicates(["__key"]).select(*docs.columns)).toDF(*names)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

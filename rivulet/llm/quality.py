@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from ._common import NONSPACE, Words, hashed_sample, materialize, slices, text_bytes
+from ._common import NONSPACE, Words, hashed_sample, materialize, numbered_columns, slices, text_bytes
 
 MOST_LABELS = 20_000
 #: A table of sites of at most so many rows is broadcast (below 10 MB); a larger one is joined by shuffle.
@@ -157,14 +157,14 @@ def site_priors(scored: DataFrame, host: str, path: str) -> tuple[DataFrame, flo
 
 def _posterior(rows: DataFrame, sites: DataFrame, host: str, path: str, rate: float, by_host: float, by_path: float, trained: float) -> DataFrame:
     """``rows`` (with __logit and __p) and __site, __posterior; without each row's own share in the site."""
-    named = sites.withColumnsRenamed({host: "__h", path: "__q"})
+    named = sites.withColumnsRenamed({host: "__h", path: "__q"} | {n: f"__{n}" for n in ("host_n", "host_s", "path_n", "path_s")})
     named = F.broadcast(named) if sites.count() <= MOST_BROADCAST else named
     joined = rows.join(named, F.col(host).eqNullSafe(F.col("__h")) & F.col(path).eqNullSafe(F.col("__q"))).drop("__h", "__q")
     p = F.col("__p")
-    host_mean = (F.col("host_s") - p + by_host * rate) / (F.col("host_n") - 1 + by_host)
-    site = (F.col("path_s") - p + by_path * host_mean) / (F.col("path_n") - 1 + by_path)
+    host_mean = (F.col("__host_s") - p + by_host * rate) / (F.col("__host_n") - 1 + by_host)
+    site = (F.col("__path_s") - p + by_path * host_mean) / (F.col("__path_n") - 1 + by_path)
     post = 1 / (1 + F.exp(-(F.col("__logit") - _logit(F.lit(trained)) + _logit(site))))
-    return joined.withColumn("__site", site).withColumn("__posterior", post).drop("host_n", "host_s", "path_n", "path_s")
+    return joined.withColumn("__site", site).withColumn("__posterior", post).drop("__host_n", "__host_s", "__path_n", "__path_s")
 
 
 def score(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", host: str = "source", path: str = "lang", label: str = "quality", keep_text: bool = True) -> DataFrame:
@@ -189,7 +189,12 @@ def score(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
 
 def accepted(docs: DataFrame, labels: DataFrame, least: float = 0.5, **names) -> DataFrame:
     """The rows of ``docs`` whose posterior is ``least`` or more."""
-    return score(docs, labels, **names).where(F.col("__posterior") >= least).select(*docs.columns)
+    own = {"doc_id": "doc_id", "text": "text", "host": "source", "path": "lang"} | {k: v for k, v in names.items() if k in ("doc_id", "text", "host", "path")}
+    # the labels' id is the documents' id by name
+    plain, places = numbered_columns(docs, *own.values())
+    named = labels.withColumnRenamed(own["doc_id"], places[0])
+    scored = score(plain, named, **(names | dict(zip(own, places, strict=True))))
+    return scored.where(F.col("__posterior") >= least).select(*plain.columns).toDF(*docs.columns)
 
 
 def site_of(url):

@@ -362,7 +362,8 @@ def _encoder(vocabulary: Vocabulary) -> Encoder:
 
 
 def encode(docs: DataFrame, model: str = MODEL, text: str = "text", ids: str = "input_ids") -> DataFrame:
-    """``docs`` with the column ``ids``, the pieces' ids of its texts."""
+    """``docs`` with the column ``ids``, the pieces' ids of its texts; it takes the place of one that has its name."""
+    docs = docs.drop(ids) if ids != text else docs
     shared = docs.sparkSession.sparkContext.broadcast(Vocabulary(model))  # one vocabulary file, 1 MB
     at = docs.columns.index(text)
 

@@ -28,8 +28,9 @@ forgets has left it.
 Defined results: rows with a null id, a null or empty vector, or null or non-finite
 components take no part. Shorter vectors count as padded with zeros. Rows that
 repeat id and vector are one candidate; one id with several vectors gives a
-candidate, and a query, for each distinct one. Other columns are ignored. A component
-of 2**55 and more (2**63 after scaling), or a score beyond 64 bits, is an error and never wraps; scores
+candidate, and a query, for each distinct one. Other columns are ignored. A vector with a component
+of 2**55 and more (2**63 after scaling) has no integer form of 64 bits and takes no part, as vectors that
+are not finite; a score beyond 64 bits is the largest or smallest number of 64 bits and never wraps; scores
 from 2**53 on, where doubles are no longer exact, are computed in integers.
 """
 
@@ -40,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import materialize
+from ._common import materialize, text_bytes
 
 ROUTERS, FEWEST = 1024, 16
 PAGE, PAGES = 1024, 16
@@ -52,6 +53,9 @@ SLACK = 1e-6
 
 def _matrix(column: pa.Array, width: int) -> np.ndarray:
     """Integer vectors, packed as int64, as float64 rows of equal width."""
+    data, offsets = text_bytes(column)
+    if (np.diff(offsets) == 8 * width).all():
+        return np.frombuffer(data[offsets[0] : offsets[-1]].tobytes(), dtype="<i8").reshape(-1, width).astype(np.float64)
     out = np.zeros((len(column), width))
     for i, x in enumerate(column.to_pylist()):
         v = np.frombuffer(x, dtype="<i8")
@@ -60,7 +64,7 @@ def _matrix(column: pa.Array, width: int) -> np.ndarray:
 
 
 def _packed(x: list | None, scale: int) -> bytes | None:
-    """floor(scale * x) as packed int64; None for what takes no part."""
+    """floor(scale * x) as packed int64; None for what takes no part, such as a vector beyond 64 bits."""
     if not x or None in x:
         return None
     v = np.asarray(x, dtype=np.float64)
@@ -68,16 +72,14 @@ def _packed(x: list | None, scale: int) -> bytes | None:
         return None
     v = np.floor(scale * v)
     if (np.abs(v) >= 2.0**63).any():
-        raise OverflowError("a component is beyond 64 bits")
+        return None
     return v.astype("<i8").tobytes()
 
 
 def _score(a: bytes, b: bytes) -> int:
-    """The integer inner product of packed vectors, whatever its size."""
+    """The integer inner product of packed vectors; one beyond 64 bits is the largest or smallest of 64 bits."""
     total = sum(int(x) * int(y) for x, y in zip(np.frombuffer(a, "<i8").tolist(), np.frombuffer(b, "<i8").tolist(), strict=False))
-    if not -(2**63) <= total < 2**63:
-        raise OverflowError("a score is beyond 64 bits")
-    return total
+    return min(max(total, -(2**63) + 1), 2**63 - 1)
 
 
 def _classes(vectors: DataFrame, vec_id: str, embedding: str, k: int, scale: int) -> DataFrame:

@@ -178,8 +178,8 @@ def test_exact_repeats_whose_parts_occur_elsewhere(spark):
 
 
 def test_two_lone_seeds_on_different_diagonals_are_chained(spark):
-    rows = [(1, 2, 10, 50), (1, 2, 22, 63), (1, 3, 10, 50)]
-    found = substring_dedup._chained(spark.createDataFrame(rows, "key long, other long, pos int, o_pos int")).collect()
+    rows = [(1, 2, 10, 50, 0), (1, 2, 22, 63, 0), (1, 3, 10, 50, 0)]
+    found = substring_dedup._chained(spark.createDataFrame(rows, "key long, other long, pos int, o_pos int, reach byte")).collect()
     assert [(r.key, r.other, r.first, r.after, r.o_first, r.o_after) for r in found] == [(1, 2, 10, 27, 50, 68)]
 
 
@@ -230,6 +230,61 @@ def test_runs_of_twelve_words_share_a_seed(spark):
         assert set(grams[keep[of[keep] == 0]].tolist()) & set(grams[keep[of[keep] == 1]].tolist())
 
 
+def test_windows_of_seeds_and_where_shared_windows_can_lie():
+    r = random.Random(8)
+    texts = [" ".join(r.choice("abcdefgh") for _ in range(r.randrange(0, 90))) for _ in range(60)]
+    data, offsets = text_bytes(pa.array(texts))
+    words = Words(data, offsets, ALNUM)
+    grams, at = words.grams(substring_dedup.K)
+    of, size = words.text_of[at], substring_dedup.WINDOW
+    keep = winnow(grams, of, size)
+    reach = substring_dedup._reach(grams, of, keep)
+    chosen = {int(k): (int(k) - int(x) // 8, int(k) - int(x) % 8) for k, x in zip(keep, reach, strict=True)}
+    for t in range(len(texts)):
+        own = np.flatnonzero(of == t)
+        for s in range(own[0], max(own[-1] - size + 1, own[0]) + 1) if len(own) else ():
+            part = grams[s : min(s + size, own[-1] + 1)]
+            best = s + max(i for i in range(len(part)) if part[i] == part.min())
+            assert chosen[best][0] <= s <= chosen[best][1]
+    # all seeds that a window of 30 words chooses by itself are matched: then it lies in a stretch
+    for t in range(len(texts)):
+        own = keep[of[keep] == t]
+        first = np.flatnonzero(of == t)[0] if (of == t).any() else 0
+        matched = np.array([r.random() < 0.9 for _ in own], dtype=bool)
+        pos, held = own - first, reach[of[keep] == t]
+        found = list(substring_dedup.stretches(pos[matched], held[matched], 30))
+        for p in range(len(texts[t].split()) - 29):
+            starts = range(p, p + 30 - substring_dedup.K - size + 2)
+            whole = all(m for k, x, m in zip(pos, held, matched, strict=True) if any(k - x // 8 <= s <= k - x % 8 for s in starts))
+            assert whole == any(a <= p and p + 30 <= b for a, b in found)
+
+
+def test_columns_may_have_any_names(spark):
+    """Columns beside those that a stage reads pass through, whatever they are called."""
+    passage = prose(80, 1)
+    texts = [passage, passage + " more of it", prose(90, 2), prose(60, 3) + " " + passage, prose(70, 5), None]
+    names = "__maybe __cell __b __w __gone __key __runs __own __changed __text __p __logit path_n path_s host_n host_s c0 c1 cls h key _key n_words first input_ids".split()
+    rows = [(i, t, "h", "p", *range(len(names))) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string, " + ", ".join(f"`{n}` long" for n in names))
+    items = spark.createDataFrame([(1, prose(70, 5))], "item_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(6)], "doc_id long, quality int, toxic int")
+    stages = {
+        "near": near_dedup.deduplicate(docs),
+        "substring": substring_dedup.cut(docs),
+        "items": decontaminate.decontaminate(docs, items),
+        "quality": quality.accepted(docs, labels, least=0.0),
+    }
+    for name, out in stages.items():
+        assert out.columns == docs.columns, name
+        for row in out.collect():
+            assert tuple(row)[4:] == tuple(range(len(names))), name
+    assert {r.doc_id for r in stages["items"].collect()} == {0, 1, 2, 3, 5}
+    assert {r.doc_id for r in stages["near"].collect()} == {0, 2, 3, 4, 5}
+    coded = sentencepieces.encode(docs)
+    assert coded.columns == [*[c for c in docs.columns if c != "input_ids"], "input_ids"]
+    assert [list(r.input_ids) for r in coded.orderBy("doc_id").collect()] == library_ids(texts)
+
+
 def test_bit_filters_lose_no_member(spark):
     values = np.random.default_rng(1).integers(-(1 << 63), 1 << 63, 5000)
     held = substring_dedup.bit_filter(spark.createDataFrame([(int(v),) for v in values], "h long"), "h")
@@ -485,6 +540,18 @@ def test_large_components_are_exact(spark):
         topk.search(spark.createDataFrame([(0, [1e300]), (1, [1.0])], df.schema), df).collect()
 
 
+def test_vectors_beyond_64_bits(spark):
+    rows = [(0, [1.0, 2.0]), (50, [2.0**55, 1.0]), (100, [-(2.0**54), 2.0**54]), (1, [2.0**54, 2.0**54]), (2, [-(2.0**54), 2.0**54]), (3, [1e300, 0.0])]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {}
+    for x in topk.search(vectors, vectors.where("vec_id % 50 = 0"), k=2).collect():
+        got.setdefault(x.query_id, []).append((x.rank, x.vec_id, x.score))
+    # what has no 64-bit form takes no part; a score beyond is the largest one
+    assert set(got) == {0, 100}
+    assert sorted(got[100]) == [(1, 0, 2**63 - 1), (2, 2, 2**63 - 1)]
+    assert sorted(got[0]) == [(1, 1, 2**63 - 1), (2, 2, 2**63 - 1)]
+
+
 # --------------------------------------------------------------------- 6 toxicity
 
 
@@ -757,9 +824,25 @@ def test_decoding_by_all_codewords():
             assert abs(top[0] - top[1] - language.AMBIGUOUS) < 2e-3 or unsure[k] == (top[0] - top[1] < language.AMBIGUOUS)
 
 
-def test_only_the_most_frequent_languages_are_learned(spark):
+def test_all_languages_are_learned(spark, monkeypatch):
+    monkeypatch.setattr(language, "TOGETHER", 100)
+    r = random.Random(6)
+    own = {f"l{i}": "".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(12)) for i in range(410)}
+    df = spark.createDataFrame([(i, " ".join(r.choice(w) + w[r.randrange(9) :] for _ in range(40)), n) for i, (n, w) in enumerate(own.items())], "doc_id long, text string, lang string")
+    model = language.train(df)
+    assert sorted(model.languages) == sorted(own)
+    told = {x.doc_id: x.lang_pred for x in language.identify(df, model).collect()}
+    assert sum(told[i] == n for i, n in enumerate(own)) > 0.9 * len(own)
+    # in parts the sums are the same
+    table = np.random.default_rng(1).integers(0, 50, (7, language.BUCKETS))
+    names = [f"l{i}" for i in range(7)]
+    whole, parts = language.Model(names, table), language.Model(names, iter([table[:3], table[3:]]))
+    assert np.allclose(whole.weights, parts.weights) and np.allclose(whole.scale, parts.scale)
+
+
+def test_rare_languages_are_learned_too(spark):
     df = spark.createDataFrame([(i, "der und die das" if i % 3 else "the and of to", "de" if i % 3 else "en", 1) for i in range(30)] + [(99, "zz", "rare", 1)], "doc_id long, text string, lang string, bucket int")
-    assert language.train(df, most=2).languages == ["de", "en"]
+    assert language.train(df).languages == sorted({r.lang for r in df.where("lang is not null and text is not null").collect()})
     assert {r.lang_pred for r in language.identify(df.where("doc_id = 0"), language.train(df)).collect()} == {"en"}
 
 
