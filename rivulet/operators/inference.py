@@ -1,8 +1,8 @@
 """Model inference in batches, the maintenance model, and its rule.
 
 ``ModelHandler`` has three hooks; ``run_inference`` applies it in ``mapInPandas``, where
-the model is loaded once in each Python worker and kept for its life. (Workers do not
-share memory: one copy a process, not a machine.)
+the model is loaded once in each Python worker and kept for its life. Workers share no objects:
+large weights are shared by mapping them (``mapped.MappedHandler``).
 """
 
 from __future__ import annotations

@@ -13,7 +13,7 @@ from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -127,14 +127,41 @@ def upserted(target: DataFrame | None, changes: DataFrame, keys: Sequence[str],
     return latest_per_key(changes if target is None else target.select(*changes.columns).unionByName(changes), keys, order)
 
 
-def upsert(changes: DataFrame, path: str, keys: Sequence[str], order: Sequence[str], buckets: int = 64) -> None:
+#: Rows of the first batch for each bucket of a new table, and buckets that it has at least and at most.
+ROWS_A_BUCKET, BUCKETS = 1_000_000, (64, 16_384)
+
+
+def _layout(spark: SparkSession, path: str, keys: Sequence[str], buckets: int | None, rows: DataFrame) -> int:
+    """The bucket count of the table at ``path``, which is fixed when the table is made and kept beside the table."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    table, place = (jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}{end}") for end in ("", "_layout.json"))
+    fs = place.getFileSystem(conf)
+    if fs.exists(place):
+        kept = json.loads(spark.sparkContext.wholeTextFiles(place.toString()).values().first())
+        if buckets not in (None, kept["buckets"]) or list(keys) != kept["keys"]:
+            raise ValueError(f"{path} has {kept['buckets']} buckets of {kept['keys']}")
+        return kept["buckets"]
+    if buckets is None:
+        # a table from before layouts were kept has the least number
+        buckets = BUCKETS[0] if fs.exists(table) else min(max(rows.count() // ROWS_A_BUCKET, BUCKETS[0]), BUCKETS[1])
+    out = fs.create(place, True)
+    try:
+        out.write(bytearray(json.dumps({"buckets": buckets, "keys": list(keys)}).encode()))
+    finally:
+        out.close()
+    return buckets
+
+
+def upsert(changes: DataFrame, path: str, keys: Sequence[str], order: Sequence[str], buckets: int | None = None) -> None:
     """Upsert into a Parquet table that is partitioned by a hash of the key.
 
     Only the buckets that the changes touch are read and, by dynamic partition overwrite,
     written anew. An upsert that is run again gives the same rows. One writer at a time; for
-    isolation from readers a table format with MERGE takes its place.
+    isolation from readers a table format with MERGE takes its place. The number of buckets is that of the
+    table, chosen by the first batch's rows if not given; another number or other keys are an error.
     """
     spark, names = changes.sparkSession, changes.columns
+    buckets = _layout(spark, path, keys, buckets, changes)
     numbered = changes.withColumn("bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
     target = existing(spark, path)
     if target is not None:
@@ -148,14 +175,34 @@ def upsert(changes: DataFrame, path: str, keys: Sequence[str], order: Sequence[s
     fresh.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path)
 
 
-def apply_changes(changes: DataFrame, path: str, keys: Sequence[str], order: Sequence[str], buckets: int = 64) -> None:
+def apply_changes(changes: DataFrame, path: str, keys: Sequence[str], order: Sequence[str], buckets: int | None = None) -> None:
     """Change-data capture: upsert of change records with ``mod_type``.
 
-    Deleted keys stay as tombstones, so that an older change that comes later does not bring them back.
+    Deleted keys stay as tombstones, so that an older change that comes later does not bring them back
+    (``forget_deleted`` ends that).
     """
     upsert(changes, path, keys, order, buckets)
 
 
+def forget_deleted(spark: SparkSession, path: str, before: Column, mod_type: str = "mod_type") -> int:
+    """Drop the tombstones for which ``before`` holds: those so old that no older change can still come. Only
+    buckets that have such are written anew. Gives their number."""
+    table = existing(spark, path)
+    gone = F.coalesce((F.col(mod_type) == "DELETE") & before, F.lit(False))
+    touched = [r.bucket for r in table.where(gone).select("bucket").distinct().collect()]  # buckets at most
+    if touched:
+        staged = f"{path.rstrip('/')}_staged"
+        # a bucket of nothing but tombstones keeps one, as a partition without rows would not be overwritten
+        rows = table.where(F.col("bucket").isin(touched)).withColumn("__gone", gone)
+        stays = rows.groupBy("bucket").agg(F.min(F.col("__gone").cast("int")).alias("__all")).where("__all = 1").select("bucket", F.lit(True).alias("__empty"))
+        first = F.row_number().over(Window.partitionBy("bucket").orderBy(F.col("__gone"), *[F.col(c) for c in table.columns if c != "bucket"]))
+        kept = rows.join(F.broadcast(stays), "bucket", "left").withColumn("__n", first).where("not __gone or (__empty and __n = 1)").drop("__gone", "__empty", "__n")
+        kept.select(table.columns).repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(staged)
+        fresh = spark.read.schema(table.schema).parquet(staged).repartition("bucket")
+        fresh.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path)
+    return len(touched)
+
+
 def read_keyed(spark: SparkSession, path: str, mod_type: str = "mod_type") -> DataFrame:
     """The rows of a table of ``upsert`` or ``apply_changes``, without tombstones."""
     rows = spark.read.parquet(path).drop("bucket")

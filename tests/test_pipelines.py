@@ -138,6 +138,30 @@ def test_an_upsert_leaves_other_buckets_alone(spark, tmp_path):
     assert {(r.k, r.ts) for r in sinks.read_keyed(spark, table).collect()} == {(k, 2 if k == 7 else 1) for k in range(200)}
 
 
+def test_a_table_keeps_its_layout(spark, tmp_path):
+    table = str(tmp_path / "t")
+    rows = spark.range(50).selectExpr("id as k", "1 as ts")
+    sinks.upsert(rows, table, ["k"], ["ts"], buckets=8)
+    sinks.upsert(rows.selectExpr("k", "2 as ts"), table, ["k"], ["ts"])  # by the table's own number
+    assert {(r.k, r.ts) for r in sinks.read_keyed(spark, table).collect()} == {(k, 2) for k in range(50)}
+    with pytest.raises(ValueError, match="8 buckets"):
+        sinks.upsert(rows, table, ["k"], ["ts"], buckets=16)
+    with pytest.raises(ValueError, match="8 buckets"):
+        sinks.upsert(rows, table, ["ts"], ["k"])
+    assert sinks._layout(spark, str(tmp_path / "new"), ["k"], None, rows) == 64
+
+
+def test_old_tombstones_are_forgotten(spark, tmp_path):
+    table = str(tmp_path / "t")
+    log = lambda r: spark.createDataFrame(r, "k int, ts int, mod_type string")
+    sinks.apply_changes(log([(k, k, "DELETE" if k % 2 else "INSERT") for k in range(40)]), table, ["k"], ["ts"], buckets=4)
+    assert sinks.forget_deleted(spark, table, F.col("ts") < 20) > 0
+    left = {(r.k, r.mod_type) for r in spark.read.parquet(table).collect()}
+    assert left == {(k, "DELETE" if k % 2 else "INSERT") for k in range(40) if k >= 20 or k % 2 == 0}
+    assert sinks.forget_deleted(spark, table, F.col("ts") < 20) == 0
+    assert sinks.read_keyed(spark, table).count() == 20
+
+
 def test_a_destination_for_each_row(spark, tmp_path):
     sinks.route(spark.range(10), F.when(F.col("id") > 6, "big").otherwise("small"), str(tmp_path / "r"))
     assert {(r.destination, r["count"]) for r in spark.read.parquet(str(tmp_path / "r")).groupBy("destination").count().collect()} == {("big", 3), ("small", 7)}
@@ -198,6 +222,70 @@ def shouting(model_id):
     return inference.TemplateHandler(shout(), model_id)
 
 
+def test_counters_of_a_stream_survive_a_restart(spark, tmp_path):
+    from rivulet.streaming.counters import CounterLog, totals
+
+    names = ["received_messages", "successful_messages", "json_parse_failed_messages", "too_big_messages", "failed_insert_messages"]
+    log = CounterLog(spark, str(tmp_path / "log"))
+    spark.streams.addListener(log)
+    try:
+        def run():
+            source = read_messages(spark, f"parquet:{tmp_path / 'in'}", stream=True, maxFilesPerTrigger="1")
+            tagged = jsonio.observe_counters(jsonio.parse_objects(source, most=40))
+            query = runner.append_stream(tagged.select("value", "error_tag"), str(tmp_path / "out"), str(tmp_path / "cp"), once=True)
+            assert query.awaitTermination(120)
+            return str(query.id)
+
+        for texts in (["{}", "x"], ["{" + " " * 50 + "}", "{}", "{}"]):
+            put(spark, tmp_path / "in", texts, T0)
+        first = run()
+        put(spark, tmp_path / "in", ["[", '{"a": 1}'], T0)
+        assert run() == first
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+        import time
+
+        for _ in range(50):
+            found = totals(spark, str(tmp_path / "log"), *names).collect() if (tmp_path / "log").exists() else []
+            if found and found[0].batches == 3:
+                break
+            time.sleep(0.2)
+        whole = jsonio.counters(jsonio.parse_objects(read_messages(spark, f"parquet:{tmp_path / 'in'}"), most=40)).first()
+        assert [tuple(r)[2:] for r in found] == [tuple(whole)] and whole.received_messages == 7
+        log.put(first, 1, {n: getattr(found[0], n) * 0 + 3 for n in names})  # a batch that runs again replaces its numbers
+        assert totals(spark, str(tmp_path / "log"), *names).first().batches == 3
+    finally:
+        spark.streams.removeListener(log)
+
+
+def test_weights_are_mapped_and_shared(spark, tmp_path):
+    import numpy as np
+
+    from rivulet.operators import mapped
+
+    weights = {"w": np.arange(3_000_000, dtype=np.float64).reshape(3, -1), "bias": np.array([2, 3], np.int16), "none": np.zeros((0, 4), np.float32)}
+    mapped.write_arrays(weights, str(tmp_path / "a"))
+    back = mapped.map_arrays(str(tmp_path / "a"))
+    assert all(np.array_equal(back[n], a) and back[n].dtype == a.dtype and back[n].shape == a.shape for n, a in weights.items())
+    assert back["w"].flags.aligned and not back["w"].flags.writeable
+    name = mapped.ship(spark, weights, f"weights-{tmp_path.name}")
+
+    def ask(batch, model):
+        import os
+        import re
+
+        total = float(model["w"].sum())
+        maps = open("/proc/self/smaps").read()
+        part = maps[maps.index(name) :].split("VmFlags")[0]
+        size = {k: int(v) for k, v in re.findall(r"(Rss|Anonymous):\s+(\d+)", part)}
+        return [f"{os.getpid()} {total} {size['Rss'] > 20_000} {size['Anonymous']} {text}" for text in batch]
+
+    handler = mapped.MappedHandler(name, lambda arrays: arrays, ask, "mapped")
+    df = spark.range(400).selectExpr("cast(id as string) as value").repartition(8)
+    rows = [r.inference.split() for r in inference.run_inference(df, handler).collect()]
+    assert {tuple(r[1:4]) for r in rows} == {(str(float(weights["w"].sum())), "True", "0")}  # resident, and no page of it a worker's own
+    assert sorted(int(r[4]) for r in rows) == list(range(400)) and len({r[0] for r in rows}) >= 1
+
+
 def test_models_are_kept_by_handler(spark):
     df = messages(spark, ['{"id": 4}'])
     assert inference.run_inference(df, shouting("same")).first().inference == '{"ID": 4}'
