@@ -3,9 +3,10 @@
 Both corpora are reduced to fingerprints: the right-most minimum of every window
 of ``span - k + 1`` consecutive k-gram hashes. A run of ``span`` words that a
 document shares with an item has the same windows in both, so both keep the same
-k-gram of it: no shared run of ``span`` words goes unseen. Fingerprints that meet
-in the join are then extended to both sides, word by word, as far as ``span - k``
-words; what reaches ``span`` words is a shared run.
+k-gram of it: no shared run of ``span`` words goes unseen. Fingerprints meet in the join
+if a window of ``span`` words around them is the same, so a phrase that many documents and
+items hold among other words brings none of them together. They are then extended to both sides,
+word by word, as far as ``span - k`` words; that is the shared run.
 
 Items shorter than ``span`` words are one window each. Their length m is a class
 of its own with k = m and a window of one, so that each m-gram is a fingerprint.
@@ -29,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import ALNUM, PackedFilter, Words, materialize, member_filter, numbered_columns, row_key, slices, text_bytes, winnow, without
+from ._common import ALNUM, PackedFilter, Words, materialize, member_filter, mix, numbered_columns, row_key, slices, text_bytes, winnow, without
 
 SPAN = 10
 K = 5
@@ -60,6 +61,22 @@ def _context(words: Words, at: np.ndarray, k: int, reach: int, missing: int) ->
     return out
 
 
+def _windows(h: np.ndarray, context: list[np.ndarray], missing: int) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, whether it is whole) of the windows that hold a k-gram, a column for each number of words before it:
+    from the k-gram's hash and those of the words around, ``missing`` where the text has none."""
+    reach = len(context) // 2
+    left, right = context[:reach], context[reach:]
+    hashes = np.zeros((len(h), reach + 1), np.uint64)
+    whole = np.ones((len(h), reach + 1), dtype=bool)
+    for j in range(reach + 1):
+        value = mix(h.view(np.uint64) + np.uint64(j + 1))
+        for word in [*left[:j], *right[: reach - j]]:
+            value = mix(value + word.view(np.uint64))
+            whole[:, j] &= word != missing
+        hashes[:, j] = value
+    return hashes, whole
+
+
 def _table(columns: list[list[np.ndarray]], names: list[str], ids: pa.Array, rows: list[np.ndarray], key: str) -> pa.RecordBatch:
     flat = [np.concatenate(c) if c else np.zeros(0, np.int64) for c in columns]
     index = np.concatenate(rows) if rows else np.zeros(0, np.int64)
@@ -100,41 +117,60 @@ def hits(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str =
     one row for each run and hit. owners: fid and item_id of the items that have the fingerprint."""
     reach = span - k
     names = _context_names(reach)
+    keys = ["cls", "h", *names]
     prints = materialize(item_fingerprints(items, item_id, item_text, span, k))
+    numbered = materialize(prints.select(*keys).distinct().withColumn("fid", F.monotonically_increasing_id()))
+    owners = materialize(prints.join(numbered, keys).select("fid", "item_id").distinct())
+
+    def held(batches):
+        """The windows of each fingerprint; one of a short item is its own window."""
+        for batch in batches:
+            cls, h, *context = (c.to_numpy() for c in batch.columns[:-1])
+            hashes, whole = _windows(h, context, -1)
+            hashes[cls > 0, 0] = (h + cls)[cls > 0].view(np.uint64)
+            whole[cls > 0] = np.arange(reach + 1) == 0
+            row, j = np.nonzero(whole)
+            yield pa.RecordBatch.from_arrays([pa.array(hashes[row, j].view(np.int64)), pa.array(j), *[c.take(pa.array(row)) for c in batch.columns]], names=windowed)
+
+    windowed = ["i_w", "i_j", *[f"i_{n}" for n in keys], "fid"]
+    other = materialize(numbered.select(F.col("cls").cast("bigint"), *keys[1:], "fid").mapInArrow(held, ", ".join(f"{n} bigint" for n in windowed)))
+    around = PackedFilter(member_filter(other, "i_w"))
     short = [r.cls for r in prints.where("cls > 0").select("cls").distinct().collect()]  # below span values at most
     marked = prints.select(F.expr("h + cls").alias("h"))
     member = PackedFilter(member_filter(marked, "h"))
     key_type = docs.schema[doc_id].dataType.simpleString()
 
     def fingerprint(batches):
-        cells = member.cells()
+        cells, wide = member.cells(), around.cells()
         for batch in batches:
             data, offsets = text_bytes(batch.column(2))
             for a, b in slices(offsets):
                 words = Words(data, offsets[a : b + 1], ALNUM)
                 n = b - a
-                columns, rows = [[np.full(n, -1)], [words.counts], [np.zeros(n, np.int64)], *[[np.zeros(n, np.int64)] for _ in ["h", *names]]], [np.arange(a, b)]
+                columns, rows = [[np.full(n, -1)], [words.counts], [np.zeros(n, np.int64)], *[[np.zeros(n, np.int64)] for _ in ["w", "j", *names]]], [np.arange(a, b)]
                 for cls, hashes, at in _prints(words, span, k, short) if member.any else ():
                     ok = np.flatnonzero(cells[(hashes + np.uint64(cls)) & np.uint64(member.mask)])
                     hashes, at = hashes[ok], at[ok]
-                    context = _context(words, at, k, reach, 0) if cls == 0 else [np.zeros(len(at), np.int64)] * (2 * reach)
-                    for c, v in zip(columns, [np.full(len(at), cls), np.zeros(len(at), np.int64), at - words.offsets[words.text_of[at]], hashes.view(np.int64), *context], strict=True):
+                    if cls == 0:  # of a fingerprint those windows that an item has as well
+                        context = _context(words, at, k, reach, 0)
+                        w, whole = _windows(hashes, context, 0)
+                        row, j = np.nonzero(whole & wide[w & np.uint64(around.mask)])
+                        at, w, context = at[row], w[row, j], [c[row] for c in context]
+                    else:
+                        w, j, context = hashes + np.uint64(cls), np.zeros(len(at), np.int64), [np.zeros(len(at), np.int64)] * (2 * reach)
+                    for c, v in zip(columns, [np.full(len(at), cls), np.zeros(len(at), np.int64), at - words.offsets[words.text_of[at]], w.view(np.int64), j, *context], strict=True):
                         c.append(v)
                     rows.append(words.text_of[at] + a)
                 index = pa.array(np.concatenate(rows))
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(index), batch.column(1).take(index), *[pa.array(np.concatenate(c).astype(np.int64, copy=False)) for c in columns]], names=["_key", "doc_id", "cls", "n_words", "pos", "h", *names])
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(index), batch.column(1).take(index), *[pa.array(np.concatenate(c).astype(np.int64, copy=False)) for c in columns]], names=["_key", "doc_id", "cls", "n_words", "pos", "w", "j", *names])
 
-    fields = "_key bigint, doc_id " + key_type + ", " + ", ".join(f"{n} bigint" for n in ["cls", "n_words", "pos", "h", *names])
+    fields = "_key bigint, doc_id " + key_type + ", " + ", ".join(f"{n} bigint" for n in ["cls", "n_words", "pos", "w", "j", *names])
     source = docs.select(row_key(doc_id, text).alias("_key"), F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
     found = materialize(source.mapInArrow(fingerprint, fields))
     base = found.where("cls = -1").select("_key", "doc_id", "n_words")
 
-    keys = ["cls", "h", *names]
-    numbered = materialize(prints.select(*keys).distinct().withColumn("fid", F.monotonically_increasing_id()))
-    owners = materialize(prints.join(numbered, keys).select("fid", "item_id").distinct())
-    other = numbered.select(*[F.col(n).alias(f"i_{n}") for n in keys], "fid")
-    mine = found.where("cls >= 0").select("_key", F.col("cls").cast("int").alias("cls"), "pos", "h", *names)
-    met = mine.join(other, (F.col("cls") == F.col("i_cls")) & (F.col("h") == F.col("i_h")))
+    mine = found.where("cls >= 0").select("_key", "cls", "pos", "w", "j", *names)
+    met = mine.join(other, (F.col("w") == F.col("i_w")) & (F.col("j") == F.col("i_j")) & (F.col("cls") == F.col("i_cls")))
 
     def extent(side: str):
         out = F.lit(0)
@@ -146,7 +182,8 @@ def hits(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str =
     spans = (
         met.withColumn("left", extent("l"))
         .withColumn("right", extent("r"))
-        .where((F.col("cls") > 0) | (F.col("left") + k + F.col("right") >= span))
+        # a pair that shares several windows around the k-gram counts by the first one
+        .where((F.col("cls") > 0) | ((F.col("left") == F.col("j")) & (F.col("left") + k + F.col("right") >= span)))
         .select("_key", (F.col("pos") - F.col("left")).alias("first"), (F.col("pos") + size + F.col("right")).alias("after"), "fid")
     )
     return base, spans, owners

@@ -102,6 +102,22 @@ def test_decontamination(spark):
     assert kept.columns == ["doc_id", "text", "_key", "h"]
 
 
+def test_common_phrases_bring_no_rows_together(spark):
+    """300 documents and 300 items share five words, and one pair a run of twelve."""
+    phrase, run = "five words that all share", prose(12, 9)
+    around = lambda i: f"{prose(9, 5000 + i)} {phrase} {prose(9, 9000 + i)}"
+    docs = [(i, around(i)) for i in range(300)] + [(1000, f"{prose(8, 1)} {run} {phrase} {prose(9, 2)}")]
+    items = [(i, around(i + 4000)) for i in range(300)] + [(1000, f"{prose(8, 3)} {run} {phrase} {prose(9, 4)}")]
+    frame = spark.createDataFrame(items, "item_id int, text string")
+    got = {r.doc_id: (r.n_words, r.n_hit, len(r["items"]), hashlib.sha256(",".join(r["items"]).encode()).hexdigest(), r.contaminated) for r in decontaminate.contamination(docs_of(spark, docs), frame).collect()}
+    assert got == brute_contamination(docs, items) and got[1000][1] == 17
+    _, spans, _ = decontaminate.hits(docs_of(spark, docs), frame)
+    plan = spans._jdf.queryExecution()
+    spans.collect()
+    rows = [int(x) for x in re.findall(r"number of output rows: (\d+)", plan.executedPlan().toString())]
+    assert spans.count() <= 600 and all(n <= 600 for n in rows)
+
+
 def test_decontamination_empty_tables(spark):
     items = spark.createDataFrame([(1, "a b")], "item_id int, text string")
     docs = docs_of(spark, [(1, "a b"), (1, "a b")])
