@@ -10,8 +10,8 @@ MinHashes, at the cost of about one hash a shingle for texts of ordinary size.
 
 Texts with the same shingle set (two independent 64-bit digests) are one class, so
 copies meet once. Bands of rows meet in a shuffle. Within a bucket links to one
-centre, the smallest class, are verified first. Where a bucket then still holds
-several components, pairs of different components are left to try:
+centre are verified first, in buckets that stay crowded then those to their best linked member. Where a
+bucket still holds several components, pairs of different components are left to try:
 
 * with ``FEW`` members or fewer outside the bucket's largest component, each of them
   with the members of other components, unless bitmaps of the two sets show that too
@@ -237,6 +237,26 @@ def _by_prefix(nodes: DataFrame, sets: DataFrame, share: int) -> DataFrame:
     return met.select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
 
 
+def _open(met: DataFrame, labels: DataFrame) -> DataFrame:
+    """The members of the buckets that hold several components, with the size of what is outside the largest one."""
+    labelled = materialize(met.join(labels, "node", "left").select("band", "bucket", "node", "n", F.coalesce("comp", "node").alias("comp")))
+    parts = labelled.groupBy("bucket", "comp").agg(F.count("*").alias("m"))
+    largest = F.max(F.struct("m", "comp"))
+    split = materialize(parts.groupBy("bucket").agg(F.count("*").alias("parts"), F.sum("m").alias("m"), largest.alias("l")).where("parts > 1").select("bucket", (F.col("m") - F.col("l.m")).alias("minor"), F.col("l.comp").alias("largest")))
+    return materialize(labelled.join(split, "bucket"))
+
+
+def _hub_pairs(crowded: DataFrame, linked: DataFrame, share: int) -> DataFrame:
+    """Pairs of each bucket's hub, the member that has most links (a, b) so far, with its members of other components.
+
+    Edited copies of one text are often closer to it than to one another; it then has links to the
+    centres of many buckets without being one."""
+    degrees = linked.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("d"))
+    hubs = materialize(crowded.join(degrees, "node").groupBy("bucket").agg(F.max(F.struct("d", "node", "n", "comp")).alias("h")))
+    pairs = crowded.join(hubs, "bucket").where("comp <> h.comp").select(F.col("h.node").alias("a"), F.col("h.n").alias("n_a"), F.col("node").alias("b"), F.col("n").alias("n_b"))
+    return pairs.where(_fits(share)).select("a", "b").distinct()
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = 3, share: int = 85, few: int = FEW) -> DataFrame:
     """_key, id, n_shingles, component_id, kept and _group of each row of ``docs``; _group numbers
     the components, those without any id too.
@@ -256,13 +276,14 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     met = materialize(maybe_members(bands, F.col("bucket"), centres.select("bucket")).where("__maybe").join(centres, "bucket").select("band", "bucket", "node", "n", "a", "n_a"))
     sets = materialize(_sets(docs, materialize(met.select("node", "n").distinct()), doc_id, text, k))
     star = met.where(F.col("a") != F.col("node")).select("a", "n_a", F.col("node").alias("b"), F.col("n").alias("n_b")).where(_fits(share)).select("a", "b")
-    labels = components(materialize(_verified(star.distinct(), sets, share)))
-
-    labelled = materialize(met.join(labels, "node", "left").select("band", "bucket", "node", "n", F.coalesce("comp", "node").alias("comp")))
-    parts = labelled.groupBy("bucket", "comp").agg(F.count("*").alias("m"))
-    largest = F.max(F.struct("m", "comp"))
-    split = materialize(parts.groupBy("bucket").agg(F.count("*").alias("parts"), F.sum("m").alias("m"), largest.alias("l")).where("parts > 1").select("bucket", (F.col("m") - F.col("l.m")).alias("minor"), F.col("l.comp").alias("largest")))
-    open_ = materialize(labelled.join(split, "bucket"))
+    linked = materialize(_verified(star.distinct(), sets, share))
+    labels = components(linked)
+    open_ = _open(met, labels)
+    hubs = _hub_pairs(open_.where(F.col("minor") > few), linked, share)
+    more = materialize(_verified(hubs, sets, share))
+    if not more.isEmpty():
+        labels = merged(labels, more)
+        open_ = _open(met, labels)
     small = open_.where(F.col("minor") <= few).join(sets.select("node", "bits"), "node").join(classes.select("node", "bands"), "node")
     pairs = _tried(materialize(small), share).union(_by_prefix(materialize(open_.where(F.col("minor") > few).select("node", "comp").distinct()), sets, share))
     more = materialize(_verified(pairs.distinct(), sets, share))

@@ -125,6 +125,21 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 5, vec_id: str = "ve
     width, n = classes.select(F.max(F.octet_length("v") / 8).cast("int"), F.count("*")).first()
     if width is None:
         return spark.createDataFrame([], schema)
+    def ask(batches):
+        for batch in batches:
+            keep = [(i, v) for i, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) if (v := _packed(x, scale)) is not None]
+            yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in keep], pa.int64()), pa.array([v for _, v in keep], pa.binary())], names=["query_id", "q"])
+
+    asked = (
+        queries.where(F.col(vec_id).isNotNull() & F.col(embedding).isNotNull())
+        .select(F.col(vec_id).cast("bigint").alias("i"), F.col(embedding).cast("array<double>").alias("x"))
+        .mapInArrow(ask, "query_id bigint, q binary")
+        .distinct()
+    )
+    asked = materialize(asked)
+
+    # a query may be longer than every candidate
+    width = max(width, asked.select(F.max(F.octet_length("q") / 8).cast("int")).first()[0] or 0)
     routers = routers or min(max(int(n**0.5), FEWEST), ROUTERS)
     sample = _matrix(pa.array([r.v for r in classes.orderBy(F.xxhash64("v"), "v").select("v").limit(routers).collect()]), width)
     shape = materialize(classes.mapInArrow(lambda batches: _norms(batches, width), "norm2 double").agg(F.max("norm2").alias("top")))
@@ -152,19 +167,6 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 5, vec_id: str = "ve
     pages = materialize(paged.withColumn("part", F.floor(F.col("shell") / PAGES).cast("int")))
     parts = materialize(pages.select("node", "part", "split").distinct())
 
-    def ask(batches):
-        for batch in batches:
-            keep = [(i, v) for i, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) if (v := _packed(x, scale)) is not None]
-            yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in keep], pa.int64()), pa.array([v for _, v in keep], pa.binary())], names=["query_id", "q"])
-
-    asked = (
-        queries.where(F.col(vec_id).isNotNull() & F.col(embedding).isNotNull())
-        .select(F.col(vec_id).cast("bigint").alias("i"), F.col(embedding).cast("array<double>").alias("x"))
-        .mapInArrow(ask, "query_id bigint, q binary")
-        .distinct()
-    )
-    asked = materialize(asked)
-
     def nearest(batches):
         for batch in batches:
             d = _distances(_matrix(batch.column(1), width), sample, top)
