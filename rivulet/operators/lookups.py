@@ -26,7 +26,7 @@ class Client(Protocol):
         """The rows of the keys that are there, as values by column."""
 
 
-class LookupError_(RuntimeError):
+class Unanswered(RuntimeError):
     """A lookup that found nothing, failed or took too long, where that is an error."""
 
 
@@ -137,7 +137,7 @@ def lookup(events: DataFrame, connect: Callable[[], Client], key: str, schema: s
             for policy, bad in ((misses, (MISS,)), (failures, (TIMEOUT, FAILED))):
                 wrong = [k for k, (outcome, _) in zip(keys, told, strict=True) if outcome in bad]
                 if policy == "raise" and wrong:
-                    raise LookupError_(f"{len(wrong)} lookups without a row, first that of {wrong[0]!r}")
+                    raise Unanswered(f"{len(wrong)} lookups without a row, first that of {wrong[0]!r}")
             columns = [pa.array([row.get(f.name) if row else None for _, row in told], kinds.field(f.name).type) for f in fields]
             made = pa.RecordBatch.from_arrays([*part.columns, *columns, pa.array([o for o, _ in told])], names=[*events_columns, *names, "lookup"])
             gone = [o for policy, group in ((misses, (MISS,)), (failures, (TIMEOUT, FAILED))) if policy == "drop" for o in group]

@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
@@ -128,8 +128,6 @@ def discarded(rows: DataFrame, keys: Sequence[str], pane: str, *aggregates: Colu
 def accumulated(panes: DataFrame, keys: Sequence[str], pane: str, **merges: Callable[[str], Column]) -> DataFrame:
     """Accumulating panes from discarding ones: each column merged with those of all earlier panes of its key, as ``merges``
     says (``n=F.sum``). Partial aggregates meet here, one a pane, not rows."""
-    from pyspark.sql import Window
-
     so_far = Window.partitionBy(*keys).orderBy(pane).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return panes.select(*keys, pane, *[merge(name).over(so_far).alias(name) for name, merge in merges.items()])
 

@@ -188,6 +188,9 @@ def test_line_ends_around_objects(spark):
     texts = ['{"a":1}\n', '\n{"a":1}', '{"a":1}\r', '\t{"a":1} ', '{"a":1} x}', '{"a":1} {}', '{"a":1}],[{}', '{"a":1},"b":{}', '{"a":1,"a":2}', "\u00a0{}"]
     found = jsonio.parse_objects(messages(spark, texts)).select(F.col("error_tag").isNull().alias("ok")).collect()
     assert [r.ok for r in found] == [True] * 4 + [False] * 6
+    mark = jsonio._MARK  # a message may hold what the parser is asked to find behind it
+    texts = [f'{{"{mark}":"{mark}"}}', f'{{"a":1}},"{mark}"],[{{}}', f'{{"a":1}},"{mark}"', f'{{"a":[{{}},"{mark}"]}}']
+    assert [r.error_tag is None for r in jsonio.parse_objects(messages(spark, texts)).collect()] == [True, False, False, True]
 
 
 def test_clickstream_routes_everything(spark, tmp_path):
