@@ -250,6 +250,26 @@ def test_recall_among_many_other_holders(spark):
     assert sum(p in found for p in planted) >= 0.9 * len(planted) and found <= set(planted)
 
 
+def test_crowded_seeds_meet_all_their_holders(spark):
+    """Two edited copies of a passage all of whose seeds stand in 30 documents of smaller and 30 of larger key, 14 words each."""
+    p = prose(120, 88).split()
+    one = [w if i % 20 != 3 else f"x{i}" for i, w in enumerate(p)]
+    two = [w if i % 20 != 14 else f"y{i}" for i, w in enumerate(p)]
+    rows = [(i, f"{prose(20, 300 + i)} {' '.join(p[2 * (i % 60) : 2 * (i % 60) + 14])} {prose(20, 700 + i)}") for i in range(300)]
+    texts = [(1000 + i, f"{prose(30, 1100 + i)} {' '.join((one, two)[i % 2])} {prose(30, 1200 + i)}") for i in range(8)]
+    keys = {x.doc_id: x.key for x in docs_of(spark, rows, extra=False).select(row_key("doc_id", "text").alias("key"), "doc_id").collect()}
+    own = sorted((x.key, x.doc_id) for x in docs_of(spark, texts, extra=False).select(row_key("doc_id", "text").alias("key"), "doc_id").collect())
+    # The pair of an edited copy of either kind whose keys lie nearest the middle of all holders.
+    middle = sorted(keys.values())[len(keys) // 2]
+    a = min((x for x in own if x[1] % 2 == 0), key=lambda x: abs(x[0] - middle))[1]
+    b = min((x for x in own if x[1] % 2), key=lambda x: abs(x[0] - middle))[1]
+    docs = docs_of(spark, rows + [t for t in texts if t[0] in (a, b)], extra=False)
+    ids = {x.key: x.doc_id for x in docs.select(row_key("doc_id", "text").alias("key"), "doc_id").collect()}
+    found = [(x.after - x.first, {ids[x.key], ids[x.other]}) for x in substring_dedup.passages(docs).collect()]
+    assert max((n for n, f in found if f == {a, b}), default=0) >= 110
+    assert all(f == {a, b} for _, f in found)
+
+
 def test_runs_of_twelve_words_share_a_seed(spark):
     run = prose(12, 77)
     for n in range(20):
