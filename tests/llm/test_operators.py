@@ -970,3 +970,25 @@ def test_sparse_sites_shrink(spark):
 @pytest.mark.parametrize("name", sorted(registry.oracle_sql()))
 def test_registered_sql(spark, sf, name):
     assert same(spark, sf, registry.queries()[name], registry.oracle_sql()[name])
+
+
+def test_sentencepiece_pairs_walk_through_their_states_as_merging_does(monkeypatch):
+    v = sentencepieces.Vocabulary(sentencepieces.MODEL)
+    rng = np.random.default_rng(3)
+    edges = np.array(v.edges)
+    short = edges[np.array([len(v.pieces[i]) <= 3 for i in v.edges])]
+    a = np.concatenate([rng.choice(edges, 6000), rng.choice(short, 6000), rng.choice(short, 3000)])
+    b = np.concatenate([rng.choice(edges, 6000), rng.choice(short, 6000), rng.choice(edges, 3000)])
+    wanted = [v.merge(v.pieces[x] + v.pieces[y]) == [v.pieces[x], v.pieces[y]] for x, y in zip(a, b, strict=True)]
+    assert v.stand(a, b).tolist() == wanted and 0 < sum(wanted) < len(wanted)
+    # Pairs that share a place of a small memory push each other out and stay right.
+    monkeypatch.setattr(sentencepieces, "MOST_PAIRS", 8)
+    e = sentencepieces.Encoder(v)
+    assert e.compatible(a[:500], b[:500]).tolist() == wanted[:500] == e.compatible(a[:500], b[:500]).tolist()
+    # No pair of a short word is merged by itself.
+    monkeypatch.setattr(v, "merge", None)
+    raw = np.frombuffer("words of ordinary length, naïve façade 汉字".encode(), np.uint8)
+    ids, _ = e.encode(raw, np.array([0, len(raw)]))
+    import sentencepiece
+
+    assert ids.tolist() == sentencepiece.SentencePieceProcessor(model_file=sentencepieces.MODEL).encode(raw.tobytes().decode())
