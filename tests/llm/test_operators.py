@@ -992,3 +992,12 @@ def test_sentencepiece_pairs_walk_through_their_states_as_merging_does(monkeypat
     import sentencepiece
 
     assert ids.tolist() == sentencepiece.SentencePieceProcessor(model_file=sentencepieces.MODEL).encode(raw.tobytes().decode())
+
+
+def test_shuffle_files_of_a_checkpoint_go_with_it(spark):
+    from rivulet.llm import _common
+
+    before = spark.conf.get(_common.CLEANUP, None)
+    df = spark.range(1000).repartition(3, "id").groupBy((F.col("id") % 7).alias("k")).count()
+    out = _common.materialize(df)
+    assert sorted(map(tuple, out.collect())) == sorted(map(tuple, df.collect())) and spark.conf.get(_common.CLEANUP, None) == before
