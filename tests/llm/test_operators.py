@@ -994,6 +994,27 @@ def test_sentencepiece_pairs_walk_through_their_states_as_merging_does(monkeypat
     assert ids.tolist() == sentencepiece.SentencePieceProcessor(model_file=sentencepieces.MODEL).encode(raw.tobytes().decode())
 
 
+def test_seeds_count_at_all_places_of_both_documents(spark):
+    """An edited passage whose runs stand scattered in both documents before the passage itself."""
+    p = prose(100, 91).split()
+    one = [w if i % 15 != 7 else f"x{i}" for i, w in enumerate(p)]
+    runs = lambda n: " ".join(" ".join(p[i : i + 14]) + " " + prose(60, n + i) for i in range(86, -1, -2))
+    docs = docs_of(spark, [(1, f"{runs(2000)} {' '.join(p)} {prose(20, 94)}"), (2, f"{runs(3000)} {' '.join(one)} {prose(20, 95)}")], extra=False)
+    found = substring_dedup.passages(docs).collect()
+    assert any(r.after - r.first >= 90 and r.matched >= 0.9 * (r.after - r.first) for r in found)
+
+
+def test_fragments_of_all_places_made_in_parts():
+    r = np.random.default_rng(4)
+    for n in (0, 3, 60):
+        pos, o_pos = np.arange(n) * 2, np.arange(n + 9) * 2
+        seeds, o_seeds = r.integers(0, 3, n), r.integers(0, 3, n + 9)
+        i, j = np.nonzero(seeds[:, None] == o_seeds[None, :])
+        wanted = sorted(zip(*(x.tolist() for x in substring_dedup.fragments(pos[i], o_pos[j])), strict=True)) if len(i) else []
+        for most in (5, 100, 1 << 20):
+            assert sorted(zip(*(x.tolist() for x in substring_dedup.all_fragments(pos, seeds, o_pos, o_seeds, most)), strict=True)) == wanted
+
+
 def test_shuffle_files_of_a_checkpoint_go_with_it(spark):
     from rivulet.llm import _common
 
