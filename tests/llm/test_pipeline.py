@@ -3,6 +3,7 @@
 from collections import defaultdict
 
 import corpus_pipeline
+from rivulet.llm._common import BATCH, BATCH_BYTES
 from test_operators import alnum, brute_contamination, brute_near, library_ids
 
 
@@ -41,3 +42,15 @@ def test_stages(spark, sf, tmp_path):
 
 def test_run(spark, sf):
     assert corpus_pipeline.run(spark, sf).count() > 0
+
+
+def test_stages_bound_the_batches_of_their_tasks(spark, sf):
+    before = spark.conf.get(BATCH, None)
+    try:
+        for own, wanted in ((None, BATCH_BYTES), ("12345", 12345)):
+            spark.conf.unset(BATCH) if own is None else spark.conf.set(BATCH, own)
+            for _, stage in corpus_pipeline.STAGES[-1:]:
+                stage(spark, spark.read.parquet(f"{sf}/documents.parquet"), sf)
+            assert int(spark.conf.get(BATCH)) == wanted
+    finally:
+        spark.conf.unset(BATCH) if before is None else spark.conf.set(BATCH, before)
