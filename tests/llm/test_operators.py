@@ -1022,3 +1022,38 @@ def test_shuffle_files_of_a_checkpoint_go_with_it(spark):
     df = spark.range(1000).repartition(3, "id").groupBy((F.col("id") % 7).alias("k")).count()
     out = _common.materialize(df)
     assert sorted(map(tuple, out.collect())) == sorted(map(tuple, df.collect())) and spark.conf.get(_common.CLEANUP, None) == before
+
+
+def test_passages_of_texts_that_repeat_themselves_lie_in_no_other_of_the_pair(spark):
+    """Every place of a repeated line is in a passage, and chains between its many equal places give no row each."""
+    line, other = prose(26, 41), prose(4, 42)
+    docs = [(1, " ".join([line, other] * 20)), (2, " ".join(f"{line} {prose(3, 4300 + i)}" for i in range(15)))]
+    found = substring_dedup.passages(docs_of(spark, docs, extra=False)).collect()
+    assert sum(r.after - r.first for r in found) >= 400
+    spans = sorted((r.first, r.after) for r in found)
+    assert all(a < b and x < y for (a, x), (b, y) in zip(spans, spans[1:], strict=False))
+
+
+def test_ends_of_possible_passages_lose_none():
+    """Two texts of few words, one made of the other by edits: each span that agrees as a passage must is within the bounds."""
+
+    def common(a, b):
+        row = [0] * (len(b) + 1)
+        for x in a:
+            last = row[:]
+            for j, y in enumerate(b):
+                row[j + 1] = max(last[j + 1], row[j], last[j] + (x == y))
+        return row[-1]
+
+    r, seen = random.Random(9), 0
+    for _ in range(60):
+        b = [r.randrange(6) for _ in range(r.randrange(8, 22))]
+        a = [r.randrange(6, 40) for _ in range(r.randrange(6))] + [x if r.random() > 0.1 else r.randrange(40) for x in b if r.random() > 0.06] + [r.randrange(6, 40) for _ in range(6)]
+        ends = substring_dedup.passage_ends(np.array(a, np.int32), np.array(b, np.int32), 8, 0.8)
+        for s in range(len(a)):
+            for e in range(s + 8, len(a) + 1):
+                if any(common(a[s:e], b[o:p]) >= 0.8 * max(e - s, p - o) for o in range(len(b)) for p in range(o + 6, min(len(b), o + 2 * (e - s)) + 1) if p - o <= 1.25 * (e - s)):
+                    seen += 1
+                    assert ends[s] >= e
+    assert seen > 50
+    assert (substring_dedup.passage_ends(np.arange(90, dtype=np.int32), np.arange(30, 60, dtype=np.int32), 50, 0.8) == -1).all()
