@@ -1057,3 +1057,12 @@ def test_ends_of_possible_passages_lose_none():
                     assert ends[s] >= e
     assert seen > 50
     assert (substring_dedup.passage_ends(np.arange(90, dtype=np.int32), np.arange(30, 60, dtype=np.int32), 50, 0.8) == -1).all()
+
+
+def test_links_that_the_same_documents_hold_make_their_pairs_once(spark):
+    there = [(l, o) for l in range(6) for o in range(20)] + [(9, 3), (9, 50), (11, 50)]
+    left = [(l, k) for l in (*range(6), 9) for k in range(20) if l < 9 or k == 3] + [(9, 50), (11, 50)]
+    pairs = {(k, o) for l, k in left for m, o in there if l == m and o < k}
+    left, there = (spark.createDataFrame(rows, schema) for rows, schema in ((left, "l long, key long"), (there, "l long, other long")))
+    met = substring_dedup._one_of_alike(left, there).join(there, "l").where("other < key").select("key", "other").collect()
+    assert len(met) == len(pairs) and {tuple(r) for r in met} == pairs
