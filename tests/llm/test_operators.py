@@ -1066,3 +1066,58 @@ def test_links_that_the_same_documents_hold_make_their_pairs_once(spark):
     left, there = (spark.createDataFrame(rows, schema) for rows, schema in ((left, "l long, key long"), (there, "l long, other long")))
     met = substring_dedup._one_of_alike(left, there).join(there, "l").where("other < key").select("key", "other").collect()
     assert len(met) == len(pairs) and {tuple(r) for r in met} == pairs
+
+
+def rows_made(spark, act):
+    """The most rows that a join, a generator or Python made in the queries that ``act`` runs."""
+    store = spark._jsparkSession.sharedState().statusStore()
+    listed = lambda x: [x.apply(i) for i in range(x.size())]
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    before = {e.executionId() for e in listed(store.executionsList())}
+    act()
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    most = {}
+    for k in {e.executionId() for e in listed(store.executionsList())} - before:
+        values = store.executionMetrics(k)
+        for node in listed(store.planGraph(k).allNodes().toSeq()):
+            if re.search("Join|Generate|Arrow", node.name()):
+                for m in listed(node.metrics().toSeq()):
+                    if m.name() == "number of output rows" and values.contains(m.accumulatorId()):
+                        most[node.name()] = max(most.get(node.name(), 0), int(values.apply(m.accumulatorId()).replace(",", "")))
+    return most
+
+
+def test_documents_of_a_crowd_make_no_row_a_pair(spark):
+    """500 documents share a line of 30 words and no passage, two of them an edited one."""
+    line, p = prose(30, 51), prose(60, 52).split()
+    texts = [f"{prose(20, 5200 + i)} {line} {prose(20, 6200 + i)}" for i in range(500)]
+    texts += [f"{prose(20, 7200 + i)} {line} {' '.join(w if j % 19 != 6 * i + 3 else f'x{j}' for j, w in enumerate(p))} {prose(20, 7300 + i)}" for i in range(2)]
+    docs, found = docs_of(spark, list(enumerate(texts)), extra=False), []
+    most = rows_made(spark, lambda: found.extend(substring_dedup.passages(docs).collect()))
+    assert {frozenset((r.key, r.other)) for r in found} == {frozenset(r.key for r in docs.where("doc_id >= 500").select(row_key("doc_id", "text").alias("key")).collect())}
+    assert most and max(most.values()) <= 40 * len(texts)
+
+
+def test_passages_do_not_depend_on_blocks(spark, monkeypatch):
+    """Documents of three lines each, of which some are edited copies, in blocks of a few and all in one."""
+    r = random.Random(3)
+    lines = [prose(16, 800 + i) for i in range(5)]
+    own = [prose(45, 820 + i).split() for i in range(4)]
+    texts = [" ".join([prose(10, 900 + i), *r.sample(lines, 3), " ".join(w if r.random() > 0.05 else f"x{i}" for w in own[i % 4]), *r.sample(lines, 2), prose(10, 990 + i)]) for i in range(40)]
+    docs, found = docs_of(spark, list(enumerate(texts)), extra=False), []
+    for askers, holders, table in ((256, 1024, 1 << 23), (3, 5, 256)):
+        for name, value in (("ASKERS", askers), ("HOLDERS", holders), ("TABLE", table)):
+            monkeypatch.setattr(substring_dedup, name, value)
+        found.append(sorted(map(tuple, substring_dedup.passages(docs).collect())))
+    assert found[0] == found[1] and len(found[0]) > 40
+
+
+def test_agreement_by_words_is_that_of_passage_ends():
+    r = np.random.default_rng(6)
+    for n in (30, 50, 51, 200):
+        own = np.arange(n, dtype=np.int32)
+        others = [r.choice(n, int(n * share), replace=False).astype(np.int32) for share in r.uniform(0.5, 1, 60)]
+        hit = np.array([np.isin(own, o) for o in others])
+        total = np.concatenate([np.zeros((60, 1)), np.cumsum(hit - 0.8, axis=1)], axis=1)
+        wanted = [any(t[j] - t[i] >= -1e-6 for i in range(n) for j in range(i + 50, n + 1)) for t in total]
+        assert substring_dedup._agree(hit, 50, 0.8).tolist() == wanted
