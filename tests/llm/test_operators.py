@@ -1121,3 +1121,33 @@ def test_agreement_by_words_is_that_of_passage_ends():
         total = np.concatenate([np.zeros((60, 1)), np.cumsum(hit - 0.8, axis=1)], axis=1)
         wanted = [any(t[j] - t[i] >= -1e-6 for i in range(n) for j in range(i + 50, n + 1)) for t in total]
         assert substring_dedup._agree(hit, 50, 0.8).tolist() == wanted
+
+
+def test_topk_of_many_pages_and_buckets(spark, monkeypatch):
+    """Vectors of 2, 4 and 8 bytes a component, all scores of some queries negative, in small pages, buckets and blocks."""
+    r = np.random.default_rng(12)
+    x = np.concatenate([-np.abs(r.normal(size=(500, 6))), r.normal(size=(60, 6)) * 300, r.normal(size=(5, 6)) * 1e8])
+    x[::50] = np.abs(x[::50]) / 1e3
+    df = spark.createDataFrame([(i, [float(c) for c in v]) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    ints = [[int(c) for c in row] for row in np.floor(256 * x)]
+    want = {}
+    for q in range(0, len(x), 50):
+        every = sorted((-sum(a * b for a, b in zip(ints[q], v, strict=True)), i) for i, v in enumerate(ints) if i != q)
+        want[q] = [(i, -s) for s, i in every[:5]]
+    monkeypatch.setattr(topk, "BLOCK", 3)
+    for bucket in (16, 1 << 15):
+        monkeypatch.setattr(topk, "BUCKET", bucket)
+        got = defaultdict(list)
+        for g in topk.search(df, df.where("vec_id % 50 = 0"), page=8, routers=4).orderBy("query_id", "rank").collect():
+            got[g.query_id].append((g.vec_id, g.score))
+        assert dict(got) == want
+
+
+def test_a_page_is_no_row_of_each_block_of_queries(spark, monkeypatch):
+    r = np.random.default_rng(13)
+    x = r.normal(size=(1500, 4))
+    df = spark.createDataFrame([(i, [float(c) for c in v]) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    monkeypatch.setattr(topk, "BLOCK", 4)
+    sizes = []
+    most = rows_made(spark, lambda: sizes.append(topk.search(df, df, page=64, routers=16).count()))
+    assert sizes == [7500] and max(n for name, n in most.items() if "Join" in name) <= 3000
